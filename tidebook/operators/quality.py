@@ -11,12 +11,15 @@ from tidebook.functions.scalars import parse_day
 from tidebook.operators.segments import SEGMENT_ROWS, plan_cut, with_segment
 
 
-def sequence_gaps(feed: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
+def sequence_gaps(
+    feed: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None
+) -> DataFrame:
     """Every message with the last sequence of its ticker and whether it breaks the count.
 
     A gap is any sequence other than last + 1, so repeats and steps back count too; the first message of
     a ticker never does. Messages without ticker or sequence are kept, flagged false, and leave the
-    last sequence as it is. All channels of a ticker share one count.
+    last sequence as it is. All channels of a ticker share one count. `opening` gives the last sequence
+    of tickers seen before, as `ticker, last_sequence`.
     """
     tracked = F.coalesce(F.col("ticker") != "", F.lit(False)) & F.col("sequence").isNotNull()
     marked = feed.withColumn("tracked", tracked)
@@ -25,14 +28,14 @@ def sequence_gaps(feed: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
     within = Window.partitionBy("tracked", "ticker", "seg").orderBy("arrival")
     last = F.when(F.col("tracked"), F.lag("sequence").over(within))
     flagged = cut.withColumn("last_sequence", last)
-    if not plan.whole:
-        ends = (
-            cut.filter("tracked")
-            .groupBy("tracked", "ticker", "seg")
-            .agg(F.max_by("sequence", "arrival").alias("final"))
-        )
-        earlier = Window.partitionBy("tracked", "ticker").orderBy("seg")
-        carried = ends.select("tracked", "ticker", "seg", F.lag("final").over(earlier).alias("carried"))
+    if not plan.whole or opening is not None:
+        ends = last_sequences(cut, "seg")
+        if opening is not None:
+            ends = ends.unionByName(
+                opening.select("ticker", "last_sequence", F.lit(-(2**62)).cast("bigint").alias("seg"))
+            )
+        earlier = F.lag("last_sequence").over(Window.partitionBy("ticker").orderBy("seg"))
+        carried = ends.select(F.lit(True).alias("tracked"), "ticker", "seg", earlier.alias("carried"))
         flagged = (
             flagged.join(carried, ["tracked", "ticker", "seg"], "left")
             .withColumn("last_sequence", F.coalesce("last_sequence", "carried"))
@@ -42,6 +45,12 @@ def sequence_gaps(feed: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
     return flagged.withColumn("gap", gap).drop("tracked", "seg")
 
 
+def last_sequences(tracked: DataFrame, *within: str) -> DataFrame:
+    """Last sequence of each ticker (and of each value of `within`) by arrival."""
+    rows = tracked.filter(F.col("sequence").isNotNull() & (F.col("ticker") != ""))
+    return rows.groupBy("ticker", *within).agg(F.max_by("sequence", "arrival").alias("last_sequence"))
+
+
 def missing_ranges(gaps: DataFrame) -> DataFrame:
     """The sequence numbers a refill would have to ask for: `missing_from..missing_to` of each hole."""
     return gaps.filter(F.col("sequence") > F.col("last_sequence") + 1).select(

@@ -6,9 +6,12 @@ opens with; this helper fills in the best price of each side.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 
 REPLAY_SCHEMA = (
     "ticker STRING, arrival BIGINT, ts_ms BIGINT, bid_price DOUBLE, bid_size BIGINT, "
@@ -97,3 +100,7 @@ def replay_segment(key: tuple[pa.Scalar, ...], events: pa.Table, opening: pa.Tab
 def replay_whole(key: tuple[pa.Scalar, ...], events: pa.Table) -> pa.Table:
     """BBO after each delta of a ticker that starts with an empty book."""
     return replay_segment(key, events, NO_LEVELS)
+
+
+# Executors get these helpers with the job, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

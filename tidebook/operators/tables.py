@@ -56,10 +56,3 @@ SHAPERS = {"trades": to_trades, "orderbook_deltas": to_deltas, "tickers": to_tic
 def shape_tables(feed: DataFrame, ingest_ms: Column | None = None) -> dict[str, DataFrame]:
     """All four tables of a feed, by the channel of each message."""
     return {table: SHAPERS[table](rows, ingest_ms) for table, rows in dispatch(feed).items()}
-
-
-def append_table(rows: DataFrame, root: str, table: str) -> None:
-    """Append to a hot table. Rows are sorted by ticker within files so that row groups can be skipped."""
-    rows.sortWithinPartitions("date", "ticker", "ts_ms").write.mode("append").partitionBy("date").parquet(
-        f"{root}/{table}"
-    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.scalars import floor_div, parse_day
@@ -98,16 +98,10 @@ def latest(trades: DataFrame, ticker: str, n: int = 20) -> DataFrame:
 def dedup_trades(trades: DataFrame) -> DataFrame:
     """Each trade once, for pages and days that overlap; of copies the first to arrive stays.
 
-    Trades without an id cannot be copies of one another and all stay. The best copy is chosen by an
-    aggregate that is combined before the shuffle, so a trade repeated without end costs one row a task.
+    Trades without an id cannot be copies of one another and all stay. Spark keeps one row per id in
+    each task before the shuffle, so an id repeated without end does not pile up in one place.
     """
-    names = trades.columns
-    rest = [name for name in names if name != "trade_id"]
-    kept = (
-        trades.filter(F.col("trade_id").isNotNull())
-        .groupBy("trade_id")
-        .agg(F.min_by(F.struct(*rest), "arrival").alias("row"))
-        .select("trade_id", "row.*")
-        .select(*names)
-    )
-    return kept.unionByName(trades.filter(F.col("trade_id").isNull()))
+    identified = trades.filter(F.col("trade_id").isNotNull())
+    order = F.row_number().over(Window.partitionBy("trade_id").orderBy("arrival"))
+    first = identified.withColumn("copy", order).filter(F.col("copy") == 1).drop("copy")
+    return first.unionByName(trades.filter(F.col("trade_id").isNull()))

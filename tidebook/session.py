@@ -21,6 +21,7 @@ def build_session(app: str = "tidebook", master: str | None = None, **conf: obje
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app)
