@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.scalars import is_crossed, mid_price, pair_changed, spread
@@ -26,26 +26,24 @@ from tidebook.operators.segments import (
 )
 
 
-def best_of(levels: DataFrame) -> DataFrame:
+def best_of(levels: DataFrame, *more: Column) -> DataFrame:
     """Best bid (highest `yes`) and best ask (lowest other) of each ticker, with sizes.
 
-    Tickers whose levels are all empty keep a row with nulls.
+    Tickers whose levels are all empty keep a row with nulls. `more` are further aggregates.
     """
     quote = F.struct("price", "size")
     live = F.col("size") > 0
     bid = F.max(F.when(live & (F.col("side") == "yes"), quote))
     ask = F.min(F.when(live & (F.col("side") != "yes"), quote))
-    return (
-        levels.groupBy("ticker")
-        .agg(bid.alias("bid"), ask.alias("ask"))
-        .select(
-            "ticker",
-            F.col("bid.price").alias("bid_price"),
-            F.col("bid.size").alias("bid_size"),
-            F.col("ask.price").alias("ask_price"),
-            F.col("ask.size").alias("ask_size"),
-        )
+    best = levels.groupBy("ticker").agg(bid.alias("bid"), ask.alias("ask"), *more)
+    flat = best.select(
+        "*",
+        F.col("bid.price").alias("bid_price"),
+        F.col("bid.size").alias("bid_size"),
+        F.col("ask.price").alias("ask_price"),
+        F.col("ask.size").alias("ask_size"),
     )
+    return flat.drop("bid", "ask")
 
 
 def with_mid_spread(quotes: DataFrame) -> DataFrame:
@@ -54,18 +52,19 @@ def with_mid_spread(quotes: DataFrame) -> DataFrame:
     return quotes.withColumn("mid_price", mid_price(bid, ask)).withColumn("spread", spread(bid, ask))
 
 
-def last_update(deltas: DataFrame) -> DataFrame:
-    """Highest sequence (0 if none was given) and time of the last delta of each ticker."""
-    return deltas.groupBy("ticker").agg(
-        F.greatest(F.lit(0).cast("bigint"), F.max("sequence")).alias("sequence"),
-        F.max_by("ts_ms", "arrival").alias("ts_ms"),
-    )
-
-
 def bbo(deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None) -> DataFrame:
-    """BBO of every ticker after its last delta, with mid, spread and the time of the last delta."""
-    quotes = with_mid_spread(best_of(closing_levels(deltas, rows, opening)))
-    return quotes.join(last_update(book_deltas(deltas)), "ticker", "left")
+    """BBO of every ticker after its last delta, with mid and spread.
+
+    `ts_ms` is the time of the last delta, `sequence` the highest one (0 if none was given).
+    """
+    levels = closing_levels(deltas, rows, opening)
+    zero = F.lit(0).cast("bigint")
+    quotes = best_of(
+        levels,
+        F.greatest(zero, F.max("sequence")).alias("sequence") if "sequence" in levels.columns else F.max(zero).alias("sequence"),
+        F.max_by("since_ms", "last_arrival").alias("ts_ms"),
+    )
+    return with_mid_spread(quotes)
 
 
 def crossed(quotes: DataFrame) -> DataFrame:
@@ -118,10 +117,10 @@ def bbo_history(
     the book it opens with, so a busy ticker is spread over as many tasks as it has segments.
     """
     clean = book_deltas(deltas).select(*LEVEL, "delta_size", "arrival", "ts_ms")
-    plan = plan_cut(clean, rows)
+    plan = plan_cut(deltas, rows)
     if plan.whole and opening is None:
         return with_mid_spread(clean.groupBy("ticker").applyInArrow(replay_whole, schema=REPLAY_SCHEMA))
-    multiples = small_or_plain(ticker_multiples(clean, plan.width, min(rows, plan.width)))
+    multiples = small_or_plain(ticker_multiples(deltas, plan.width, min(rows, plan.width)))
     cut = with_ticker_segment(clean, plan.width, multiples)
     # Deltas and opening books read the same columns, so that Spark shuffles them once for both.
     placed = cut.repartition("ticker", "seg")

@@ -31,14 +31,17 @@ def with_runs(cut: DataFrame) -> DataFrame:
 
 
 def segment_totals(runs: DataFrame, opening: DataFrame | None = None) -> DataFrame:
-    """One row per level and segment: total change, lowest running sum and time of the last delta.
+    """One row per level and segment: total change, lowest running sum and what was last seen.
 
     `opening` gives sizes to start from; they count as a first segment of their own.
     """
+    seen = [F.max("sequence").alias("sequence")] if "sequence" in runs.columns else []
     totals = runs.groupBy(*LEVEL, "seg").agg(
         F.sum("delta_size").alias("net"),
         F.min("run").alias("low"),
+        F.max("arrival").alias("last_arrival"),
         F.max_by("ts_ms", "arrival").alias("since_ms"),
+        *seen,
     )
     if opening is None:
         return totals
@@ -47,9 +50,8 @@ def segment_totals(runs: DataFrame, opening: DataFrame | None = None) -> DataFra
         F.lit(-(2**62)).cast("bigint").alias("seg"),
         F.col("size").alias("net"),
         F.col("size").alias("low"),
-        F.lit(None).cast("bigint").alias("since_ms"),
     )
-    return totals.unionByName(first)
+    return totals.unionByName(first, allowMissingColumns=True)
 
 
 def with_opening_size(totals: DataFrame) -> DataFrame:
@@ -67,7 +69,7 @@ def with_opening_size(totals: DataFrame) -> DataFrame:
 def level_sizes(deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None) -> DataFrame:
     """Every delta with the size its level has afterwards (0 when the level is empty)."""
     clean = book_deltas(deltas)
-    cut = plan_cut(clean, rows)
+    cut = plan_cut(deltas, rows)
     runs = with_runs(with_segment(clean, cut.width))
     zero = F.lit(0).cast("bigint")
     if cut.whole and opening is None:
@@ -83,13 +85,16 @@ def level_sizes(deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame
 def closing_levels(
     deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None
 ) -> DataFrame:
-    """Every level ever touched with its final size and the time of its last delta, empty ones included."""
-    clean = book_deltas(deltas).select(*LEVEL, "delta_size", "arrival", "ts_ms")
-    cut = plan_cut(clean, rows)
-    runs = with_runs(with_segment(clean, cut.width))
+    """Every level ever touched, empty ones included: final size, last arrival, time and sequence."""
+    kept = [name for name in (*LEVEL, "delta_size", "arrival", "ts_ms", "sequence") if name in deltas.columns]
+    runs = with_runs(with_segment(book_deltas(deltas).select(*kept), plan_cut(deltas, rows).width))
     closed = with_opening_size(segment_totals(runs, opening))
+    seen = [F.max("sequence").alias("sequence")] if "sequence" in closed.columns else []
     return closed.groupBy(*LEVEL).agg(
-        F.max_by("close_size", "seg").alias("size"), F.max_by("since_ms", "seg").alias("since_ms")
+        F.max_by("close_size", "seg").alias("size"),
+        F.max("last_arrival").alias("last_arrival"),
+        F.max_by("since_ms", "seg").alias("since_ms"),
+        *seen,
     )
 
 
@@ -124,10 +129,14 @@ def depth_nested(levels: DataFrame, top: int = 5) -> DataFrame:
 
 
 def latest_snapshots(snapshots: DataFrame) -> DataFrame:
-    """The most recent snapshot of each ticker: `ticker, timestamp (s), orderbook`."""
-    return snapshots.groupBy("ticker").agg(
-        F.max("timestamp").alias("timestamp"), F.max_by("orderbook", "timestamp").alias("orderbook")
-    )
+    """The most recent snapshot of each ticker: `ticker, timestamp (s), orderbook`.
+
+    The newest time of each ticker is found without reading the ladders; of snapshots with the same
+    time one is kept.
+    """
+    newest = small_or_plain(snapshots.groupBy("ticker").agg(F.max("timestamp").alias("timestamp")))
+    found = snapshots.join(newest, ["ticker", "timestamp"])
+    return found.groupBy("ticker", "timestamp").agg(F.max("orderbook").alias("orderbook"))
 
 
 def snapshot_book(snapshots: DataFrame) -> DataFrame:
@@ -158,9 +167,7 @@ def rebuild_book(snapshots: DataFrame, deltas: DataFrame, rows: int = SEGMENT_RO
     so only its time is joined to the deltas; the ladders join as opening sizes, level by level.
     """
     latest = latest_snapshots(snapshots)
-    taken = small_or_plain(
-        snapshots.groupBy("ticker").agg((F.max("timestamp") * 1000).alias("taken_ms"))
-    )
+    taken = small_or_plain(latest.select("ticker", (F.col("timestamp") * 1000).alias("taken_ms")))
     later = deltas.join(taken, "ticker", "left").filter(
         F.col("taken_ms").isNull() | (F.col("ts_ms") > F.col("taken_ms"))
     )

@@ -24,10 +24,15 @@ BROADCAST_ROWS = 100_000
 
 @dataclass(frozen=True)
 class Cut:
-    """How a feed is cut: segments of `width` arrival numbers; `whole` if it all fits into one."""
+    """How a feed is cut: segments of `width` arrival numbers; `whole` if it all fits into one.
+
+    `low` and `high` are the first and last arrival number found.
+    """
 
     width: int
     whole: bool = False
+    low: int = 0
+    high: int = 0
 
 
 def plan_cut(df: DataFrame, rows: int = SEGMENT_ROWS) -> Cut:
@@ -41,7 +46,7 @@ def plan_cut(df: DataFrame, rows: int = SEGMENT_ROWS) -> Cut:
         return Cut(rows, whole=True)
     span = high - low + 1
     width = rows * max(1, span // count)
-    return Cut(width, whole=low // width == high // width)
+    return Cut(width, low // width == high // width, low, high)
 
 
 def with_segment(df: DataFrame, width: int) -> DataFrame:
@@ -53,6 +58,19 @@ def earlier_segments(*key: str) -> Window:
     return Window.partitionBy(*key).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
 
 
+def moment_key(df: DataFrame, moment: Column, bound: int) -> Column:
+    """A sort key for `(moment, arrival)`, where `moment` is a number from 0 up to `bound`.
+
+    One BIGINT if both fit into it, so that Spark can aggregate by hashing; otherwise a struct, for
+    which it has to sort.
+    """
+    cut = plan_cut(df)
+    span = cut.high - cut.low + 1
+    if span * bound < 2**63:
+        return moment * F.lit(span).cast("bigint") + (F.col("arrival") - F.lit(cut.low))
+    return F.struct(moment.alias("moment"), F.col("arrival"))
+
+
 def small_or_plain(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark `df` for broadcast if it has at most `rows` rows, counting no further than that.
 

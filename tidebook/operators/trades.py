@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.scalars import floor_div, parse_day
+from tidebook.operators.segments import moment_key
 
 UNIT_MS = {"second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
 
@@ -28,8 +29,8 @@ def bars(trades: DataFrame, interval: str = "1 minute") -> DataFrame:
     with most of the trades sends one row per interval and task. Intervals without trades have no row.
     """
     width = interval_ms(interval)
-    moment = F.struct("ts_ms", "arrival")
     priced = trades.filter(F.col("price").isNotNull() & F.col("ts_ms").isNotNull())
+    moment = moment_key(trades, F.pmod("ts_ms", F.lit(width)), width)
     return priced.groupBy("ticker", (floor_div(F.col("ts_ms"), width) * width).alias("bar_ms")).agg(
         F.min_by("price", moment).alias("open"),
         F.max("price").alias("high"),

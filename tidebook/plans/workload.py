@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.functions.scalars import date_from_ms, floor_div, ms_from_ts
+from tidebook.functions.scalars import floor_div
 from tidebook.operators.segments import number_rows
 from tidebook.session import pin_utc
 
@@ -26,28 +26,24 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shaped(rows: DataFrame) -> DataFrame:
     """One row per event with the fields all message kinds are made from; also for a stream."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    size = (F.lit(1) + F.floor("value") % 50).cast("bigint")
-    kind = (
-        F.when(F.col("event_type") == "purchase", "trade")
-        .when(F.col("event_type").isin("view", "click"), "orderbook_delta")
-        .when(F.col("event_type") == "signup", "ticker")
-        .otherwise("unsupported")
-    )
-    return rows.select(
-        F.col("event_id").alias("arrival"),
+    k = "cast(get_json_object(props, '$.k') AS int)"
+    size = "cast(1 + floor(value) % 50 AS bigint)"
+    return rows.selectExpr(
+        "event_id AS arrival",
         "ts",
-        ms_from_ts(F.col("ts")).alias("ts_ms"),
-        F.concat(F.lit("T"), (F.col("user_id") % TICKERS).cast("string")).alias("ticker"),
-        kind.alias("type"),
-        F.when(F.col("event_id") % 2 == 0, "yes").otherwise("no").alias("side"),
-        (F.lit(45.0) + k % 10).alias("price"),
-        size.alias("count"),
-        F.when(F.col("event_id") % 3 == 2, -size).otherwise(size).alias("delta_size"),
-        F.when(k % 3 == 0, "no").alias("taker_side"),
-        F.col("event_id").cast("string").alias("trade_id"),
-        F.floor("value").cast("bigint").alias("volume"),
-        F.floor("value").cast("bigint").alias("latency"),
+        "unix_micros(cast(ts AS timestamp)) div 1000 AS ts_ms",
+        f"concat('T', user_id % {TICKERS}) AS ticker",
+        """CASE WHEN event_type = 'purchase' THEN 'trade'
+                WHEN event_type IN ('view', 'click') THEN 'orderbook_delta'
+                WHEN event_type = 'signup' THEN 'ticker' ELSE 'unsupported' END AS type""",
+        "if(event_id % 2 = 0, 'yes', 'no') AS side",
+        f"45D + {k} % 10 AS price",
+        f"{size} AS count",
+        f"if(event_id % 3 = 2, -{size}, {size}) AS delta_size",
+        f"if({k} % 3 = 0, 'no', null) AS taker_side",
+        "cast(event_id AS string) AS trade_id",
+        "cast(floor(value) AS bigint) AS volume",
+        "cast(floor(value) AS bigint) AS latency",
     )
 
 
@@ -77,16 +73,16 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trades_of(rows: DataFrame) -> DataFrame:
-    return rows.select(
+    return rows.selectExpr(
         "ticker",
-        F.coalesce("taker_side", F.lit("yes")).alias("taker_side"),
+        "coalesce(taker_side, 'yes') AS taker_side",
         "price",
         "count",
         "trade_id",
         "arrival",
         "ts_ms",
         "ts",
-        date_from_ms(F.col("ts_ms")).alias("date"),
+        "date_add(date'1970-01-01', cast(ts_ms div 86400000 AS int)) AS date",
     )
 
 
@@ -100,25 +96,23 @@ def feed(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
         rows = number_rows(rows, "ticker", "sequence").filter(F.col("arrival") % 50 != 7)
     else:
         rows = rows.withColumn("sequence", F.lit(None).cast("bigint"))
-    iso = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    dated = (F.col("type") == "trade") & (F.col("arrival") % 2 == 1)
-    is_trade, is_delta, is_ticker = (F.col("type") == kind for kind in ("trade", "orderbook_delta", "ticker"))
-    return rows.select(
-        F.col("type").alias("channel"),
+    return rows.selectExpr(
+        "type AS channel",
         "arrival",
         "type",
         "ticker",
-        F.when(~dated, F.col("ts_ms")).alias("timestamp"),
+        "if(type = 'trade' AND arrival % 2 = 1, null, ts_ms) AS timestamp",
         "sequence",
-        F.when(is_delta, F.col("side")).alias("side"),
-        F.when(is_delta | is_trade, F.col("price")).alias("price"),
-        F.when(is_delta, F.col("delta_size")).alias("delta_size"),
-        F.when(is_trade, F.col("taker_side")).alias("taker_side"),
-        F.when(is_trade, F.col("count")).alias("count"),
-        F.when(is_trade, F.col("trade_id")).alias("trade_id"),
-        F.when(dated, iso).alias("created_time"),
-        F.when(is_ticker, F.col("price")).alias("last_price"),
-        F.when(is_ticker, F.col("volume")).alias("volume"),
+        "if(type = 'orderbook_delta', side, null) AS side",
+        "if(type IN ('orderbook_delta', 'trade'), price, null) AS price",
+        "if(type = 'orderbook_delta', delta_size, null) AS delta_size",
+        "if(type = 'trade', taker_side, null) AS taker_side",
+        "if(type = 'trade', count, null) AS count",
+        "if(type = 'trade', trade_id, null) AS trade_id",
+        """if(type = 'trade' AND arrival % 2 = 1,
+              date_format(cast(ts AS timestamp), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), null) AS created_time""",
+        "if(type = 'ticker', price, null) AS last_price",
+        "if(type = 'ticker', volume, null) AS volume",
     )
 
 

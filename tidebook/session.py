@@ -20,6 +20,7 @@ def build_session(app: str = "tidebook", master: str | None = None, **conf: obje
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

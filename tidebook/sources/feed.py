@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidebook.schemas import CORRUPT, ENVELOPE, MESSAGE
+from tidebook.sources.checks import malformed
 
 
 def read_feed(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -76,13 +77,14 @@ def kafka_feed(records: DataFrame) -> DataFrame:
 
 
 def messages(envelopes: DataFrame) -> DataFrame:
-    """The feed proper: `channel, arrival` and the message fields, well-formed rows only."""
+    """The feed proper: `channel, arrival` and the message fields. Lines without a message are left out;
+    a field of the wrong type is null, and `quarantined` shows its line."""
     return envelopes.filter(F.col("message").isNotNull()).select("channel", "arrival", "message.*")
 
 
-def quarantined(envelopes: DataFrame) -> DataFrame:
-    """The text of lines that could not be read."""
-    return envelopes.filter(F.col("message").isNull() | F.col(CORRUPT).isNotNull()).select(CORRUPT)
+def quarantined(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines that are no envelopes or have fields of the wrong type."""
+    return malformed(spark, path, ENVELOPE)
 
 
 def envelopes_of(feed: DataFrame) -> DataFrame:

@@ -13,23 +13,23 @@ from tidebook.operators.tables import to_trades
 from tidebook.operators.trades import dedup_trades
 from tidebook.operators.tiers import Tiers, write_hot
 from tidebook.schemas import BOOK_PAGE, CORRUPT, MARKET_PAGE, TRADE_PAGE
+from tidebook.sources.checks import malformed
 
 # No page holds more trades than this, so page number and position make one arrival number.
 PAGE_LIMIT = 10_000
 
 
-def _read(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+def malformed_trade_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Pages that are no objects or whose `trades` is no list of trades."""
+    return malformed(spark, path, TRADE_PAGE)
 
 
-def malformed(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Text of pages that are no objects or whose list is no list, with the file they came from."""
-    return (
-        _read(spark, path, schema)
-        .select(*[field.name for field in schema], F.col("_metadata.file_path").alias("file"))
-        .filter(F.col(CORRUPT).isNotNull())
-        .select(CORRUPT, "file")
-    )
+def malformed_market_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return malformed(spark, path, MARKET_PAGE)
+
+
+def _read(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 # --- trades --------------------------------------------------------------------------------------
