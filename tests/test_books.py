@@ -98,7 +98,7 @@ def test_bbo_history_matches_model(case, rows):
 
 def test_history_splits_at_an_opening_book(spark, case):
     _, (_, _, history, changes) = case
-    rows = random_deltas(3000)
+    rows = random_deltas(3000, prices=12)
     head = spark.createDataFrame(rows[:1000], DELTA)
     tail = spark.createDataFrame(rows[1000:], DELTA)
     opening = book.book(head, rows=100)
@@ -118,3 +118,12 @@ def test_many_levels(spark):
     rows = random_deltas(2000, tickers=3, prices=300, seed=9)
     result = quotes.bbo_history(spark.createDataFrame(rows, DELTA), rows=90)
     assert rows_of(result, *QUOTE) == replay(rows)[2]
+
+
+def test_untouched_opening_levels_stay_live(spark):
+    rows = random_deltas(240, prices=40, seed=4)
+    _, _, history, _ = replay(rows)
+    opening = book.book(spark.createDataFrame(rows[:200], DELTA))
+    tail = spark.createDataFrame(rows[200:], DELTA)
+    for size in (5, 1000):
+        assert rows_of(quotes.bbo_history(tail, size, opening), *QUOTE) == history[200:]

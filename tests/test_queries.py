@@ -3,6 +3,14 @@ import pytest
 import __spark_entry__ as entry
 from check_oracle import compare
 
+# These write tables or run streams; their operators have tests of their own, and `check_oracle.py`
+# runs them next to their SQL.
+HEAVY = (
+    "table_counts migrate_day migrate_days export_days expired_partitions retention end_of_day load_trade_pages "
+    "stream_plant stream_record stream_bars stream_gap_flags stream_bbo_changes counters bbo_shape "
+    "bbo_changes_of_table rebuild_book"
+).split()
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -15,7 +23,7 @@ def test_entry(spark):
     assert df.columns[0] == "ticker" and df.count() == 5
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [name for name in entry.queries() if name not in HEAVY])
 def test_query_matches_sql(spark, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert compare(df, SF_DIR, entry.oracle_sql()[name]) is None

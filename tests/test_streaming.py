@@ -44,7 +44,7 @@ def test_plant_stream_equals_batch(spark, tmp_path):
     rows = random_deltas(900)
     stream = land(spark, tmp_path / "feed", rows, 3)
     out, state, check = (str(tmp_path / name) for name in ("out", "state", "check"))
-    plant.plant_stream(stream, out, state, check, rows=100).awaitTermination()
+    plant.plant_stream(stream, out, state, check).awaitTermination()
     events = plant.published(spark, out).cache()
     quotes = events.filter("channel = 'bbo'")
     assert quotes.select("batch").distinct().count() == 3
@@ -68,7 +68,7 @@ def test_a_batch_run_again_leaves_the_same(spark, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     first, second = feed.filter("arrival < 300"), feed.filter("arrival >= 300")
     for batch, batch_id in ((first, 0), (second, 1), (second, 1)):
-        plant.plant_batch(batch, batch_id, out, state, rows=64)
+        plant.plant_batch(batch, batch_id, out, state, rows=150)
     quotes = plant.published(spark, out).filter("channel = 'bbo'")
     assert sorted(tuple(r[n] for n in QUOTE) for r in quotes.collect()) == replay(rows)[3]
 
@@ -133,7 +133,7 @@ def test_state_store_quotes_equal_batch(spark, tmp_path, rocksdb):
 
 def test_state_store_gap_flags(spark, tmp_path, rocksdb):
     rows = [(i, "TEST", "yes", 1.0, 1, s, i) for i, s in enumerate([1, 2, 4, 5, 5, 6])]
-    got = run_to_parquet(spark, stateful.gap_stream(land(spark, tmp_path / "feed", rows, 3), ttl_ms=3_600_000), tmp_path)
+    got = run_to_parquet(spark, stateful.gap_stream(land(spark, tmp_path / "feed", rows, 3)), tmp_path)
     assert [r.gap for r in got.orderBy("arrival").collect()] == [False, False, True, False, True, False]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidebook.functions.scalars import is_crossed, mid_price, pair_changed, spread
 from tidebook.operators.book import (
     LEVEL,
+    OPENING_SEGMENT,
     book_deltas,
     closing_levels,
     segment_totals,
@@ -82,16 +83,13 @@ def opening_books(totals: DataFrame, segments: DataFrame) -> DataFrame:
         "no", F.row_number().over(Window.partitionBy("ticker").orderBy("seg"))
     ).withColumn("last_no", F.count("*").over(Window.partitionBy("ticker")).cast("int"))
     sized = with_opening_size(totals).join(numbered, ["ticker", "seg"], "left")
-    # Opening sizes have no segment of their own; they count as number 0.
-    no = F.coalesce("no", F.lit(0))
-    next_no = F.lead(no).over(Window.partitionBy(*LEVEL).orderBy("seg"))
-    last_no = F.max("last_no").over(Window.partitionBy(*LEVEL).orderBy("seg"))
+    next_no = F.lead("no").over(Window.partitionBy(*LEVEL).orderBy("seg"))
     spans = (
-        sized.withColumn("until", F.coalesce(next_no, last_no))
-        .filter((F.col("close_size") > 0) & (F.col("until") > no))
+        sized.withColumn("until", F.coalesce(next_no, F.col("last_no")))
+        .filter((F.col("close_size") > 0) & (F.col("until") > F.col("no")))
         .select(
             "ticker",
-            F.explode(F.sequence(no + 1, F.col("until"))).alias("no"),
+            F.explode(F.sequence(F.col("no") + 1, F.col("until"))).alias("no"),
             "side",
             "price",
             "close_size",
@@ -118,13 +116,16 @@ def bbo_history(
     """
     clean = book_deltas(deltas).select(*LEVEL, "delta_size", "arrival", "ts_ms")
     plan = plan_cut(deltas, rows)
-    if plan.whole and opening is None:
-        return with_mid_spread(clean.groupBy("ticker").applyInArrow(replay_whole, schema=REPLAY_SCHEMA))
+    if plan.whole:
+        return with_mid_spread(_history_of_whole(clean, opening))
     multiples = small_or_plain(ticker_multiples(deltas, plan.width, min(rows, plan.width)))
     cut = with_ticker_segment(clean, plan.width, multiples)
     # Deltas and opening books read the same columns, so that Spark shuffles them once for both.
     placed = cut.repartition("ticker", "seg")
     segments = cut.select("ticker", "seg").distinct()
+    if opening is not None:
+        held = opening.select("ticker", F.lit(OPENING_SEGMENT).cast("bigint").alias("seg")).distinct()
+        segments = segments.unionByName(held)
     books = opening_books(segment_totals(with_runs(placed), opening), segments)
     replayed = (
         placed.groupBy("ticker", "seg")
@@ -134,6 +135,21 @@ def bbo_history(
     return with_mid_spread(replayed)
 
 
+def _history_of_whole(clean: DataFrame, opening: DataFrame | None) -> DataFrame:
+    """History of a feed that fits into one segment: a group per ticker, no summaries."""
+    if opening is None:
+        return clean.groupBy("ticker").applyInArrow(replay_whole, schema=REPLAY_SCHEMA)
+    active = clean.select(F.col("ticker").alias("book_ticker")).distinct()
+    books = opening.select(
+        F.col("ticker").alias("book_ticker"), F.col("side").alias("book_side"), F.col("price").alias("level"), "size"
+    ).join(active, "book_ticker", "left_semi")
+    return (
+        clean.groupBy("ticker")
+        .cogroup(books.groupBy("book_ticker"))
+        .applyInArrow(replay_segment, schema=REPLAY_SCHEMA)
+    )
+
+
 def bbo_changes(history: DataFrame) -> DataFrame:
     """The rows of a `bbo_history` at which the best prices changed."""
     return history.filter("changed").drop("changed")

@@ -16,6 +16,8 @@ from tidebook.operators.routing import valid_deltas
 from tidebook.operators.segments import SEGMENT_ROWS, earlier_segments, plan_cut, small_or_plain, with_segment
 
 LEVEL = ("ticker", "side", "price")
+# Number of the segment that opening sizes form; it is before all others.
+OPENING_SEGMENT = -(2**62)
 
 
 def book_deltas(deltas: DataFrame) -> DataFrame:
@@ -47,7 +49,7 @@ def segment_totals(runs: DataFrame, opening: DataFrame | None = None) -> DataFra
         return totals
     first = opening.select(
         *LEVEL,
-        F.lit(-(2**62)).cast("bigint").alias("seg"),
+        F.lit(OPENING_SEGMENT).cast("bigint").alias("seg"),
         F.col("size").alias("net"),
         F.col("size").alias("low"),
     )

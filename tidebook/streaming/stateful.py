@@ -137,7 +137,8 @@ def _run(rows: DataFrame, processor: StatefulProcessor, schema: T.StructType) ->
 def gap_stream(feed: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Messages with ticker and sequence, each with its gap flag. `ttl_ms` forgets idle tickers.
 
-    Needs the RocksDB state store (`spark.sql.streaming.stateStore.providerClass`).
+    A query with `ttl_ms` follows the clock and runs until it is stopped; do not start it with
+    `availableNow`, which would wait for an end that does not come. Needs the RocksDB state store (`spark.sql.streaming.stateStore.providerClass`).
     """
     tracked = feed.filter((F.col("ticker") != "") & F.col("sequence").isNotNull())
     return _run(tracked.select("ticker", "arrival", "sequence"), GapDetector(ttl_ms), GAP_SCHEMA)
