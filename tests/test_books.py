@@ -2,7 +2,7 @@ import pytest
 
 from model import random_deltas, replay
 from tidebook.operators import bbo as quotes
-from tidebook.operators import book
+from tidebook.operators import book, segments
 
 DELTA = "arrival BIGINT, ticker STRING, side STRING, price DOUBLE, delta_size BIGINT, sequence BIGINT, ts_ms BIGINT"
 
@@ -127,3 +127,26 @@ def test_untouched_opening_levels_stay_live(spark):
     tail = spark.createDataFrame(rows[200:], DELTA)
     for size in (5, 1000):
         assert rows_of(quotes.bbo_history(tail, size, opening), *QUOTE) == history[200:]
+
+
+def test_history_with_more_tickers_than_may_be_broadcast(case, monkeypatch):
+    deltas, (_, _, history, _) = case
+    monkeypatch.setattr(segments, "BROADCAST_ROWS", 1)
+    assert rows_of(quotes.bbo_history(deltas, rows=200), *QUOTE) == history
+
+
+def test_no_task_gets_a_whole_ticker(spark, tmp_path):
+    """Rows are shuffled by ticker and segment, once, and never by ticker alone."""
+    path = str(tmp_path / "deltas")
+    spark.createDataFrame(random_deltas(500), DELTA).write.parquet(path)
+    deltas = spark.read.parquet(path)
+    history = quotes.bbo_history(deltas, rows=50)
+    history.collect()
+    plan = history._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert sum("REPARTITION_BY_COL" in line for line in shuffles) == 1
+    assert "ReusedExchange" in plan
+    sizes = book.level_sizes(deltas, rows=50)._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1] for line in sizes.splitlines() if "Exchange hashpartitioning" in line]
+    assert all("price" in key for key in keys) and sum("seg" in key for key in keys) == 3
+    assert len(keys) == 4

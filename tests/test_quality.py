@@ -80,10 +80,16 @@ def test_sparse_arrivals_get_wider_segments(spark):
     assert not cut.whole and segments.with_segment(sparse, cut.width).select("seg").distinct().count() <= 12
 
 
-def test_broadcast_only_within_the_bound(spark):
-    table = spark.range(50).withColumn("ticker", F.col("id").cast("string"))
-    assert "broadcast" in segments.small_or_plain(table, 50)._jdf.queryExecution().logical().toString().lower()
-    assert segments.small_or_plain(table, 49) is table
+@pytest.mark.parametrize("bound", [50, 49])
+def test_joins_beyond_the_broadcast_bound_are_salted(spark, monkeypatch, bound):
+    monkeypatch.setattr(segments, "BROADCAST_ROWS", bound)
+    table = spark.range(50).select(F.col("id").cast("string").alias("ticker"), F.col("id").alias("n"))
+    feed = spark.range(1000).select(F.col("id").alias("arrival"), (F.col("id") % 60).cast("string").alias("ticker"))
+    joined = segments.join_spread(feed, table, ["ticker"], "left")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert ("broadcast" in plan) == (bound == 50) and ("salt" in plan) == (bound == 49)
+    rows = joined.collect()
+    assert len(rows) == 1000 and all(r.n == (int(r.ticker) if int(r.ticker) < 50 else None) for r in rows)
 
 
 def trades(spark, *rows):

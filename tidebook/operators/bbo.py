@@ -20,7 +20,6 @@ from tidebook.operators.routing import of_type, pass_through, valid_deltas
 from tidebook.operators.segments import (
     SEGMENT_ROWS,
     plan_cut,
-    small_or_plain,
     ticker_multiples,
     with_segment,
     with_ticker_segment,
@@ -118,7 +117,7 @@ def bbo_history(
     plan = plan_cut(deltas, rows)
     if plan.whole:
         return with_mid_spread(_history_of_whole(clean, opening))
-    multiples = small_or_plain(ticker_multiples(deltas, plan.width, min(rows, plan.width)))
+    multiples = ticker_multiples(deltas, plan.width, min(rows, plan.width))
     cut = with_ticker_segment(clean, plan.width, multiples)
     # Deltas and opening books read the same columns, so that Spark shuffles them once for both.
     placed = cut.repartition("ticker", "seg")

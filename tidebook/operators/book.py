@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 
 from tidebook.functions.scalars import book_side
 from tidebook.operators.routing import valid_deltas
-from tidebook.operators.segments import SEGMENT_ROWS, earlier_segments, plan_cut, small_or_plain, with_segment
+from tidebook.operators.segments import (
+    SEGMENT_ROWS,
+    earlier_segments,
+    join_spread,
+    plan_cut,
+    with_segment,
+)
 
 LEVEL = ("ticker", "side", "price")
 # Number of the segment that opening sizes form; it is before all others.
@@ -136,7 +142,7 @@ def latest_snapshots(snapshots: DataFrame) -> DataFrame:
     The newest time of each ticker is found without reading the ladders; of snapshots with the same
     time one is kept.
     """
-    newest = small_or_plain(snapshots.groupBy("ticker").agg(F.max("timestamp").alias("timestamp")))
+    newest = snapshots.groupBy("ticker").agg(F.max("timestamp").alias("timestamp"))
     found = snapshots.join(newest, ["ticker", "timestamp"])
     return found.groupBy("ticker", "timestamp").agg(F.max("orderbook").alias("orderbook"))
 
@@ -169,8 +175,8 @@ def rebuild_book(snapshots: DataFrame, deltas: DataFrame, rows: int = SEGMENT_RO
     so only its time is joined to the deltas; the ladders join as opening sizes, level by level.
     """
     latest = latest_snapshots(snapshots)
-    taken = small_or_plain(latest.select("ticker", (F.col("timestamp") * 1000).alias("taken_ms")))
-    later = deltas.join(taken, "ticker", "left").filter(
+    taken = latest.select("ticker", (F.col("timestamp") * 1000).alias("taken_ms"))
+    later = join_spread(deltas, taken, ["ticker"], "left").filter(
         F.col("taken_ms").isNull() | (F.col("ts_ms") > F.col("taken_ms"))
     )
     return book(later.drop("taken_ms"), rows=rows, opening=snapshot_book(latest))

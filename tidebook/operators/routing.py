@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.functions.scalars import upper_ticker
-from tidebook.operators.segments import small_or_plain
+from tidebook.operators.segments import join_spread
 from tidebook.schemas import CHANNEL_TABLES
 
 MESSAGE_TYPES = ("orderbook_delta", "trade", "ticker")
@@ -81,9 +81,8 @@ def subscription_message(subscriptions: DataFrame) -> DataFrame:
 def subscribe(feed: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Messages of the subscribed `(channel, ticker)` pairs.
 
-    The pairs are handed to every task while they are few; beyond that Spark joins by shuffle.
+    The pairs are handed to every task while they are few; beyond that the feed is shuffled in salted
+    parts.
     """
-    wanted = small_or_plain(
-        subscriptions.select("channel", upper_ticker(F.col("ticker")).alias("ticker")).distinct()
-    )
-    return feed.join(wanted, ["channel", "ticker"], "left_semi")
+    wanted = merge_subscriptions(subscriptions)
+    return join_spread(feed, wanted, ["channel", "ticker"], "left_semi")

@@ -20,6 +20,8 @@ from tidebook.functions.scalars import floor_div
 SEGMENT_ROWS = 1 << 18
 # Up to this many rows a small table may be handed to every task.
 BROADCAST_ROWS = 100_000
+# Beyond that, the rows of one key are joined in this many parts.
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -71,15 +73,26 @@ def moment_key(df: DataFrame, moment: Column, bound: int) -> Column:
     return F.struct(moment.alias("moment"), F.col("arrival"))
 
 
-def small_or_plain(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark `df` for broadcast if it has at most `rows` rows, counting no further than that.
+def if_small(table: DataFrame) -> DataFrame | None:
+    """`table` marked for broadcast if it has at most `BROADCAST_ROWS` rows, counting no further."""
+    kept = table.limit(BROADCAST_ROWS + 1).collect()
+    if len(kept) > BROADCAST_ROWS:
+        return None
+    return F.broadcast(table.sparkSession.createDataFrame(kept, table.schema))
 
-    A table past the bound is joined by shuffle, where adaptive execution splits skewed partitions.
+
+def join_spread(df: DataFrame, table: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join feed rows to a table that has one row per key, without gathering the rows of a key.
+
+    A table within the broadcast bound goes to every task. A larger one is repeated once per salt, and
+    the rows of a key are spread over the salts by arrival.
     """
-    kept = df.limit(rows + 1).collect()
-    if len(kept) > rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(kept, df.schema))
+    small = if_small(table)
+    if small is not None:
+        return df.join(small, on, how)
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    spread = df.withColumn("salt", F.pmod("arrival", F.lit(SALTS).cast("bigint")))
+    return spread.join(table.withColumn("salt", F.explode(salts)), [*on, "salt"], how).drop("salt")
 
 
 def ticker_multiples(df: DataFrame, width: int, rows: int) -> DataFrame:
@@ -109,7 +122,7 @@ def with_ticker_segment(df: DataFrame, width: int, multiples: DataFrame) -> Data
     seg: Column = F.when(F.col("multiple").isNotNull(), floor_div(cut, F.col("multiple"))).otherwise(
         F.lit(0).cast("bigint")
     )
-    return df.join(multiples, "ticker", "left").withColumn("seg", seg).drop("multiple")
+    return join_spread(df, multiples, ["ticker"], "left").withColumn("seg", seg).drop("multiple")
 
 
 def number_rows(df: DataFrame, key: str, into: str, rows: int = SEGMENT_ROWS) -> DataFrame:
