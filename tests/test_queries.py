@@ -7,7 +7,7 @@ from check_oracle import compare
 # runs them next to their SQL.
 HEAVY = (
     "table_counts migrate_day migrate_days export_days expired_partitions retention end_of_day load_trade_pages "
-    "stream_plant stream_record stream_bars stream_gap_flags stream_bbo_changes counters bbo_shape "
+    "stream_plant stream_record stream_bars stream_gap_flags stream_bbo_changes stream_gap_rate stream_dedup counters bbo_shape "
     "bbo_changes_of_table rebuild_book"
 ).split()
 

@@ -435,6 +435,32 @@ def series_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.clipped(pages.read_series(spark, path), "series", 20)
 
 
+@query
+def event_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event object per supplier, with the ticker outside of the object."""
+    supplier = workload.table(spark, sf_dir, "supplier")
+    rows = supplier.select(
+        F.concat(F.lit("e"), "s_suppkey").alias("ticker"), F.struct(F.col("s_name").alias("title")).alias("event")
+    )
+    return pages.read_events(spark, _landed(rows, "events"))
+
+
+@query
+def first_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.first_market(_markets(spark, sf_dir)).select("ticker", "title", "status")
+
+
+@query
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed feed in which the errors are broken lines."""
+    rows = workload.feed(spark, sf_dir)
+    line = F.when(F.col("type") == "unsupported", F.concat(F.lit("{bad "), F.col("arrival").cast("string")))
+    good = F.to_json(F.struct("channel", F.struct("type", "ticker", "price").alias("message"), "arrival"))
+    path = scratch_path(spark, "feed")
+    rows.select(F.coalesce(line, good).alias("value")).write.text(path)
+    return feeds.quarantined(spark, path).select("line")
+
+
 # --- monitoring ----------------------------------------------------------------------------------
 
 
@@ -629,3 +655,22 @@ def stream_bbo_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", stateful.ROCKSDB)
     deltas = workload.deltas_of(workload.shaped(_streamed(spark, sf_dir)))
     return _to_parquet(spark, stateful.bbo_change_stream(deltas))
+
+
+@query
+def stream_gap_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding gap counts of a stream of flagged messages: the windows the watermark has made final."""
+    flagged = quality.sequence_gaps(workload.lossy(spark, sf_dir))
+    path = scratch_path(spark, "flags")
+    flagged.select(F.timestamp_millis("ts_ms").alias("ts"), "gap").write.parquet(path)
+    stream = spark.readStream.schema("ts TIMESTAMP, gap BOOLEAN").parquet(path)
+    done = _to_parquet(spark, windows.gap_rate_stream(stream))
+    return done.withColumn("window_ms", scalars.ms_from_ts(F.col("window_start"))).drop("window_start")
+
+
+@query
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trade ids of a stream that holds every trade twice, each once."""
+    trades = workload.trades_of(workload.shaped(_streamed(spark, sf_dir)))
+    rows = trades.select("trade_id", F.col("ts").cast("timestamp").alias("ts"))
+    return _to_parquet(spark, windows.dedup_stream(rows.unionByName(rows))).select("trade_id")

@@ -351,6 +351,10 @@ WHERE status = 'closed' AND series_ticker = 'ECONOMY'""",
        substr('{"ticker":"s' || p_partkey || '","' || CASE WHEN p_partkey % 7 <> 0 THEN 'title":"' || p_name
               ELSE 'category":"' || p_type END || '"', 1, 20) AS series
 FROM part""",
+    "event_titles": """SELECT 'E' || s_suppkey AS ticker, s_name AS title, '{"title":"' || s_name || '"}' AS event
+FROM supplier""",
+    "first_market": with_(MARKETS, "SELECT ticker, nullif(title, '') AS title, status FROM markets WHERE ticker = '0'"),
+    "quarantined_lines": with_(EVENTS, "SELECT '{bad ' || arrival AS line FROM ev WHERE type = 'unsupported'"),
     # monitoring
     "latency_p99": with_(
         f"""{EVENTS}, ranked AS (
@@ -413,4 +417,12 @@ SELECT 'gap', arrival, 2, ticker, NULL, NULL, NULL, NULL, last_sequence FROM gap
     ),
     "stream_gap_flags": with_(f"{EVENTS}, {LOSSY}", "SELECT ticker, arrival, sequence, last_sequence, gap FROM gaps"),
     "stream_bbo_changes": BBO_CHANGES,
+    "stream_gap_rate": with_(
+        f"{EVENTS}, {LOSSY}",
+        """SELECT window_ms, count(*) AS messages, count(*) FILTER (gap) AS gaps, bool_or(gap) AS alert
+FROM (SELECT gap, ts_ms // 60000 * 60000 - 60000 * unnest([0, 1, 2, 3, 4]) AS window_ms FROM gaps)
+WHERE window_ms + 300000 <= (SELECT max(ts_ms) - 600000 FROM gaps)
+GROUP BY window_ms""",
+    ),
+    "stream_dedup": with_(EVENTS, "SELECT trade_id FROM ev"),
 }
