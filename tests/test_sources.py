@@ -34,9 +34,9 @@ def test_snapshot_levels_keep_array_order(spark, tmp_path):
 
 
 def test_series(spark, tmp_path):
-    (tmp_path / "s.json").write_text('{"series": {"ticker": "kx", "title": "Rain", "x": [1]}}\n\n{"ticker": "ky", "series": {}}\n')
+    (tmp_path / "s.json").write_text('{"series": {"ticker": "mk", "title": "Rain", "x": [1]}}\n\n{"ticker": "my", "series": {}}\n')
     rows = {r.ticker: r for r in pages.read_series(spark, str(tmp_path)).collect()}
-    assert rows["KX"].title == "Rain" and '"x":[1]' in rows["KX"].series and rows["KY"].title == "KY"
+    assert rows["MK"].title == "Rain" and '"x":[1]' in rows["MK"].series and rows["MY"].title == "MY"
     assert pages.clipped(pages.read_series(spark, str(tmp_path)), "series", 5).filter(F.length("series") > 5).count() == 0
 
 

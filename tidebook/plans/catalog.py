@@ -355,8 +355,8 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         scalars.day_start_seconds(scalars.parse_day_column(text)).alias("midnight"),
         F.date_format(F.date_add(day, 1), "yyyy-MM-dd").alias("next_day"),
         F.datediff(F.lit("2000-01-01").cast("date"), day).alias("days"),
-        scalars.upper_ticker(F.concat(F.lit("kx-"), F.lower("o_orderpriority"))).alias("ticker"),
-        F.substring(F.concat(F.lit("kx-"), "o_orderpriority"), 1, 6).alias("clipped"),
+        scalars.upper_ticker(F.concat(F.lit("mk-"), F.lower("o_orderpriority"))).alias("ticker"),
+        F.substring(F.concat(F.lit("mk-"), "o_orderpriority"), 1, 6).alias("clipped"),
         scalars.mid_price(F.col("o_orderkey") % 97, F.col("o_custkey") % 89).alias("mid"),
         scalars.spread(F.col("o_orderkey") % 97, F.col("o_custkey") % 89).alias("spread"),
     )

@@ -310,7 +310,7 @@ AND ts_ms >= epoch_ms(TIMESTAMP '2024-01-10 06:00:00') AND ts_ms < epoch_ms(TIME
        epoch_us(date_trunc('day', o_orderdate)) // 1000000 AS midnight,
        strftime(CAST(o_orderdate AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS next_day,
        CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2000-01-01') AS INTEGER) AS days,
-       upper('kx-' || o_orderpriority) AS ticker, substr('kx-' || o_orderpriority, 1, 6) AS clipped,
+       upper('mk-' || o_orderpriority) AS ticker, substr('mk-' || o_orderpriority, 1, 6) AS clipped,
        round((o_orderkey % 97 + o_custkey % 89) / 2, 4) AS mid, o_custkey % 89 - o_orderkey % 97 AS spread
 FROM orders""",
     # pages and markets
