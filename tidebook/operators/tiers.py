@@ -85,8 +85,12 @@ def _overwrite_partitions(rows: DataFrame, name: str) -> None:
 
 
 def write_hot(rows: DataFrame, tiers: Tiers, table: str, batch: str | int) -> None:
-    """Add the rows of one batch to a hot table. The same batch written again replaces itself."""
-    named = rows.withColumn("batch", F.lit(str(batch)))
+    """Add the rows of one batch to a hot table. The same batch written again replaces itself.
+
+    Rows are brought together by day first, or else every task would write a file for every day of a
+    long backfill. Adaptive execution splits big days and joins small ones into even files.
+    """
+    named = rows.withColumn("batch", F.lit(str(batch))).hint("rebalance", "date")
     _overwrite_partitions(named.sortWithinPartitions("date", "ticker", "ts_ms"), tiers.hot(table))
 
 
