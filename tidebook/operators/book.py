@@ -74,6 +74,13 @@ def with_opening_size(totals: DataFrame) -> DataFrame:
     ).drop("base", "lowest")
 
 
+def level_totals(clean: DataFrame, width: int, opening: DataFrame | None = None) -> DataFrame:
+    """`segment_totals` of a feed. One shuffle by ticker, side and segment serves the running sums and
+    the totals; a shuffle by price as well would not be recognised by the second of them."""
+    placed = with_segment(clean, width).repartition("ticker", "side", "seg")
+    return segment_totals(with_runs(placed), opening)
+
+
 def level_sizes(deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None) -> DataFrame:
     """Every delta with the size its level has afterwards (0 when the level is empty)."""
     clean = book_deltas(deltas)
@@ -83,7 +90,8 @@ def level_sizes(deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame
     if cut.whole and opening is None:
         sized = runs.withColumn("size", F.col("run") + F.greatest(zero, -F.col("low")))
     else:
-        carried = with_opening_size(segment_totals(runs, opening)).select(*LEVEL, "seg", "open_size")
+        totals = level_totals(clean.select(*LEVEL, "delta_size", "arrival", "ts_ms"), cut.width, opening)
+        carried = with_opening_size(totals).select(*LEVEL, "seg", "open_size")
         sized = runs.join(carried, [*LEVEL, "seg"], "left").withColumn(
             "size", F.col("run") + F.greatest(F.coalesce("open_size", zero), -F.col("low"))
         )
@@ -95,15 +103,16 @@ def closing_levels(
 ) -> DataFrame:
     """Every level ever touched, empty ones included: final size, last arrival, time and sequence."""
     kept = [name for name in (*LEVEL, "delta_size", "arrival", "ts_ms", "sequence") if name in deltas.columns]
-    runs = with_runs(with_segment(book_deltas(deltas).select(*kept), plan_cut(deltas, rows).width))
-    closed = with_opening_size(segment_totals(runs, opening))
-    seen = [F.max("sequence").alias("sequence")] if "sequence" in closed.columns else []
-    return closed.groupBy(*LEVEL).agg(
-        F.max_by("close_size", "seg").alias("size"),
-        F.max("last_arrival").alias("last_arrival"),
-        F.max_by("since_ms", "seg").alias("since_ms"),
-        *seen,
-    )
+    totals = level_totals(book_deltas(deltas).select(*kept), plan_cut(deltas, rows).width, opening)
+    # The last segment of a level holds its final state; only the sequence may have peaked before.
+    level = Window.partitionBy(*LEVEL).orderBy("seg")
+    closed = with_opening_size(totals).withColumn("later", F.lead("seg").over(level))
+    seen = []
+    if "sequence" in closed.columns:
+        closed = closed.withColumn("sequence", F.max("sequence").over(level))
+        seen = ["sequence"]
+    last = closed.filter(F.col("later").isNull())
+    return last.select(*LEVEL, F.col("close_size").alias("size"), "last_arrival", "since_ms", *seen)
 
 
 def book(
