@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import base, html_text, line_dedup, packing
+from tidebook.llm import base, decontaminate, html_text, line_dedup, packing, seed_extend, suffix_repeats, warc
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +15,38 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, found through the capture index and read back."""
+    pages = base.table(spark, sf_dir, "pages")
+    archive = warc.write_archive(pages)
+    records = archive.read(archive.find(warc.page_keys(pages)))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that occur in windows of 13 words of benchmark items."""
+    docs, benchmark = (base.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    judged = decontaminate.judge(decontaminate.find(docs, benchmark))
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 20-word windows that start earlier."""
+    kept = seed_extend.remove(base.table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.main_text(base.table(spark, sf_dir, "pages"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of strings of 400 bytes that occur elsewhere too."""
+    kept = suffix_repeats.remove(base.table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in sequences of 1024 tokens."""
     return packing.pack(base.table(spark, sf_dir, "documents"))
@@ -27,11 +54,26 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_warc": op4_warc,
+    "op6_decontamination": op6_decontamination,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_html_extraction": op8_html_extraction,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE = {
+    "op4_warc": """
+        WITH facts AS (
+            SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        firsts AS (
+            SELECT payload_digest AS digest, min(page_id) AS original FROM facts WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN original IS NULL OR original = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN original <> page_id THEN original END AS refers_to
+        FROM facts LEFT JOIN firsts ON payload_digest = digest
+    """,
     "op2_line_dedup": r"""
         WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         cut AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM docs),
