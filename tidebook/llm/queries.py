@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import base, decontaminate, html_text, line_dedup, packing, seed_extend, suffix_repeats, warc
+from tidebook.llm import base, decontaminate, html_text, line_dedup, ngram_join, packing, seed_extend, suffix_repeats, warc
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a Jaccard similarity of 0.85 and more."""
+    return ngram_join.groups(base.table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that occur in windows of 13 words of benchmark items."""
     docs, benchmark = (base.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
@@ -55,6 +60,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_warc": op4_warc,
+    "op5_ngram_join": op5_ngram_join,
     "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_html_extraction": op8_html_extraction,
