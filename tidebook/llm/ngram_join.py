@@ -319,3 +319,22 @@ def named(sizes: DataFrame, labels: DataFrame) -> DataFrame:
     component = F.coalesce("component", node)
     joined = sizes.join(labels, (node == F.col("node")) & (F.col("n_shingles") > 0), "left")
     return joined.select("doc_id", "n_shingles", F.when(component != NOBODY, component).alias("component_id"))
+
+
+def representatives(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The documents, with one row for each group of near copies: that of the least id.
+
+    Of several rows with that id the one with the least hash of its text stays. Rows without an id stay,
+    since their group cannot be told.
+    """
+    found = groups(docs, size, percent)
+    copies = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
+    left = docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
+    shared = docs.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__of")).agg(F.min(F.xxhash64("text")).alias("__least"), F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    shared = base.materialize(shared, "shared-ids")
+    if shared.isEmpty():
+        return left
+    joined = left.join(shared, F.col("doc_id") == F.col("__of"), "left")
+    first = Window.partitionBy("doc_id").orderBy(F.col("__n").isNull())
+    again = joined.filter("__n is not null").filter(F.xxhash64("text") == F.col("__least")).withColumn("__row", F.row_number().over(first)).filter("__row = 1")
+    return joined.filter("__n is null").select(*docs.columns).unionByName(again.select(*docs.columns))

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import base, decontaminate, html_text, line_dedup, ngram_join, packing, seed_extend, suffix_repeats, warc
+from tidebook.llm import base, decontaminate, html_text, line_dedup, ngram_join, packing, quality, seed_extend, spotsigs, suffix_repeats, warc
+
+
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spot-signature fingerprints of every text and of the text edited with the next one."""
+    return spotsigs.against_next(base.table(spark, sf_dir, "documents"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +20,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-label posterior, quality score and toxicity of every document, and whether it stays."""
+    docs, labels = (base.table(spark, sf_dir, name) for name in ("documents", "labels"))
+    judged = quality.scores(docs.select("doc_id", "text"), quality.fit(docs, labels))
+    return judged.select("doc_id", "votes", "posterior", "score", "toxicity", "keep")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, found through the capture index and read back."""
     pages = base.table(spark, sf_dir, "pages")
@@ -58,7 +70,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_spotsigs": op1_spotsigs,
     "op2_line_dedup": op2_line_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_warc": op4_warc,
     "op5_ngram_join": op5_ngram_join,
     "op6_decontamination": op6_decontamination,
