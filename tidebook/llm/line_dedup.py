@@ -143,13 +143,22 @@ class LineIndex:
         return LineIndex(self.refs, base.materialize(filters(self.refs, self.shards), "line-filters"), self.shards, self.min_chars)
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        """The index with more documents. Their new keys are added to the filters of their shards."""
+        """The index with more documents.
+
+        Keys that the filter does not know are new; those it seems to know are looked up in the table.
+        New keys join the filter of their shard, which is built anew when it is full.
+        """
         held = self.sieved()
         added = base.materialize(references(docs, self.min_chars), "line-refs")
         shards = held.shards
-        fresh = probe(added, held.sieve, shards, known=False).select("key").distinct()
-        grown = self.edit(held.sieve, fresh, shards, insert=True)
-        return LineIndex(base.materialize(held.refs.unionByName(added), "line-refs"), grown, shards, self.min_chars)
+        unknown = probe(added, held.sieve, shards, known=False).select("key")
+        mistaken = probe(added, held.sieve, shards).select("key").distinct().join(held.refs.select("key"), "key", "left_anti")
+        grown = self.edit(held.sieve, unknown.union(mistaken).distinct(), shards, insert=True)
+        refs = held.refs.unionByName(added)
+        full = grown.filter("filter is null").select("shard")
+        anew = refs.select("key").withColumn("shard", shard_of("key", shards)).join(full, "shard", "left_semi")
+        sieve = grown.filter("filter is not null").unionByName(filters(anew, shards))
+        return LineIndex(refs, base.materialize(sieve, "line-filters"), shards, self.min_chars)
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """The index without the documents of these ids; keys that nobody holds any more leave the filter."""
