@@ -75,6 +75,45 @@ def test_end_of_day(spark, here):
     assert days_of(tiers.read_archive(spark, here, "trades")) == {"2024-11-16": 20}
 
 
+def late(spark, start, n, batch_time=0):
+    return trade_rows(spark, 1, n).withColumn("trade_id", F.concat(F.lit(f"late{start}-"), "trade_id"))
+
+
+def test_late_rows_join_a_finished_day(spark, here):
+    tiers.write_hot(trade_rows(spark, 1, 100), here, "trades", "2024-11-15T10:00")
+    tiers.write_hot(trade_rows(spark, 1, 7).drop("trade_id").withColumn("trade_id", F.lit("odd")), here, "trades", "a/b = 'c' +\\ é")
+    assert tiers.end_of_day(spark, here, "2024-11-15")["trades"] == 107
+    assert spark.table(here.hot("trades")).count() == 0
+    tiers.write_hot(late(spark, 1, 5), here, "trades", "late 1")
+    assert tiers.end_of_day(spark, here, "2024-11-15")["trades"] == 112
+    assert days_of(tiers.read_archive(spark, here, "trades")) == {"2024-11-15": 112}
+    ids = {r.trade_id for r in spark.table(here.warm("trades")).select("trade_id").collect()}
+    assert ids == {r.trade_id for r in tiers.read_archive(spark, here, "trades").select("trade_id").collect()} and len(ids) == 106
+    tiers.write_hot(late(spark, 1, 3), here, "trades", "late 1")  # the batch comes again, with fewer rows
+    assert tiers.end_of_day(spark, here, "2024-11-15")["trades"] == 110
+    assert [r.status for r in tiers.migration_log(spark, here).filter("table = 'trades'").collect()] == ["done"] * 3
+
+
+def test_the_archive_survives_retention(spark, here):
+    tiers.write_hot(trade_rows(spark), here, "trades", 1)
+    for day in ("2024-11-15", "2024-11-16"):
+        tiers.end_of_day(spark, here, day)
+    tiers.apply_retention(spark, here, "2024-11-30", 7)
+    assert spark.table(here.warm("trades")).count() == 0
+    assert tiers.end_of_day(spark, here, "2024-11-15")["trades"] == 0
+    tiers.export_days(spark, here, "trades", "2024-11-15", "2024-11-16")
+    assert days_of(tiers.read_archive(spark, here, "trades")) == {"2024-11-15": 10, "2024-11-16": 10}
+    tiers.write_hot(late(spark, 1, 4), here, "trades", 2)
+    tiers.end_of_day(spark, here, "2024-11-15")
+    assert days_of(tiers.read_archive(spark, here, "trades")) == {"2024-11-15": 14, "2024-11-16": 10}
+
+
+def test_a_batch_written_again_leaves_no_old_days(spark, here):
+    tiers.write_hot(trade_rows(spark, 3), here, "trades", "x:1")
+    tiers.write_hot(trade_rows(spark, 1), here, "trades", "x:1")
+    assert days_of(spark.table(here.hot("trades"))) == {"2024-11-15": 10}
+
+
 def test_day_filters_prune_partitions(spark, here):
     tiers.write_hot(trade_rows(spark), here, "trades", 1)
     tiers.migrate_days(spark, here, "trades", "2024-11-15", "2024-11-17")

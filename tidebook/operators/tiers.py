@@ -2,14 +2,18 @@
 
 Hot tables are written batch by batch and partitioned by `date, batch`; a repeated batch replaces
 itself. Warm tables are partitioned by `date` and sorted by ticker and time. The archive is a plain
-Parquet directory per table and day. All steps replace whole partitions, so each can be run again.
+Parquet directory per table and day. Warm and archived rows keep the name of their batch: a batch that
+is moved again replaces its own rows, and all other rows of the day stay. So each step can be repeated,
+late batches join a day that has been moved before, and no step ever writes less than it found.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +23,8 @@ from tidebook.operators.trades import day_slice
 from tidebook.schemas import TABLE_SCHEMAS, WARM_TABLES
 
 RETENTION_DAYS = 90
+# Partitions named in one statement.
+SPECS = 500
 
 LOG_SCHEMA = T.StructType(
     [
@@ -57,13 +63,17 @@ def _create(spark: SparkSession, name: str, schema: T.StructType, keys: list[str
     spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet{by}", args={"name": name})
 
 
+def batched(table: str) -> T.StructType:
+    """The columns of a table with the batch each row came with."""
+    return T.StructType([*TABLE_SCHEMAS[table].fields, T.StructField("batch", T.StringType())])
+
+
 def create_tiers(spark: SparkSession, tiers: Tiers, location: str | None = None) -> None:
     """Create the database, the four hot tables, the warm tables and the migration log if absent."""
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name){where}", args={"name": tiers.database})
-    for table, schema in TABLE_SCHEMAS.items():
-        batched = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
-        _create(spark, tiers.hot(table), batched, ["date", "batch"])
+    for table in TABLE_SCHEMAS:
+        _create(spark, tiers.hot(table), batched(table), ["date", "batch"])
     create_warm_tables(spark, tiers)
     _create(spark, tiers.log, LOG_SCHEMA, [])
 
@@ -71,7 +81,7 @@ def create_tiers(spark: SparkSession, tiers: Tiers, location: str | None = None)
 def create_warm_tables(spark: SparkSession, tiers: Tiers) -> None:
     """Empty daily-partitioned warm tables; filling them is left to the migration."""
     for table in WARM_TABLES:
-        _create(spark, tiers.warm(table), TABLE_SCHEMAS[table], ["date"])
+        _create(spark, tiers.warm(table), batched(table), ["date"])
 
 
 def _overwrite_partitions(rows: DataFrame, name: str) -> None:
@@ -85,11 +95,14 @@ def _overwrite_partitions(rows: DataFrame, name: str) -> None:
 
 
 def write_hot(rows: DataFrame, tiers: Tiers, table: str, batch: str | int) -> None:
-    """Add the rows of one batch to a hot table. The same batch written again replaces itself.
+    """Add the rows of one batch to a hot table. The same batch written again replaces itself, on days
+    that it no longer has as well.
 
     Rows are brought together by day first, or else every task would write a file for every day of a
     long backfill. Adaptive execution splits big days and joins small ones into even files.
     """
+    spark, name = rows.sparkSession, tiers.hot(table)
+    drop_partitions(spark, name, partitions(spark, name, batch=str(batch)))
     named = rows.withColumn("batch", F.lit(str(batch))).hint("rebalance", "date")
     _overwrite_partitions(named.sortWithinPartitions("date", "ticker", "ts_ms"), tiers.hot(table))
 
@@ -102,17 +115,25 @@ def _laid_out(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange("date", "ticker", "ts_ms").sortWithinPartitions("date", "ticker", "ts_ms")
 
 
+def _joined(fresh: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows to write over the days of `fresh`: these, and what is held there of other batches."""
+    days = fresh.select(F.col("date").alias("of_date")).distinct()
+    batches = fresh.select(F.col("date").alias("of_date"), F.col("batch").alias("of_batch")).distinct()
+    same_day = F.col("date") == F.col("of_date")
+    others = held.join(days, same_day, "left_semi").join(batches, same_day & F.col("batch").eqNullSafe(F.col("of_batch")), "left_anti")
+    return fresh.select(*held.columns).unionByName(others)
+
+
 def migrate_days(spark: SparkSession, tiers: Tiers, table: str, start: str | dt.date, end: str | dt.date) -> None:
-    """Copy the days `start..end` from hot to warm in one job, replacing those days."""
-    first, last = parse_day(start), parse_day(end)
-    rows = spark.table(tiers.hot(table)).filter(F.col("date").between(F.lit(first), F.lit(last)))
-    _overwrite_partitions(_laid_out(rows.drop("batch")), tiers.warm(table))
+    """Copy the days `start..end` from hot to warm in one job. Days without hot rows are left alone."""
+    days = F.col("date").between(F.lit(parse_day(start)), F.lit(parse_day(end)))
+    hot, warm = (spark.table(name).filter(days) for name in (tiers.hot(table), tiers.warm(table)))
+    _overwrite_partitions(_laid_out(_joined(hot, warm)), tiers.warm(table))
 
 
 def migrate_day(spark: SparkSession, tiers: Tiers, table: str, day: str | dt.date) -> None:
     """Copy one UTC day from hot to warm. Run twice, it leaves the same rows."""
-    rows = day_slice(spark.table(tiers.hot(table)), day)
-    _overwrite_partitions(_laid_out(rows.drop("batch")), tiers.warm(table))
+    migrate_days(spark, tiers, table, day, day)
 
 
 def archive_path(tiers: Tiers, table: str, day: str | dt.date) -> str:
@@ -121,19 +142,21 @@ def archive_path(tiers: Tiers, table: str, day: str | dt.date) -> str:
 
 def export_day(spark: SparkSession, tiers: Tiers, table: str, day: str | dt.date) -> str:
     """Write one day of a warm table to the archive as Snappy Parquet and return its folder."""
-    target = archive_path(tiers, table, day)
-    rows = _laid_out(day_slice(spark.table(tiers.warm(table)), day)).drop("date")
-    rows.write.mode("overwrite").option("compression", "snappy").parquet(target)
-    return target
+    export_days(spark, tiers, table, day, day)
+    return archive_path(tiers, table, day)
 
 
 def export_days(spark: SparkSession, tiers: Tiers, table: str, start: str | dt.date, end: str | dt.date) -> str:
-    """Write the days `start..end` of a warm table to the archive in one job."""
+    """Write the days `start..end` of a warm table to the archive in one job.
+
+    Archived rows of batches that the warm day no longer has, say after retention, stay; a day without
+    warm rows is left alone.
+    """
     target = f"{tiers.archive}/{table}"
-    first, last = parse_day(start), parse_day(end)
-    rows = spark.table(tiers.warm(table)).filter(F.col("date").between(F.lit(first), F.lit(last)))
+    days = F.col("date").between(F.lit(parse_day(start)), F.lit(parse_day(end)))
+    held = _archived(spark, tiers, table).filter(days)
     (
-        _laid_out(rows)
+        _laid_out(_joined(spark.table(tiers.warm(table)).filter(days), held))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -143,6 +166,16 @@ def export_days(spark: SparkSession, tiers: Tiers, table: str, start: str | dt.d
     return target
 
 
+def _archived(spark: SparkSession, tiers: Tiers, table: str) -> DataFrame:
+    """The archived days of a table with their batches; empty before the first export."""
+    try:
+        return spark.read.schema(batched(table)).parquet(f"{tiers.archive}/{table}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], batched(table))
+
+
 def read_archive(spark: SparkSession, tiers: Tiers, table: str) -> DataFrame:
     """The archived days of a table; `date` comes from the folder names."""
     return spark.read.schema(TABLE_SCHEMAS[table]).parquet(f"{tiers.archive}/{table}")
@@ -151,13 +184,28 @@ def read_archive(spark: SparkSession, tiers: Tiers, table: str) -> DataFrame:
 # --- retention -----------------------------------------------------------------------------------
 
 
-def partitions(spark: SparkSession, name: str) -> DataFrame:
-    """The partitions of a table as `table, partition, date`, read from the catalog alone."""
+def partitions(spark: SparkSession, name: str, **given: str) -> DataFrame:
+    """The partitions of a table as `table, partition, date`, read from the catalog alone.
+
+    Values given for some of its partition columns are looked up in the catalog, which then lists no more.
+    """
     day = F.to_date(F.regexp_extract("partition", r"date=(\d{4}-\d{2}-\d{2})", 1))
-    listed = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name})
+    spec = f" PARTITION ({_spec(given)})" if given else ""
+    listed = spark.sql(f"SHOW PARTITIONS IDENTIFIER(:name){spec}", args={"name": name})
     return listed.select(F.lit(name).alias("table"), "partition", day.alias("date"))
 
 
+def _spec(values: dict[str, str]) -> str:
+    """A partition specification with its values as SQL text."""
+    quoted = {key: value.replace("\\", "\\\\").replace("'", "\\'") for key, value in values.items()}
+    return ", ".join(f"`{key}` = '{value}'" for key, value in quoted.items())
+
+
+def _values(partition: str) -> dict[str, str]:
+    """The values of a partition as the catalog lists it, with special characters escaped."""
+    return {key: unquote(value) for key, value in (part.split("=", 1) for part in partition.split("/"))}
+
+
 def expired_partitions(
     spark: SparkSession, name: str, as_of: str | dt.date, retention_days: int = RETENTION_DAYS
 ) -> DataFrame:
@@ -166,16 +214,23 @@ def expired_partitions(
     return partitions(spark, name).filter(F.col("date") < F.lit(cutoff))
 
 
-def _drop_partitions(spark: SparkSession, name: str, listed: DataFrame) -> int:
-    """Drop listed partitions in one statement; the list is one short row per day and batch."""
-    specs = [
-        ", ".join("{}='{}'".format(*part.split("=", 1)) for part in row.partition.split("/"))
-        for row in listed.collect()
-    ]
-    if specs:
-        clause = ", ".join(f"PARTITION ({spec})" for spec in specs)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clause}")
-    return len(specs)
+def drop_partitions(spark: SparkSession, name: str, listed: DataFrame) -> int:
+    """Drop listed partitions; the list is streamed, and so many of them go in one statement."""
+    dropped, held = 0, []
+
+    def drop() -> None:
+        clause = ", ".join(f"PARTITION ({spec})" for spec in held)
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS {clause}", args={"name": name})
+
+    for row in listed.toLocalIterator():
+        held.append(_spec(_values(row.partition)))
+        dropped += 1
+        if len(held) == SPECS:
+            drop()
+            held = []
+    if held:
+        drop()
+    return dropped
 
 
 def apply_retention(
@@ -183,7 +238,7 @@ def apply_retention(
 ) -> dict[str, int]:
     """Drop expired partitions of the warm tables; returns how many of each."""
     return {
-        table: _drop_partitions(
+        table: drop_partitions(
             spark,
             tiers.warm(table),
             expired_partitions(spark, tiers.warm(table), as_of, retention_days),
@@ -194,7 +249,7 @@ def apply_retention(
 
 def drop_hot_day(spark: SparkSession, tiers: Tiers, table: str, day: str | dt.date) -> int:
     name = tiers.hot(table)
-    return _drop_partitions(spark, name, partitions(spark, name).filter(F.col("date") == F.lit(parse_day(day))))
+    return drop_partitions(spark, name, partitions(spark, name, date=f"{parse_day(day):%Y-%m-%d}"))
 
 
 # --- end of day ----------------------------------------------------------------------------------
@@ -213,24 +268,38 @@ def migration_log(spark: SparkSession, tiers: Tiers) -> DataFrame:
     return spark.table(tiers.log)
 
 
+def _batch_counts(rows: DataFrame, day: dt.date, into: str) -> DataFrame:
+    return day_slice(rows, day).groupBy("batch").agg(F.count(F.lit(1)).alias(into))
+
+
 def end_of_day(spark: SparkSession, tiers: Tiers, day: str | dt.date) -> dict[str, int]:
     """Migrate and archive one day of the warm-tier tables, then free it from the hot tier.
 
-    The hot day is dropped only when the warm day has as many rows; otherwise the mismatch is logged
-    and raised, and the hot rows stay.
+    What is freed is what was listed at the start, and only when warm tier and archive hold as many rows
+    of every batch; otherwise the mismatch is logged and raised, and the hot rows stay. Batches that come
+    while this runs wait for the next time. A day without hot rows is logged as `unchanged`.
     """
     date = parse_day(day)
     done = {}
     for table in WARM_TABLES:
-        before = day_rows(spark.table(tiers.hot(table)), date)
-        if before:
+        hot = tiers.hot(table)
+        listed = [row.partition for row in partitions(spark, hot, date=f"{date:%Y-%m-%d}").toLocalIterator()]
+        if listed:
             migrate_day(spark, tiers, table, date)
-        after = day_rows(spark.table(tiers.warm(table)), date)
-        if before and after != before:
-            log_migration(spark, tiers, table, date, after, "mismatch")
-            raise RuntimeError(f"{table} {date}: {before} hot rows but {after} warm rows")
-        export_day(spark, tiers, table, date)
-        drop_hot_day(spark, tiers, table, date)
-        log_migration(spark, tiers, table, date, after, "done")
-        done[table] = after
+            export_day(spark, tiers, table, date)
+            batches = spark.createDataFrame([(_values(p)["batch"], p) for p in listed], "of STRING, partition STRING")
+            moved = batches
+            for rows, into in ((spark.table(hot), "hot"), (spark.table(tiers.warm(table)), "warm"), (_archived(spark, tiers, table), "archive")):
+                moved = moved.join(_batch_counts(rows, date, into), F.col("of") == F.col("batch"), "left").drop("batch")
+            wrong = moved.filter("hot <> coalesce(warm, 0) or hot <> coalesce(archive, 0)").first()
+            if wrong:
+                log_migration(spark, tiers, table, date, wrong["warm"] or 0, "mismatch")
+                raise RuntimeError(f"{table} {date}: {wrong.hot} hot, {wrong.warm} warm and {wrong.archive} archived rows of batch {wrong.of}")
+            drop_partitions(spark, hot, batches)
+            left = {row.partition for row in partitions(spark, hot, date=f"{date:%Y-%m-%d}").toLocalIterator()}
+            if not left.isdisjoint(listed):
+                log_migration(spark, tiers, table, date, 0, "not dropped")
+                raise RuntimeError(f"{table} {date}: {len(left.intersection(listed))} partitions are still there")
+        done[table] = day_rows(spark.table(tiers.warm(table)), date)
+        log_migration(spark, tiers, table, date, done[table], "done" if listed else "unchanged")
     return done
