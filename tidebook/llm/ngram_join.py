@@ -8,14 +8,17 @@ rows to post against accidental agreement expected among the sets of the band. A
 segment subset, and for allowance 2 also the keys of the subset with one element deleted. Sets near the
 top of a band post in the next one as well.
 
-Empty segments are not posted, and very frequent keys are dropped afterwards, as long as the rest of the
-set's allowances still exceed H; each band holds a reserve for that. Two sets that both run out of it
-post (and keep) everything, so no link is lost.
-
-Sets that share a key are not paired with each other: each is compared with the least document of the
-key. Only where the keys of a group still join several components, and sets share as many keys as the
-pigeonhole demands of a link, the remaining pairs between components are compared. Every comparison is
-exact, on the sets themselves. Equal sets are merged and keys combined within slices before the shuffle.
+Empty segments are not posted, and keys of more than `FREQUENT` sets are put aside, as long as the rest of
+the set's allowances still exceeds H; each band holds a reserve for that. Only two sets that both run out
+of it can be linked without sharing another key, and those meet in a different way: every frequent key
+has a pivot, the set that holds most frequent keys. Two sets differ by exactly as much as their
+differences from a common pivot differ, and if they are linked, though not both to the pivot, these
+differences share some elements; prefixes of them, rarest kind first, suffice to find the pair.
+
+Sets that share a key are not paired with each other: each is compared with one set of the key. Only
+where keys still join several components are the remaining pairs between components compared, and of
+these only pairs that share as many keys as the pigeonhole demands of a link. Every comparison is exact,
+on the sets themselves. Equal sets are merged and keys combined within slices before the shuffle.
 
 Null and empty texts have no shingles and no links; texts with fewer words than a shingle are one
 shingle. Rows with the same id are one document, linked where any of its texts is; null ids are one
@@ -36,30 +39,32 @@ from pyspark.sql import functions as F
 from tidebook.llm import base
 from tidebook.llm.components import components
 from tidebook.llm.cuckoo import mixed
-from tidebook.llm.seed_extend import WordHashes
+from tidebook.llm.words import Powers, word_hashes
 
 SHINGLE = 4
 PERCENT = 85
 GROWTH = 1.4
 CHANCE = 0.01
-FREQUENT = 1000
+FREQUENT = 64
+SPARE = 0.1
 ROWS = 1 << 19
 NOBODY = (1 << 63) - 1
 POSTED = "key long, sig long, doc long, info int, n int, leader long"
-FACTORS = [pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(64)]
+FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64)) for i in range(64)]
 
 
-def shingles(raw: bytes, size: int, known: WordHashes) -> np.ndarray:
-    """The sorted distinct hashes of a text's shingles."""
-    words = raw.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    width = min(size, len(ids))
-    total = np.full(len(ids) - width + 1, width, np.uint64)
-    for i in range(width):
-        total += ids[i : len(ids) - width + 1 + i] * np.uint64(FACTORS[i])
-    return np.unique(mixed(total))
+def shingles(raws: list[bytes], size: int, powers: Powers) -> Iterator[np.ndarray]:
+    """The sorted distinct hashes of the shingles of each text."""
+    for ids in word_hashes(raws, powers, lower=True):
+        if not len(ids):
+            yield ids
+            continue
+        width = min(size, len(ids))
+        total = np.full(len(ids) - width + 1, width, np.uint64)
+        for i in range(width):
+            total += ids[i : len(ids) - width + 1 + i] * FACTORS[i]
+        elements = np.sort(mixed(total))
+        yield elements[np.concatenate([[True], elements[1:] != elements[:-1]])]
 
 
 def most_different(total: int, percent: int) -> int:
@@ -83,10 +88,10 @@ def allocate(low: int, high: int, percent: int, sets: int) -> Band:
     most = most_different(2 * (high - 1), percent)
     middle = (low + high - 1) / 2
     best = None
-    for segments in range(max(1, (most + 2) // 2), 2 * most + 12):
+    for segments in range(max(1, (most + 2) // 2), 2 * most + 16):
         filled = middle / segments
         empty = segments * math.exp(-filled)
-        reserve = math.ceil(empty + 5 * math.sqrt(empty)) if most else 0
+        reserve = math.ceil(empty + 5 * math.sqrt(empty)) + math.ceil(SPARE * most) if most else 0
         deep = max(0, most + 1 + reserve - segments)
         if deep <= segments:
             cost = segments + deep * filled + sets * segments * CHANCE**filled
@@ -156,9 +161,9 @@ def set_sizes(docs: DataFrame, size: int) -> DataFrame:
     """Number of distinct shingles of every row: doc_id, n_shingles."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        powers = Powers()
         for batch in batches:
-            counts = [len(shingles(raw, size, known)) for raw in base.raw_texts(batch)]
+            counts = [len(elements) for elements in shingles(list(base.raw_texts(batch)), size, powers)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64())], names=["doc_id", "n_shingles"])
 
     return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n_shingles long")
@@ -201,14 +206,13 @@ def post_keys(docs: DataFrame, size: int, bands: list[Band], percent: int) -> Da
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, poster = WordHashes(), Poster(bands, percent)
+        powers, poster = Powers(), Poster(bands, percent)
         for batch in batches:
             ids = [NOBODY if v is None else v for v in batch.column("doc_id").to_pylist()]
             sets: dict[bytes, tuple[int, np.ndarray]] = {}
             twins: list[tuple[int, int]] = []
             held = 0
-            for doc, raw in zip(ids, base.raw_texts(batch), strict=True):
-                elements = shingles(raw, size, known)
+            for doc, elements in zip(ids, shingles(list(base.raw_texts(batch)), size, powers), strict=True):
                 if not len(elements):
                     continue
                 mark = elements.tobytes() if len(elements) < 16 else mixed(elements).sum(dtype=np.uint64).tobytes() + elements[:8].tobytes()
@@ -248,70 +252,133 @@ def meetings(posted: DataFrame) -> DataFrame:
     return base.materialize(met.select(sig.alias("sig"), "doc", "info", "n", leader.alias("leader"), "total"), "meetings")
 
 
-def without_frequent(met: DataFrame, frequent: int) -> DataFrame:
-    """Meetings less those on very frequent keys that their set can do without; `demand` is the number of shared keys a link needs."""
+def parted(met: DataFrame, frequent: int) -> tuple[DataFrame, DataFrame]:
+    """Meetings on other than frequent keys, and those on frequent keys of sets that cannot do without.
+
+    `demand` is the number of keys of the first kind that a link of the set needs.
+    """
     slack, instance, weight = F.expr("info div 512 - 1"), F.expr("(info div 4) % 128"), F.expr("info % 4")
     rows = met.filter("n >= 0").select("sig", "doc", "leader", slack.alias("slack"), instance.alias("instance"), weight.alias("weight"))
-    hot = base.materialize(met.filter(F.col("total") > frequent).select(F.col("sig").alias("hot")).distinct(), "frequent")
-    if hot.isEmpty():
-        return rows.withColumn("demand", F.greatest(F.col("slack") + 1, F.lit(1)))
+    hot = met.filter(F.col("total") > frequent).select(F.col("sig").alias("hot")).distinct()
     marked = rows.join(hot, F.col("sig") == F.col("hot"), "left")
     lost = marked.filter("hot is not null").groupBy(F.col("doc").alias("d"), F.col("instance").alias("i")).agg(F.sum("weight").alias("lost"))
     judged = marked.join(lost, (F.col("doc") == F.col("d")) & (F.col("instance") == F.col("i")), "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
-    kept = judged.filter("hot is null or lost > slack")
-    spare = F.when(F.col("lost") > F.col("slack"), F.col("slack")).otherwise(F.col("slack") - F.col("lost"))
-    return base.materialize(kept.select("sig", "doc", "leader", "instance", F.greatest(spare + 1, F.lit(1)).alias("demand")), "meetings")
+    demand = F.greatest(F.col("slack") - F.col("lost") + 1, F.lit(1))
+    judged = base.materialize(judged.select("sig", "doc", "leader", "instance", "hot", demand.alias("demand"), (F.col("lost") > F.col("slack")).alias("short")), "parted")
+    return judged.filter("hot is null").drop("hot", "short"), judged.filter("hot is not null and short").select("sig", "doc")
+
+
+def pivots_of(hot: DataFrame) -> DataFrame:
+    """Each set of a frequent key with the key's pivot: a, b."""
+    held = hot.groupBy(F.col("doc").alias("holder")).agg(F.count(F.lit(1)).alias("held"))
+    ranked = hot.join(held, F.col("doc") == F.col("holder")).select("sig", "doc", "held")
+    best = ranked.groupBy(F.col("sig").alias("of")).agg(F.max(F.struct("held", (-F.col("doc")).alias("low"))).alias("best"))
+    met = hot.join(best, F.col("sig") == F.col("of")).select(F.col("doc").alias("a"), (-F.col("best.low")).alias("b"))
+    return base.materialize(met.filter("a <> b").distinct(), "pivots")
+
+
+def texts_of_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    first = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("one")), "a")
+    return first.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("two")), "b").select("a", "b", "one", "two")
+
+
+def from_pivots(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Differences of sets from their pivots: a, b, linked, and in `key` the elements by which the set can be found.
+
+    With d the size of the difference, a set linked to the pivot has partners that are not, one that is
+    not has partners at a distance of at least d - M, where M is the most that partners differ. Either way
+    the two differences share at least `least` elements, so the first d - least + 1 of one order of all
+    elements, those outside the pivot first, share one.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            for part in range(0, len(batch), 256):
+                yield differences(batch.slice(part, 256), powers)
+
+    def differences(batch: pa.RecordBatch, powers: Powers) -> pa.RecordBatch:
+        twos = list(base.raw_texts(batch, "two"))
+        distinct = list(dict.fromkeys(twos))
+        known = dict(zip(distinct, shingles(distinct, size, powers), strict=True))
+        rows, keys, near = [], [], []
+        pivots = batch.column("b").to_numpy()
+        for i, (own, two) in enumerate(zip(shingles(list(base.raw_texts(batch, "one")), size, powers), twos, strict=True)):
+            pivot = known[two]
+            new, gone = np.setdiff1d(own, pivot, assume_unique=True), np.setdiff1d(pivot, own, assume_unique=True)
+            apart = len(new) + len(gone)
+            link = len(own) > 0 and apart <= most_different(len(own) + len(pivot), percent)
+            most = most_different(len(own) + 100 * len(own) // percent, percent)
+            if link:
+                least = (apart - -(-(100 - percent) * max(0, len(own) - len(pivot)) // (100 + percent)) + 1) // 2
+            else:
+                least = (apart + max(1, apart - most) - most + 1) // 2
+            prefix = np.concatenate([np.sort(new), np.sort(gone)])[: apart - max(1, least) + 1 if apart else 0]
+            keys.append(np.concatenate([np.zeros(1, np.uint64), mixed(prefix ^ mixed(pivots[i : i + 1]))]))
+            rows.append(np.full(len(prefix) + 1, i))
+            near.append(np.full(len(prefix) + 1, link))
+        at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), pa.int64())
+        key = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+        columns = [batch.column("a").take(at), batch.column("b").take(at), pa.array(np.concatenate(near) if near else np.empty(0, bool), pa.bool_()), pa.array(key)]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked", "key"])
+
+    return base.materialize(texts_of_pairs(pairs, texts).mapInArrow(compare, "a long, b long, linked boolean, key long"), "differences")
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by comparing the sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        last, elements = None, None
+        powers = Powers()
         for batch in batches:
+            ones, twos = list(base.raw_texts(batch, "one")), list(base.raw_texts(batch, "two"))
+            distinct = list(dict.fromkeys(twos))
+            known = dict(zip(distinct, shingles(distinct, size, powers), strict=True))
             keep = []
-            for one, two in zip(base.raw_texts(batch, "one"), base.raw_texts(batch, "two"), strict=True):
-                if two != last:
-                    last, elements = two, shingles(two, size, known)
-                other = shingles(one, size, known)
+            for other, two in zip(shingles(ones, size, powers), twos, strict=True):
+                elements = known[two]
                 both = len(np.intersect1d(other, elements, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(other) + len(elements) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    first = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("one")), "a")
-    both = first.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("two")), "b").select("a", "b", "one", "two")
-    return base.materialize(both.mapInArrow(compare, "a long, b long").distinct(), "links")
+    return base.materialize(texts_of_pairs(pairs, texts).mapInArrow(compare, "a long, b long").distinct(), "links")
+
+
+def across_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of sets of different components that share a key: a, b, instance, and how many keys they share."""
+    labelled = rows.join(labels, F.col("doc") == F.col("node"), "left").select("sig", "doc", "instance", "demand", F.coalesce("component", "doc").alias("component"))
+    several = labelled.groupBy(F.col("sig").alias("of")).agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
+    several = base.materialize(labelled.join(several.select("of"), F.col("sig") == F.col("of"), "left_semi"), "several")
+    one = several.select("sig", F.col("doc").alias("a"), F.col("component").alias("ca"), F.col("demand").alias("da"), "instance")
+    two = several.select("sig", F.col("doc").alias("b"), F.col("component").alias("cb"), F.col("demand").alias("db"), F.col("instance").alias("other"))
+    met = one.join(two, "sig").filter("ca < cb and instance = other")
+    shared = met.groupBy("a", "b", "instance").agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("da", "db")).alias("demand"))
+    return shared.filter("shared >= demand").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
-    """Every row with its number of shingles, its component and whether it has links: doc_id, n_shingles, component_id."""
+    """Every row with its number of shingles and its component: doc_id, n_shingles, component_id."""
     docs = docs.select("doc_id", "text")
     sizes = base.materialize(set_sizes(docs, size), "sizes")
     met = meetings(post_keys(docs, size, bands_of(sizes, percent), percent))
     twins = met.filter("n < 0").select(F.col("doc").alias("a"), F.col("leader").alias("b"))
-    rows = without_frequent(met, frequent)
+    rows, hot = parted(met, frequent)
 
-    stars = base.materialize(rows.filter("doc <> leader").select(F.col("doc").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
-    members = rows.select("doc").union(stars.select("b")).distinct()
+    members = rows.select("doc").union(rows.select("leader")).union(hot.select("doc")).distinct()
     own = docs.select(F.coalesce("doc_id", F.lit(NOBODY)).alias("doc"), "text")
     texts = base.materialize(own.join(members, "doc", "left_semi"), "texts")
-    links = linked(stars, texts, size, percent).union(twins)
+
+    stars = rows.filter("doc <> leader").groupBy(F.col("doc").alias("a"), F.col("leader").alias("b"), "instance").agg(F.count(F.lit(1)).alias("shared"), F.max("demand").alias("demand"))
+    stars = base.materialize(stars.filter("shared >= demand").select("a", "b").distinct(), "stars")
+    apart = from_pivots(pivots_of(hot), texts, size, percent)
+    links = linked(stars, texts, size, percent).union(twins).union(apart.filter("linked and key = 0").select("a", "b"))
     labels = components(links)
 
-    labelled = rows.join(labels, F.col("doc") == F.col("node"), "left").select("sig", "doc", "instance", "demand", F.coalesce("component", "doc").alias("component"))
-    mixed_keys = labelled.groupBy(F.col("sig").alias("of")).agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
-    open_rows = base.materialize(labelled.join(mixed_keys.select("of"), F.col("sig") == F.col("of"), "left_semi"), "open")
-    one = open_rows.select("sig", F.col("doc").alias("a"), F.col("component").alias("ca"), F.col("demand").alias("da"), "instance")
-    two = open_rows.select("sig", F.col("doc").alias("b"), F.col("component").alias("cb"), F.col("demand").alias("db"))
-    across = one.join(two, "sig").filter("ca < cb").groupBy("a", "b", "instance").agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("da", "db")).alias("demand"))
-    pairs = across.filter("shared >= demand").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    found = apart.filter("key <> 0").select(F.col("key").alias("sig"), F.col("a").alias("doc"), F.lit(0).alias("instance"), F.lit(1).alias("demand"))
+    pairs = across_components(rows, labels).union(across_components(found, labels)).distinct()
     pairs = base.materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    if not pairs.isEmpty():
-        more = linked(pairs, texts, size, percent)
-        if not more.isEmpty():
-            labels = components(links.union(more))
-    return named(sizes, labels)
+    more = linked(pairs, texts, size, percent)
+    return named(sizes, labels if more.isEmpty() else components(links.union(more)))
 
 
 def named(sizes: DataFrame, labels: DataFrame) -> DataFrame:

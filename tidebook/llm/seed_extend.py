@@ -18,36 +18,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm import base, seeds
+from tidebook.llm import base, seeds, words
 
 LENGTH = 20
 GRAM = 6
 SLICE = 1 << 19
-CACHE = 1 << 20
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
 
 
 def word_symbols():
-    known = WordHashes()
-
-    def symbols(raw: bytes) -> np.ndarray:
-        words = raw.split()
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-    return symbols
+    powers = words.Powers()
+    return lambda raw: words.word_hashes([raw], powers)[0]
 
 
 def repeated_windows(docs: DataFrame, opened: DataFrame, shape: seeds.Shape) -> DataFrame:
@@ -113,16 +96,16 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     def cut(batch: pa.RecordBatch):
         texts, sizes, gone, spans, marks = [], [], [], [], []
         for raw, items in zip(base.raw_texts(batch), batch.column("items"), strict=True):
-            words = raw.split()
-            found = spans_of(items.as_py(), len(words), shape)
+            own = raw.split()
+            found = spans_of(items.as_py(), len(own), shape)
             kept, at = [], 0
             for begin, end in found:
-                kept += words[at:begin]
+                kept += own[at:begin]
                 at = end
-            kept += words[at:]
+            kept += own[at:]
             texts.append(b" ".join(kept))
-            sizes.append(len(words))
-            gone.append(len(words) - len(kept))
+            sizes.append(len(own))
+            gone.append(len(own) - len(kept))
             spans.append([{"begin": a, "stop": b} for a, b in found])
             marks.append(hashlib.sha256(texts[-1]).hexdigest())
         yield pa.RecordBatch.from_arrays(

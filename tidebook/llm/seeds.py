@@ -26,10 +26,9 @@ from pyspark.sql import functions as F
 
 from tidebook.llm import base
 from tidebook.llm.cuckoo import mixed
+from tidebook.llm.words import Hashes, Powers
 
 MARK = 1 << 16
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
 SEEDS = "gram long, context long, doc_id long, place long, n int"
 
 
@@ -46,39 +45,6 @@ class Shape:
         return self.length - self.gram
 
 
-class Powers:
-    """Powers of the hash base and of its inverse, as far as they were needed."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    @staticmethod
-    def of(base_value: int, size: int) -> np.ndarray:
-        factors = np.full(size, base_value, np.uint64)
-        factors[0] = 1
-        return np.cumprod(factors, dtype=np.uint64)
-
-    def upto(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < size:
-            self.up, self.down = self.of(BASE, 2 * size), self.of(INVERSE, 2 * size)
-        return self.up[:size], self.down[:size]
-
-
-class Hashes:
-    """Hashes of any stretch of a sequence of symbols, by prefix sums."""
-
-    def __init__(self, symbols: np.ndarray, powers: Powers) -> None:
-        up, self.down = powers.upto(len(symbols) + 1)
-        self.prefix = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * up[:-1], out=self.prefix[1:], dtype=np.uint64)
-
-    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.prefix[end] - self.prefix[begin]) * self.down[begin] + (end - begin).astype(np.uint64))
-
-    def grams(self, size: int) -> np.ndarray:
-        return mixed((self.prefix[size:] - self.prefix[:-size]) * self.down[: len(self.prefix) - size])
-
-
 def sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every window of so many keys, from running minima of blocks."""
     blocks = -(-len(keys) // width)
