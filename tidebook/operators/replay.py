@@ -7,6 +7,7 @@ opens with; this helper fills in the best price of each side.
 from __future__ import annotations
 
 import sys
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,31 +25,29 @@ NO_LEVELS = pa.schema([("book_side", pa.string()), ("level", pa.float64()), ("si
 def _best(position, price, delta, total, highest):
     """Best price and its size before the first delta (slot 0) and after each of `total` deltas.
 
-    Levels are visited from best to worst. Each one claims the slots where it is live and no better
-    level is, so the walk ends as soon as every slot has its price.
+    The live prices are kept in a heap; a price leaves it when it comes to the top with nothing left.
     """
-    best_price = np.full(total + 1, np.nan)
-    best_size = np.zeros(total + 1, dtype=np.int64)
-    if len(price) == 0:
-        return best_price, best_size
-    order = np.lexsort((position, price))
-    position, price, delta = position[order], price[order], delta[order]
-    starts = np.flatnonzero(np.r_[True, price[1:] != price[:-1]])
-    ends = np.r_[starts[1:], len(price)]
-    levels = zip(starts, ends)
-    empty = np.arange(total + 1)
-    for start, end in reversed(list(levels)) if highest else levels:
-        run = np.cumsum(delta[start:end])
-        size = run + np.maximum(0, -np.minimum.accumulate(run))
-        last = np.searchsorted(position[start:end], empty, side="right") - 1
-        now = np.where(last >= 0, size[last], 0)
-        live = now > 0
-        best_price[empty[live]] = price[start]
-        best_size[empty[live]] = now[live]
-        empty = empty[~live]
-        if len(empty) == 0:
-            break
-    return best_price, best_size
+    order = np.argsort(position, kind="stable")
+    sign = -1.0 if highest else 1.0
+    sizes: dict[float, int] = {}
+    heap: list[float] = []
+    waiting: set[float] = set()
+    best_price, best_size = [], []
+    for level, change in zip((sign * price[order]).tolist(), delta[order].tolist(), strict=True):
+        size = sizes.get(level, 0) + change
+        if size > 0:
+            sizes[level] = size
+            if level not in waiting:
+                waiting.add(level)
+                heappush(heap, level)
+        else:
+            sizes[level] = 0
+        while heap and not sizes[heap[0]]:
+            waiting.remove(heappop(heap))
+        best_price.append(sign * heap[0] if heap else np.nan)
+        best_size.append(sizes[heap[0]] if heap else 0)
+    last = np.searchsorted(position[order], np.arange(total + 1), side="right")
+    return np.array([np.nan, *best_price])[last], np.array([0, *best_size], dtype=np.int64)[last]
 
 
 def replay_segment(key: tuple[pa.Scalar, ...], events: pa.Table, opening: pa.Table) -> pa.Table:
