@@ -129,10 +129,43 @@ def test_untouched_opening_levels_stay_live(spark):
         assert rows_of(quotes.bbo_history(tail, size, opening), *QUOTE) == history[200:]
 
 
-def test_history_with_more_tickers_than_may_be_broadcast(case, monkeypatch):
+def test_history_without_broadcasts(spark, case):
     deltas, (_, _, history, _) = case
-    monkeypatch.setattr(segments, "BROADCAST_ROWS", 1)
-    assert rows_of(quotes.bbo_history(deltas, rows=200), *QUOTE) == history
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert rows_of(quotes.bbo_history(deltas, rows=200), *QUOTE) == history
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_replay_of_flickering_books_on_many_levels():
+    import time
+
+    import numpy as np
+
+    from tidebook.operators.replay import _best
+
+    rng = np.random.default_rng(1)
+    total = 1 << 18
+    price, delta = rng.integers(1, 10_001, total) / 10_000, rng.integers(-30, 31, total)
+    begin = time.perf_counter()
+    best, size = _best(np.arange(1, total + 1), price, delta, total, True)
+    assert time.perf_counter() - begin < 4
+    sizes: dict[float, int] = {}
+    for slot in range(2000):
+        sizes[price[slot]] = max(0, sizes.get(price[slot], 0) + int(delta[slot]))
+        live = max((p for p, s in sizes.items() if s), default=np.nan)
+        assert best[slot + 1] == live or np.isnan(best[slot + 1]) and np.isnan(live)
+        assert size[slot + 1] == sizes.get(live, 0)
+
+
+def test_a_snapshot_inside_a_second(spark):
+    rows = [("T", "yes", 5.0, 7, 10_300, 1), ("T", "yes", 5.0, 3, 10_600, 2)]
+    deltas = spark.createDataFrame(rows, "ticker STRING, side STRING, price DOUBLE, delta_size BIGINT, ts_ms BIGINT, arrival BIGINT")
+    ladder = "ticker STRING, timestamp BIGINT, orderbook STRUCT<yes: ARRAY<ARRAY<DOUBLE>>, no: ARRAY<ARRAY<DOUBLE>>>, arrival BIGINT"
+    for arrival, size in ((1, 10), (None, 17)):
+        taken = spark.createDataFrame([("T", 10, ([[5.0, 7.0]], []), arrival)], ladder)
+        assert [r["size"] for r in book.rebuild_book(taken, deltas).collect()] == [size]
 
 
 def test_no_task_gets_a_whole_ticker(spark, tmp_path):

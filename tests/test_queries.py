@@ -2,20 +2,15 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare
-
-# These write tables or run streams; their operators have tests of their own, and `check_oracle.py`
-# runs them next to their SQL.
-HEAVY = (
-    "table_counts migrate_day migrate_days export_days expired_partitions retention end_of_day load_trade_pages "
-    "stream_plant stream_record stream_bars stream_gap_flags stream_bbo_changes stream_gap_rate stream_dedup counters bbo_shape "
-    "bbo_changes_of_table rebuild_book"
-).split()
+from tidebook.plans.catalog import QUERIES
+from tidebook.plans.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -23,7 +18,7 @@ def test_entry(spark):
     assert df.columns[0] == "ticker" and df.count() == 5
 
 
-@pytest.mark.parametrize("name", [name for name in entry.queries() if name not in HEAVY])
+@pytest.mark.parametrize("name", [name for name in QUERIES])
 def test_query_matches_sql(spark, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    assert compare(df, SF_DIR, entry.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, SF_DIR)
+    assert compare(df, SF_DIR, ORACLE[name]) is None

@@ -113,3 +113,18 @@ def test_preview(spark, tmp_path):
     path = tmp_path / "dump.json"
     path.write_text("\n".join('{"n": %d}' % i for i in range(50)))
     assert feeds.preview(spark, str(path), 3).count() == 3
+    path.write_text("[" + ",".join('{"n": %d}' % i for i in range(5000)) + "]")
+    assert [r.value for r in feeds.preview(spark, str(path), 2, "},").collect()] == ['[{"n": 0', '{"n": 1']
+
+
+def test_kafka_rows_that_cannot_be_read_are_kept_apart(spark):
+    lines = ['{"channel": "trade", "message": {"ticker": "A"}}', "{bad", '{"channel": "x"}', '{"channel": "trade", "message": {"ticker": "B", "count": "many"}}', None]
+    records = spark.createDataFrame([(line, i) for i, line in enumerate(lines)], "value STRING, offset BIGINT")
+    assert [r.offset for r in feeds.kafka_quarantined(records).orderBy("offset").collect()] == [1, 2, 3, 4]
+    assert [(r.arrival, r.ticker) for r in feeds.kafka_feed(records).orderBy("arrival").collect()] == [(0, "A"), (3, "B")]
+
+
+def test_every_message_is_routed_or_put_aside(spark):
+    rows = [("trade", "A", None, None, None), ("orderbook_delta", "A", "yes", 1.0, None), ("odd", "A", None, None, None), (None, "A", None, None, None)]
+    feed = spark.createDataFrame(rows, "type STRING, ticker STRING, side STRING, price DOUBLE, delta_size BIGINT")
+    assert sorted(r.reason for r in routing.quarantined_messages(feed).collect()) == ["type missing", "type odd", "without delta_size"]

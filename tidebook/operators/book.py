@@ -127,14 +127,15 @@ def book(
     return closing_levels(deltas, rows, opening).filter(F.col("size") > 0).select(*LEVEL, "size")
 
 
-def depth(levels: DataFrame, top: int = 5) -> DataFrame:
-    """The best `top` levels of each side, numbered from 1: highest bids, lowest asks."""
+def depth(levels: DataFrame, top: int | None = 5) -> DataFrame:
+    """The best `top` levels of each side (all for None), numbered from 1: highest bids, lowest asks."""
     from_best = F.when(F.col("side") == "yes", -F.col("price")).otherwise(F.col("price"))
     best = Window.partitionBy("ticker", "side").orderBy(from_best)
-    return levels.withColumn("level", F.row_number().over(best)).filter(F.col("level") <= top)
+    numbered = levels.withColumn("level", F.row_number().over(best))
+    return numbered if top is None else numbered.filter(F.col("level") <= top)
 
 
-def depth_nested(levels: DataFrame, top: int = 5) -> DataFrame:
+def depth_nested(levels: DataFrame, top: int | None = 5) -> DataFrame:
     """`depth` as one row per ticker with two ordered arrays of (price, size)."""
 
     def ladder(side: str):
@@ -146,14 +147,16 @@ def depth_nested(levels: DataFrame, top: int = 5) -> DataFrame:
 
 
 def latest_snapshots(snapshots: DataFrame) -> DataFrame:
-    """The most recent snapshot of each ticker: `ticker, timestamp (s), orderbook`.
+    """The most recent snapshot of each ticker: `ticker, timestamp (s), orderbook, arrival`.
 
     The newest time of each ticker is found without reading the ladders; of snapshots with the same
     time one is kept.
     """
     newest = snapshots.groupBy("ticker").agg(F.max("timestamp").alias("timestamp"))
     found = snapshots.join(newest, ["ticker", "timestamp"])
-    return found.groupBy("ticker", "timestamp").agg(F.max("orderbook").alias("orderbook"))
+    seen = F.col("arrival") if "arrival" in snapshots.columns else F.lit(None).cast("bigint")
+    kept = F.max(F.struct(seen.alias("arrival"), "orderbook")).alias("kept")
+    return found.groupBy("ticker", "timestamp").agg(kept).select("ticker", "timestamp", "kept.orderbook", "kept.arrival")
 
 
 def snapshot_book(snapshots: DataFrame) -> DataFrame:
@@ -180,12 +183,13 @@ def snapshot_book(snapshots: DataFrame) -> DataFrame:
 def rebuild_book(snapshots: DataFrame, deltas: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Live levels from the latest snapshot of each ticker plus the deltas that came after it.
 
-    Tickers without a snapshot are rebuilt from all their deltas. Each ticker has one latest snapshot,
-    so only its time is joined to the deltas; the ladders join as opening sizes, level by level.
+    A snapshot that names its last message is followed by all later ones. One that has only its second is
+    taken to be from the start of it: deltas after that instant follow. Tickers without a snapshot are
+    rebuilt from all their deltas. Each ticker has one latest snapshot, so only its time is joined to the
+    deltas; the ladders join as opening sizes, level by level.
     """
     latest = latest_snapshots(snapshots)
-    taken = latest.select("ticker", (F.col("timestamp") * 1000).alias("taken_ms"))
-    later = join_spread(deltas, taken, ["ticker"], "left").filter(
-        F.col("taken_ms").isNull() | (F.col("ts_ms") > F.col("taken_ms"))
-    )
-    return book(later.drop("taken_ms"), rows=rows, opening=snapshot_book(latest))
+    taken = latest.select("ticker", (F.col("timestamp") * 1000).alias("taken_ms"), F.col("arrival").alias("taken_at"))
+    after = F.coalesce(F.col("arrival") > F.col("taken_at"), F.col("ts_ms") > F.col("taken_ms"))
+    later = join_spread(deltas, taken, ["ticker"], "left").filter(F.col("taken_ms").isNull() | after)
+    return book(later.drop("taken_ms", "taken_at"), rows=rows, opening=snapshot_book(latest))

@@ -81,11 +81,17 @@ def completeness(
     """Trades and volume of each ticker and day in the range against what was expected.
 
     `expected` has `ticker, date, expected_volume`. A day is complete if it has trades and, where a
-    volume is expected, at least that volume. `tickers` defaults to those that have any trade.
+    volume is expected, at least that volume. `tickers` defaults to those that have a trade in the range
+    or are expected there.
     """
     first, last = parse_day(start), parse_day(end)
-    days = day_spine(trades if tickers is None else tickers, first, last)
-    actual = daily_counts(trades.filter(F.col("date").between(F.lit(first), F.lit(last))))
+    in_range = F.col("date").between(F.lit(first), F.lit(last))
+    actual = daily_counts(trades.filter(in_range))
+    if tickers is None:
+        tickers = actual.select("ticker")
+        if expected is not None:
+            tickers = tickers.unionByName(expected.filter(in_range).select("ticker"))
+    days = day_spine(tickers, first, last)
     checked = days.join(actual, ["ticker", "date"], "left")
     if expected is None:
         checked = checked.withColumn("expected_volume", F.lit(None).cast("bigint"))
@@ -107,13 +113,23 @@ def missing_days(trades: DataFrame, start: str | dt.date, end: str | dt.date, ti
     return day_spine(tickers, first, last).join(have, ["ticker", "date"], "left_anti")
 
 
-def backfill_report(checked: DataFrame) -> DataFrame:
-    """Per ticker: trades, first and last day with trades, and the number of incomplete days."""
+def backfill_report(checked: DataFrame, inserted: DataFrame | None = None) -> DataFrame:
+    """Per ticker: trades, first and last day with trades, the incomplete and the missing days.
+
+    `gaps` lists the days without a trade, one entry per day of the range at most; `complete` says that
+    no day is incomplete. `inserted` are the trades a backfill wrote; their number is added.
+    """
     has_trades = F.when(F.col("trades") > 0, F.col("date"))
-    return checked.groupBy("ticker").agg(
+    report = checked.groupBy("ticker").agg(
         F.sum("trades").alias("trades"),
         F.min(has_trades).alias("first_day"),
         F.max(has_trades).alias("last_day"),
         F.sum((~F.col("complete")).cast("bigint")).alias("incomplete_days"),
         F.sum((F.col("trades") == 0).cast("bigint")).alias("missing_days"),
+        F.array_sort(F.collect_set(F.when(F.col("trades") == 0, F.col("date")))).alias("gaps"),
+        F.min("complete").alias("complete"),
     )
+    if inserted is None:
+        return report
+    written = inserted.groupBy("ticker").agg(F.count(F.lit(1)).alias("inserted"))
+    return report.join(written, "ticker", "left").withColumn("inserted", F.coalesce("inserted", F.lit(0).cast("bigint")))

@@ -62,6 +62,16 @@ def quarantined_deltas(deltas: DataFrame) -> DataFrame:
     return deltas.withColumn("missing", _missing(DELTA_KEYS)).filter(F.size("missing") > 0)
 
 
+def quarantined_messages(feed: DataFrame) -> DataFrame:
+    """Messages no branch takes: those of unknown type and incomplete deltas, with the reason."""
+    unknown = ~F.coalesce(F.col("type").isin(*MESSAGE_TYPES), F.lit(False))
+    lacking = F.when(F.col("type") == "orderbook_delta", _missing(DELTA_KEYS))
+    reason = F.when(unknown, F.concat(F.lit("type "), F.coalesce("type", F.lit("missing")))).when(
+        F.size(lacking) > 0, F.concat(F.lit("without "), F.concat_ws(",", lacking))
+    )
+    return feed.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 # --- subscriptions -------------------------------------------------------------------------------
 
 

@@ -5,7 +5,8 @@ of a feed, so no operator here orders a whole ticker in one task. Rows are cut b
 number, each segment is worked on by itself, and what a segment needs from the earlier ones is
 computed from one summary row per segment and key.
 
-`arrival` is unique, so a cut of `width` arrival numbers holds at most `width` rows whatever the skew.
+`arrival` is unique, so a cut of `width` arrival numbers holds at most `width` rows whatever the skew;
+`plan_cut` says what holds for numbers that are not dense.
 """
 
 from __future__ import annotations
@@ -18,10 +19,9 @@ from pyspark.sql import functions as F
 from tidebook.functions.scalars import floor_div
 
 SEGMENT_ROWS = 1 << 18
-# Up to this many rows a small table may be handed to every task.
-BROADCAST_ROWS = 100_000
-# Beyond that, the rows of one key are joined in this many parts.
-SALTS = 64
+# Slices of the arrival numbers in which their spacing is measured.
+SLICES = 200
+WIDEST = 1 << 61
 
 
 @dataclass(frozen=True)
@@ -41,14 +41,25 @@ def plan_cut(df: DataFrame, rows: int = SEGMENT_ROWS) -> Cut:
     """Segments of about `rows` rows. Reads one column and brings back one row.
 
     A dense counter gives a width of `rows`, which is then a strict bound. A sparse one is widened by
-    its mean spacing, or else nearly every row would have a segment of its own.
+    the spacing in its densest slice, so that a segment exceeds `rows` by two slices at most, wherever the
+    numbers lie. A feed without arrival numbers has no order and is refused.
     """
-    low, high, count = df.agg(F.min("arrival"), F.max("arrival"), F.count("arrival")).first()
-    if not count:
+    marks = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
+    found = df.agg(
+        F.min("arrival").alias("low"),
+        F.max("arrival").alias("high"),
+        F.count("arrival").alias("n"),
+        F.count(F.lit(1)).alias("all"),
+        F.percentile_approx("arrival", marks, 10 * SLICES).alias("cuts"),
+    ).first()
+    if found.n < found["all"]:
+        raise ValueError(f"{found['all'] - found.n} rows have no arrival number, on which their order depends")
+    if not found.n:
         return Cut(rows, whole=True)
-    span = high - low + 1
-    width = rows * max(1, span // count)
-    return Cut(width, low // width == high // width, low, high)
+    edges = [found.low, *found.cuts, found.high + 1]
+    spacing = min(max(1, b - a) * SLICES // found.n for a, b in zip(edges, edges[1:], strict=False))
+    width = min(WIDEST, rows * max(1, spacing))
+    return Cut(width, found.low // width == found.high // width, found.low, found.high)
 
 
 def with_segment(df: DataFrame, width: int) -> DataFrame:
@@ -60,39 +71,13 @@ def earlier_segments(*key: str) -> Window:
     return Window.partitionBy(*key).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def moment_key(df: DataFrame, moment: Column, bound: int) -> Column:
-    """A sort key for `(moment, arrival)`, where `moment` is a number from 0 up to `bound`.
-
-    One BIGINT if both fit into it, so that Spark can aggregate by hashing; otherwise a struct, for
-    which it has to sort.
-    """
-    cut = plan_cut(df)
-    span = cut.high - cut.low + 1
-    if span * bound < 2**63:
-        return moment * F.lit(span).cast("bigint") + (F.col("arrival") - F.lit(cut.low))
-    return F.struct(moment.alias("moment"), F.col("arrival"))
-
-
-def if_small(table: DataFrame) -> DataFrame | None:
-    """`table` marked for broadcast if it has at most `BROADCAST_ROWS` rows, counting no further."""
-    kept = table.limit(BROADCAST_ROWS + 1).collect()
-    if len(kept) > BROADCAST_ROWS:
-        return None
-    return F.broadcast(table.sparkSession.createDataFrame(kept, table.schema))
-
-
 def join_spread(df: DataFrame, table: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Join feed rows to a table that has one row per key, without gathering the rows of a key.
+    """Join feed rows to a table that has one row per key.
 
-    A table within the broadcast bound goes to every task. A larger one is repeated once per salt, and
-    the rows of a key are spread over the salts by arrival.
+    Adaptive execution hands a small table to every task and splits the rows of a busy key otherwise;
+    neither needs the rows to be counted first.
     """
-    small = if_small(table)
-    if small is not None:
-        return df.join(small, on, how)
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    spread = df.withColumn("salt", F.pmod("arrival", F.lit(SALTS).cast("bigint")))
-    return spread.join(table.withColumn("salt", F.explode(salts)), [*on, "salt"], how).drop("salt")
+    return df.join(table, on, how)
 
 
 def ticker_multiples(df: DataFrame, width: int, rows: int) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.scalars import floor_div, parse_day
-from tidebook.operators.segments import moment_key
 
 UNIT_MS = {"second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
 
@@ -25,12 +24,15 @@ def interval_ms(interval: str) -> int:
 def bars(trades: DataFrame, interval: str = "1 minute") -> DataFrame:
     """Open, high, low, close, volume and number of trades per ticker and calendar-aligned interval.
 
-    First and last are by time, then by arrival. Everything is combined before the shuffle, so a ticker
-    with most of the trades sends one row per interval and task. Intervals without trades have no row.
+    First and last are by time, then by arrival where there is one. Trades of the API carry their price
+    as `yes_price`, which counts where `price` is missing. Everything is combined before the shuffle, so a
+    ticker with most of the trades sends one row per interval and task. Intervals without trades have no row.
     """
     width = interval_ms(interval)
+    if "yes_price" in trades.columns:
+        trades = trades.withColumn("price", F.coalesce("price", "yes_price"))
     priced = trades.filter(F.col("price").isNotNull() & F.col("ts_ms").isNotNull())
-    moment = moment_key(trades, F.pmod("ts_ms", F.lit(width)), width)
+    moment = F.struct("ts_ms", "arrival")
     return priced.groupBy("ticker", (floor_div(F.col("ts_ms"), width) * width).alias("bar_ms")).agg(
         F.min_by("price", moment).alias("open"),
         F.max("price").alias("high"),
@@ -41,10 +43,14 @@ def bars(trades: DataFrame, interval: str = "1 minute") -> DataFrame:
     )
 
 
+def utc(value: dt.datetime) -> dt.datetime:
+    """A bound without zone in UTC, whatever zone it was given in."""
+    return value.astimezone(dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+
+
 def _bound(df: DataFrame, value: dt.datetime) -> Column:
     """A literal of the same type as `ts`, so that the comparison is pushed into the scan."""
-    naive = value.astimezone(dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value
-    text = naive.strftime("%Y-%m-%d %H:%M:%S.%f")
+    text = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     if df.schema["ts"].dataType.typeName() == "timestamp_ntz":
         return F.lit(text).cast("timestamp_ntz")
     return F.to_timestamp(F.lit(text + "+00:00"))
@@ -62,6 +68,7 @@ def time_range(
     not prune date partitions. A bound of zero or midnight counts as a bound.
     """
     dated = "date" in df.columns
+    start, end = (bound and utc(bound) for bound in (start, end))
     if ticker is not None:
         df = df.filter(F.col("ticker") == ticker.upper())
     if start is not None:
@@ -92,7 +99,7 @@ def ms_range(df: DataFrame, min_ms: int | None = None, max_ms: int | None = None
 def latest(trades: DataFrame, ticker: str, n: int = 20) -> DataFrame:
     """The newest `n` trades of a ticker, newest first; each task keeps only its own best `n`."""
     return (
-        trades.filter(F.col("ticker") == ticker).orderBy(F.desc("ts_ms"), F.desc("arrival")).limit(n)
+        trades.filter(F.col("ticker") == ticker.upper()).orderBy(F.desc("ts_ms"), F.desc("arrival")).limit(n)
     )
 
 

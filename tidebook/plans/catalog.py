@@ -210,13 +210,14 @@ def plant_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rebuild_book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The final book from a snapshot log taken half-way and the deltas after it."""
+    """The final book from a snapshot log taken half-way, inside a second, and the deltas after it."""
     rows = workload.deltas(spark, sf_dir)
     low, high = rows.agg(F.min("ts_ms"), F.max("ts_ms")).first()
     taken = (low + high) // 2000
-    before = book.book(rows.filter(F.col("ts_ms") <= taken * 1000))
+    seen = rows.filter(F.col("ts_ms") <= taken * 1000 + 700)
+    last = seen.agg(F.max("arrival")).first()[0]
     path = scratch_path(spark, "snapshots")
-    snapshots.write_snapshot_log(snapshots.snapshot_of(before, F.lit(taken)), path)
+    snapshots.write_snapshot_log(snapshots.snapshot_of(book.book(seen), F.lit(taken), arrival=F.lit(last)), path)
     return book.rebuild_book(snapshots.read_snapshot_log(spark, path), rows)
 
 
@@ -226,7 +227,7 @@ def snapshot_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "books")
     live = book.book(workload.deltas(spark, sf_dir))
     snapshots.write_snapshot_log(snapshots.snapshot_of(live, F.lit(0)), path)
-    return pages.snapshot_levels(snapshots.read_snapshot_log(spark, path).drop("timestamp"), 3)
+    return pages.snapshot_levels(snapshots.read_snapshot_log(spark, path).drop("timestamp", "arrival"), 3)
 
 
 # --- sequence and completeness -------------------------------------------------------------------
@@ -267,9 +268,10 @@ def _odd_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _expected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected volume: what all trades of the day add up to, less one in a hundred."""
+    """Expected volume: what all trades of the day add up to, less one in a hundred; one ticker has no trade at all."""
     full = quality.daily_counts(workload.trades(spark, sf_dir))
-    return full.select(
+    silent = full.filter("ticker = 'T1'").withColumn("ticker", F.lit("SILENT"))
+    return full.unionByName(silent).select(
         "ticker", "date", (F.col("volume") - scalars.floor_div(F.col("volume"), 100)).alias("expected_volume")
     )
 
@@ -292,7 +294,11 @@ def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_date(quality.backfill_report(_checked(spark, sf_dir)), "first_day", "last_day")
+    """The month of odd trading days, with the days to fetch again and the trades a second pull brought."""
+    inserted = _odd_days(spark, sf_dir).filter("price > 50")
+    report = quality.backfill_report(_checked(spark, sf_dir), inserted)
+    gaps = F.concat_ws(",", F.transform("gaps", lambda d: F.date_format(d, "yyyy-MM-dd")))
+    return text_date(report.withColumn("gaps", gaps), "first_day", "last_day")
 
 
 # --- trades --------------------------------------------------------------------------------------
@@ -328,6 +334,15 @@ def trades_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ticker", "trade_id", "price", "count", "ts_ms")
 
 
+@query
+def trades_range_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds given in a zone east of Greenwich, over midnight there."""
+    zone = dt.timezone(dt.timedelta(hours=5))
+    start, end = dt.datetime(2024, 1, 16, 1, tzinfo=zone), dt.datetime(2024, 1, 17, 2, tzinfo=zone)
+    rows = trade_ops.time_range(workload.trades(spark, sf_dir), start, end)
+    return rows.select("ticker", "trade_id", "price", "count", "ts_ms")
+
+
 @query
 def day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = trade_ops.day_slice(workload.trades(spark, sf_dir), SOME_DAY)
@@ -377,6 +392,26 @@ def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_no", "pos", "ticker", "trade_id", "price", "count", F.col("timestamp").alias("ts_ms"))
 
 
+def _raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades of pages as the API gives them: without numbers, their price as `yes_price`."""
+    listed = F.transform("trades", lambda t: t.withField("yes_price", t["price"]).dropFields("price"))
+    numbered = workload.trade_pages(spark, sf_dir).repartitionByRange(4, "page_no").sortWithinPartitions("page_no")
+    path = _landed(numbered.select(listed.alias("trades"), "cursor"), "raw-pages")
+    return pages.read_trade_pages(spark, path)
+
+
+@query
+def trade_pages_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _raw_pages(spark, sf_dir)
+    return rows.select("page_no", "pos", "ticker", "trade_id", "yes_price", "count", F.col("timestamp").alias("ts_ms"))
+
+
+@query
+def bars_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars of trades that came in pages."""
+    return trade_ops.bars(tables.to_trades(_raw_pages(spark, sf_dir)), "1 hour")
+
+
 @query
 def trade_pages_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pages.read_trade_pages(spark, _landed(workload.trade_pages(spark, sf_dir), "trade-pages"), ticker="t2")
@@ -432,7 +467,7 @@ def series_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("category"),
     )
     path = _landed(part.select(series.alias("series")), "series")
-    return pages.clipped(pages.read_series(spark, path), "series", 20)
+    return pages.clipped(pages.read_series(spark, path), "series")
 
 
 @query
@@ -450,6 +485,13 @@ def first_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.first_market(_markets(spark, sf_dir)).select("ticker", "title", "status")
 
 
+@query
+def markets_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first open markets of the list, which runs over several pages."""
+    path = _landed(workload.market_pages(spark, sf_dir).repartitionByRange(3, "page_no").sortWithinPartitions("page_no"), "market-pages")
+    return pages.read_markets(spark, path, status="open", limit=700).select("ticker", "status", "page_no", "pos")
+
+
 @query
 def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landed feed in which the errors are broken lines."""
@@ -572,14 +614,86 @@ def end_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.unionByName(logged.select(F.concat(F.lit("log "), "status").alias("table"), "rows"))
 
 
+def _moved(spark: SparkSession, here: tiers.Tiers) -> DataFrame:
+    """Contents of both tables in every tier: rows, volume and a sum over their fields."""
+
+    def summed(rows: DataFrame, tier: str, table: str) -> DataFrame:
+        amount = F.col("count") if table == "trades" else F.col("delta_size")
+        facts = rows.groupBy(F.date_format("date", "yyyy-MM-dd").alias("date")).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(amount).alias("amount"), F.sum("price").alias("prices"), F.sum(F.col("arrival") % 1009).alias("arrivals")
+        )
+        return facts.select(F.lit(tier).alias("tier"), F.lit(table).alias("table"), "*")
+
+    parts = [
+        summed(rows, tier, table)
+        for table in ("trades", "orderbook_deltas")
+        for tier, rows in (
+            ("hot", spark.table(here.hot(table))),
+            ("warm", spark.table(here.warm(table))),
+            ("archive", tiers.read_archive(spark, here, table)),
+        )
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _split_day(spark: SparkSession, sf_dir: str, here: tiers.Tiers, batch: str, remainder: int) -> None:
+    """Every second message of the two tables, as one batch."""
+    for name, rows in tables.shape_tables(workload.feed(spark, sf_dir)).items():
+        if name in ("trades", "orderbook_deltas"):
+            tiers.write_hot(rows.filter(F.col("arrival") % 2 == remainder), here, name, batch)
+
+
+@query
+def end_of_day_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day is closed, half of its messages come late, and it is closed again."""
+    here = _new_tiers(spark)
+    _split_day(spark, sf_dir, here, "2024-01-15T10:00/a", 0)
+    tiers.end_of_day(spark, here, SOME_DAY)
+    _split_day(spark, sf_dir, here, "late: it's 100%", 1)
+    tiers.end_of_day(spark, here, SOME_DAY)
+    return _moved(spark, here)
+
+
+@query
+def end_of_day_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day is closed, its batch is recorded and closed once more, and once again without new rows."""
+    here = _filled_tiers(spark, sf_dir, "trades", "orderbook_deltas")
+    tiers.end_of_day(spark, here, SOME_DAY)
+    for name in ("trades", "orderbook_deltas"):
+        tiers.write_hot(tables.shape_tables(workload.feed(spark, sf_dir))[name], here, name, "load-1")
+    tiers.end_of_day(spark, here, SOME_DAY)
+    tiers.end_of_day(spark, here, SOME_DAY)
+    return _moved(spark, here)
+
+
+@query
+def end_of_day_after_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day is closed, dropped from the warm tier by its age, and closed again when late messages come."""
+    here = _new_tiers(spark)
+    _split_day(spark, sf_dir, here, "first", 0)
+    tiers.end_of_day(spark, here, SOME_DAY)
+    tiers.apply_retention(spark, here, "2024-06-30")
+    tiers.end_of_day(spark, here, SOME_DAY)
+    _split_day(spark, sf_dir, here, "late", 1)
+    tiers.end_of_day(spark, here, SOME_DAY)
+    return _moved(spark, here)
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 
 def _landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed landed as JSON lines and read back as a stream."""
+    """The feed landed as JSON lines in five goes and read back as a stream of as many batches."""
     path = scratch_path(spark, "feed")
-    feeds.write_feed(workload.feed(spark, sf_dir, numbered=True), path)
-    return feeds.stream_feed(spark, path)
+    rows = workload.feed(spark, sf_dir, numbered=True)
+    low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    part = F.expr(f"(arrival - {low}) * 5 div {high - low + 1}")
+    for number in range(5):
+        feeds.write_feed(rows.filter(part == number).repartition(2), path)
+    return feeds.stream_feed(spark, path, files_per_batch=2)
 
 
 def _finish(running) -> None:
@@ -590,7 +704,7 @@ def _finish(running) -> None:
 def feed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed feed read as a batch."""
     path = scratch_path(spark, "feed")
-    feeds.write_feed(workload.feed(spark, sf_dir, numbered=True), path)
+    feeds.write_feed(workload.feed(spark, sf_dir, numbered=True, lossy=False), path)
     rows = feeds.messages(feeds.read_feed(spark, path))
     return rows.select("channel", "arrival", "ticker", "sequence", "price", "delta_size", "count")
 
@@ -599,12 +713,24 @@ def feed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_plant(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
     _finish(plant.plant_stream(_landed_feed(spark, sf_dir), out, state, checkpoint))
-    events = plant.published(spark, out)
+    events = plant.published(spark, out).filter("channel <> 'quarantine'")
     return events.select(
         "channel", "arrival", "ord", "ticker", "bid_price", "ask_price", "price", "last_price", "last_sequence"
     )
 
 
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the streamed plant puts aside: unknown types, and deltas without price."""
+    rows = workload.feed(spark, sf_dir, numbered=True, lossy=False)
+    broken = F.when((F.col("type") == "orderbook_delta") & (F.col("arrival") % 10 == 3), F.lit(None)).otherwise(F.col("price"))
+    path = scratch_path(spark, "feed")
+    feeds.write_feed(rows.withColumn("price", broken), path)
+    out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
+    _finish(plant.plant_stream(feeds.stream_feed(spark, path), out, state, checkpoint))
+    return plant.published(spark, out).filter("channel = 'quarantine'").select("arrival", "ticker", "reason")
+
+
 @query
 def stream_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows recorded per table by the stream."""
@@ -628,6 +754,12 @@ def _to_parquet(spark: SparkSession, rows: DataFrame, mode: str = "append") -> D
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def _upserted(spark: SparkSession, rows: DataFrame, *keys: str) -> DataFrame:
+    path = scratch_path(spark, "windows")
+    _finish(record.upsert_stream(rows, path, scratch_path(spark, "checkpoint")))
+    return record.newest(spark, path, rows.schema, list(keys))
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table itself as a stream."""
     schema = workload.table(spark, sf_dir, "events").schema
@@ -636,10 +768,10 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly bars of a stream of trades: those the watermark has made final."""
+    """Hourly bars of a stream of trades, the last ones included."""
     trades = workload.trades_of(workload.shaped(_streamed(spark, sf_dir)))
     bars = windows.bars_stream(trades.withColumn("ts", F.col("ts").cast("timestamp")), "1 hour", "10 minutes")
-    done = _to_parquet(spark, bars)
+    done = _upserted(spark, bars, "ticker", "bar_start")
     return done.withColumn("bar_ms", scalars.ms_from_ts(F.col("bar_start"))).drop("bar_start")
 
 
@@ -659,18 +791,19 @@ def stream_bbo_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_gap_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sliding gap counts of a stream of flagged messages: the windows the watermark has made final."""
+    """Sliding gap counts of a stream of flagged messages, the last windows included."""
     flagged = quality.sequence_gaps(workload.lossy(spark, sf_dir))
     path = scratch_path(spark, "flags")
     flagged.select(F.timestamp_millis("ts_ms").alias("ts"), "gap").write.parquet(path)
     stream = spark.readStream.schema("ts TIMESTAMP, gap BOOLEAN").parquet(path)
-    done = _to_parquet(spark, windows.gap_rate_stream(stream))
+    done = _upserted(spark, windows.gap_rate_stream(stream), "window_start")
     return done.withColumn("window_ms", scalars.ms_from_ts(F.col("window_start"))).drop("window_start")
 
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trade ids of a stream that holds every trade twice, each once."""
+    """Trades of a stream that holds every one twice, each once; those without an id stay as they are."""
     trades = workload.trades_of(workload.shaped(_streamed(spark, sf_dir)))
-    rows = trades.select("trade_id", F.col("ts").cast("timestamp").alias("ts"))
-    return _to_parquet(spark, windows.dedup_stream(rows.unionByName(rows))).select("trade_id")
+    named = F.when(F.col("arrival") % 7 != 0, F.col("trade_id")).alias("trade_id")
+    rows = trades.select(named, "arrival", F.col("ts").cast("timestamp").alias("ts"))
+    return _to_parquet(spark, windows.dedup_stream(rows.unionByName(rows))).select("trade_id", "arrival")

@@ -128,15 +128,32 @@ FROM ev WHERE type = 'trade' AND {where} GROUP BY date""",
     )
 
 
+def moved(full: str, late: str = "") -> str:
+    """Contents of the tiers after a day was closed: `full` tiers hold the day, `late` ones what came after
+    retention; the hot tier keeps all other days."""
+    day, other = "date = '2024-01-15'", "date <> '2024-01-15'"
+    tiers = [(tier, day) for tier in full.split()] + [("hot", other)]
+    tiers += [(late, f"{day} AND arrival % 2 = 1")] if late else []
+    parts = [
+        f"""SELECT '{tier}' AS tier, '{table}' AS "table", date, count(*) AS rows, CAST(sum({amount}) AS BIGINT) AS amount,
+       sum(price) AS prices, CAST(sum(arrival % 1009) AS BIGINT) AS arrivals
+FROM ev WHERE type = '{kind}' AND {where} GROUP BY date"""
+        for tier, where in tiers
+        for table, kind, amount in (("trades", "trade", "count"), ("orderbook_deltas", "orderbook_delta", "delta_size"))
+    ]
+    return with_(EVENTS, "\nUNION ALL\n".join(parts))
+
+
 CHECKED = f"""{EVENTS}, odd AS (
   SELECT * FROM ev WHERE (day(CAST(date AS DATE)) + CAST(substr(ticker, 2, 1) AS INTEGER)) % 4 <> 0
 ), spine AS (
   SELECT ticker, strftime(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)), '%Y-%m-%d') AS date
-  FROM (SELECT DISTINCT ticker FROM odd)
+  FROM (SELECT DISTINCT ticker FROM odd UNION SELECT 'SILENT')
 ), actual AS (
   SELECT ticker, date, count(*) AS trades, CAST(sum(count) AS BIGINT) AS volume FROM odd GROUP BY ALL
 ), expected AS (
-  SELECT ticker, date, CAST(sum(count) - sum(count) // 100 AS BIGINT) AS expected_volume FROM ev GROUP BY ALL
+  SELECT ticker, date, CAST(sum(count) - sum(count) // 100 AS BIGINT) AS expected_volume
+  FROM (SELECT ticker, date, count FROM ev UNION ALL SELECT 'SILENT', date, count FROM ev WHERE ticker = 'T1') GROUP BY ALL
 ), checked AS (
   SELECT ticker, date, coalesce(trades, 0) AS trades, coalesce(volume, 0) AS volume, expected_volume,
          coalesce(trades, 0) > 0 AND coalesce(volume, 0) >= coalesce(expected_volume, 0) AS complete
@@ -280,12 +297,14 @@ FROM (SELECT gap, ts_ms // 60000 * 60000 - 60000 * unnest([0, 1, 2, 3, 4]) AS wi
 GROUP BY window_ms""",
     ),
     "completeness": with_(CHECKED, "SELECT * FROM checked"),
-    "missing_days": with_(CHECKED, "SELECT ticker, date FROM checked WHERE trades = 0"),
+    "missing_days": with_(CHECKED, "SELECT ticker, date FROM checked WHERE trades = 0 AND ticker <> 'SILENT'"),
     "backfill_report": with_(
         CHECKED,
         """SELECT ticker, CAST(sum(trades) AS BIGINT) AS trades, min(date) FILTER (trades > 0) AS first_day,
        max(date) FILTER (trades > 0) AS last_day, count(*) FILTER (NOT complete) AS incomplete_days,
-       count(*) FILTER (trades = 0) AS missing_days
+       count(*) FILTER (trades = 0) AS missing_days,
+       coalesce(string_agg(date, ',' ORDER BY date) FILTER (trades = 0), '') AS gaps, bool_and(complete) AS complete,
+       (SELECT count(*) FROM odd WHERE price > 50 AND odd.ticker = checked.ticker) AS inserted
 FROM checked GROUP BY ticker""",
     ),
     # trades
@@ -301,6 +320,11 @@ ORDER BY ts_ms DESC, arrival DESC LIMIT 20""",
         EVENTS,
         """SELECT ticker, trade_id, price, count, ts_ms FROM ev WHERE ticker = 'T1'
 AND ts_ms >= epoch_ms(TIMESTAMP '2024-01-10 06:00:00') AND ts_ms < epoch_ms(TIMESTAMP '2024-01-20')""",
+    ),
+    "trades_range_zoned": with_(
+        EVENTS,
+        """SELECT ticker, trade_id, price, count, ts_ms FROM ev
+WHERE ts_ms >= epoch_ms(TIMESTAMP '2024-01-15 20:00:00') AND ts_ms < epoch_ms(TIMESTAMP '2024-01-16 21:00:00')""",
     ),
     "day_slice": with_(
         EVENTS, "SELECT ticker, trade_id, price, count, ts_ms FROM ev WHERE date = '2024-01-15'"
@@ -319,6 +343,13 @@ FROM orders""",
         """SELECT arrival // 1000 AS page_no, CAST(arrival % 1000 AS INTEGER) AS pos, ticker, trade_id, price, count, ts_ms
 FROM ev""",
     ),
+    "trade_pages_raw": with_(
+        EVENTS,
+        """SELECT arrival // 1000 - (SELECT min(arrival) // 1000 FROM ev) AS page_no, CAST(arrival % 1000 AS INTEGER) AS pos, ticker, trade_id,
+       price AS yes_price, count, ts_ms
+FROM ev""",
+    ),
+    "bars_of_pages": bars(3_600_000),
     "trade_pages_first": with_(
         EVENTS,
         """SELECT arrival // 1000 AS page_no, CAST(arrival % 1000 AS INTEGER) AS pos, ticker, trade_id
@@ -348,12 +379,22 @@ WHERE status = 'closed' AND series_ticker = 'ECONOMY'""",
     ),
     "series_titles": """SELECT 'S' || p_partkey AS ticker,
        CASE WHEN p_partkey % 7 <> 0 THEN p_name ELSE 'S' || p_partkey END AS title,
-       substr('{"ticker":"s' || p_partkey || '","' || CASE WHEN p_partkey % 7 <> 0 THEN 'title":"' || p_name
-              ELSE 'category":"' || p_type END || '"', 1, 20) AS series
+       substr('{"ticker":"s' || p_partkey || '",' || CASE WHEN p_partkey % 7 <> 0 THEN '"title":"' || p_name || '",' ELSE '' END
+              || '"category":"' || p_type || '"}', 1, 800) AS series
 FROM part""",
     "event_titles": """SELECT 'E' || s_suppkey AS ticker, s_name AS title, '{"title":"' || s_name || '"}' AS event
 FROM supplier""",
-    "first_market": with_(MARKETS, "SELECT ticker, nullif(title, '') AS title, status FROM markets WHERE ticker = '0'"),
+    "first_market": with_(
+        MARKETS, "SELECT ticker, nullif(title, '') AS title, status FROM markets ORDER BY CAST(ticker AS BIGINT) LIMIT 1"
+    ),
+    "markets_limited": with_(
+        MARKETS,
+        """SELECT ticker, status, page_no, pos FROM (
+  SELECT *, CAST(ticker AS BIGINT) // 1000 AS page_no,
+         CAST(row_number() OVER (PARTITION BY CAST(ticker AS BIGINT) // 1000 ORDER BY CAST(ticker AS BIGINT)) - 1 AS INTEGER) AS pos
+  FROM markets
+) WHERE status = 'open' ORDER BY CAST(ticker AS BIGINT) LIMIT 700""",
+    ),
     "quarantined_lines": with_(EVENTS, "SELECT '{bad ' || arrival AS line FROM ev WHERE type = 'unsupported'"),
     # monitoring
     "latency_p99": with_(
@@ -389,14 +430,17 @@ UNION ALL SELECT 'warm', count(*) FROM t WHERE date = '2024-01-15'
 UNION ALL SELECT 'archive', count(*) FROM t WHERE date = '2024-01-15'
 UNION ALL SELECT 'log done', count(*) FROM t WHERE date = '2024-01-15'""",
     ),
+    "end_of_day_late": moved("warm archive"),
+    "end_of_day_repeated": moved("warm archive"),
+    "end_of_day_after_retention": moved("archive", late="warm"),
     # streams
     "feed_replay": with_(
-        f"{EVENTS}, {LOSSY}",
+        f"{EVENTS}, numbered AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY arrival) AS sequence FROM ev)",
         """SELECT type AS channel, arrival, ticker, sequence,
        CASE WHEN type IN ('trade', 'orderbook_delta') THEN price END AS price,
        CASE WHEN type = 'orderbook_delta' THEN delta_size END AS delta_size,
        CASE WHEN type = 'trade' THEN count END AS count
-FROM lossy""",
+FROM numbered""",
     ),
     "stream_plant": with_(
         f"{LOSSY_DELTAS}, {SIZED}, {HISTORY}",
@@ -408,21 +452,28 @@ UNION ALL
 SELECT 'bbo', arrival, 1, ticker, bid_price, ask_price, NULL, NULL, NULL FROM history WHERE changed
 UNION ALL
 SELECT 'gap', arrival, 2, ticker, NULL, NULL, NULL, NULL, last_sequence FROM gaps WHERE gap""",
+    ),
+    "stream_quarantine": with_(
+        EVENTS,
+        """SELECT arrival, ticker, CASE WHEN type = 'unsupported' THEN 'type unsupported' ELSE 'without price' END AS reason
+FROM ev WHERE type = 'unsupported' OR type = 'orderbook_delta' AND arrival % 10 = 3""",
     ),
     "stream_record": with_(
         f"{EVENTS}, {LOSSY}", TRADE_TABLE_COUNTS.format(source="lossy") + "\nUNION ALL SELECT 'bbo', 0"
     ),
-    "stream_bars": bars(
-        3_600_000, "ts_ms // 3600000 * 3600000 + 3600000 <= (SELECT max(ts_ms) - 600000 FROM ev)"
-    ),
+    "stream_bars": bars(3_600_000),
     "stream_gap_flags": with_(f"{EVENTS}, {LOSSY}", "SELECT ticker, arrival, sequence, last_sequence, gap FROM gaps"),
     "stream_bbo_changes": BBO_CHANGES,
     "stream_gap_rate": with_(
         f"{EVENTS}, {LOSSY}",
         """SELECT window_ms, count(*) AS messages, count(*) FILTER (gap) AS gaps, bool_or(gap) AS alert
 FROM (SELECT gap, ts_ms // 60000 * 60000 - 60000 * unnest([0, 1, 2, 3, 4]) AS window_ms FROM gaps)
-WHERE window_ms + 300000 <= (SELECT max(ts_ms) - 600000 FROM gaps)
 GROUP BY window_ms""",
     ),
-    "stream_dedup": with_(EVENTS, "SELECT trade_id FROM ev"),
+    "stream_dedup": with_(
+        EVENTS,
+        """SELECT trade_id, arrival FROM ev WHERE arrival % 7 <> 0
+UNION ALL SELECT NULL, arrival FROM ev WHERE arrival % 7 = 0
+UNION ALL SELECT NULL, arrival FROM ev WHERE arrival % 7 = 0""",
+    ),
 }

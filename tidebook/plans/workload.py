@@ -86,14 +86,16 @@ def trades_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def feed(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
+def feed(spark: SparkSession, sf_dir: str, numbered: bool = False, lossy: bool = True) -> DataFrame:
     """The events as one feed of mixed messages; half of the trades carry their time as ISO text only.
 
-    With `numbered`, messages carry a sequence per ticker across all types and every fiftieth is lost.
+    With `numbered`, messages carry a sequence per ticker across all types and, if `lossy`, every
+    fiftieth is lost.
     """
     rows = events(spark, sf_dir)
     if numbered:
-        rows = number_rows(rows, "ticker", "sequence").filter(F.col("arrival") % 50 != 7)
+        rows = number_rows(rows, "ticker", "sequence")
+        rows = rows.filter(F.col("arrival") % 50 != 7) if lossy else rows
     else:
         rows = rows.withColumn("sequence", F.lit(None).cast("bigint"))
     return rows.selectExpr(

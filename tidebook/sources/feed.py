@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.schemas import CORRUPT, ENVELOPE, MESSAGE
 from tidebook.sources.checks import malformed
+from tidebook.sources.lines import number_lines
+
+# When a message came in, by its file or record; a batch that is run again finds the same time.
+INTAKE = "intake_ms"
 
 
 def read_feed(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -21,29 +25,8 @@ def read_feed(spark: SparkSession, path: str, strict: bool = False) -> DataFrame
 
 
 def read_feed_lines(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """`read_feed` for files without `arrival`: the line order of the files, by path, takes its place.
-
-    A file split knows where it starts, and rows of a split are read in order. Each split is counted,
-    the counts give every split its first number, and rows number on from there. One row per split
-    goes through the running count.
-    """
-    lines = read_feed(spark, path, strict).select(
-        "*",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    splits = lines.groupBy("file", "start").agg(F.min("row").alias("first_row"), F.count("*").alias("n"))
-    before = F.sum("n").over(
-        Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    numbered = splits.select("file", "start", "first_row", F.coalesce(before, F.lit(0)).alias("before"))
-    position = F.col("before") + F.col("row") - F.col("first_row")
-    return (
-        lines.join(numbered, ["file", "start"])
-        .withColumn("arrival", F.coalesce("arrival", position))
-        .drop("file", "start", "row", "first_row", "before")
-    )
+    """`read_feed` for files without `arrival`: the line order of the files, by path, takes its place."""
+    return number_lines(read_feed(spark, path, strict), "arrival")
 
 
 def stream_feed(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
@@ -54,32 +37,42 @@ def stream_feed(spark: SparkSession, path: str, files_per_batch: int = 100) -> D
         .option("maxFilesPerTrigger", files_per_batch)
         .json(path)
     )
-    return messages(raw)
+    return messages(raw.select("*", F.unix_millis("_metadata.file_modification_time").alias(INTAKE)))
 
 
 def kafka_feed(records: DataFrame) -> DataFrame:
     """Messages of a Kafka source (batch or stream) whose topic is keyed by ticker.
 
     All messages of a ticker are then in one partition and the offset is their arrival order. Read the
-    source with `maxOffsetsPerTrigger`.
+    source with `maxOffsetsPerTrigger`. `kafka_quarantined` has the records that are left out here.
     """
-    parsed = records.select(
-        F.from_json(F.col("value").cast("string"), ENVELOPE).alias("envelope"), F.col("offset")
-    )
+    parsed = _kafka_parsed(records)
     return messages(
         parsed.select(
-            "envelope.channel",
-            "envelope.message",
-            F.coalesce("envelope.arrival", "offset").alias("arrival"),
-            F.lit(None).cast("string").alias(CORRUPT),
+            "envelope.channel", "envelope.message", F.coalesce("envelope.arrival", "offset").alias("arrival"), INTAKE
         )
     )
 
 
+def _kafka_parsed(records: DataFrame) -> DataFrame:
+    text = F.col("value").cast("string")
+    intake = F.unix_millis("timestamp") if "timestamp" in records.columns else F.lit(None).cast("bigint")
+    reading = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return records.select(F.from_json(text, ENVELOPE, reading).alias("envelope"), "offset", text.alias("line"), intake.alias(INTAKE))
+
+
+def kafka_quarantined(records: DataFrame) -> DataFrame:
+    """Records of a Kafka source that are no envelopes, have no message or fields of the wrong type."""
+    parsed = _kafka_parsed(records)
+    bad = F.col(f"envelope.{CORRUPT}").isNotNull() | F.col("envelope.message").isNull()
+    return parsed.filter(bad).select("offset", "line")
+
+
 def messages(envelopes: DataFrame) -> DataFrame:
     """The feed proper: `channel, arrival` and the message fields. Lines without a message are left out;
     a field of the wrong type is null, and `quarantined` shows its line."""
-    return envelopes.filter(F.col("message").isNotNull()).select("channel", "arrival", "message.*")
+    more = [INTAKE] if INTAKE in envelopes.columns else []
+    return envelopes.filter(F.col("message").isNotNull()).select("channel", "arrival", *more, "message.*")
 
 
 def quarantined(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -97,6 +90,10 @@ def write_feed(feed: DataFrame, path: str) -> None:
     envelopes_of(feed).write.mode("append").json(path)
 
 
-def preview(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
-    """The first objects of a large JSON dump, each as text; reads no more of it than it needs."""
-    return spark.read.text(path).filter(F.trim("value") != "").limit(n)
+def preview(spark: SparkSession, path: str, n: int = 5, separator: str = "\n", size: int = 2000) -> DataFrame:
+    """The first objects of a large JSON dump, each as text of `size` characters at most; reads no more than it needs.
+
+    For a dump that is one long document give what separates its objects, for example `},`.
+    """
+    text = spark.read.option("lineSep", separator).text(path).withColumn("value", F.substring("value", 1, size))
+    return text.filter(F.trim("value") != "").limit(n)

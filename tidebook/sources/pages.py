@@ -14,9 +14,10 @@ from tidebook.operators.trades import dedup_trades
 from tidebook.operators.tiers import Tiers, write_hot
 from tidebook.schemas import BOOK_PAGE, CORRUPT, MARKET_PAGE, TRADE_PAGE
 from tidebook.sources.checks import malformed
+from tidebook.sources.lines import number_lines
 
-# No page holds more trades than this, so page number and position make one arrival number.
-PAGE_LIMIT = 10_000
+# Bits of an arrival number that hold the position in the page; a page beyond them is refused.
+POSITION_BITS = 24
 
 
 def malformed_trade_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -44,15 +45,25 @@ def read_trade_pages(
 ) -> DataFrame:
     """Trades of all pages, one per row, with page number and position; bounds in epoch ms, inclusive.
 
+    Pages as the API gives them have no number; they are numbered in the order of their files and lines.
     Pages without a list give no rows. Several folders are read as one.
     """
-    rows = explode_trades(_read(spark, path, TRADE_PAGE))
+    rows = explode_trades(numbered(_read(spark, path, TRADE_PAGE)))
     return filter_trades(rows, ticker, min_ts, max_ts)
 
 
+def numbered(pages: DataFrame) -> DataFrame:
+    """Pages with a number: their own where all have one, else their place in the files, by path and line."""
+    if pages.filter("page_no IS NULL").isEmpty():
+        return pages
+    return number_lines(pages, "page_no")
+
+
 def explode_trades(pages: DataFrame) -> DataFrame:
     listed = pages.select("page_no", F.posexplode("trades").alias("pos", "trade"))
-    arrival = F.col("page_no") * F.lit(PAGE_LIMIT).cast("bigint") + F.col("pos")
+    fits = F.col("pos") < (1 << POSITION_BITS)
+    number = F.shiftleft("page_no", POSITION_BITS) + F.col("pos")
+    arrival = F.when(fits, number).otherwise(F.raise_error(F.lit("a page has too many trades to be numbered")).cast("bigint"))
     return listed.select("page_no", "pos", arrival.alias("arrival"), "trade.*")
 
 
@@ -120,9 +131,10 @@ def read_markets(
     status: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Markets of all pages with their position in the page."""
-    pages = _read(spark, path, MARKET_PAGE)
-    return filter_markets(pages.select(F.posexplode("markets").alias("pos", "m")).select("pos", "m.*"), series_ticker, status, limit)
+    """Markets of all pages with the number of their page, by file and line, and their position there."""
+    pages = number_lines(_read(spark, path, MARKET_PAGE), "page_no")
+    listed = pages.select("page_no", F.posexplode("markets").alias("pos", "m")).select("page_no", "pos", "m.*")
+    return filter_markets(listed, series_ticker, status, limit)
 
 
 def filter_markets(
@@ -132,7 +144,7 @@ def filter_markets(
         markets = markets.filter(F.col("series_ticker") == F.upper(F.lit(series_ticker)))
     if status is not None:
         markets = markets.filter(F.col("status") == status)
-    return markets if limit is None else markets.orderBy("pos", "ticker").limit(limit)
+    return markets if limit is None else markets.orderBy("page_no", "pos").limit(limit)
 
 
 def summarize_markets(markets: DataFrame, series_ticker: str | None = None, status: str = "open") -> DataFrame:
@@ -163,7 +175,7 @@ def display_markets(summaries: DataFrame) -> DataFrame:
 
 
 def first_market(markets: DataFrame) -> DataFrame:
-    return markets.orderBy("pos", "ticker").limit(1)
+    return markets.orderBy("page_no", "pos").limit(1)
 
 
 # --- order books ---------------------------------------------------------------------------------

@@ -2,12 +2,14 @@
 
 Every micro-batch runs the batch operators with the books it opens with. A ticker that holds most of a
 batch is therefore cut into segments like in batch work; a state kept per ticker would put it into one
-task. State tables rotate through three slots, so that a batch that is run again finds what it started
-from and overwrites only its own result.
+task. State lies in buckets of tickers; a batch reads and writes those of its own tickers only. A bucket
+has two slots, and a batch writes the one that does not hold what it started from, so that a batch that
+is run again overwrites only its own result.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +18,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidebook.operators.bbo import bbo_changes, bbo_history
 from tidebook.operators.book import book
 from tidebook.operators.quality import last_sequences, sequence_gaps
-from tidebook.operators.routing import of_type, pass_through, valid_deltas
+from tidebook.operators.routing import of_type, pass_through, quarantined_messages, valid_deltas
 from tidebook.operators.segments import SEGMENT_ROWS
+from tidebook.sources.feed import INTAKE
 from tidebook.streaming.record import publish_batch, start
 
-SLOTS = 3
+BUCKETS = 64
 
 LEVELS_STATE = T.StructType(
     [
@@ -35,41 +38,64 @@ SEQUENCE_STATE = T.StructType(
 )
 
 
+def bucket_of(ticker: str = "ticker"):
+    return F.pmod(F.xxhash64(ticker), F.lit(BUCKETS)).cast("int")
+
+
 def _state_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType(
-        [*schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("slot", T.IntegerType())]
-    )
+    extra = [("batch_id", T.LongType()), ("bucket", T.IntegerType()), ("slot", T.IntegerType())]
+    return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in extra)])
 
 
-def save_state(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Keep the state as of the end of a batch."""
+def load_state(spark: SparkSession, path: str, schema: T.StructType, batch_id: int, buckets: list[int]) -> tuple[DataFrame, dict[int, int]]:
+    """The state of some buckets before a batch, and the slot that holds it in each."""
+    try:
+        rows = spark.read.schema(_state_schema(schema)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema), {}
+    mine = rows.filter(F.col("bucket").isin(buckets) & (F.col("batch_id") < batch_id))
+    newest = mine.groupBy("bucket").agg(F.max(F.struct("batch_id", "slot")).alias("last")).collect()
+    slots = {row["bucket"]: row["last"]["slot"] for row in newest}
+    current = F.lit(False)
+    for bucket, slot in slots.items():
+        current = current | ((F.col("bucket") == bucket) & (F.col("slot") == slot))
+    return mine.filter(current & F.col("ticker").isNotNull()).select(*schema.names), slots
+
+
+def save_state(rows: DataFrame, path: str, batch_id: int, buckets: list[int], slots: dict[int, int]) -> None:
+    """Keep the state of some buckets as of the end of a batch, in the slots that do not hold the one before.
+
+    A row without ticker stands for every bucket, so that an empty one is known to be empty.
+    """
+    spark = rows.sparkSession
+    free = {bucket: 1 - slots.get(bucket, 1) for bucket in buckets}
+    empty = spark.createDataFrame([(bucket,) for bucket in buckets], "bucket INT")
+    stated = rows.withColumn("bucket", bucket_of()).unionByName(empty, allowMissingColumns=True)
+    slot = F.create_map(*[F.lit(x) for pair in free.items() for x in pair])[F.col("bucket")]
     (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .withColumn("slot", F.lit(batch_id % SLOTS))
+        stated.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .withColumn("slot", slot)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("slot")
+        .partitionBy("bucket", "slot")
         .parquet(path)
     )
 
 
-def load_state(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """The state as of the end of `batch_id`; empty before the first batch."""
-    if batch_id < 0:
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(_state_schema(schema)).parquet(path)
-    current = (F.col("slot") == batch_id % SLOTS) & (F.col("batch_id") == batch_id)
-    return rows.filter(current).select(*schema.names)
-
-
 def plant_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int = SEGMENT_ROWS) -> None:
-    """Publish one micro-batch: pass-through messages, BBO changes and sequence gaps, by channel."""
+    """Publish one micro-batch: pass-through messages, BBO changes, sequence gaps and rejects, by channel."""
     spark = batch.sparkSession
-    opening = load_state(spark, f"{state}/levels", LEVELS_STATE, batch_id - 1)
-    sequences = load_state(spark, f"{state}/sequences", SEQUENCE_STATE, batch_id - 1)
+    batch = batch.drop(INTAKE)
     batch.persist()
     try:
+        touched = batch.filter(F.col("ticker").isNotNull()).select(bucket_of().alias("bucket")).distinct()
+        buckets = [row["bucket"] for row in touched.collect()]
+        opening, level_slots = load_state(spark, f"{state}/levels", LEVELS_STATE, batch_id, buckets)
+        sequences, sequence_slots = load_state(spark, f"{state}/sequences", SEQUENCE_STATE, batch_id, buckets)
         deltas = valid_deltas(of_type(batch, "orderbook_delta")).withColumn("ts_ms", F.col("timestamp"))
+        bad = quarantined_messages(batch).select(F.lit("quarantine").alias("channel"), F.lit(3).alias("ord"), "arrival", "ticker", "reason")
         forwarded = pass_through(batch).unionByName(deltas.drop("ts_ms")).withColumn("channel", F.col("type"))
         quotes = bbo_changes(bbo_history(deltas, rows, opening)).withColumnRenamed("ts_ms", "timestamp")
         gaps = sequence_gaps(batch, rows, sequences).filter("gap")
@@ -85,15 +111,20 @@ def plant_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int
                 ),
                 allowMissingColumns=True,
             )
+            .unionByName(bad, allowMissingColumns=True)
         )
         publish_batch(events, out, batch_id)
-        save_state(book(deltas, rows=rows, opening=opening), f"{state}/levels", batch_id)
+        if not buckets:
+            return
+        save_state(book(deltas, rows=rows, opening=opening), f"{state}/levels", batch_id, buckets, level_slots)
         newest = last_sequences(batch).withColumn("newer", F.lit(1))
         merged = sequences.withColumn("newer", F.lit(0)).unionByName(newest)
         save_state(
             merged.groupBy("ticker").agg(F.max_by("last_sequence", "newer").alias("last_sequence")),
             f"{state}/sequences",
             batch_id,
+            buckets,
+            sequence_slots,
         )
     finally:
         batch.unpersist()

@@ -5,12 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidebook.operators.tables import shape_tables
 from tidebook.operators.tiers import Tiers, write_hot
+from tidebook.sources.feed import INTAKE
 
 
 def start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], **trigger) -> StreamingQuery:
@@ -26,9 +28,11 @@ def start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], N
 def record_batch(batch: DataFrame, batch_id: int, tiers: Tiers, now_ms: int | None = None) -> None:
     """Write one micro-batch to the four hot tables. A repeated batch replaces what it wrote before.
 
-    Messages without any time get `now_ms`, one value for the whole batch.
+    Messages without any time get the time at which they came in, by their file or record, so that a
+    batch run again writes the same rows; where the source does not say, `now_ms`.
     """
-    taken = F.lit(now_ms if now_ms is not None else int(time.time() * 1000)).cast("bigint")
+    now = F.lit(now_ms if now_ms is not None else int(time.time() * 1000)).cast("bigint")
+    taken = F.coalesce(F.col(INTAKE), now) if INTAKE in batch.columns else now
     batch.persist()
     try:
         for table, rows in shape_tables(batch, taken).items():
@@ -61,3 +65,22 @@ def topic_rows(events: DataFrame, prefix: str = "") -> DataFrame:
         F.col("ticker").alias("key"),
         F.to_json(F.struct(*fields)).alias("value"),
     )
+
+
+def upsert_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Keep what a micro-batch changed in an aggregate; the same batch written again replaces itself."""
+    rows.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
+def upsert_stream(rows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Run an aggregate in update mode: every batch adds the windows it changed, also those still open."""
+    writer = rows.writeStream.outputMode("update").foreachBatch(lambda batch, batch_id: upsert_batch(batch, path, batch_id))
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def newest(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The latest version of every window of an `upsert_stream`."""
+    held = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    values = [name for name in schema.names if name not in keys]
+    last = held.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    return last.select(*keys, "last.*").select(*schema.names)

@@ -38,5 +38,7 @@ def gap_rate_stream(
 
 
 def dedup_stream(trades: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Each trade id once within the watermark."""
-    return trades.withWatermark("ts", late).dropDuplicatesWithinWatermark(["trade_id"])
+    """Each trade id once within the watermark. Trades without an id are no copies of one another: all stay."""
+    named = trades.filter(F.col("trade_id").isNotNull())
+    once = named.withWatermark("ts", late).dropDuplicatesWithinWatermark(["trade_id"])
+    return once.unionByName(trades.filter(F.col("trade_id").isNull()))
