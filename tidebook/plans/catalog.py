@@ -22,8 +22,6 @@ from tidebook.streaming import plant, record, stateful, windows
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The events span January 2024.
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-31"
 SOME_DAY = "2024-01-15"
 # Segments short enough to be cut many times in the given tables.
 SHORT_SEGMENT = 1024
@@ -42,6 +40,11 @@ def text_date(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
+def span(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """The first and the last day of the events."""
+    return workload.events(spark, sf_dir).agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+
+
 # --- routing and shaping -------------------------------------------------------------------------
 
 
@@ -278,7 +281,7 @@ def _expected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     traded = _odd_days(spark, sf_dir)
-    return quality.completeness(traded, FIRST_DAY, LAST_DAY, expected=_expected(spark, sf_dir))
+    return quality.completeness(traded, *span(spark, sf_dir), expected=_expected(spark, sf_dir))
 
 
 @query
@@ -289,7 +292,7 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     traded = _odd_days(spark, sf_dir)
-    return text_date(quality.missing_days(traded, FIRST_DAY, LAST_DAY, traded), "date")
+    return text_date(quality.missing_days(traded, *span(spark, sf_dir), traded), "date")
 
 
 @query
@@ -567,7 +570,7 @@ def migrate_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def migrate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     here = _filled_tiers(spark, sf_dir, "trades")
-    tiers.migrate_days(spark, here, "trades", FIRST_DAY, LAST_DAY)
+    tiers.migrate_days(spark, here, "trades", *span(spark, sf_dir))
     return _per_day(spark.table(here.warm("trades")))
 
 
@@ -575,16 +578,17 @@ def migrate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days in the archive, the last one written on its own."""
     here = _filled_tiers(spark, sf_dir, "trades")
-    tiers.migrate_days(spark, here, "trades", FIRST_DAY, LAST_DAY)
-    tiers.export_days(spark, here, "trades", FIRST_DAY, "2024-01-29")
-    tiers.export_day(spark, here, "trades", "2024-01-30")
+    first, last = span(spark, sf_dir)
+    tiers.migrate_days(spark, here, "trades", first, last)
+    tiers.export_days(spark, here, "trades", first, last - dt.timedelta(days=1))
+    tiers.export_day(spark, here, "trades", last)
     return _per_day(tiers.read_archive(spark, here, "trades"))
 
 
 @query
 def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     here = _filled_tiers(spark, sf_dir, "trades")
-    tiers.migrate_days(spark, here, "trades", FIRST_DAY, LAST_DAY)
+    tiers.migrate_days(spark, here, "trades", *span(spark, sf_dir))
     expired = tiers.expired_partitions(spark, here.warm("trades"), "2024-03-31", 80)
     return text_date(expired.select("date"), "date")
 
@@ -593,7 +597,7 @@ def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of the warm trades after retention."""
     here = _filled_tiers(spark, sf_dir, "trades")
-    tiers.migrate_days(spark, here, "trades", FIRST_DAY, LAST_DAY)
+    tiers.migrate_days(spark, here, "trades", *span(spark, sf_dir))
     tiers.apply_retention(spark, here, "2024-03-31", 80)
     return _per_day(spark.table(here.warm("trades")))
 

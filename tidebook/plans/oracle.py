@@ -147,7 +147,7 @@ FROM ev WHERE type = '{kind}' AND {where} GROUP BY date"""
 CHECKED = f"""{EVENTS}, odd AS (
   SELECT * FROM ev WHERE (day(CAST(date AS DATE)) + CAST(substr(ticker, 2, 1) AS INTEGER)) % 4 <> 0
 ), spine AS (
-  SELECT ticker, strftime(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)), '%Y-%m-%d') AS date
+  SELECT ticker, strftime(unnest(generate_series((SELECT min(CAST(date AS DATE)) FROM ev), (SELECT max(CAST(date AS DATE)) FROM ev), INTERVAL 1 DAY)), '%Y-%m-%d') AS date
   FROM (SELECT DISTINCT ticker FROM odd UNION SELECT 'SILENT')
 ), actual AS (
   SELECT ticker, date, count(*) AS trades, CAST(sum(count) AS BIGINT) AS volume FROM odd GROUP BY ALL
