@@ -112,4 +112,44 @@ ORACLE = {
             sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
+    "op6_decontamination": r"""
+        WITH lowered AS (
+            SELECT 'd' AS kind, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+            UNION ALL
+            SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+        split AS (SELECT kind, id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+        docs AS (SELECT id AS doc_id, w FROM split WHERE kind = 'd'),
+        items AS (
+            SELECT DISTINCT id AS item_id, least(len(w), 13) AS size, array_to_string(w[s:s + 12], ' ') AS phrase
+            FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM split WHERE kind = 'b' AND len(w) > 0)),
+        phrases AS (SELECT DISTINCT size, phrase FROM items),
+        windows AS (
+            SELECT doc_id, size, s, array_to_string(w[s:s + size - 1], ' ') AS phrase
+            FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s
+                  FROM docs CROSS JOIN (SELECT DISTINCT size FROM phrases) WHERE len(w) >= size)),
+        hits AS (SELECT doc_id, s, size, phrase FROM windows JOIN phrases USING (size, phrase)),
+        covered AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(s, s + size)) AS i FROM hits) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits JOIN items USING (size, phrase)) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(w) AS contaminated
+        FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+    "op7_substring_dedup": r"""
+        WITH docs AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (
+            SELECT doc_id, s, md5(array_to_string(w[s:s + 19], ' ')) AS words
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM docs WHERE len(w) >= 20)),
+        again AS (
+            SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, s) AS n FROM windows) WHERE n > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM again),
+        words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs),
+        rest AS (
+            SELECT words.doc_id, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY words.i) FILTER (gone.i IS NULL) AS text
+            FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i GROUP BY words.doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest.text, '')) AS kept_sha256
+        FROM docs LEFT JOIN rest USING (doc_id)
+    """,
 }
