@@ -282,13 +282,18 @@ def texts_of_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return first.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("two")), "b").select("a", "b", "one", "two")
 
 
+DIFFERENCES = "a long, b long, linked boolean, key long, early boolean, fresh boolean, size long, n_new long, n_gone long, whole boolean, whole_early boolean"
+
+
 def from_pivots(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Differences of sets from their pivots: a, b, linked, and in `key` the elements by which the set can be found.
 
-    With d the size of the difference, a set linked to the pivot has partners that are not, one that is
-    not has partners at a distance of at least d - M, where M is the most that partners differ. Either way
-    the two differences share at least `least` elements, so the first d - least + 1 of one order of all
-    elements, those outside the pivot first, share one.
+    With d the size of the difference and M the most that the set differs from any partner, a partner that
+    is not linked to the pivot shares at least (d + H(pivot) - H(set)) / 2 elements of the difference, H being
+    what the pigeonhole allows for their sizes, and one that is linked to it shares at least d - M and one.
+    The first d - least + 1 elements of one order of all, those outside the pivot first, then share
+    one. `early` elements are those for partners that are not linked. `fresh` are elements outside the
+    pivot, and `whole` says that all of these are among the elements given.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,28 +306,62 @@ def from_pivots(pairs: DataFrame, texts: DataFrame, size: int, percent: int) ->
         twos = list(base.raw_texts(batch, "two"))
         distinct = list(dict.fromkeys(twos))
         known = dict(zip(distinct, shingles(distinct, size, powers), strict=True))
-        rows, keys, near = [], [], []
         pivots = batch.column("b").to_numpy()
+        facts: list[tuple] = []
+        keys, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for i, (own, two) in enumerate(zip(shingles(list(base.raw_texts(batch, "one")), size, powers), twos, strict=True)):
             pivot = known[two]
             new, gone = np.setdiff1d(own, pivot, assume_unique=True), np.setdiff1d(pivot, own, assume_unique=True)
             apart = len(new) + len(gone)
             link = len(own) > 0 and apart <= most_different(len(own) + len(pivot), percent)
             most = most_different(len(own) + 100 * len(own) // percent, percent)
-            if link:
-                least = (apart - -(-(100 - percent) * max(0, len(own) - len(pivot)) // (100 + percent)) + 1) // 2
-            else:
-                least = (apart + max(1, apart - most) - most + 1) // 2
-            prefix = np.concatenate([np.sort(new), np.sort(gone)])[: apart - max(1, least) + 1 if apart else 0]
+            half = max(1, (apart - -(-(100 - percent) * max(0, len(own) - len(pivot)) // (100 + percent)) + 1) // 2)
+            early = apart - (half if link else max(half, apart - most)) + 1 if apart else 0
+            given = early if link else apart - max(1, apart - most) + 1
+            prefix = np.concatenate([np.sort(new), np.sort(gone)])[:given]
             keys.append(np.concatenate([np.zeros(1, np.uint64), mixed(prefix ^ mixed(pivots[i : i + 1]))]))
-            rows.append(np.full(len(prefix) + 1, i))
-            near.append(np.full(len(prefix) + 1, link))
-        at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), pa.int64())
-        key = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
-        columns = [batch.column("a").take(at), batch.column("b").take(at), pa.array(np.concatenate(near) if near else np.empty(0, bool), pa.bool_()), pa.array(key)]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked", "key"])
-
-    return base.materialize(texts_of_pairs(pairs, texts).mapInArrow(compare, "a long, b long, linked boolean, key long"), "differences")
+            places.append(np.arange(-1, len(prefix)))
+            facts.append((link, early, len(own), len(new), len(gone), given >= len(new), early >= len(new)))
+        counts = [len(p) for p in places[1:]]
+        at, place = np.repeat(np.arange(len(counts)), counts), np.concatenate(places)
+        link, early, own_size, n_new, n_gone, whole, whole_early = (np.array(c)[at] if facts else np.empty(0, int) for c in (zip(*facts, strict=True) if facts else [()] * 7))
+        flag, count = pa.bool_(), pa.int64()
+        columns = [batch.column("a").take(pa.array(at, count)), batch.column("b").take(pa.array(at, count)), pa.array(link, flag), pa.array(np.concatenate(keys).view(np.int64))]
+        columns += [pa.array(place < early, flag), pa.array((place >= 0) & (place < n_new), flag), pa.array(own_size, count), pa.array(n_new, count), pa.array(n_gone, count)]
+        columns += [pa.array(whole, flag), pa.array(whole_early, flag)]
+        return pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in DIFFERENCES.split(", ")])
+
+    return base.materialize(texts_of_pairs(pairs, texts).mapInArrow(compare, DIFFERENCES), "differences")
+
+
+def across_pivots(apart: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components whose differences from a pivot may be close enough: a, b.
+
+    At least one of the two is not linked to the pivot. Where all fresh elements of both were given, those
+    they do not share separate them, and so do the numbers of elements of the pivot they lack. A pair that
+    meets on an element of the pivot and shares fresh ones too is found by these.
+    """
+    found = apart.filter("key <> 0").join(labels, F.col("a") == F.col("node"), "left").withColumn("component", F.coalesce("component", "a"))
+
+    def side(rows: DataFrame, mark: str, whole: str) -> DataFrame:
+        names = ("a", "component", "size", "n_new", "n_gone")
+        return rows.select("key", *(F.col(n).alias(f"{n}_{mark}") for n in names), F.col(whole).alias(f"whole_{mark}"), F.col("b").alias(f"pivot_{mark}"), F.col("fresh").alias(f"fresh_{mark}"))
+
+    apart_rows, near_rows = found.filter("not linked"), found.filter("linked")
+    both = side(apart_rows.filter("early"), "x", "whole_early").join(side(apart_rows.filter("early"), "y", "whole_early"), "key").filter("a_x < a_y")
+    mixed_pairs = side(apart_rows, "x", "whole").join(side(near_rows, "y", "whole"), "key")
+    allowed = (100 - percent) * (F.col("size_x") + F.col("size_y"))
+    unlike = F.abs(F.col("n_new_x") - F.col("n_new_y")) + F.abs(F.col("n_gone_x") - F.col("n_gone_y"))
+    met = both.unionByName(mixed_pairs).filter("component_x <> component_y and pivot_x = pivot_y")
+    strange = F.col("n_new_x") + F.col("n_new_y") + F.abs(F.col("n_gone_x") - F.col("n_gone_y"))
+    alone = F.col("fresh_x") | ~F.col("whole_x") | ~F.col("whole_y") | (strange * (100 + percent) <= allowed)
+    met = met.filter(unlike * (100 + percent) <= allowed).filter(alone)
+    facts = [F.first(f"{n}_{m}").alias(f"{n}_{m}") for n in ("size", "n_new", "n_gone", "whole") for m in ("x", "y")]
+    pairs = met.groupBy("a_x", "a_y", "pivot_x").agg(F.sum(F.col("fresh_x").cast("int")).alias("shared"), *facts)
+    common = F.when(F.col("whole_x") & F.col("whole_y"), F.col("shared")).otherwise(F.least("n_new_x", "n_new_y"))
+    distance = F.col("n_new_x") + F.col("n_new_y") - 2 * common + F.abs(F.col("n_gone_x") - F.col("n_gone_y"))
+    close = pairs.filter(distance * (100 + percent) <= allowed)
+    return close.select(F.greatest("a_x", "a_y").alias("a"), F.least("a_x", "a_y").alias("b"))
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -374,8 +413,7 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, frequen
     links = linked(stars, texts, size, percent).union(twins).union(apart.filter("linked and key = 0").select("a", "b"))
     labels = components(links)
 
-    found = apart.filter("key <> 0").select(F.col("key").alias("sig"), F.col("a").alias("doc"), F.lit(0).alias("instance"), F.lit(1).alias("demand"))
-    pairs = across_components(rows, labels).union(across_components(found, labels)).distinct()
+    pairs = across_components(rows, labels).union(across_pivots(apart, labels, percent)).distinct()
     pairs = base.materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     more = linked(pairs, texts, size, percent)
     return named(sizes, labels if more.isEmpty() else components(links.union(more)))
