@@ -19,6 +19,7 @@ from tidebook.operators.replay import REPLAY_SCHEMA, replay_segment, replay_whol
 from tidebook.operators.routing import of_type, pass_through, valid_deltas
 from tidebook.operators.segments import (
     SEGMENT_ROWS,
+    Cut,
     plan_cut,
     ticker_multiples,
     with_segment,
@@ -106,7 +107,7 @@ def opening_books(totals: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def bbo_history(
-    deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None
+    deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None, cut: Cut | None = None
 ) -> DataFrame:
     """BBO after every delta; `changed` marks rows whose best prices differ from those before.
 
@@ -114,14 +115,14 @@ def bbo_history(
     the book it opens with, so a busy ticker is spread over as many tasks as it has segments.
     """
     clean = book_deltas(deltas).select(*LEVEL, "delta_size", "arrival", "ts_ms")
-    plan = plan_cut(deltas, rows)
+    plan = cut or plan_cut(deltas, rows)
     if plan.whole:
         return with_mid_spread(_history_of_whole(clean, opening))
     multiples = ticker_multiples(deltas, plan.width, min(rows, plan.width))
-    cut = with_ticker_segment(clean, plan.width, multiples)
+    cut_rows = with_ticker_segment(clean, plan.width, multiples)
     # Deltas and opening books read the same columns, so that Spark shuffles them once for both.
-    placed = cut.repartition("ticker", "seg")
-    segments = cut.select("ticker", "seg").distinct()
+    placed = cut_rows.repartition("ticker", "seg")
+    segments = cut_rows.select("ticker", "seg").distinct()
     if opening is not None:
         held = opening.select("ticker", F.lit(OPENING_SEGMENT).cast("bigint").alias("seg")).distinct()
         segments = segments.unionByName(held)

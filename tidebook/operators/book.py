@@ -15,6 +15,7 @@ from tidebook.functions.scalars import book_side
 from tidebook.operators.routing import valid_deltas
 from tidebook.operators.segments import (
     SEGMENT_ROWS,
+    Cut,
     earlier_segments,
     join_spread,
     plan_cut,
@@ -99,11 +100,14 @@ def level_sizes(deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame
 
 
 def closing_levels(
-    deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None
+    deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None, cut: Cut | None = None
 ) -> DataFrame:
-    """Every level ever touched, empty ones included: final size, last arrival, time and sequence."""
+    """Every level ever touched, empty ones included: final size, last arrival, time and sequence.
+
+    `cut` is the plan of a feed that has been looked at before.
+    """
     kept = [name for name in (*LEVEL, "delta_size", "arrival", "ts_ms", "sequence") if name in deltas.columns]
-    totals = level_totals(book_deltas(deltas).select(*kept), plan_cut(deltas, rows).width, opening)
+    totals = level_totals(book_deltas(deltas).select(*kept), (cut or plan_cut(deltas, rows)).width, opening)
     # The last segment of a level holds its final state; only the sequence may have peaked before.
     level = Window.partitionBy(*LEVEL).orderBy("seg")
     closed = with_opening_size(totals).withColumn("later", F.lead("seg").over(level))
@@ -120,11 +124,12 @@ def book(
     as_of: int | None = None,
     rows: int = SEGMENT_ROWS,
     opening: DataFrame | None = None,
+    cut: Cut | None = None,
 ) -> DataFrame:
     """Live levels after the last delta, or after the last one with `arrival <= as_of`."""
     if as_of is not None:
         deltas = deltas.filter(F.col("arrival") <= as_of)
-    return closing_levels(deltas, rows, opening).filter(F.col("size") > 0).select(*LEVEL, "size")
+    return closing_levels(deltas, rows, opening, cut).filter(F.col("size") > 0).select(*LEVEL, "size")
 
 
 def depth(levels: DataFrame, top: int | None = 5) -> DataFrame:

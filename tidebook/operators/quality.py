@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.scalars import parse_day
-from tidebook.operators.segments import SEGMENT_ROWS, plan_cut, with_segment
+from tidebook.operators.segments import SEGMENT_ROWS, Cut, plan_cut, with_segment
 
 
 def sequence_gaps(
-    feed: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None
+    feed: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None, cut: Cut | None = None
 ) -> DataFrame:
     """Every message with the last sequence of its ticker and whether it breaks the count.
 
@@ -23,13 +23,13 @@ def sequence_gaps(
     """
     tracked = F.coalesce(F.col("ticker") != "", F.lit(False)) & F.col("sequence").isNotNull()
     marked = feed.withColumn("tracked", tracked)
-    plan = plan_cut(marked, rows)
-    cut = with_segment(marked, plan.width)
+    plan = cut or plan_cut(marked, rows)
+    placed = with_segment(marked, plan.width)
     within = Window.partitionBy("tracked", "ticker", "seg").orderBy("arrival")
     last = F.when(F.col("tracked"), F.lag("sequence").over(within))
-    flagged = cut.withColumn("last_sequence", last)
+    flagged = placed.withColumn("last_sequence", last)
     if not plan.whole or opening is not None:
-        ends = last_sequences(cut, "seg")
+        ends = last_sequences(placed, "seg")
         if opening is not None:
             ends = ends.unionByName(
                 opening.select("ticker", "last_sequence", F.lit(-(2**62)).cast("bigint").alias("seg"))

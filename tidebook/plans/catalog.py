@@ -17,7 +17,7 @@ from tidebook.plans import workload
 from tidebook.session import scratch_path, shared_dir
 from tidebook.sources import feed as feeds
 from tidebook.sources import pages, snapshots
-from tidebook.streaming import plant, record, stateful, windows
+from tidebook.streaming import plant, record, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -689,13 +689,16 @@ def end_of_day_after_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------------------
 
 
-def _landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed landed as JSON lines in five goes and read back as a stream of as many batches."""
+def _landed_feed(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
+    """The feed landed as JSON lines, in so many goes, and read back as a stream of as many batches."""
     path = scratch_path(spark, "feed")
     rows = workload.feed(spark, sf_dir, numbered=True)
+    if batches == 1:
+        feeds.write_feed(rows, path)
+        return feeds.stream_feed(spark, path)
     low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
-    part = F.expr(f"(arrival - {low}) * 5 div {high - low + 1}")
-    for number in range(5):
+    part = F.expr(f"(arrival - {low}) * {batches} div {high - low + 1}")
+    for number in range(batches):
         feeds.write_feed(rows.filter(part == number).repartition(2), path)
     return feeds.stream_feed(spark, path, files_per_batch=2)
 
@@ -715,8 +718,18 @@ def feed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_plant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _planted(spark, _landed_feed(spark, sf_dir))
+
+
+@query
+def stream_plant_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plant over five micro-batches, its state carried from one to the next."""
+    return _planted(spark, _landed_feed(spark, sf_dir, batches=5))
+
+
+def _planted(spark: SparkSession, feed: DataFrame) -> DataFrame:
     out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
-    _finish(plant.plant_stream(_landed_feed(spark, sf_dir), out, state, checkpoint))
+    _finish(plant.plant_stream(feed, out, state, checkpoint))
     events = plant.published(spark, out).filter("channel <> 'quarantine'")
     return events.select(
         "channel", "arrival", "ord", "ticker", "bid_price", "ask_price", "price", "last_price", "last_sequence"
@@ -781,16 +794,21 @@ def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_gap_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gap flags kept in Spark's own state store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stateful.ROCKSDB)
-    return _to_parquet(spark, stateful.gap_stream(_landed_feed(spark, sf_dir)))
+    """Gap flags of a stream of five batches, cut into short segments."""
+    out, state, checkpoint = (scratch_path(spark, name) for name in ("flags", "state", "checkpoint"))
+    _finish(plant.flag_stream(_landed_feed(spark, sf_dir, batches=5), out, state, checkpoint, rows=SHORT_SEGMENT))
+    return plant.published(spark, out).select("ticker", "arrival", "sequence", "last_sequence", "gap")
 
 
 @query
 def stream_bbo_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stateful.ROCKSDB)
-    deltas = workload.deltas_of(workload.shaped(_streamed(spark, sf_dir)))
-    return _to_parquet(spark, stateful.bbo_change_stream(deltas))
+    """Price changes of a stream in which every event is a delta, cut into short segments."""
+    deltas = workload.deltas_of(workload.shaped(_streamed(spark, sf_dir))).withColumnRenamed("ts_ms", "timestamp")
+    feed = deltas.withColumn("type", F.lit("orderbook_delta")).withColumn("sequence", F.lit(None).cast("bigint"))
+    out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
+    _finish(plant.plant_stream(feed, out, state, checkpoint, rows=SHORT_SEGMENT))
+    changes = plant.published(spark, out).filter("channel = 'bbo'").withColumnRenamed("timestamp", "ts_ms")
+    return changes.select("ticker", "arrival", "ts_ms", *BBO_COLUMNS)
 
 
 @query

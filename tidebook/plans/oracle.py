@@ -185,6 +185,18 @@ SELECT 'trades' AS "table", count(*) AS rows FROM {source} WHERE type = 'trade'
 UNION ALL SELECT 'orderbook_deltas', count(*) FROM {source} WHERE type = 'orderbook_delta'
 UNION ALL SELECT 'tickers', count(*) FROM {source} WHERE type = 'ticker'"""
 
+STREAM_PLANT = with_(
+    f"{LOSSY_DELTAS}, {SIZED}, {HISTORY}",
+    """SELECT type AS channel, arrival, 0 AS ord, ticker, NULL::DOUBLE AS bid_price, NULL::DOUBLE AS ask_price,
+       CASE WHEN type <> 'ticker' THEN price END AS price, CASE WHEN type = 'ticker' THEN price END AS last_price,
+       NULL::BIGINT AS last_sequence
+FROM gaps WHERE type <> 'unsupported'
+UNION ALL
+SELECT 'bbo', arrival, 1, ticker, bid_price, ask_price, NULL, NULL, NULL FROM history WHERE changed
+UNION ALL
+SELECT 'gap', arrival, 2, ticker, NULL, NULL, NULL, NULL, last_sequence FROM gaps WHERE gap""",
+)
+
 ORACLE: dict[str, str] = {
     # routing and shaping
     "feed_counts": with_(EVENTS, "SELECT type AS channel, count(*) AS messages FROM ev GROUP BY type"),
@@ -442,17 +454,8 @@ UNION ALL SELECT 'log done', count(*) FROM t WHERE date = '2024-01-15'""",
        CASE WHEN type = 'trade' THEN count END AS count
 FROM numbered""",
     ),
-    "stream_plant": with_(
-        f"{LOSSY_DELTAS}, {SIZED}, {HISTORY}",
-        """SELECT type AS channel, arrival, 0 AS ord, ticker, NULL::DOUBLE AS bid_price, NULL::DOUBLE AS ask_price,
-       CASE WHEN type <> 'ticker' THEN price END AS price, CASE WHEN type = 'ticker' THEN price END AS last_price,
-       NULL::BIGINT AS last_sequence
-FROM gaps WHERE type <> 'unsupported'
-UNION ALL
-SELECT 'bbo', arrival, 1, ticker, bid_price, ask_price, NULL, NULL, NULL FROM history WHERE changed
-UNION ALL
-SELECT 'gap', arrival, 2, ticker, NULL, NULL, NULL, NULL, last_sequence FROM gaps WHERE gap""",
-    ),
+    "stream_plant": STREAM_PLANT,
+    "stream_plant_batches": STREAM_PLANT,
     "stream_quarantine": with_(
         EVENTS,
         """SELECT arrival, ticker, CASE WHEN type = 'unsupported' THEN 'type unsupported' ELSE 'without price' END AS reason

@@ -19,9 +19,9 @@ from tidebook.operators.bbo import bbo_changes, bbo_history
 from tidebook.operators.book import book
 from tidebook.operators.quality import last_sequences, sequence_gaps
 from tidebook.operators.routing import of_type, pass_through, quarantined_messages, valid_deltas
-from tidebook.operators.segments import SEGMENT_ROWS
+from tidebook.operators.segments import SEGMENT_ROWS, plan_cut
 from tidebook.sources.feed import INTAKE
-from tidebook.streaming.record import publish_batch, start
+from tidebook.streaming.record import publish_batch, start, upsert_batch
 
 BUCKETS = 64
 
@@ -77,6 +77,7 @@ def save_state(rows: DataFrame, path: str, batch_id: int, buckets: list[int], sl
     (
         stated.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .withColumn("slot", slot)
+        .hint("rebalance", "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket", "slot")
@@ -84,21 +85,52 @@ def save_state(rows: DataFrame, path: str, batch_id: int, buckets: list[int], sl
     )
 
 
+def _touched(batch: DataFrame) -> list[int]:
+    """The buckets of a batch's tickers."""
+    touched = batch.filter(F.col("ticker").isNotNull()).select(bucket_of().alias("bucket")).distinct()
+    return [row["bucket"] for row in touched.collect()]
+
+
+def _last_of(batch: DataFrame, sequences: DataFrame) -> DataFrame:
+    """The last sequence of every ticker after a batch."""
+    merged = sequences.withColumn("newer", F.lit(0)).unionByName(last_sequences(batch).withColumn("newer", F.lit(1)))
+    return merged.groupBy("ticker").agg(F.max_by("last_sequence", "newer").alias("last_sequence"))
+
+
+def flag_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int = SEGMENT_ROWS) -> None:
+    """Write one micro-batch with the gap flag of every message."""
+    batch = batch.drop(INTAKE)
+    batch.persist()
+    try:
+        buckets = _touched(batch)
+        sequences, slots = load_state(batch.sparkSession, f"{state}/sequences", SEQUENCE_STATE, batch_id, buckets)
+        upsert_batch(sequence_gaps(batch, rows, sequences), out, batch_id)
+        if buckets:
+            save_state(_last_of(batch, sequences), f"{state}/sequences", batch_id, buckets, slots)
+    finally:
+        batch.unpersist()
+
+
+def flag_stream(feed: DataFrame, out: str, state: str, checkpoint: str, rows: int = SEGMENT_ROWS, **trigger) -> StreamingQuery:
+    """Flag the gaps of a stream of messages; a busy ticker is cut into segments like in batch work."""
+    return start(feed, checkpoint, lambda batch, batch_id: flag_batch(batch, batch_id, out, state, rows), **trigger)
+
+
 def plant_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int = SEGMENT_ROWS) -> None:
     """Publish one micro-batch: pass-through messages, BBO changes, sequence gaps and rejects, by channel."""
     spark = batch.sparkSession
     batch = batch.drop(INTAKE)
     batch.persist()
     try:
-        touched = batch.filter(F.col("ticker").isNotNull()).select(bucket_of().alias("bucket")).distinct()
-        buckets = [row["bucket"] for row in touched.collect()]
+        buckets = _touched(batch)
         opening, level_slots = load_state(spark, f"{state}/levels", LEVELS_STATE, batch_id, buckets)
         sequences, sequence_slots = load_state(spark, f"{state}/sequences", SEQUENCE_STATE, batch_id, buckets)
+        cut = plan_cut(batch, rows)
         deltas = valid_deltas(of_type(batch, "orderbook_delta")).withColumn("ts_ms", F.col("timestamp"))
         bad = quarantined_messages(batch).select(F.lit("quarantine").alias("channel"), F.lit(3).alias("ord"), "arrival", "ticker", "reason")
         forwarded = pass_through(batch).unionByName(deltas.drop("ts_ms")).withColumn("channel", F.col("type"))
-        quotes = bbo_changes(bbo_history(deltas, rows, opening)).withColumnRenamed("ts_ms", "timestamp")
-        gaps = sequence_gaps(batch, rows, sequences).filter("gap")
+        quotes = bbo_changes(bbo_history(deltas, rows, opening, cut)).withColumnRenamed("ts_ms", "timestamp")
+        gaps = sequence_gaps(batch, rows, sequences, cut).filter("gap")
         events = (
             forwarded.drop("type")
             .withColumn("ord", F.lit(0))
@@ -116,16 +148,8 @@ def plant_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int
         publish_batch(events, out, batch_id)
         if not buckets:
             return
-        save_state(book(deltas, rows=rows, opening=opening), f"{state}/levels", batch_id, buckets, level_slots)
-        newest = last_sequences(batch).withColumn("newer", F.lit(1))
-        merged = sequences.withColumn("newer", F.lit(0)).unionByName(newest)
-        save_state(
-            merged.groupBy("ticker").agg(F.max_by("last_sequence", "newer").alias("last_sequence")),
-            f"{state}/sequences",
-            batch_id,
-            buckets,
-            sequence_slots,
-        )
+        save_state(book(deltas, rows=rows, opening=opening, cut=cut), f"{state}/levels", batch_id, buckets, level_slots)
+        save_state(_last_of(batch, sequences), f"{state}/sequences", batch_id, buckets, sequence_slots)
     finally:
         batch.unpersist()
 
