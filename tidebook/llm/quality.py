@@ -18,6 +18,7 @@ An empty table fits a model that keeps everything.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,22 +52,34 @@ COMMON = frozenset(
     "el los las y del con una por su para al lo como más o".split()
 )
 
+LONGEST = max(map(len, COMMON))
+
 # One bit per property of a word.
 UPPER, LOUD, SYMBOL, BARE, STOP, CLOSED = (1 << i for i in range(6))
 FLAG_BITS = 6
 
 
 def word_flags(word: str) -> int:
-    letters = any(c.isalpha() for c in word)
     core = word.rstrip(".,;:!?")
-    return (
-        UPPER * (word.isupper() and len(core) > 1)
-        | LOUD * (word.count("!") > 1)
-        | SYMBOL * (bool(SYMBOLS.search(word)) and letters)
-        | BARE * (not any(c.isalnum() for c in word))
-        | STOP * (core.lower() in COMMON and len(word) - len(core) < 2)
-        | CLOSED * (word[-1] in ".,;:" and letters)
-    )
+    tail = len(word) - len(core)
+    stop = STOP * (tail < 2 and len(core) <= LONGEST and core.lower() in COMMON)
+    closed, loud = CLOSED * (word[-1] in ".,;:"), LOUD * (word.count("!") > 1)
+    upper = UPPER * (len(core) > 1 and core.isupper())
+    if core.isalpha():
+        return stop | closed | loud | upper
+    letters = word.upper() != word.lower() or any(c.isalpha() for c in word)
+    bare = BARE * (not any(c.isalnum() for c in word))
+    return stop | closed * letters | loud | upper | bare | SYMBOL * (letters and bool(SYMBOLS.search(word)))
+
+
+class WordMarks(dict):
+    """Flags of words, remembered up to a bound."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > CACHE:
+            self.clear()
+        self[word] = flags = word_flags(word) | (zlib.crc32(word.encode()) << FLAG_BITS)
+        return flags
 
 
 class WordFacts(dict):
@@ -83,26 +96,34 @@ class WordFacts(dict):
         return packed
 
 
-def word_hashes(packed: np.ndarray) -> np.ndarray:
-    """The distinct hashes of words and stems of a text."""
+def distinct_of(numbers: np.ndarray) -> np.ndarray:
+    """The distinct ones of some numbers, in order."""
+    ordered = np.sort(numbers)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
+
+
+def word_hashes(distinct: np.ndarray) -> np.ndarray:
+    """The distinct hashes of the words and stems of a text."""
     mask = np.uint64((1 << HASH_BITS) - 1)
-    return np.unique(np.concatenate([(packed >> np.uint64(FLAG_BITS + HASH_BITS * i)) & mask for i in range(2)])).astype(np.int64)
+    return distinct_of(np.concatenate([(distinct >> np.uint64(FLAG_BITS + HASH_BITS * i)) & mask for i in range(2)])).astype(np.int64)
 
 
 def hashed(name: str) -> int:
     return xxhash.xxh3_64_intdigest(name) & (1 << BITS) - 1
 
 
+#: The flag values with each bit set.
+HAS = [np.array([v for v in range(1 << FLAG_BITS) if v >> i & 1]) for i in range(FLAG_BITS)]
 SHARES = ("upper", "loud", "symbol", "bare", "stop", "closed", "again", "distinct")
 
 
-def shares_of(packed: np.ndarray) -> np.ndarray:
+def shares_of(packed: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     """Shares of words with each property, of words equal to the one before, and of distinct words."""
     size = len(packed)
-    flags = packed & np.uint64((1 << FLAG_BITS) - 1)
-    own = [np.count_nonzero(flags & np.uint64(1 << i)) / size for i in range(FLAG_BITS)]
+    flags = np.bincount((packed & np.uint64((1 << FLAG_BITS) - 1)).astype(np.int64), minlength=1 << FLAG_BITS)
+    own = [flags[HAS[i]].sum() / size for i in range(FLAG_BITS)]
     again = np.count_nonzero(packed[1:] == packed[:-1]) / size
-    return np.array([*own, again, len(np.unique(packed)) / size])
+    return np.array([*own, again, len(distinct) / size])
 
 
 def votes_of(size: int, share: np.ndarray) -> str:
@@ -160,28 +181,30 @@ def posteriors(votes: np.ndarray, prior: float, chance: np.ndarray, rows: np.nda
     return 1 / (1 + np.exp(np.clip(one - two + np.log(1 - prior) - np.log(prior), -700, 700)))
 
 
-def features_of(packed: np.ndarray, share: np.ndarray) -> np.ndarray:
+def features_of(hashes: np.ndarray, share: np.ndarray) -> np.ndarray:
     """Hashed features of a text: words, stems, and every share in tenths."""
     tenths = [hashed(f"{name} {int(10 * value)}") for name, value in zip(SHARES, share, strict=True)]
-    return np.unique(np.concatenate([word_hashes(packed) & (1 << BITS) - 1, tenths])).astype(np.int32)
+    return np.concatenate([hashes & (1 << BITS) - 1, tenths])
 
 
-def read_text(text: str, known: WordFacts) -> tuple[np.ndarray, np.ndarray] | None:
+def read_text(text: str, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """The packed words of a text, the distinct ones of them, and their shares."""
     words = text.split()
     if not words:
         return None
     packed = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    return packed, shares_of(packed)
+    distinct = distinct_of(packed)
+    return packed, distinct, shares_of(packed, distinct)
 
 
 def ballots(docs: DataFrame) -> DataFrame:
     """The vote pattern of every document; empty for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordFacts()
+        known = WordMarks()
         for batch in batches:
             read = (read_text(t, known) for t in base.texts(batch))
-            votes = [votes_of(len(r[0]), r[1]) if r else "" for r in read]
+            votes = [votes_of(len(r[0]), r[2]) if r else "" for r in read]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.string())], names=["doc_id", "votes"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, votes string")
@@ -196,7 +219,7 @@ def fit_scorer(rows: DataFrame, epochs: int = EPOCHS) -> np.ndarray:
         for batch in batches:
             for text, label in zip(base.texts(batch), batch.column("label").to_pylist(), strict=True):
                 if (read := read_text(text, known)) is not None:
-                    examples.append((features_of(*read), label))
+                    examples.append((features_of(word_hashes(read[1]), read[2]), label))
         weights = np.zeros((1 << BITS) + 1)
         square = np.full((1 << BITS) + 1, 1e-6)
         rng = np.random.default_rng(1)
@@ -244,7 +267,7 @@ def fit_lexicon(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 if read is None or not met.isdisjoint(sketch := sketch_of(read[0])):
                     continue
                 met |= sketch
-                seen[label > 0.5].append(word_hashes(read[0]))
+                seen[label > 0.5].append(word_hashes(read[1]))
         toxic, clean = seen[True], seen[False]
         names, count = np.unique(np.concatenate([*toxic, np.empty(0, np.int64)]), return_counts=True)
         common = count >= max(3, len(toxic) / RARE)
@@ -271,11 +294,12 @@ class Model:
         coded = np.array([["b-g".index(c) for c in votes]])
         return float(posteriors(coded, self.prior, self.chance, np.arange(LABELLERS))[0])
 
-    def toxic(self, packed: np.ndarray) -> float:
+    def toxic(self, hashes: np.ndarray) -> float:
         """How likely the marks of a text make it toxic: evidence beyond `EVIDENCE` nats."""
         if self.lexicon is None or not len(self.lexicon[0]):
             return 0.0
-        evidence = self.lexicon[1][np.isin(self.lexicon[0], word_hashes(packed), assume_unique=True)].sum()
+        at = np.minimum(np.searchsorted(hashes, self.lexicon[0]), len(hashes) - 1)
+        evidence = self.lexicon[1][hashes[at] == self.lexicon[0]].sum()
         return float(1 / (1 + np.exp(EVIDENCE - evidence)))
 
 
@@ -327,14 +351,15 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
             votes, weak, score, toxic = [], [], [], []
             for text in base.texts(batch):
                 read = read_text(text, known)
-                pattern = votes_of(len(read[0]), read[1]) if read else ""
+                pattern = votes_of(len(read[0]), read[2]) if read else ""
                 if pattern not in posterior:
                     posterior[pattern] = model.posterior(pattern)
-                at = features_of(*read) if read else None
+                hashes = word_hashes(read[1]) if read else None
+                at = features_of(hashes, read[2]) if read else None
                 votes.append(pattern)
                 weak.append(posterior[pattern])
                 score.append(1.0 if at is None else probability(model.quality, at))
-                toxic.append(model.toxic(read[0]) if read else 0.0)
+                toxic.append(model.toxic(hashes) if read else 0.0)
             keep = [(s >= 0.5 or w >= 0.5) and t < TOXIC for s, w, t in zip(score, weak, toxic, strict=True)]
             columns = [*batch.columns, pa.array(votes, pa.string()), pa.array(weak), pa.array(score), pa.array(toxic), pa.array(keep, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *added])
