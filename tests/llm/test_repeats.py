@@ -51,6 +51,25 @@ def test_repeats_of_odd_tables(frame, rows, case):
         assert words == sorted(brute.word_windows(docs, 10), key=repr)
 
 
+REPEATED = [
+    *ODD,
+    [(None, "one text of all without an id " * 9)] * 5,
+    [(4, " ".join(f"w{i}" for i in range(60)))] * 4 + [(9, " ".join(f"w{i}" for i in range(20, 80)))] * 3,
+    [(4, " ".join(f"v{i % 37}" for i in range(90)))] * 3 + [(None, "x y z " + " ".join(f"v{i}" for i in range(5, 37)))] * 3,
+    [((1 << 63) - 1, "largest id and no id are two " * 4), (None, "largest id and no id are two " * 4)],
+]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+@pytest.mark.parametrize("case", range(len(REPEATED)))
+def test_equal_rows_are_one_document_to_words(frame, rows, case, parts):
+    docs = REPEATED[case]
+    got = rows(seed_extend.remove(frame(docs, parts), 10, 3), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == sorted(brute.word_windows(docs, 10), key=repr)
+    spans = rows(suffix_repeats.remove(frame(docs, parts), 40, 8), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert spans == sorted(brute.byte_windows(docs, 40), key=repr)
+
+
 def test_interval_tree_finds_groups_with_all_members():
     before = [b"abc"[::-1], b"abc"[::-1], b"xbc"[::-1], b"zzz"]
     after = [b"hello world", b"hello world", b"hello there", b"other"]

@@ -65,7 +65,7 @@ def repeated_windows(docs: DataFrame, opened: DataFrame, shape: seeds.Shape) ->
     first = held.groupBy("window").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = held.join(first.withColumnRenamed("window", "of"), F.col("window") == F.col("of"))
     later = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place")))
-    return met.filter(later).select("doc_id", "place")
+    return met.filter(later).select("doc_id", "place").distinct()
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

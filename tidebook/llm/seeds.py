@@ -111,7 +111,10 @@ def mark_of(text):
 
 
 def seed_rows(docs: DataFrame, symbols_of: Callable[[], Callable[[bytes], np.ndarray]], shape: Shape) -> DataFrame:
-    """Anchors of all documents: n members per class of a slice in the row of its first, 0 in the others."""
+    """Anchors of all documents: n members per class of a slice in the row of its first, 0 in the others.
+
+    Equal rows of a slice have one row, and are counted as often as they occur.
+    """
 
     def emit(run: list[Piece], ids: pa.Array, marks: np.ndarray, powers: Powers, last: list) -> pa.RecordBatch:
         doc, place, gram, context = anchors(run, shape, powers)
@@ -120,14 +123,16 @@ def seed_rows(docs: DataFrame, symbols_of: Callable[[], Callable[[bytes], np.nda
         if len(doc):
             last[0] = (doc[-1], place[-1])
         places = place * MARK + marks[doc]
-        keys = np.array([np.iinfo(np.int64).max if v is None else v for v in ids.to_pylist()], dtype=np.int64)[doc]
-        order = np.lexsort((places, keys, context, gram))
-        doc, places, gram, context = doc[order], places[order], gram[order], context[order]
+        keys, none = ids.fill_null(0).to_numpy()[doc], ids.is_null().to_numpy(zero_copy_only=False)[doc]
+        order = np.lexsort((places, keys, none, context, gram))
+        doc, places, gram, context, keys, none = (x[order] for x in (doc, places, gram, context, keys, none))
         opens = np.concatenate([[True], (np.diff(gram) != 0) | (np.diff(context) != 0)])[: len(doc)]
         begins = np.flatnonzero(opens)
         members = np.zeros(len(doc), np.int32)
         members[begins] = np.diff(np.append(begins, len(doc)))
         gram = np.where(opens, gram, mixed(context ^ mixed(places.astype(np.uint64) + gram)))
+        single = opens | np.concatenate([[True], (np.diff(keys) != 0) | (np.diff(none.view(np.int8)) != 0) | (np.diff(places) != 0)])[: len(doc)]
+        gram, context, doc, places, members = (x[single] for x in (gram, context, doc, places, members))
         return pa.RecordBatch.from_arrays(
             [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), ids.take(pa.array(doc)), pa.array(places), pa.array(members)],
             names=["gram", "context", "doc_id", "place", "n"],
@@ -155,7 +160,8 @@ def seed_rows(docs: DataFrame, symbols_of: Callable[[], Callable[[bytes], np.nda
 def classified(rows: DataFrame, keep_first: bool) -> DataFrame:
     """Anchors that repeat: settled ones, all of whose runs repeat, and open ones, to be compared further.
 
-    With `keep_first` a run counts as repeated only after its first occurrence.
+    With `keep_first` a run counts as repeated only after its first occurrence, which all rows with the
+    same id and text are together. Each anchor of such rows comes out once.
     """
     dealt = rows.repartition("gram")
     of_class = Window.partitionBy("gram", "context")
@@ -166,13 +172,14 @@ def classified(rows: DataFrame, keep_first: bool) -> DataFrame:
         "doc_id",
         "place",
         "n",
-        F.row_number().over(in_order).alias("number"),
+        F.rank().over(in_order).alias("number"),
+        F.row_number().over(in_order).alias("row"),
         F.sum("n").over(of_class).alias("total"),
         (F.min("context").over(of_gram) != F.max("context").over(of_gram)).alias("several"),
     )
     settled = (F.col("n") == 0) | (F.col("number") > 1 if keep_first else F.col("total") > 1)
-    opened = F.col("several") & (F.col("number") == 1) & (F.col("n") > 0)
-    judged = seen.select("gram", "doc_id", "place", settled.alias("settled"), opened.alias("opened"))
+    opened = F.col("several") & (F.col("row") == 1) & (F.col("n") > 0)
+    judged = seen.filter("row = number").select("gram", "doc_id", "place", settled.alias("settled"), opened.alias("opened"))
     return base.materialize(judged.filter("settled or opened"), "seeds")
 
 
