@@ -1,6 +1,7 @@
 """Line dedup, seed and extend, suffix-array repeats and the shingle join against plain versions."""
 
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -70,6 +71,23 @@ def test_equal_rows_are_one_document_to_words(frame, rows, case, parts):
     assert spans == sorted(brute.byte_windows(docs, 40), key=repr)
 
 
+def same_checksum(text, words):
+    """A text of other words with the same last 16 bits of its CRC-32."""
+    return next(t for i in range(1 << 22) if zlib.crc32((t := f"{words} e{i}").encode()) % (1 << 16) == zlib.crc32(text.encode()) % (1 << 16))
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+@pytest.mark.parametrize("size", [18, 130])
+def test_texts_of_one_id_stay_apart(frame, rows, doc_id, size):
+    passage = " ".join(f"p{i}" for i in range(40))
+    text = " ".join(f"a{i}" for i in range(60)) + " " + passage
+    other = same_checksum(text, " ".join(f"b{i}" for i in range(size)))
+    docs = [(1, passage), (2, "before " + passage + " behind"), (doc_id, text), (doc_id, other)]
+    assert rows(seed_extend.remove(frame(docs), 10, 3), "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(brute.word_windows(docs, 10), key=repr)
+    got = rows(suffix_repeats.remove(frame(docs), 40, 8), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == sorted(brute.byte_windows(docs, 40), key=repr)
+
+
 def test_interval_tree_finds_groups_with_all_members():
     before = [b"abc"[::-1], b"abc"[::-1], b"xbc"[::-1], b"zzz"]
     after = [b"hello world", b"hello world", b"hello there", b"other"]

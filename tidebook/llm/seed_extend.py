@@ -34,38 +34,39 @@ def word_symbols():
 
 
 def repeated_windows(docs: DataFrame, opened: DataFrame, shape: seeds.Shape) -> DataFrame:
-    """Starts of windows around open anchors that also start earlier: doc_id, place."""
+    """Starts of windows around open anchors that also start earlier: doc_id, place, mark."""
     around = seeds.at_documents(docs, opened).filter("items is not null")
 
     def windows(batches):
         symbols, powers = word_symbols(), seeds.Powers()
         for batch in batches:
             owners, places, found = [], [], []
-            rows = zip(base.raw_texts(batch), batch.column("mark").to_pylist(), batch.column("items"), strict=True)
-            for i, (raw, mark, items) in enumerate(rows):
+            for i, (raw, items) in enumerate(zip(base.raw_texts(batch), batch.column("items"), strict=True)):
                 own = symbols(raw)
                 at = np.unique(np.array([x["place"] for x in items.as_py()], dtype=np.int64))
                 low, high = np.maximum(at - shape.left, 0), np.minimum(at, len(own) - shape.length)
                 start = np.unique(seeds.stretches(low, high - low + 1))
                 found.append(seeds.Hashes(own, powers).of(start, start + shape.length))
                 owners.append(np.full(len(start), i))
-                places.append(start * seeds.MARK + mark)
+                places.append(start)
             if owners:
+                owner = pa.array(np.concatenate(owners))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(found).view(np.int64)),
-                        batch.column("doc_id").take(pa.array(np.concatenate(owners))),
+                        batch.column("doc_id").take(owner),
                         pa.array(np.concatenate(places)),
+                        batch.column("mark").take(owner),
                     ],
-                    names=["window", "doc_id", "place"],
+                    names=["window", "doc_id", "place", "mark"],
                 )
 
-    held = base.materialize(around.mapInArrow(windows, "window long, doc_id long, place long"), "windows")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
+    held = base.materialize(around.mapInArrow(windows, "window long, doc_id long, place long, mark long"), "windows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place", "mark")
     first = held.groupBy("window").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = held.join(first.withColumnRenamed("window", "of"), F.col("window") == F.col("of"))
-    later = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place")))
-    return met.filter(later).select("doc_id", "place").distinct()
+    later = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place")) & (F.col("mark") == F.col("first.mark")))
+    return met.filter(later).select("doc_id", "place", "mark").distinct()
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -73,8 +74,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     docs = docs.select("doc_id", "text")
     shape = seeds.Shape(length, gram, SLICE)
     found = seeds.classified(seeds.seed_rows(docs, word_symbols, shape), keep_first=True)
-    settled = found.filter("settled").select("doc_id", "place", F.lit(True).alias("anchor"))
-    windows = repeated_windows(docs, found.filter("opened"), shape).select("doc_id", "place", F.lit(False).alias("anchor"))
+    settled = found.filter("settled").select("doc_id", "place", "mark", F.lit(True).alias("anchor"))
+    windows = repeated_windows(docs, found.filter("opened"), shape).select("doc_id", "place", "mark", F.lit(False).alias("anchor"))
     return seeds.at_documents(docs, settled.unionByName(windows), "anchor")
 
 

@@ -9,13 +9,12 @@ where a gram has several contexts.
 Classes are combined within each slice of the input before anything is shuffled, so an anchor of a
 third of all documents sends a row per slice to its group; the rest are settled on the spot.
 
-Documents are told apart by their id and a checksum of their text; rows with both equal share their
-results. Long texts are cut into overlapping pieces of bounded size.
+Documents are told apart by their id and a 64-bit hash of their text (`mark`); rows with both equal share
+their results. Long texts are cut into overlapping pieces of bounded size.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,8 +27,7 @@ from tidebook.llm import base
 from tidebook.llm.cuckoo import mixed
 from tidebook.llm.words import Hashes, Powers
 
-MARK = 1 << 16
-SEEDS = "gram long, context long, doc_id long, place long, n int"
+SEEDS = "gram long, context long, doc_id long, place long, mark long, n int"
 
 
 @dataclass(frozen=True)
@@ -106,8 +104,8 @@ def anchors(run: list[Piece], shape: Shape, powers: Powers) -> tuple[np.ndarray,
 
 
 def mark_of(text):
-    """The checksum that tells documents of one id apart."""
-    return F.pmod(F.crc32(F.coalesce(text, F.lit("")).cast("binary")), F.lit(MARK))
+    """The hash that tells documents of one id, or of none, apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def seed_rows(docs: DataFrame, symbols_of: Callable[[], Callable[[bytes], np.ndarray]], shape: Shape) -> DataFrame:
@@ -122,29 +120,27 @@ def seed_rows(docs: DataFrame, symbols_of: Callable[[], Callable[[bytes], np.nda
             doc, place, gram, context = doc[1:], place[1:], gram[1:], context[1:]
         if len(doc):
             last[0] = (doc[-1], place[-1])
-        places = place * MARK + marks[doc]
-        keys, none = ids.fill_null(0).to_numpy()[doc], ids.is_null().to_numpy(zero_copy_only=False)[doc]
-        order = np.lexsort((places, keys, none, context, gram))
-        doc, places, gram, context, keys, none = (x[order] for x in (doc, places, gram, context, keys, none))
+        mark, keys, none = marks[doc], ids.fill_null(0).to_numpy()[doc], ids.is_null().to_numpy(zero_copy_only=False)[doc]
+        order = np.lexsort((mark, place, keys, none, context, gram))
+        doc, place, mark, gram, context, keys, none = (x[order] for x in (doc, place, mark, gram, context, keys, none))
         opens = np.concatenate([[True], (np.diff(gram) != 0) | (np.diff(context) != 0)])[: len(doc)]
         begins = np.flatnonzero(opens)
         members = np.zeros(len(doc), np.int32)
         members[begins] = np.diff(np.append(begins, len(doc)))
-        gram = np.where(opens, gram, mixed(context ^ mixed(places.astype(np.uint64) + gram)))
-        single = opens | np.concatenate([[True], (np.diff(keys) != 0) | (np.diff(none.view(np.int8)) != 0) | (np.diff(places) != 0)])[: len(doc)]
-        gram, context, doc, places, members = (x[single] for x in (gram, context, doc, places, members))
+        gram = np.where(opens, gram, mixed(context ^ mixed(place.astype(np.uint64) + mixed(mark.view(np.uint64)) + gram)))
+        single = opens | np.concatenate([[True], np.any([x[1:] != x[:-1] for x in (keys, none, place, mark)], axis=0)])[: len(doc)]
+        gram, context, doc, place, mark, members = (x[single] for x in (gram, context, doc, place, mark, members))
         return pa.RecordBatch.from_arrays(
-            [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), ids.take(pa.array(doc)), pa.array(places), pa.array(members)],
-            names=["gram", "context", "doc_id", "place", "n"],
+            [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), ids.take(pa.array(doc)), pa.array(place), pa.array(mark), pa.array(members)],
+            names=["gram", "context", "doc_id", "place", "mark", "n"],
         )
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, powers = symbols_of(), Powers()
         for batch in batches:
-            ids = batch.column("doc_id")
-            marks, held, size, last = np.zeros(len(batch), np.int64), [], 0, [None]
+            ids, marks = batch.column("doc_id"), batch.column("mark").to_numpy()
+            held, size, last = [], 0, [None]
             for i, raw in enumerate(base.raw_texts(batch)):
-                marks[i] = zlib.crc32(raw) % MARK
                 for piece in pieces(i, symbols(raw), shape):
                     held.append(piece)
                     size += len(piece.symbols)
@@ -154,7 +150,7 @@ def seed_rows(docs: DataFrame, symbols_of: Callable[[], Callable[[bytes], np.nda
             if held:
                 yield emit(held, ids, marks, powers, last)
 
-    return docs.select("doc_id", "text").mapInArrow(run_all, SEEDS)
+    return docs.select("doc_id", "text", mark_of(F.col("text")).alias("mark")).mapInArrow(run_all, SEEDS)
 
 
 def classified(rows: DataFrame, keep_first: bool) -> DataFrame:
@@ -165,12 +161,13 @@ def classified(rows: DataFrame, keep_first: bool) -> DataFrame:
     """
     dealt = rows.repartition("gram")
     of_class = Window.partitionBy("gram", "context")
-    in_order = of_class.orderBy(F.col("doc_id").asc_nulls_last(), "place")
+    in_order = of_class.orderBy(F.col("doc_id").asc_nulls_last(), "place", "mark")
     of_gram = Window.partitionBy("gram")
     seen = dealt.select(
         "gram",
         "doc_id",
         "place",
+        "mark",
         "n",
         F.rank().over(in_order).alias("number"),
         F.row_number().over(in_order).alias("row"),
@@ -179,14 +176,13 @@ def classified(rows: DataFrame, keep_first: bool) -> DataFrame:
     )
     settled = (F.col("n") == 0) | (F.col("number") > 1 if keep_first else F.col("total") > 1)
     opened = F.col("several") & (F.col("row") == 1) & (F.col("n") > 0)
-    judged = seen.filter("row = number").select("gram", "doc_id", "place", settled.alias("settled"), opened.alias("opened"))
+    judged = seen.filter("row = number").select("gram", "doc_id", "place", "mark", settled.alias("settled"), opened.alias("opened"))
     return base.materialize(judged.filter("settled or opened"), "seeds")
 
 
 def at_documents(docs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
     """Texts of documents with the list `items` of their rows: structs of place and the columns; null without any."""
-    position, mark = F.expr(f"place div {MARK}"), F.expr(f"place % {MARK}")
-    grouped = rows.groupBy(F.col("doc_id").alias("of"), mark.alias("of_mark")).agg(F.collect_list(F.struct(position.alias("place"), *columns)).alias("items"))
+    grouped = rows.groupBy(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark")).agg(F.collect_list(F.struct("place", *columns)).alias("items"))
     own = docs.select("doc_id", "text", mark_of(F.col("text")).alias("mark"))
     return own.join(grouped, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")), "left").select("doc_id", "text", "mark", "items")
 

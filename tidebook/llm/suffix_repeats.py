@@ -33,8 +33,8 @@ LENGTH = 400
 GRAM = 50
 SLICE = 1 << 21
 GROUP = 20_000
-CONTEXTS = "gram long, doc_id long, place long, before binary, after binary"
-REACHED = "doc_id long, place long, back long, on long"
+CONTEXTS = "gram long, doc_id long, place long, mark long, before binary, after binary"
+REACHED = "doc_id long, place long, mark long, back long, on long"
 BLOCK = 1 << 24
 
 
@@ -54,7 +54,7 @@ def contexts_of(docs: DataFrame, opened: DataFrame, shape: seeds.Shape) -> DataF
             for doc_id, mark, raw, items in zip(*columns, strict=True):
                 for item in items.as_py():
                     at = item["place"]
-                    rows.append((item["gram"], doc_id, at * seeds.MARK + mark, raw[max(0, at - shape.left) : at][::-1], raw[at : at + shape.length]))
+                    rows.append((item["gram"], doc_id, at, mark, raw[max(0, at - shape.left) : at][::-1], raw[at : at + shape.length]))
                     size += 2 * shape.length
                 if size > BLOCK:
                     yield packed(rows)
@@ -63,9 +63,9 @@ def contexts_of(docs: DataFrame, opened: DataFrame, shape: seeds.Shape) -> DataF
                 yield packed(rows)
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["gram", "doc_id", "place", "before", "after"]
+            [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["gram", "doc_id", "place", "mark", "before", "after"]
         )
 
     return around.mapInArrow(cut, CONTEXTS)
@@ -177,7 +177,7 @@ def refined(contexts: DataFrame, shape: seeds.Shape, group: int) -> tuple[DataFr
     A repeat begins 0 to `left` bytes before the anchor. A large group is halved by that place: members of
     a half share all bytes that every repeat of the half covers. Halves of one place agree on a repeat.
     """
-    held = contexts.select("gram", "doc_id", "place", "before", "after", F.lit(0).alias("low"), F.lit(shape.left).alias("high"))
+    held = contexts.select("gram", "doc_id", "place", "mark", "before", "after", F.lit(0).alias("low"), F.lit(shape.left).alias("high"))
     settled = None
     while True:
         large = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group).select(F.col("gram").alias("of"))
@@ -186,20 +186,20 @@ def refined(contexts: DataFrame, shape: seeds.Shape, group: int) -> tuple[DataFr
             return held, settled
         same = F.col("gram") == F.col("of")
         small, big = held.join(large, same, "left_anti"), held.join(large, same, "left_semi")
-        done = big.filter("low = high").select("doc_id", "place", F.col("low").cast("long").alias("back"), (F.lit(shape.length) - F.col("low")).cast("long").alias("on"))
+        done = big.filter("low = high").select("doc_id", "place", "mark", F.col("low").cast("long").alias("back"), (F.lit(shape.length) - F.col("low")).cast("long").alias("on"))
         done = base.materialize(done, "agreed")
         settled = done if settled is None else settled.unionByName(done)
         middle = F.expr("(low + high) div 2").cast("int")
         halves = big.filter("low < high").withColumn("half", F.explode(F.array(F.struct(F.col("low").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("high").alias("b")))))
         halves = halves.filter((F.octet_length("before") >= F.col("half.a")) & (F.octet_length("after") >= shape.length - F.col("half.b")))
         core = F.xxhash64("gram", "half", F.expr("substring(before, 1, half.a)"), F.expr(f"substring(after, 1, {shape.length} - half.b)"))
-        halves = halves.select(core.alias("gram"), "doc_id", "place", "before", "after", F.col("half.a").alias("low"), F.col("half.b").alias("high"))
+        halves = halves.select(core.alias("gram"), "doc_id", "place", "mark", "before", "after", F.col("half.a").alias("low"), F.col("half.b").alias("high"))
         held = base.materialize(small.unionByName(halves), "contexts")
 
 
 def scan_groups(contexts: DataFrame, shape: seeds.Shape) -> DataFrame:
     """Suffix arrays of all groups: how far each anchor's repeats reach back and on."""
-    dealt = contexts.select("gram", "doc_id", "place", "before", "after").repartition("gram").sortWithinPartitions("gram")
+    dealt = contexts.select("gram", "doc_id", "place", "mark", "before", "after").repartition("gram").sortWithinPartitions("gram")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -228,9 +228,9 @@ def scan_groups(contexts: DataFrame, shape: seeds.Shape) -> DataFrame:
                     taken.append(begin + member)
                     back.append(b)
                     on.append(o)
-        where = rows.select(["doc_id", "place"]).take(pa.array(taken, pa.int64())).combine_chunks()
-        columns = [where.column("doc_id"), where.column("place"), pa.array(back, pa.int64()), pa.array(on, pa.int64())]
-        yield from pa.table(columns, names=["doc_id", "place", "back", "on"]).to_batches()
+        where = rows.select(["doc_id", "place", "mark"]).take(pa.array(taken, pa.int64())).combine_chunks()
+        columns = [where.column("doc_id"), where.column("place"), where.column("mark"), pa.array(back, pa.int64()), pa.array(on, pa.int64())]
+        yield from pa.table(columns, names=["doc_id", "place", "mark", "back", "on"]).to_batches()
 
     return dealt.mapInArrow(run, REACHED)
 
@@ -240,7 +240,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group:
     docs = docs.select("doc_id", "text")
     shape = seeds.Shape(length, gram, SLICE)
     found = seeds.classified(seeds.seed_rows(docs, byte_symbols, shape), keep_first=False)
-    settled = found.filter("settled").select("doc_id", "place", F.lit(shape.left).cast("long").alias("back"), F.lit(length).cast("long").alias("on"))
+    settled = found.filter("settled").select("doc_id", "place", "mark", F.lit(shape.left).cast("long").alias("back"), F.lit(length).cast("long").alias("on"))
     contexts, agreed = refined(base.materialize(contexts_of(docs, found.filter("opened"), shape), "contexts"), shape, group)
     scanned = scan_groups(contexts, shape)
     every = settled.unionByName(scanned) if agreed is None else settled.unionByName(scanned).unionByName(agreed)
