@@ -208,3 +208,13 @@ def test_shingles_of_odd_tables(frame, rows):
     assert got == [(4, 4), (4, 4), (5, 5), (None, 4)]
     kept = rows(ngram_join.representatives(frame([(4, "q w e r t y"), (4, "q w e r t y"), (6, "q w e r t y"), (5, None)]), 5, 80), "doc_id")
     assert kept == [(4,), (5,)]
+
+
+def test_texts_of_one_id_are_linked_on_their_own(frame, rows):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = one.replace("a30 ", "other ")
+    docs = [(1, one), (None, near), (2, two), (None, two), (None, three), (6, one), (6, three), (7, "p q r s t"), (7, "u v w x y"), (8, None), (8, "")]
+    got = rows(ngram_join.groups(frame(docs), 4, 80), "doc_id", "component_id")
+    assert got == sorted([(1, 1), (None, 1), (2, 2), (None, 2), (None, 6), (6, 1), (6, 6), (7, 7), (7, 7), (8, 8), (8, 8)], key=repr)
+    kept = rows(ngram_join.representatives(frame([*docs, (7, "p q r s t"), (None, two)]), 4, 80), "doc_id", "text")
+    assert kept == sorted([(1, one), (2, two), (6, three), (7, "p q r s t"), (7, "u v w x y"), (8, None), (8, "")], key=repr)

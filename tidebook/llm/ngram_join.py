@@ -21,8 +21,9 @@ these only pairs that share as many keys as the pigeonhole demands of a link. Ev
 on the sets themselves. Equal sets are merged and keys combined within slices before the shuffle.
 
 Null and empty texts have no shingles and no links; texts with fewer words than a shingle are one
-shingle. Rows with the same id are one document, linked where any of its texts is; null ids are one
-document too, larger than any other. Other columns are ignored.
+shingle. The join runs on a key of id and text, so other texts of an id, or without one, are linked on
+their own; rows with equal id and text are one set. A component is named by its least id; null ids are
+larger than any other. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,7 +49,6 @@ CHANCE = 0.01
 FREQUENT = 64
 SPARE = 0.1
 ROWS = 1 << 19
-NOBODY = (1 << 63) - 1
 POSTED = "key long, sig long, doc long, info int, n int, leader long"
 FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64)) for i in range(64)]
 
@@ -157,19 +157,24 @@ class Poster:
         return np.concatenate(keys), (((max(slack, -1) + 1) * 128 + number) * 4 + weight).astype(np.int32)
 
 
-def set_sizes(docs: DataFrame, size: int) -> DataFrame:
-    """Number of distinct shingles of every row: doc_id, n_shingles."""
+def row_key() -> F.Column:
+    """62 bits of id and text, by which rows are told apart."""
+    return base.spread(F.col("doc_id").isNull(), "doc_id", F.coalesce("text", F.lit("")))
+
+
+def set_sizes(rows: DataFrame, size: int) -> DataFrame:
+    """Number of distinct shingles of every keyed row: doc_id, key, n_shingles."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             counts = [len(elements) for elements in shingles(list(base.raw_texts(batch)), size, powers)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64())], names=["doc_id", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64())], names=["doc_id", "key", "n_shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n_shingles long")
+    return rows.mapInArrow(count, "doc_id long, key long, n_shingles long")
 
 
-def post_keys(docs: DataFrame, size: int, bands: list[Band], percent: int) -> DataFrame:
+def post_keys(rows: DataFrame, size: int, bands: list[Band], percent: int) -> DataFrame:
     """Keys of all sets, combined per slice.
 
     n > 0: the least document of a slice with this key, of n. n = 0: another one, under a key of its own,
@@ -208,7 +213,7 @@ def post_keys(docs: DataFrame, size: int, bands: list[Band], percent: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, poster = Powers(), Poster(bands, percent)
         for batch in batches:
-            ids = [NOBODY if v is None else v for v in batch.column("doc_id").to_pylist()]
+            ids = batch.column("key").to_pylist()
             sets: dict[bytes, tuple[int, np.ndarray]] = {}
             twins: list[tuple[int, int]] = []
             held = 0
@@ -237,7 +242,7 @@ def post_keys(docs: DataFrame, size: int, bands: list[Band], percent: int) -> Da
                 infos.append(info)
         yield packed(docs_, keys, infos, [t for t in twins if t[0] != t[1]])
 
-    return docs.select("doc_id", "text").mapInArrow(run, POSTED)
+    return rows.select("key", "text").mapInArrow(run, POSTED)
 
 
 def meetings(posted: DataFrame) -> DataFrame:
@@ -395,17 +400,17 @@ def across_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return shared.filter("shared >= demand").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
-def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
-    """Every row with its number of shingles and its component: doc_id, n_shingles, component_id."""
-    docs = docs.select("doc_id", "text")
+def joined(docs: DataFrame, size: int, percent: int, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+    """Every row with its key and number of shingles (doc_id, key, n_shingles), and the component of linked keys (node, component)."""
+    docs = docs.select("doc_id", row_key().alias("key"), "text")
     sizes = base.materialize(set_sizes(docs, size), "sizes")
     met = meetings(post_keys(docs, size, bands_of(sizes, percent), percent))
     twins = met.filter("n < 0").select(F.col("doc").alias("a"), F.col("leader").alias("b"))
     rows, hot = parted(met, frequent)
 
     members = rows.select("doc").union(rows.select("leader")).union(hot.select("doc")).distinct()
-    own = docs.select(F.coalesce("doc_id", F.lit(NOBODY)).alias("doc"), "text")
-    texts = base.materialize(own.join(members, "doc", "left_semi"), "texts")
+    own = docs.select(F.col("key").alias("doc"), "text").join(members, "doc", "left_semi")
+    texts = base.materialize(own.groupBy("doc").agg(F.first("text").alias("text")), "texts")
 
     stars = rows.filter("doc <> leader").groupBy(F.col("doc").alias("a"), F.col("leader").alias("b"), "instance").agg(F.count(F.lit(1)).alias("shared"), F.max("demand").alias("demand"))
     stars = base.materialize(stars.filter("shared >= demand").select("a", "b").distinct(), "stars")
@@ -416,30 +421,37 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, frequen
     pairs = across_components(rows, labels).union(across_pivots(apart, labels, percent)).distinct()
     pairs = base.materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     more = linked(pairs, texts, size, percent)
-    return named(sizes, labels if more.isEmpty() else components(links.union(more)))
+    return sizes, labels if more.isEmpty() else components(links.union(more))
 
 
-def named(sizes: DataFrame, labels: DataFrame) -> DataFrame:
-    node = F.coalesce("doc_id", F.lit(NOBODY))
-    component = F.coalesce("component", node)
-    joined = sizes.join(labels, (node == F.col("node")) & (F.col("n_shingles") > 0), "left")
-    return joined.select("doc_id", "n_shingles", F.when(component != NOBODY, component).alias("component_id"))
+def labelled(sizes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with the component of their key, null for none, and per component its first row: group, first (none, doc_id, key)."""
+    rows = base.materialize(sizes.join(labels, F.col("key") == F.col("node"), "left").select("doc_id", "key", "n_shingles", "component"), "labelled")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
+    return rows, rows.filter("component is not null").groupBy(F.col("component").alias("group")).agg(first)
+
+
+def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
+    """Every row with its number of shingles and its component: doc_id, n_shingles, component_id."""
+    rows, firsts = labelled(*joined(docs, size, percent, frequent))
+    named = rows.join(firsts, F.col("component") == F.col("group"), "left")
+    return named.select("doc_id", "n_shingles", F.when(F.col("group").isNotNull(), F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def representatives(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The documents, with one row for each group of near copies: that of the least id.
+    """The documents, with one row for each group of near copies: that of the least id, any id before none.
 
-    Of several rows with that id the one with the least hash of its text stays. Rows without an id stay,
-    since their group cannot be told.
+    Of several texts of that id in the group the one with the least key stays, and of equal rows one.
+    Texts without words are in no group and stay.
     """
-    found = groups(docs, size, percent)
-    copies = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
-    left = docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
-    shared = docs.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__of")).agg(F.min(F.xxhash64("text")).alias("__least"), F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    shared = base.materialize(shared, "shared-ids")
-    if shared.isEmpty():
-        return left
-    joined = left.join(shared, F.col("doc_id") == F.col("__of"), "left")
-    first = Window.partitionBy("doc_id").orderBy(F.col("__n").isNull())
-    again = joined.filter("__n is not null").filter(F.xxhash64("text") == F.col("__least")).withColumn("__row", F.row_number().over(first)).filter("__row = 1")
-    return joined.filter("__n is null").select(*docs.columns).unionByName(again.select(*docs.columns))
+    rows, firsts = labelled(*joined(docs, size, percent))
+    later = rows.join(firsts, F.col("component") == F.col("group")).filter(F.col("key") != F.col("first.key"))
+    copies = later.select(F.col("key").alias("__copy")).distinct()
+    again = rows.filter("n_shingles > 0").groupBy(F.col("key").alias("__of")).count().filter("count > 1").select("__of")
+    again = base.materialize(again, "equal-rows")
+    left = docs.withColumn("__key", row_key()).join(copies, F.col("__key") == F.col("__copy"), "left_anti")
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    equal = left.join(again, F.col("__key") == F.col("__of"), "left_semi")
+    single = equal.groupBy("__key").agg(F.first(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return left.join(again, F.col("__key") == F.col("__of"), "left_anti").select(*docs.columns).unionByName(single)
