@@ -45,12 +45,36 @@ def test_a_batch_written_again_replaces_itself(spark, here):
     assert spark.table(here.hot("trades")).count() == 60
 
 
+def test_batches_add_up_whatever_the_overwrite_mode(spark, here):
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        try:
+            tiers.write_hot(trade_rows(spark), here, "trades", f"{mode} a")
+            tiers.write_hot(trade_rows(spark, 2, 7), here, "trades", f"{mode} b")
+            tiers.write_hot(trade_rows(spark, 1, 4), here, "trades", f"{mode} b")
+            tiers.end_of_day(spark, here, "2024-11-15")
+        finally:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert days_of(spark.table(here.warm("trades"))) == {"2024-11-15": 28}
+    assert days_of(tiers.read_archive(spark, here, "trades")) == {"2024-11-15": 28}
+    assert days_of(spark.table(here.hot("trades"))) == {"2024-11-16": 20, "2024-11-17": 20}
+
+
+def test_a_late_batch_leaves_the_files_of_the_day(spark, here):
+    tiers.write_hot(trade_rows(spark, 1), here, "trades", "first")
+    tiers.end_of_day(spark, here, "2024-11-15")
+    files = {f for f in spark.table(here.warm("trades")).inputFiles() + tiers.read_archive(spark, here, "trades").inputFiles()}
+    tiers.write_hot(late(spark, 1, 3), here, "trades", "second")
+    tiers.end_of_day(spark, here, "2024-11-15")
+    assert files <= {*spark.table(here.warm("trades")).inputFiles(), *tiers.read_archive(spark, here, "trades").inputFiles()}
+
+
 def test_export_is_snappy_and_reads_back(spark, here):
     tiers.write_hot(trade_rows(spark), here, "trades", 1)
     tiers.migrate_day(spark, here, "trades", "2024-11-16")
     folder = tiers.export_day(spark, here, "trades", "2024-11-16")
     assert folder.endswith("trades/date=2024-11-16")
-    assert list(Path(folder).glob("*.snappy.parquet"))
+    assert list(Path(folder).rglob("*.snappy.parquet"))
     assert days_of(tiers.read_archive(spark, here, "trades")) == {"2024-11-16": 10}
 
 

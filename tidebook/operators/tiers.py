@@ -1,10 +1,13 @@
 """Hot, warm and archive tiers: daily tables, migration, export, retention.
 
-Hot tables are written batch by batch and partitioned by `date, batch`; a repeated batch replaces
-itself. Warm tables are partitioned by `date` and sorted by ticker and time. The archive is a plain
-Parquet directory per table and day. Warm and archived rows keep the name of their batch: a batch that
-is moved again replaces its own rows, and all other rows of the day stay. So each step can be repeated,
-late batches join a day that has been moved before, and no step ever writes less than it found.
+Hot tables are written batch by batch and partitioned by `batch, date`; a repeated batch replaces
+itself. Warm tables and the archive, a plain Parquet directory per table and day, are partitioned by
+`date, batch` and sorted by ticker and time. A batch that is moved again replaces its own partitions, and
+nothing else of the day is read or written. So each step can be repeated, late batches join a day that has
+been moved before at the cost of their own rows, and no step ever writes less than it found.
+
+No write here depends on the overwrite mode of the session: a hot batch names its partition in the
+statement, and the moves write the paths of their partitions and then tell the catalog.
 """
 
 from __future__ import annotations
@@ -73,7 +76,7 @@ def create_tiers(spark: SparkSession, tiers: Tiers, location: str | None = None)
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name){where}", args={"name": tiers.database})
     for table in TABLE_SCHEMAS:
-        _create(spark, tiers.hot(table), batched(table), ["date", "batch"])
+        _create(spark, tiers.hot(table), batched(table), ["batch", "date"])
     create_warm_tables(spark, tiers)
     _create(spark, tiers.log, LOG_SCHEMA, [])
 
@@ -81,54 +84,68 @@ def create_tiers(spark: SparkSession, tiers: Tiers, location: str | None = None)
 def create_warm_tables(spark: SparkSession, tiers: Tiers) -> None:
     """Empty daily-partitioned warm tables; filling them is left to the migration."""
     for table in WARM_TABLES:
-        _create(spark, tiers.warm(table), batched(table), ["date"])
-
-
-def _overwrite_partitions(rows: DataFrame, name: str) -> None:
-    columns = rows.sparkSession.table(name).columns
-    (
-        rows.select(*columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name)
-    )
+        _create(spark, tiers.warm(table), batched(table), ["date", "batch"])
 
 
 def write_hot(rows: DataFrame, tiers: Tiers, table: str, batch: str | int) -> None:
     """Add the rows of one batch to a hot table. The same batch written again replaces itself, on days
     that it no longer has as well.
 
-    Rows are brought together by day first, or else every task would write a file for every day of a
-    long backfill. Adaptive execution splits big days and joins small ones into even files.
+    The statement names the batch, so that it overwrites no other one whatever the overwrite mode. Rows are
+    brought together by day first, or else every task would write a file for every day of a long backfill.
+    Adaptive execution splits big days and joins small ones into even files.
     """
     spark, name = rows.sparkSession, tiers.hot(table)
     drop_partitions(spark, name, partitions(spark, name, batch=str(batch)))
-    named = rows.withColumn("batch", F.lit(str(batch))).hint("rebalance", "date")
-    _overwrite_partitions(named.sortWithinPartitions("date", "ticker", "ts_ms"), tiers.hot(table))
+    ordered = rows.hint("rebalance", "date").sortWithinPartitions("date", "ticker", "ts_ms")
+    columns = ", ".join(f"`{column}`" for column in TABLE_SCHEMAS[table].names if column != "date")
+    given = _spec({"batch": str(batch)})
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({given}, date) SELECT {columns}, date FROM {{ordered}}", ordered=ordered)
 
 
 # --- hot to warm to archive ----------------------------------------------------------------------
 
 
-def _laid_out(rows: DataFrame) -> DataFrame:
-    """Even files sorted by ticker and time. Ranges include the time, so a busy ticker is split."""
-    return rows.repartitionByRange("date", "ticker", "ts_ms").sortWithinPartitions("date", "ticker", "ts_ms")
+def _write_batches(rows: DataFrame, path: str) -> None:
+    """Write the `date, batch` partitions that the rows have, each in place of what it held before.
 
+    Even files sorted by ticker and time: ranges include the time, so a busy ticker is split.
+    """
+    laid_out = rows.repartitionByRange("date", "batch", "ticker", "ts_ms").sortWithinPartitions("date", "batch", "ticker", "ts_ms")
+    (
+        laid_out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy("date", "batch")
+        .parquet(path)
+    )
 
-def _joined(fresh: DataFrame, held: DataFrame) -> DataFrame:
-    """Rows to write over the days of `fresh`: these, and what is held there of other batches."""
-    days = fresh.select(F.col("date").alias("of_date")).distinct()
-    batches = fresh.select(F.col("date").alias("of_date"), F.col("batch").alias("of_batch")).distinct()
-    same_day = F.col("date") == F.col("of_date")
-    others = held.join(days, same_day, "left_semi").join(batches, same_day & F.col("batch").eqNullSafe(F.col("of_batch")), "left_anti")
-    return fresh.select(*held.columns).unionByName(others)
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
+    return described.filter("col_name = 'Location'").first().data_type
+
+
+def _add_partitions(spark: SparkSession, name: str, listed: list[str]) -> None:
+    for first in range(0, len(listed), SPECS):
+        clause = " ".join(f"PARTITION ({_spec(_values(p))})" for p in listed[first : first + SPECS])
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD IF NOT EXISTS {clause}", args={"name": name})
+    spark.catalog.refreshTable(name)
+
+
+def _to_warm(rows: DataFrame, tiers: Tiers, table: str, listed: list[str]) -> None:
+    """Write rows of listed hot partitions to the warm table."""
+    spark, name = rows.sparkSession, tiers.warm(table)
+    _write_batches(rows, _location(spark, name))
+    _add_partitions(spark, name, listed)
 
 
 def migrate_days(spark: SparkSession, tiers: Tiers, table: str, start: str | dt.date, end: str | dt.date) -> None:
     """Copy the days `start..end` from hot to warm in one job. Days without hot rows are left alone."""
     days = F.col("date").between(F.lit(parse_day(start)), F.lit(parse_day(end)))
-    hot, warm = (spark.table(name).filter(days) for name in (tiers.hot(table), tiers.warm(table)))
-    _overwrite_partitions(_laid_out(_joined(hot, warm)), tiers.warm(table))
+    moved = [row.partition for row in partitions(spark, tiers.hot(table)).filter(days).toLocalIterator()]
+    if moved:
+        _to_warm(spark.table(tiers.hot(table)).filter(days), tiers, table, moved)
 
 
 def migrate_day(spark: SparkSession, tiers: Tiers, table: str, day: str | dt.date) -> None:
@@ -149,27 +166,20 @@ def export_day(spark: SparkSession, tiers: Tiers, table: str, day: str | dt.date
 def export_days(spark: SparkSession, tiers: Tiers, table: str, start: str | dt.date, end: str | dt.date) -> str:
     """Write the days `start..end` of a warm table to the archive in one job.
 
-    Archived rows of batches that the warm day no longer has, say after retention, stay; a day without
-    warm rows is left alone.
+    Archived batches that the warm day no longer has, say after retention, stay; a day without warm rows is
+    left alone.
     """
     target = f"{tiers.archive}/{table}"
     days = F.col("date").between(F.lit(parse_day(start)), F.lit(parse_day(end)))
-    held = _archived(spark, tiers, table).filter(days)
-    (
-        _laid_out(_joined(spark.table(tiers.warm(table)).filter(days), held))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("date")
-        .parquet(target)
-    )
+    _write_batches(spark.table(tiers.warm(table)).filter(days), target)
     return target
 
 
-def _archived(spark: SparkSession, tiers: Tiers, table: str) -> DataFrame:
-    """The archived days of a table with their batches; empty before the first export."""
+def _archived(spark: SparkSession, tiers: Tiers, table: str, day: dt.date) -> DataFrame:
+    """One archived day of a table with its batches; empty if it was never exported. Lists that day only."""
     try:
-        return spark.read.schema(batched(table)).parquet(f"{tiers.archive}/{table}")
+        reader = spark.read.schema(batched(table)).option("basePath", f"{tiers.archive}/{table}")
+        return reader.parquet(archive_path(tiers, table, day))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -178,7 +188,7 @@ def _archived(spark: SparkSession, tiers: Tiers, table: str) -> DataFrame:
 
 def read_archive(spark: SparkSession, tiers: Tiers, table: str) -> DataFrame:
     """The archived days of a table; `date` comes from the folder names."""
-    return spark.read.schema(TABLE_SCHEMAS[table]).parquet(f"{tiers.archive}/{table}")
+    return spark.read.schema(batched(table)).parquet(f"{tiers.archive}/{table}").select(*TABLE_SCHEMAS[table].names)
 
 
 # --- retention -----------------------------------------------------------------------------------
@@ -285,11 +295,12 @@ def end_of_day(spark: SparkSession, tiers: Tiers, day: str | dt.date) -> dict[st
         hot = tiers.hot(table)
         listed = [row.partition for row in partitions(spark, hot, date=f"{date:%Y-%m-%d}").toLocalIterator()]
         if listed:
-            migrate_day(spark, tiers, table, date)
-            export_day(spark, tiers, table, date)
             batches = spark.createDataFrame([(_values(p)["batch"], p) for p in listed], "of STRING, partition STRING")
+            here, mine = F.col("date") == F.lit(date), F.col("batch") == F.col("of")
+            _to_warm(spark.table(hot).filter(here).join(batches, mine, "left_semi"), tiers, table, listed)
+            _write_batches(spark.table(tiers.warm(table)).filter(here).join(batches, mine, "left_semi"), f"{tiers.archive}/{table}")
             moved = batches
-            for rows, into in ((spark.table(hot), "hot"), (spark.table(tiers.warm(table)), "warm"), (_archived(spark, tiers, table), "archive")):
+            for rows, into in ((spark.table(hot), "hot"), (spark.table(tiers.warm(table)), "warm"), (_archived(spark, tiers, table, date), "archive")):
                 moved = moved.join(_batch_counts(rows, date, into), F.col("of") == F.col("batch"), "left").drop("batch")
             wrong = moved.filter("hot <> coalesce(warm, 0) or hot <> coalesce(archive, 0)").first()
             if wrong:

@@ -11,14 +11,12 @@ from pyspark.sql import SparkSession
 def build_session(app: str = "tidebook", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the package relies on; `conf` adds to or replaces them.
 
-    The time zone is pinned to UTC because day boundaries are UTC days. Partition overwrite is
-    dynamic so that re-running a day replaces that day only.
+    The time zone is pinned to UTC because day boundaries are UTC days.
     """
     settings: dict[str, object] = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.dataFrameQueryContext.enabled": "false",
         "spark.ui.enabled": "false",
