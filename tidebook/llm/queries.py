@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import base, decontaminate, html_text, line_dedup, ngram_join, packing, quality, seed_extend, spotsigs, suffix_repeats, warc
+from tidebook.llm import base, decontaminate, html_text, line_dedup, ngram_join, packing, quality, seed_extend, simhash, spotsigs, suffix_repeats, warc
 
 
 def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(base.table(spark, sf_dir, "documents"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of three-word shingles and the classes of documents whose fingerprints differ in at most two bits."""
+    return simhash.groups(base.table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_line_dedup": op2_line_dedup,
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE = {
