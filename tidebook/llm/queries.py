@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import base, decontaminate, html_text, line_dedup, ngram_join, packing, quality, seed_extend, simhash, spotsigs, suffix_repeats, warc
+from tidebook.llm import base, conversations, decontaminate, html_text, line_dedup, ngram_join, packing, phrases, quality, seed_extend, simhash, spotsigs, suffix_repeats, warc
 
 
 def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +69,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(base.table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of two and three words of every language, by their weakest cut."""
+    return phrases.collocations(base.table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and the cheapest edits that make its roles alternate again."""
+    return conversations.repair(base.table(spark, sf_dir, "conversations"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of three-word shingles and the classes of documents whose fingerprints differ in at most two bits."""
     return simhash.groups(base.table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -85,6 +95,8 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_phrases": op11_phrases,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_simhash": op13_simhash,
 }
 
@@ -158,4 +170,34 @@ ORACLE = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest.text, '')) AS kept_sha256
         FROM docs LEFT JOIN rest USING (doc_id)
     """,
+    "op11_phrases": r"""
+        WITH cut AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM cut),
+        sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        grams AS (
+            SELECT lang, 1 AS size, unnest(w) AS phrase FROM pieces
+            UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM pieces
+            UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM pieces),
+        f AS (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL),
+        often AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+        larger AS (
+            SELECT lang, inner_phrase AS phrase, max(a) AS most
+            FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS inner_phrase FROM often WHERE size = 3) GROUP BY ALL),
+        parts AS (
+            SELECT *, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM often)),
+        scored AS (
+            SELECT p.lang, p.phrase, p.a, p.k, h.n AS l, t.n AS r,
+                CAST(1000000::HUGEINT * p.a * p.a // (h.n::HUGEINT * t.n) AS BIGINT) AS score
+            FROM parts p JOIN f h ON h.lang = p.lang AND h.phrase = p.head AND h.size = p.k
+            JOIN f t ON t.lang = p.lang AND t.phrase = p.tail AND t.size = p.size - p.k),
+        weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        ranked AS (
+            SELECT weakest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM weakest LEFT JOIN larger USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+    """,
 }
