@@ -17,7 +17,7 @@ from tidebook.plans import workload
 from tidebook.session import scratch_path, shared_dir
 from tidebook.sources import feed as feeds
 from tidebook.sources import pages, snapshots
-from tidebook.streaming import plant, record, windows
+from tidebook.streaming import plant, record, recovery, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -558,6 +558,20 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.table_counts({name: spark.table(here.hot(name)) for name in names})
 
 
+@query
+def hot_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of one table, the second written twice, moved to the warm tier in two goes."""
+    here = _new_tiers(spark)
+    rows = tables.shape_tables(workload.feed(spark, sf_dir))["trades"]
+    for number in (0, 1, 1):
+        tiers.write_hot(rows.filter(F.col("arrival") % 3 == number), here, "trades", f"part {number}")
+    first, last = span(spark, sf_dir)
+    tiers.migrate_days(spark, here, "trades", first, last)
+    tiers.write_hot(rows.filter(F.col("arrival") % 3 == 2), here, "trades", "late")
+    tiers.migrate_days(spark, here, "trades", first, last)
+    return _per_day(spark.table(here.warm("trades")))
+
+
 @query
 def migrate_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day moved twice."""
@@ -748,6 +762,64 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plant.published(spark, out).filter("channel = 'quarantine'").select("arrival", "ticker", "reason")
 
 
+def _recovered(spark: SparkSession, sf_dir: str) -> str:
+    """Five batches of every event as a delta: losses in the first two fifths, a snapshot after three."""
+    rows = workload.sequenced(spark, sf_dir).withColumnRenamed("ts_ms", "timestamp").withColumn("type", F.lit("orderbook_delta"))
+    low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    width = high - low + 1
+    taken = low + 3 * width // 5
+    part = F.expr(f"(arrival - {low}) * 5 div {width}")
+    kept = rows.filter((F.col("arrival") % 50 != 7) | (part >= 2)).withColumn("channel", F.col("type"))
+    feed_path, log_path = scratch_path(spark, "feed"), scratch_path(spark, "snapshots")
+    for number in range(5):
+        feeds.write_feed(kept.filter(part == number).coalesce(1), feed_path)
+    seen = workload.deltas(spark, sf_dir).filter(F.col("arrival") <= taken)
+    logged = snapshots.snapshot_of(book.book(seen), F.lit(0), arrival=F.lit(taken))
+    for number in range(4):  # an old poll without ticker after each of the first batches, then the real one
+        polled = logged if number == 3 else logged.limit(1).withColumn("ticker", F.lit("NONE"))
+        snapshots.write_snapshot_log(polled.coalesce(1), log_path)
+    messages = feeds.stream_feed(spark, feed_path, files_per_batch=1)
+    out, state, checkpoint = (scratch_path(spark, name) for name in ("books", "state", "checkpoint"))
+    stream = recovery.with_snapshots(messages, recovery.stream_snapshots(spark, log_path, files_per_batch=1))
+    _finish(recovery.recovery_stream(stream, out, state, checkpoint, rows=SHORT_SEGMENT))
+    return out
+
+
+@query
+def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The book of a feed that lost messages, made whole by a snapshot that came three batches later."""
+    return recovery.recovered_book(spark, _recovered(spark, sf_dir))
+
+
+@query
+def stream_recovery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each book went stale, its last gap, and the snapshot that closed it."""
+    return recovery.recoveries(spark, _recovered(spark, sf_dir)).drop("batch")
+
+
+@query
+def stream_record_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream recorded in five batches: rows per table, day and side of the hot tier."""
+    here = _new_tiers(spark)
+    _finish(record.record_stream(_landed_feed(spark, sf_dir, batches=5), here, scratch_path(spark, "checkpoint")))
+    names = ("trades", "orderbook_deltas", "tickers")
+    per_day = [
+        spark.table(here.hot(name)).groupBy(F.date_format("date", "yyyy-MM-dd").alias("date")).agg(F.count("*").alias("rows"), F.sum(F.col("arrival") % 1009).alias("arrivals"))
+        .select(F.lit(name).alias("table"), "*")
+        for name in names
+    ]
+    return per_day[0].unionByName(per_day[1]).unionByName(per_day[2])
+
+
+@query
+def stream_bbo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The `bbo` table as the plant writes it over five batches."""
+    here = _new_tiers(spark)
+    out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
+    _finish(plant.plant_stream(_landed_feed(spark, sf_dir, batches=5), out, state, checkpoint, tiers=here))
+    return text_date(spark.table(here.hot("bbo")), "date").select("ticker", *BBO_COLUMNS, "arrival", "ts_ms", "date")
+
+
 @query
 def stream_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows recorded per table by the stream."""

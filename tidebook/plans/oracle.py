@@ -428,6 +428,7 @@ UNION ALL SELECT 'sequence_gaps', count(*) FROM gaps WHERE gap""",
     ),
     # tiers
     "table_counts": with_(EVENTS, TRADE_TABLE_COUNTS.format(source="ev")),
+    "hot_batches": per_day("true"),
     "migrate_day": per_day("date = '2024-01-15'"),
     "migrate_days": per_day("true"),
     "export_days": per_day("true"),
@@ -464,6 +465,29 @@ FROM ev WHERE type = 'unsupported' OR type = 'orderbook_delta' AND arrival % 10
     "stream_record": with_(
         f"{EVENTS}, {LOSSY}", TRADE_TABLE_COUNTS.format(source="lossy") + "\nUNION ALL SELECT 'bbo', 0"
     ),
+    "stream_record_batches": with_(
+        f"{EVENTS}, {LOSSY}",
+        """SELECT CASE type WHEN 'trade' THEN 'trades' WHEN 'ticker' THEN 'tickers' ELSE 'orderbook_deltas' END AS "table",
+       date, count(*) AS rows, CAST(sum(arrival % 1009) AS BIGINT) AS arrivals
+FROM lossy WHERE type <> 'unsupported' GROUP BY type, date""",
+    ),
+    "stream_bbo_table": with_(
+        f"{LOSSY_DELTAS}, {SIZED}, {HISTORY}",
+        f"""SELECT ticker, {QUOTES}, arrival, ts_ms, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS date
+FROM history WHERE changed""",
+    ),
+    "stream_recovery": LIVE_BOOK,
+    "stream_recovery_log": with_(
+        f"""{EVENTS}, span AS (SELECT min(arrival) AS low, max(arrival) - min(arrival) + 1 AS width FROM ev),
+kept AS (
+  SELECT ticker, arrival, sequence, lag(sequence) OVER (PARTITION BY ticker ORDER BY arrival) AS before
+  FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY arrival) AS sequence FROM ev), span
+  WHERE arrival % 50 <> 7 OR (arrival - low) * 5 // width >= 2
+)""",
+        """SELECT ticker, min(arrival) AS stale_since, max(arrival) AS last_gap,
+       (SELECT low + 3 * width // 5 FROM span) AS recovered_at
+FROM kept WHERE sequence <> before + 1 GROUP BY ticker""",
+    ),
     "stream_bars": bars(3_600_000),
     "stream_gap_flags": with_(f"{EVENTS}, {LOSSY}", "SELECT ticker, arrival, sequence, last_sequence, gap FROM gaps"),
     "stream_bbo_changes": BBO_CHANGES,

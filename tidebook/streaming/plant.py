@@ -2,17 +2,13 @@
 
 Every micro-batch runs the batch operators with the books it opens with. A ticker that holds most of a
 batch is therefore cut into segments like in batch work; a state kept per ticker would put it into one
-task. State lies in buckets of tickers; a batch reads and writes those of its own tickers only. A bucket
-has two slots, and a batch writes the one that does not hold what it started from, so that a batch that
-is run again overwrites only its own result.
+task. `state` says how the state is kept.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidebook.operators.bbo import bbo_changes, bbo_history
@@ -20,78 +16,14 @@ from tidebook.operators.book import book
 from tidebook.operators.quality import last_sequences, sequence_gaps
 from tidebook.operators.routing import of_type, pass_through, quarantined_messages, valid_deltas
 from tidebook.operators.segments import SEGMENT_ROWS, plan_cut
+from tidebook.operators.tables import to_bbo
+from tidebook.operators.tiers import Tiers, write_hot
 from tidebook.sources.feed import INTAKE
 from tidebook.streaming.record import publish_batch, start, upsert_batch
+from tidebook.streaming.state import LEVEL, SEQUENCE, State, touched
 
-BUCKETS = 64
 
-LEVELS_STATE = T.StructType(
-    [
-        T.StructField("ticker", T.StringType()),
-        T.StructField("side", T.StringType()),
-        T.StructField("price", T.DoubleType()),
-        T.StructField("size", T.LongType()),
-    ]
-)
-SEQUENCE_STATE = T.StructType(
-    [T.StructField("ticker", T.StringType()), T.StructField("last_sequence", T.LongType())]
-)
-
-
-def bucket_of(ticker: str = "ticker"):
-    return F.pmod(F.xxhash64(ticker), F.lit(BUCKETS)).cast("int")
-
-
-def _state_schema(schema: T.StructType) -> T.StructType:
-    extra = [("batch_id", T.LongType()), ("bucket", T.IntegerType()), ("slot", T.IntegerType())]
-    return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in extra)])
-
-
-def load_state(spark: SparkSession, path: str, schema: T.StructType, batch_id: int, buckets: list[int]) -> tuple[DataFrame, dict[int, int]]:
-    """The state of some buckets before a batch, and the slot that holds it in each."""
-    try:
-        rows = spark.read.schema(_state_schema(schema)).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema), {}
-    mine = rows.filter(F.col("bucket").isin(buckets) & (F.col("batch_id") < batch_id))
-    newest = mine.groupBy("bucket").agg(F.max(F.struct("batch_id", "slot")).alias("last")).collect()
-    slots = {row["bucket"]: row["last"]["slot"] for row in newest}
-    current = F.lit(False)
-    for bucket, slot in slots.items():
-        current = current | ((F.col("bucket") == bucket) & (F.col("slot") == slot))
-    return mine.filter(current & F.col("ticker").isNotNull()).select(*schema.names), slots
-
-
-def save_state(rows: DataFrame, path: str, batch_id: int, buckets: list[int], slots: dict[int, int]) -> None:
-    """Keep the state of some buckets as of the end of a batch, in the slots that do not hold the one before.
-
-    A row without ticker stands for every bucket, so that an empty one is known to be empty.
-    """
-    spark = rows.sparkSession
-    free = {bucket: 1 - slots.get(bucket, 1) for bucket in buckets}
-    empty = spark.createDataFrame([(bucket,) for bucket in buckets], "bucket INT")
-    stated = rows.withColumn("bucket", bucket_of()).unionByName(empty, allowMissingColumns=True)
-    slot = F.create_map(*[F.lit(x) for pair in free.items() for x in pair])[F.col("bucket")]
-    (
-        stated.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .withColumn("slot", slot)
-        .hint("rebalance", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket", "slot")
-        .parquet(path)
-    )
-
-
-def _touched(batch: DataFrame) -> list[int]:
-    """The buckets of a batch's tickers."""
-    touched = batch.filter(F.col("ticker").isNotNull()).select(bucket_of().alias("bucket")).distinct()
-    return [row["bucket"] for row in touched.collect()]
-
-
-def _last_of(batch: DataFrame, sequences: DataFrame) -> DataFrame:
+def last_of(batch: DataFrame, sequences: DataFrame) -> DataFrame:
     """The last sequence of every ticker after a batch."""
     merged = sequences.withColumn("newer", F.lit(0)).unionByName(last_sequences(batch).withColumn("newer", F.lit(1)))
     return merged.groupBy("ticker").agg(F.max_by("last_sequence", "newer").alias("last_sequence"))
@@ -102,11 +34,11 @@ def flag_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int
     batch = batch.drop(INTAKE)
     batch.persist()
     try:
-        buckets = _touched(batch)
-        sequences, slots = load_state(batch.sparkSession, f"{state}/sequences", SEQUENCE_STATE, batch_id, buckets)
+        held = State(batch.sparkSession, state, batch_id, touched(batch))
+        sequences = held.of("sequence", *SEQUENCE)
         upsert_batch(sequence_gaps(batch, rows, sequences), out, batch_id)
-        if buckets:
-            save_state(_last_of(batch, sequences), f"{state}/sequences", batch_id, buckets, slots)
+        if held.buckets:
+            held.save(sequence=last_of(batch, sequences))
     finally:
         batch.unpersist()
 
@@ -116,15 +48,18 @@ def flag_stream(feed: DataFrame, out: str, state: str, checkpoint: str, rows: in
     return start(feed, checkpoint, lambda batch, batch_id: flag_batch(batch, batch_id, out, state, rows), **trigger)
 
 
-def plant_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int = SEGMENT_ROWS) -> None:
-    """Publish one micro-batch: pass-through messages, BBO changes, sequence gaps and rejects, by channel."""
-    spark = batch.sparkSession
+def plant_batch(
+    batch: DataFrame, batch_id: int, out: str, state: str, rows: int = SEGMENT_ROWS, tiers: Tiers | None = None
+) -> None:
+    """Publish one micro-batch: pass-through messages, BBO changes, sequence gaps and rejects, by channel.
+
+    With `tiers` the BBO changes are also written to the hot `bbo` table, as a batch of that table.
+    """
     batch = batch.drop(INTAKE)
     batch.persist()
     try:
-        buckets = _touched(batch)
-        opening, level_slots = load_state(spark, f"{state}/levels", LEVELS_STATE, batch_id, buckets)
-        sequences, sequence_slots = load_state(spark, f"{state}/sequences", SEQUENCE_STATE, batch_id, buckets)
+        held = State(batch.sparkSession, state, batch_id, touched(batch))
+        opening, sequences = held.of("level", *LEVEL), held.of("sequence", *SEQUENCE)
         cut = plan_cut(batch, rows)
         deltas = valid_deltas(of_type(batch, "orderbook_delta")).withColumn("ts_ms", F.col("timestamp"))
         bad = quarantined_messages(batch).select(F.lit("quarantine").alias("channel"), F.lit(3).alias("ord"), "arrival", "ticker", "reason")
@@ -146,22 +81,22 @@ def plant_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int
             .unionByName(bad, allowMissingColumns=True)
         )
         publish_batch(events, out, batch_id)
-        if not buckets:
-            return
-        save_state(book(deltas, rows=rows, opening=opening, cut=cut), f"{state}/levels", batch_id, buckets, level_slots)
-        save_state(_last_of(batch, sequences), f"{state}/sequences", batch_id, buckets, sequence_slots)
+        if tiers:
+            write_hot(to_bbo(quotes), tiers, "bbo", f"plant-{batch_id}")
+        if held.buckets:
+            held.save(level=book(deltas, rows=rows, opening=opening, cut=cut), sequence=last_of(batch, sequences))
     finally:
         batch.unpersist()
 
 
 def plant_stream(
-    feed: DataFrame, out: str, state: str, checkpoint: str, rows: int = SEGMENT_ROWS, **trigger
+    feed: DataFrame, out: str, state: str, checkpoint: str, rows: int = SEGMENT_ROWS, tiers: Tiers | None = None, **trigger
 ) -> StreamingQuery:
     """Run the plant on a stream of messages; read the result with `published`.
 
     Batches must come in arrival order. Nothing is ever late: arrival order is the order of the books.
     """
-    return start(feed, checkpoint, lambda batch, batch_id: plant_batch(batch, batch_id, out, state, rows), **trigger)
+    return start(feed, checkpoint, lambda batch, batch_id: plant_batch(batch, batch_id, out, state, rows, tiers), **trigger)
 
 
 def published(spark: SparkSession, out: str) -> DataFrame:
