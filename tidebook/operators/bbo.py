@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebook.functions.scalars import is_crossed, mid_price, pair_changed, spread
+from tidebook.functions.scalars import book_ms, is_crossed, mid_price, pair_changed, spread
 from tidebook.operators.book import (
     LEVEL,
     OPENING_SEGMENT,
@@ -53,10 +53,13 @@ def with_mid_spread(quotes: DataFrame) -> DataFrame:
     return quotes.withColumn("mid_price", mid_price(bid, ask)).withColumn("spread", spread(bid, ask))
 
 
-def bbo(deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None) -> DataFrame:
+def bbo(
+    deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None = None, intake_ms: Column | None = None
+) -> DataFrame:
     """BBO of every ticker after its last delta, with mid and spread.
 
-    `ts_ms` is the time of the last delta, `sequence` the highest one (0 if none was given).
+    `ts_ms` is the time of the last delta, or `intake_ms` where that delta has none or 0; `sequence` is the
+    highest one (0 if none was given).
     """
     levels = closing_levels(deltas, rows, opening)
     zero = F.lit(0).cast("bigint")
@@ -65,7 +68,7 @@ def bbo(deltas: DataFrame, rows: int = SEGMENT_ROWS, opening: DataFrame | None =
         F.greatest(zero, F.max("sequence")).alias("sequence") if "sequence" in levels.columns else F.max(zero).alias("sequence"),
         F.max_by("since_ms", "last_arrival").alias("ts_ms"),
     )
-    return with_mid_spread(quotes)
+    return with_mid_spread(quotes.withColumn("ts_ms", book_ms(F.col("ts_ms"), intake_ms)))
 
 
 def crossed(quotes: DataFrame) -> DataFrame:

@@ -68,26 +68,57 @@ def sliding_gap_rate(gaps: DataFrame, interval: str = "5 minutes", every: str =
     )
 
 
+#: Ranks of a window's sketch are off by at most one part in so many.
+SKETCH = 1000
+
+
 def latency_quantile(
     messages: DataFrame, interval: str = "5 minutes", percent: int = 99, limit: float | None = None
 ) -> DataFrame:
     """Exact nearest-rank quantile of `latency` per interval, and whether it is above `limit`.
 
-    Latencies are counted per value before the shuffle; the ranking then runs over distinct values.
+    A mergeable sketch of each window, combined before the shuffle, says between which two latencies the
+    quantile lies. Only what lies between them is then counted value by value and ranked, a few of a
+    thousand messages of a window; all others are counted as below or above. A sketch that does not
+    enclose the quantile fails the job.
     """
     width = interval_ms(interval)
-    measured = messages.filter(F.col("latency").isNotNull())
-    counted = measured.groupBy(
-        (floor_div(F.col("ts_ms"), width) * width).alias("window_ms"), "latency"
-    ).agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("window_ms").orderBy("latency")
-    ranked = counted.withColumn("cumulative", F.sum("n").over(upto)).withColumn(
-        "total", F.sum("n").over(Window.partitionBy("window_ms"))
+    window = (floor_div(F.col("ts_ms"), width) * width).alias("window_ms")
+    measured = messages.filter(F.col("latency").isNotNull()).select(window, "latency")
+    ends = [max(0.0, percent / 100 - 2 / SKETCH), min(1.0, percent / 100 + 2 / SKETCH)]
+    sketched = measured.groupBy("window_ms").agg(
+        F.percentile_approx("latency", F.array(*map(F.lit, ends)), SKETCH).alias("ends"), F.count(F.lit(1)).alias("messages")
     )
-    reached = F.col("cumulative") * 100 >= F.col("total") * percent
-    result = ranked.groupBy("window_ms").agg(
-        F.sum("n").alias("messages"), F.min(F.when(reached, F.col("latency"))).alias("latency")
+    near = sketched.select("window_ms", "messages", F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"))
+    placed = measured.join(near, "window_ms").filter(F.col("latency") <= F.col("high"))
+    value = F.when(F.col("latency") >= F.col("low"), F.col("latency")).alias("value")
+    counted = placed.groupBy("window_ms", "messages", value).agg(F.count(F.lit(1)).alias("n"))
+    # Those below the bucket have no value and come first.
+    upto = Window.partitionBy("window_ms").orderBy(F.asc_nulls_first("value"))
+    reached = F.sum("n").over(upto) * 100 >= F.col("messages") * percent
+    found = counted.withColumn("reached", reached).groupBy("window_ms", "messages").agg(
+        F.min(F.when(F.col("reached"), F.col("value"))).alias("latency"),
+        F.max(F.col("reached") & F.col("value").isNull()).alias("below"),
     )
+    missed = F.raise_error(F.lit("the sketch does not enclose the quantile"))
+    sound = F.col("latency").isNotNull() & ~F.col("below")
+    result = found.select("window_ms", "messages", F.when(sound, F.col("latency")).otherwise(missed.cast(found.schema["latency"].dataType)).alias("latency"))
     if limit is None:
         return result
     return result.withColumn("alert", F.col("latency") > F.lit(limit))
+
+
+def latency_alerts(quantiles: DataFrame, interval: str = "5 minutes", hold: str = "5 minutes") -> DataFrame:
+    """Stretches of windows in a row that are above the limit, and whether they last for `hold`.
+
+    `quantiles` are those of `latency_quantile` with a limit. A window without messages ends a stretch. There is
+    one row per window, so their order is that of a clock and not of the feed.
+    """
+    width = interval_ms(interval)
+    alerts = quantiles.filter("alert").select("window_ms", "latency")
+    order = F.row_number().over(Window.orderBy("window_ms"))
+    islands = alerts.withColumn("island", F.col("window_ms") - order * F.lit(width).cast("bigint"))
+    stretches = islands.groupBy("island").agg(
+        F.min("window_ms").alias("start_ms"), (F.max("window_ms") + width).alias("end_ms"), F.count(F.lit(1)).alias("windows"), F.max("latency").alias("worst")
+    )
+    return stretches.drop("island").withColumn("fired", F.col("end_ms") - F.col("start_ms") >= interval_ms(hold))

@@ -20,11 +20,6 @@ def of_type(feed: DataFrame, kind: str) -> DataFrame:
     return feed.filter(F.col("type") == kind)
 
 
-def route(feed: DataFrame) -> dict[str, DataFrame]:
-    """One branch per supported message type. Other types are in no branch; `type_counts` shows them."""
-    return {kind: of_type(feed, kind) for kind in MESSAGE_TYPES}
-
-
 def pass_through(feed: DataFrame) -> DataFrame:
     """Trades and tickers, which are forwarded as they are."""
     return feed.filter(F.col("type").isin("trade", "ticker"))

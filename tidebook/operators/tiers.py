@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidebook.functions.scalars import parse_day
-from tidebook.operators.trades import day_slice
+from tidebook.operators.trades import day_slice, latest
 from tidebook.schemas import TABLE_SCHEMAS, WARM_TABLES
 
 RETENTION_DAYS = 90
 # Partitions named in one statement.
 SPECS = 500
 
+#: Files say by a Bloom filter whether they have a ticker; rows are sorted by it, so row groups say so too.
+BY_TICKER = {"parquet.bloom.filter.enabled#ticker": "true", "parquet.bloom.filter.expected.ndv#ticker": "10000"}
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType()),
@@ -63,7 +66,9 @@ class Tiers:
 def _create(spark: SparkSession, name: str, schema: T.StructType, keys: list[str]) -> None:
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
     by = f" PARTITIONED BY ({', '.join(keys)})" if keys else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet{by}", args={"name": name})
+    options = ", ".join(f"'{key}' = '{value}'" for key, value in BY_TICKER.items()) if "ticker" in schema.names else ""
+    with_options = f" OPTIONS ({options})" if options else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet{with_options}{by}", args={"name": name})
 
 
 def batched(table: str) -> T.StructType:
@@ -116,6 +121,7 @@ def _write_batches(rows: DataFrame, path: str) -> None:
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
+        .options(**BY_TICKER)
         .partitionBy("date", "batch")
         .parquet(path)
     )
@@ -191,6 +197,34 @@ def read_archive(spark: SparkSession, tiers: Tiers, table: str) -> DataFrame:
     return spark.read.schema(batched(table)).parquet(f"{tiers.archive}/{table}").select(*TABLE_SCHEMAS[table].names)
 
 
+# --- newest rows ---------------------------------------------------------------------------------
+
+
+def newest_days(spark: SparkSession, name: str, ticker: str, n: int) -> dt.date | None:
+    """The day from which on a table has `n` rows of a ticker, walking back from its newest one.
+
+    Days are listed by the catalog. Each step counts twice as many days as the one before and reads nothing but
+    the ticker, so what is read depends on how far back the rows lie and not on how long the table is.
+    """
+    days = sorted({row.date for row in partitions(spark, name).select("date").distinct().toLocalIterator()}, reverse=True)
+    found, begin, width = 0, 0, 1
+    while begin < len(days):
+        newest, oldest = days[begin], days[min(begin + width, len(days)) - 1]
+        here = F.col("date").between(F.lit(oldest), F.lit(newest)) & (F.col("ticker") == ticker.upper())
+        found += spark.table(name).filter(here).select("ticker").limit(n - found).count()
+        if found >= n:
+            return oldest
+        begin, width = begin + width, width * 2
+    return days[-1] if days else None
+
+
+def latest_rows(spark: SparkSession, name: str, ticker: str, n: int = 20) -> DataFrame:
+    """The newest `n` rows of a ticker in a daily table, newest first."""
+    since = newest_days(spark, name, ticker, n)
+    rows = spark.table(name)
+    return latest(rows if since is None else rows.filter(F.col("date") >= F.lit(since)), ticker, n)
+
+
 # --- retention -----------------------------------------------------------------------------------
 
 

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import scalars
 from tidebook.operators import bbo as quotes
-from tidebook.operators import book, monitoring, quality, routing, tables, tiers
+from tidebook.operators import book, monitoring, quality, rollup, routing, tables, tiers
 from tidebook.operators import trades as trade_ops
 from tidebook.plans import workload
 from tidebook.session import scratch_path, shared_dir
 from tidebook.sources import feed as feeds
-from tidebook.sources import pages, snapshots
-from tidebook.streaming import plant, record, recovery, windows
+from tidebook.sources import cursors, pages, snapshots
+from tidebook.streaming import history, plant, record, recovery, stateful, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,6 +159,15 @@ def bbo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ticker", *BBO_COLUMNS, "sequence", "ts_ms")
 
 
+@query
+def bbo_intake_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes whose book takes its time from the intake: every second ticker sends 0, every fourth none."""
+    rows = workload.sequenced(spark, sf_dir)
+    number = F.substring("ticker", 2, 1).cast("int")
+    ms = F.when(number % 4 == 1, F.lit(None)).when(number % 2 == 1, F.lit(0)).otherwise(F.col("ts_ms")).cast("bigint")
+    return quotes.bbo(rows.withColumn("ts_ms", ms), intake_ms=F.lit(1_700_000_000_000)).select("ticker", "bid_price", "ask_price", "ts_ms")
+
+
 @query
 def crossed(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = book.closing_levels(workload.deltas(spark, sf_dir))
@@ -249,6 +258,15 @@ def sequence_gaps_segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.sequence_gaps(workload.lossy(spark, sf_dir), rows=SHORT_SEGMENT).select(*GAP_COLUMNS)
 
 
+@query
+def sequence_gaps_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed in which some messages have no ticker, an empty one or no sequence: they are never gaps nor open one."""
+    rows = workload.lossy(spark, sf_dir)
+    ticker = F.when(F.col("arrival") % 11 == 0, F.lit(None)).when(F.col("arrival") % 17 == 0, F.lit("")).otherwise(F.col("ticker"))
+    sequence = F.when(F.col("arrival") % 13 != 0, F.col("sequence"))
+    return quality.sequence_gaps(rows.withColumn("ticker", ticker).withColumn("sequence", sequence), rows=SHORT_SEGMENT).select(*GAP_COLUMNS)
+
+
 @query
 def missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_ranges(quality.sequence_gaps(workload.lossy(spark, sf_dir)))
@@ -322,6 +340,17 @@ def bars_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade_ops.bars(workload.trades(spark, sf_dir), "1 day")
 
 
+@query
+def bars_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly and daily bars kept up to date: a first batch, late trades of all days in a second, which comes twice."""
+    rows = workload.trades(spark, sf_dir)
+    path = scratch_path(spark, "bars")
+    for number, late in ((0, False), (1, True), (1, True)):
+        rollup.refresh(spark, path, rows.filter((F.col("arrival") % 5 == 3) == late), number)
+    hours, days = (rollup.read_bars(spark, path, interval, rows).withColumn("interval", F.lit(interval)) for interval in ("1 hour", "1 day"))
+    return hours.unionByName(days)
+
+
 @query
 def trades_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade_ops.latest(workload.trades(spark, sf_dir), "T0", 20).select(
@@ -329,6 +358,16 @@ def trades_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def trades_latest_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest trades of a ticker in the hot table, of which only the newest days are read."""
+    here = _new_tiers(spark)
+    rows = tables.to_trades(workload.trades(spark, sf_dir).withColumnRenamed("ts_ms", "timestamp"))
+    for number in range(2):
+        tiers.write_hot(rows.filter(F.col("arrival") % 2 == number), here, "trades", number)
+    return tiers.latest_rows(spark, here.hot("trades"), "t0", 20).select("ticker", "trade_id", "price", "count", "ts_ms")
+
+
 @query
 def trades_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = trade_ops.time_range(
@@ -430,6 +469,80 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_date(taken, "date").select("ticker", "trade_id", "price", "count", "ts_ms", "date")
 
 
+def _cursor_pages(spark: SparkSession, sf_dir: str, lost: int | None = None) -> DataFrame:
+    """Trade pages of one pull with opaque cursors, landed out of order, some of them twice."""
+    numbered = workload.trade_pages(spark, sf_dir)
+    last = numbered.agg(F.max("page_no")).first()[0]
+
+    def cursor(number):
+        return F.when((number > 0) & (number <= last), F.substring(F.md5(number.cast("string")), 1, 12)).otherwise("")
+
+    page = F.col("page_no")
+    landed = numbered.select(F.lit("pull-1").alias("pull"), cursor(page).alias("own"), cursor(page + 1).alias("cursor"), "trades", page.alias("n"))
+    landed = landed if lost is None else landed.filter(F.col("n") != lost)
+    again = landed.filter("n % 4 = 1")
+    return cursors.read_cursor_pages(spark, _landed(landed.unionByName(again).repartition(5, "own").drop("n"), "cursor-pages"))
+
+
+@query
+def trade_pages_by_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades in the order of the cursors of their pages."""
+    rows = cursors.trades_by_cursor(_cursor_pages(spark, sf_dir))
+    return rows.select("page_no", "pos", "ticker", "trade_id", "price", "count", F.col("timestamp").alias("ts_ms"))
+
+
+@query
+def broken_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a pull lacks whose fourth page never landed."""
+    return cursors.broken_chains(_cursor_pages(spark, sf_dir, lost=3))
+
+
+@query
+def backfill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days without trades fetched out of pages landed by day, of which neighbours overlap."""
+    rows = workload.trades(spark, sf_dir)
+    trade = F.struct("ticker", "trade_id", "price", "count", "taker_side", F.col("ts_ms").alias("timestamp"))
+    after = rows.filter(F.hour("ts") >= 22).withColumn("day", F.date_add("date", 1))
+    asked = rows.withColumn("day", F.col("date")).unionByName(after)
+    paged = asked.groupBy("day", F.hour("ts").cast("bigint").alias("page_no")).agg(F.collect_list(trade).alias("trades"))
+    path = scratch_path(spark, "day-pages")
+    pages.land_by_day(paged.withColumn("cursor", F.lit("")), path)
+    traded = _odd_days(spark, sf_dir)
+    found = pages.backfill_missing(spark, path, quality.missing_days(traded, *span(spark, sf_dir), traded))
+    return text_date(found, "date").select("ticker", "trade_id", "price", "count", "ts_ms", "date")
+
+
+@query
+def quarantined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of which every third has a text where its trades should be, and blank lines between them."""
+    rows = workload.trade_pages(spark, sf_dir)
+    good = F.to_json(F.struct("page_no", "trades"))
+    bad = F.concat(F.lit('{"page_no":'), F.col("page_no").cast("string"), F.lit(',"trades":"none"}'))
+    path = scratch_path(spark, "pages")
+    line = F.when(F.col("page_no") % 3 == 1, bad).otherwise(good)
+    rows.select(F.explode(F.array(line, F.lit(""), F.lit("  "))).alias("value")).write.text(path)
+    return pages.malformed_trade_pages(spark, path).select("line")
+
+
+@query
+def feed_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per channel of a feed with a blank line after every message."""
+    rows = feeds.envelopes_of(workload.feed(spark, sf_dir))
+    path = scratch_path(spark, "feed")
+    rows.select(F.explode(F.array(F.to_json(F.struct(*rows.columns)), F.lit(""), F.lit(" \t"))).alias("value")).write.text(path)
+    read = feeds.read_feed(spark, path)
+    quarantined = feeds.quarantined(spark, path).select(F.lit("quarantined").alias("channel"))
+    return monitoring.feed_counts(feeds.messages(read).select("channel").unionByName(quarantined))
+
+
+@query
+def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First three entries of each ladder of landed order-book pages."""
+    live = book.book(workload.deltas(spark, sf_dir))
+    path = _landed(snapshots.snapshot_of(live, F.lit(0)).select("ticker", "orderbook"), "book-pages")
+    return pages.snapshot_levels(pages.read_books(spark, path), 3)
+
+
 @query
 def load_trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written to the hot table, as counted by the write and as found in the table."""
@@ -473,6 +586,33 @@ def series_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.clipped(pages.read_series(spark, path), "series")
 
 
+def _series_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series whose size is a number, for every fifth a text, and whose title is missing for every seventh."""
+    part = workload.table(spark, sf_dir, "part")
+    size = F.col("p_size").cast("string")
+    body = F.concat(
+        F.lit('{"series":{"ticker":"s'), F.col("p_partkey").cast("string"), F.lit('","category":'), F.to_json(F.array("p_type")),
+        F.when(F.col("p_partkey") % 7 != 0, F.concat(F.lit(',"title":"'), "p_name", F.lit('"'))).otherwise(""),
+        F.lit(',"size":'), F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(size), F.lit("}}"),
+    )
+    path = scratch_path(spark, "series")
+    part.select(body.alias("value")).write.text(path)
+    return pages.read_opaque_variants(spark, path, "series")
+
+
+@query
+def series_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields picked out of opaque series."""
+    rows = _series_variants(spark, sf_dir)
+    return pages.variant_fields(rows, "series", title="$.title string", category="$.category[0] string", size="$.size bigint")
+
+
+@query
+def series_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the series with their types."""
+    return pages.field_drift(_series_variants(spark, sf_dir), "series")
+
+
 @query
 def event_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event object per supplier, with the ticker outside of the object."""
@@ -514,6 +654,13 @@ def latency_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.latency_quantile(workload.events(spark, sf_dir), "1 hour", 99, limit=200)
 
 
+@query
+def latency_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of hours whose 99th percentile is above a limit, and whether they last two hours."""
+    hourly = monitoring.latency_quantile(workload.events(spark, sf_dir), "1 hour", 99, limit=60)
+    return monitoring.latency_alerts(hourly, "1 hour", "2 hours")
+
+
 @query
 def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = workload.feed(spark, sf_dir, numbered=True)
@@ -901,3 +1048,51 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = F.when(F.col("arrival") % 7 != 0, F.col("trade_id")).alias("trade_id")
     rows = trades.select(named, "arrival", F.col("ts").cast("timestamp").alias("ts"))
     return _to_parquet(spark, windows.dedup_stream(rows.unionByName(rows))).select("trade_id", "arrival")
+
+
+@query
+def stream_dedup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades of a stream of five batches, each of which repeats those of three batches before."""
+    trades = workload.trades(spark, sf_dir)
+    named = trades.withColumn("trade_id", F.when(F.col("arrival") % 7 != 0, F.col("trade_id")))
+    low, high = trades.agg(F.min("arrival"), F.max("arrival")).first()
+    part = F.expr(f"(arrival - {low}) * 5 div {high - low + 1}")
+    path = scratch_path(spark, "trades")
+    for number in range(5):
+        again = named.filter((part == number - 3) & F.col("trade_id").isNotNull()).withColumn("arrival", F.col("arrival") + 1_000_000_000)
+        named.filter(part == number).unionByName(again).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(named.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out, seen, checkpoint = (scratch_path(spark, name) for name in ("unique", "history", "checkpoint"))
+    _finish(history.dedup_history_stream(stream, out, seen, checkpoint))
+    return spark.read.parquet(out).select("trade_id", "arrival")
+
+
+@query
+def stream_gap_rate_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding gap counts of the messages that another stream flags, in five batches."""
+    out, state, checkpoint = (scratch_path(spark, name) for name in ("flags", "state", "checkpoint"))
+    deltas = workload.lossy(spark, sf_dir).withColumnRenamed("ts_ms", "timestamp").withColumn("type", F.lit("orderbook_delta"))
+    path = scratch_path(spark, "feed")
+    feeds.write_feed(deltas.withColumn("channel", F.col("type")).repartitionByRange(5, "arrival"), path)
+    _finish(plant.flag_stream(feeds.stream_feed(spark, path), out, state, checkpoint))
+    flagged = spark.readStream.schema("timestamp BIGINT, gap BOOLEAN, batch BIGINT").parquet(out)
+    moments = flagged.select(F.timestamp_millis("timestamp").alias("ts"), "gap")
+    done = _upserted(spark, windows.gap_rate_stream(moments), "window_start")
+    return done.withColumn("window_ms", scalars.ms_from_ts(F.col("window_start"))).drop("window_start")
+
+
+@query
+def stream_evicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price changes of 40 tickers over five batches, by Spark's state store, books parked after six idle hours."""
+    deltas = workload.deltas(spark, sf_dir).drop("ticker").join(
+        workload.table(spark, sf_dir, "events").select(F.col("event_id").alias("arrival"), F.concat(F.lit("U"), F.col("user_id") % 40).alias("ticker")), "arrival"
+    )
+    low, high = deltas.agg(F.min("arrival"), F.max("arrival")).first()
+    part = F.expr(f"(arrival - {low}) * 5 div {high - low + 1}")
+    path = scratch_path(spark, "deltas")
+    for number in range(5):
+        deltas.filter(part == number).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(deltas.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    with stateful.rocksdb(spark):
+        events = _to_parquet(spark, stateful.evicting_book_stream(stream, idle="6 hours", late="1 hour"))
+    return events.filter("event = 'quote'").select("ticker", "arrival", "ts_ms", *BBO_COLUMNS)

@@ -255,6 +255,12 @@ WHERE ev.type = subs.channel GROUP BY ALL""",
        last.sequence, last.ts_ms
 FROM quotes JOIN (SELECT ticker, count(*) AS sequence, arg_max(ts_ms, arrival) AS ts_ms FROM ev GROUP BY ticker) last
 USING (ticker)""",
+    ),
+    "bbo_intake_time": with_(
+        f"{ALL_DELTAS}, {SIZED}, {CLOSED}, {FINAL_QUOTES}, times AS (SELECT ticker, arg_max(ts_ms, arrival) AS ts_ms FROM ev GROUP BY ticker)",
+        """SELECT ticker, bid_price, ask_price,
+       CASE WHEN CAST(substr(ticker, 2, 1) AS INTEGER) % 2 = 1 THEN 1700000000000 ELSE ts_ms END AS ts_ms
+FROM quotes JOIN times USING (ticker)""",
     ),
     "crossed": with_(
         f"{ALL_DELTAS}, {SIZED}, {CLOSED}, {FINAL_QUOTES}",
@@ -288,9 +294,25 @@ SELECT 'bbo', arrival, 1, ticker, bid_price, ask_price, NULL, NULL FROM history
         f"{ALL_DELTAS}, {SIZED}, {CLOSED}, {RANKED}",
         "SELECT ticker, side, level - 1 AS pos, price, size FROM ranked WHERE level <= 3",
     ),
+    "book_pages": with_(
+        f"{ALL_DELTAS}, {SIZED}, {CLOSED}, {RANKED}",
+        "SELECT ticker, side, level - 1 AS pos, price, size FROM ranked WHERE level <= 3",
+    ),
     # sequence and completeness
     "sequence_gaps": SEQUENCE_GAPS,
     "sequence_gaps_segmented": SEQUENCE_GAPS,
+    "sequence_gaps_partial": with_(
+        f"""{EVENTS}, {LOSSY}, part AS (
+  SELECT arrival, CASE WHEN arrival % 11 = 0 THEN NULL WHEN arrival % 17 = 0 THEN '' ELSE ticker END AS ticker,
+         CASE WHEN arrival % 13 <> 0 THEN sequence END AS sequence
+  FROM lossy
+), kept AS (
+  SELECT arrival, lag(sequence) OVER (PARTITION BY ticker ORDER BY arrival) AS last_sequence
+  FROM part WHERE ticker <> '' AND sequence IS NOT NULL
+)""",
+        """SELECT arrival, ticker, sequence, last_sequence, coalesce(sequence <> last_sequence + 1, false) AS gap
+FROM part LEFT JOIN kept USING (arrival)""",
+    ),
     "missing_ranges": with_(
         f"{EVENTS}, {LOSSY}",
         """SELECT ticker, arrival, last_sequence + 1 AS missing_from, sequence - 1 AS missing_to
@@ -323,9 +345,16 @@ FROM checked GROUP BY ticker""",
     "bars_1m": bars(60_000),
     "bars_1h": bars(3_600_000),
     "bars_1d": bars(86_400_000),
+    "bars_rollup": f"""SELECT *, '1 hour' AS interval FROM ({bars(3_600_000)})
+UNION ALL SELECT *, '1 day' FROM ({bars(86_400_000)})""",
     "trades_latest": with_(
         EVENTS,
         """SELECT ticker, trade_id, price, count, ts_ms FROM ev WHERE ticker = 'T0'
+ORDER BY ts_ms DESC, arrival DESC LIMIT 20""",
+    ),
+    "trades_latest_hot": with_(
+        EVENTS,
+        """SELECT ticker, trade_id, price, count, ts_ms FROM ev WHERE ticker = 'T0'
 ORDER BY ts_ms DESC, arrival DESC LIMIT 20""",
     ),
     "trades_range": with_(
@@ -355,6 +384,25 @@ FROM orders""",
         """SELECT arrival // 1000 AS page_no, CAST(arrival % 1000 AS INTEGER) AS pos, ticker, trade_id, price, count, ts_ms
 FROM ev""",
     ),
+    "trade_pages_by_cursor": with_(
+        EVENTS,
+        """SELECT arrival // 1000 AS page_no, CAST(arrival % 1000 AS INTEGER) AS pos, ticker, trade_id, price, count, ts_ms
+FROM ev""",
+    ),
+    "broken_chains": with_(
+        EVENTS,
+        """SELECT 'pull-1' AS pull, substr(md5('3'), 1, 12) AS missing, substr(md5('2'), 1, 12) AS after, 0 AS pages FROM ev HAVING max(arrival // 1000) >= 3
+UNION ALL SELECT 'pull-1', substr(md5('4'), 1, 12), NULL, count(DISTINCT arrival // 1000) FILTER (arrival // 1000 > 3) FROM ev HAVING max(arrival // 1000) > 3""",
+    ),
+    "backfill_missing": with_(
+        EVENTS,
+        """SELECT ticker, trade_id, price, count, ts_ms, date FROM ev
+WHERE (day(CAST(date AS DATE)) + CAST(substr(ticker, 2, 1) AS INTEGER)) % 4 = 0""",
+    ),
+    "quarantined_pages": with_(
+        EVENTS, """SELECT DISTINCT '{"page_no":' || (arrival // 1000) || ',"trades":"none"}' AS line FROM ev WHERE arrival // 1000 % 3 = 1"""
+    ),
+    "feed_blank_lines": with_(EVENTS, "SELECT type AS channel, count(*) AS messages FROM ev GROUP BY type"),
     "trade_pages_raw": with_(
         EVENTS,
         """SELECT arrival // 1000 - (SELECT min(arrival) // 1000 FROM ev) AS page_no, CAST(arrival % 1000 AS INTEGER) AS pos, ticker, trade_id,
@@ -387,13 +435,21 @@ WHERE status = 'closed' AND series_ticker = 'ECONOMY'""",
          coalesce(volume, 0) AS volume FROM markets WHERE status = 'open'
 )""",
         """SELECT *, rpad(ticker, CAST(greatest(15, length(ticker)) AS INTEGER), ' ') || ' ' || rpad(title, CAST(greatest(50, length(title)) AS INTEGER), ' ')
-       || ' Yes:' || lpad(yes, 5, ' ') || ' Volume:' || volume AS line FROM shown""",
+       || ' Yes:' || lpad(yes, 5, ' ') || '¢ Volume:' || volume AS line FROM shown""",
     ),
     "series_titles": """SELECT 'S' || p_partkey AS ticker,
        CASE WHEN p_partkey % 7 <> 0 THEN p_name ELSE 'S' || p_partkey END AS title,
        substr('{"ticker":"s' || p_partkey || '",' || CASE WHEN p_partkey % 7 <> 0 THEN '"title":"' || p_name || '",' ELSE '' END
               || '"category":"' || p_type || '"}', 1, 800) AS series
 FROM part""",
+    "series_fields": """SELECT 'S' || p_partkey AS ticker, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS title,
+       p_type AS category, CAST(p_size AS BIGINT) AS size FROM part""",
+    "series_drift": """SELECT field, type, objects FROM (
+  SELECT 'ticker' AS field, 'STRING' AS type, count(*) AS objects FROM part
+  UNION ALL SELECT 'category', 'ARRAY<STRING>', count(*) FROM part
+  UNION ALL SELECT 'title', 'STRING', count(*) FROM part WHERE p_partkey % 7 <> 0
+  UNION ALL SELECT 'size', 'STRING', count(*) FROM part WHERE p_partkey % 5 = 0
+  UNION ALL SELECT 'size', 'BIGINT', count(*) FROM part WHERE p_partkey % 5 <> 0) WHERE objects > 0""",
     "event_titles": """SELECT 'E' || s_suppkey AS ticker, s_name AS title, '{"title":"' || s_name || '"}' AS event
 FROM supplier""",
     "first_market": with_(
@@ -419,6 +475,21 @@ FROM supplier""",
         """SELECT window_ms, max(messages) AS messages, min(latency) FILTER (place * 100 >= messages * 99) AS latency,
        min(latency) FILTER (place * 100 >= messages * 99) > 200 AS alert
 FROM ranked GROUP BY window_ms""",
+    ),
+    "latency_alerts": with_(
+        f"""{EVENTS}, ranked AS (
+  SELECT ts_ms // 3600000 * 3600000 AS window_ms, volume AS latency,
+         row_number() OVER (PARTITION BY ts_ms // 3600000 ORDER BY volume) AS place,
+         count(*) OVER (PARTITION BY ts_ms // 3600000) AS messages
+  FROM ev
+), p99 AS (
+  SELECT window_ms, min(latency) FILTER (place * 100 >= messages * 99) AS latency FROM ranked GROUP BY window_ms
+), above AS (
+  SELECT *, window_ms - 3600000 * row_number() OVER (ORDER BY window_ms) AS island FROM p99 WHERE latency > 60
+)""",
+        """SELECT min(window_ms) AS start_ms, max(window_ms) + 3600000 AS end_ms, count(*) AS windows, max(latency) AS worst,
+       count(*) >= 2 AS fired
+FROM above GROUP BY island""",
     ),
     "counters": with_(
         f"{LOSSY_DELTAS}, {SIZED}, {HISTORY}",
@@ -491,12 +562,23 @@ FROM kept WHERE sequence <> before + 1 GROUP BY ticker""",
     "stream_bars": bars(3_600_000),
     "stream_gap_flags": with_(f"{EVENTS}, {LOSSY}", "SELECT ticker, arrival, sequence, last_sequence, gap FROM gaps"),
     "stream_bbo_changes": BBO_CHANGES,
+    "stream_evicted": with_(
+        f"""{EVENTS}, d AS (SELECT * REPLACE ('U' || (user_id % 40) AS ticker) FROM (SELECT ev.*, user_id FROM ev JOIN events ON event_id = arrival)), {SIZED}, {HISTORY}""",
+        f"SELECT ticker, arrival, ts_ms, {QUOTES} FROM history WHERE changed",
+    ),
     "stream_gap_rate": with_(
         f"{EVENTS}, {LOSSY}",
         """SELECT window_ms, count(*) AS messages, count(*) FILTER (gap) AS gaps, bool_or(gap) AS alert
 FROM (SELECT gap, ts_ms // 60000 * 60000 - 60000 * unnest([0, 1, 2, 3, 4]) AS window_ms FROM gaps)
 GROUP BY window_ms""",
     ),
+    "stream_gap_rate_flagged": with_(
+        f"{EVENTS}, {LOSSY}",
+        """SELECT window_ms, count(*) AS messages, count(*) FILTER (gap) AS gaps, bool_or(gap) AS alert
+FROM (SELECT gap, ts_ms // 60000 * 60000 - 60000 * unnest([0, 1, 2, 3, 4]) AS window_ms FROM gaps)
+GROUP BY window_ms""",
+    ),
+    "stream_dedup_history": with_(EVENTS, "SELECT CASE WHEN arrival % 7 <> 0 THEN trade_id END AS trade_id, arrival FROM ev"),
     "stream_dedup": with_(
         EVENTS,
         """SELECT trade_id, arrival FROM ev WHERE arrival % 7 <> 0

@@ -74,6 +74,17 @@ TRADE_PAGE = T.StructType(
     ]
 )
 
+#: A page with the cursor it was asked for and the pull it belongs to.
+LANDED_PAGE = T.StructType(
+    [
+        T.StructField("pull", T.StringType()),
+        T.StructField("own", T.StringType()),
+        T.StructField("cursor", T.StringType()),
+        T.StructField("trades", T.ArrayType(MESSAGE)),
+        T.StructField(CORRUPT, T.StringType()),
+    ]
+)
+
 MARKET = _struct(
     "ticker STRING, title STRING, event_ticker STRING, series_ticker STRING, status STRING, "
     "yes_price INT, volume BIGINT"

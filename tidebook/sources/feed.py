@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.schemas import CORRUPT, ENVELOPE, MESSAGE
-from tidebook.sources.checks import malformed
+from tidebook.sources.checks import malformed, not_blank
 from tidebook.sources.lines import number_lines
 
 # When a message came in, by its file or record; a batch that is run again finds the same time.
@@ -96,4 +96,4 @@ def preview(spark: SparkSession, path: str, n: int = 5, separator: str = "\n", s
     For a dump that is one long document give what separates its objects, for example `},`.
     """
     text = spark.read.option("lineSep", separator).text(path).withColumn("value", F.substring("value", 1, size))
-    return text.filter(F.trim("value") != "").limit(n)
+    return text.filter(not_blank()).limit(n)

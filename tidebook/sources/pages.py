@@ -6,14 +6,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
-from tidebook.functions.scalars import clip_json, date_from_ms, default_text, parse_day
+from tidebook.functions.scalars import clip_json, default_text, parse_day
 from tidebook.operators.tables import to_trades
 from tidebook.operators.trades import dedup_trades
 from tidebook.operators.tiers import Tiers, write_hot
 from tidebook.schemas import BOOK_PAGE, CORRUPT, MARKET_PAGE, TRADE_PAGE
-from tidebook.sources.checks import malformed
+from tidebook.sources.checks import malformed, not_blank
 from tidebook.sources.lines import number_lines
 
 # Bits of an arrival number that hold the position in the page; a page beyond them is refused.
@@ -59,12 +59,12 @@ def numbered(pages: DataFrame) -> DataFrame:
     return number_lines(pages, "page_no")
 
 
-def explode_trades(pages: DataFrame) -> DataFrame:
-    listed = pages.select("page_no", F.posexplode("trades").alias("pos", "trade"))
+def explode_trades(pages: DataFrame, *keys: str) -> DataFrame:
+    listed = pages.select(*keys, "page_no", F.posexplode("trades").alias("pos", "trade"))
     fits = F.col("pos") < (1 << POSITION_BITS)
     number = F.shiftleft("page_no", POSITION_BITS) + F.col("pos")
     arrival = F.when(fits, number).otherwise(F.raise_error(F.lit("a page has too many trades to be numbered")).cast("bigint"))
-    return listed.select("page_no", "pos", arrival.alias("arrival"), "trade.*")
+    return listed.select(*keys, "page_no", "pos", arrival.alias("arrival"), "trade.*")
 
 
 def filter_trades(
@@ -115,10 +115,23 @@ def backfill_range(rows: DataFrame, ticker: str | None, start: str | dt.date, en
     return dedup_trades(days)
 
 
-def backfill_counts(trades: DataFrame) -> DataFrame:
-    return trades.groupBy("ticker", date_from_ms(F.col("ts_ms")).alias("date")).agg(
-        F.count("*").alias("trades")
-    )
+def land_by_day(pages: DataFrame, path: str) -> None:
+    """Append pages `day, page_no, trades, cursor` to one folder per requested day."""
+    pages.hint("rebalance", "day").write.mode("append").partitionBy("day").json(path)
+
+
+def backfill_missing(spark: SparkSession, path: str, missing: DataFrame) -> DataFrame:
+    """Trades of the missing `ticker, date` pairs out of pages landed by day, each trade once.
+
+    The days to read come from the pairs at run time and prune the folders, so no other day is opened. There
+    is one row for each of them, at most as many as the calendar has days; the pairs themselves join as they are.
+    """
+    schema = StructType([*TRADE_PAGE.fields, StructField("day", DateType())])
+    pages = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    days = missing.filter(F.col("date") >= F.lit("0001-01-01").cast("date")).select(F.col("date").alias("day")).distinct()
+    wanted = pages.join(F.broadcast(days), "day")
+    trades = to_trades(explode_trades(wanted.filter(F.col("page_no").isNotNull())))
+    return dedup_trades(trades.join(missing.select("ticker", "date"), ["ticker", "date"], "left_semi").select(*trades.columns))
 
 
 # --- markets -------------------------------------------------------------------------------------
@@ -169,7 +182,7 @@ def display_markets(summaries: DataFrame) -> DataFrame:
         price.alias("yes"),
         F.coalesce("volume", F.lit(0).cast("bigint")).alias("volume"),
         F.format_string(
-            "%-15s %-50s Yes:%5s Volume:%d", "ticker", "title", price, F.coalesce("volume", F.lit(0).cast("bigint"))
+            "%-15s %-50s Yes:%5s¢ Volume:%d", "ticker", "title", price, F.coalesce("volume", F.lit(0).cast("bigint"))
         ).alias("line"),
     )
 
@@ -206,7 +219,7 @@ def snapshot_levels(books: DataFrame, top: int = 5) -> DataFrame:
 
 
 def _read_opaque(spark: SparkSession, path: str, name: str) -> DataFrame:
-    text = spark.read.text(path).filter(F.trim("value") != "")
+    text = spark.read.text(path).filter(not_blank())
     body = F.get_json_object("value", f"$.{name}")
     ticker = F.upper(F.coalesce(F.get_json_object("value", f"$.{name}.ticker"), F.get_json_object("value", "$.ticker")))
     return text.select(
@@ -225,6 +238,29 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return _read_opaque(spark, path, "event")
 
 
+def read_opaque_variants(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Opaque objects with their body as a VARIANT, each line parsed once; lines that are no JSON are left out."""
+    lines = spark.read.text(path).filter(not_blank())
+    parsed = lines.select(F.try_parse_json("value").alias("line")).filter(F.col("line").isNotNull())
+    body = F.try_variant_get("line", f"$.{name}", "variant")
+    ticker = F.upper(F.coalesce(F.try_variant_get("line", f"$.{name}.ticker", "string"), F.try_variant_get("line", "$.ticker", "string")))
+    return parsed.select(ticker.alias("ticker"), body.alias(name)).filter(F.col(name).isNotNull())
+
+
+def variant_fields(rows: DataFrame, name: str, **fields: str) -> DataFrame:
+    """Fields of the objects by path and type, `title="$.title string"`; null where missing or of another type."""
+    picked = [F.try_variant_get(name, *spec.rsplit(" ", 1)).alias(into) for into, spec in fields.items()]
+    return rows.select("ticker", *picked)
+
+
+def field_drift(rows: DataFrame, name: str) -> DataFrame:
+    """Every top-level field of the objects, the type it has and in how many: a second type, or a field that some
+    objects lack, shows here. One row per field and type, combined before the shuffle."""
+    fields = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col(name).outer()))
+    kind = F.schema_of_variant("value").alias("type")
+    return fields.groupBy(F.col("key").alias("field"), kind).agg(F.count(F.lit(1)).alias("objects"))
+
+
 def clipped(rows: DataFrame, column: str, length: int = 800) -> DataFrame:
     """JSON text cut to `length` characters for display."""
     value = F.col(column)

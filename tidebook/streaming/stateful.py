@@ -1,5 +1,9 @@
 """Keyed state held by Spark: gap flags and BBO changes message by message.
 
+`EvictingBookKeeper` bounds what is live: an event-time timer runs for every ticker, and when it has been idle for
+too long its levels leave the state and one packed value takes their place. When the ticker comes back the
+book is unpacked and goes on as if it had never left.
+
 For feeds whose micro-batches are small. All messages of one ticker in a batch go to one task and are
 sorted there, so bound the batch on the source (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`); for a
 feed with a dominating ticker use `plant.plant_stream`, which cuts it up.
@@ -7,13 +11,15 @@ feed with a dominating ticker use `plant.plant_stream`, which cuts it up.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -22,6 +28,7 @@ from tidebook.functions.scalars import book_side
 from tidebook.operators.bbo import with_mid_spread
 from tidebook.operators.replay import NO_LEVELS, replay_segment
 from tidebook.operators.routing import valid_deltas
+from tidebook.operators.trades import interval_ms
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -55,12 +62,9 @@ def _in_order(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
 class GapDetector(StatefulProcessor):
     """Remembers the last sequence of a ticker."""
 
-    def __init__(self, ttl_ms: int | None = None) -> None:
-        self.ttl_ms = ttl_ms
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = T.StructType([T.StructField("sequence", T.LongType())])
-        self.last = handle.getValueState("last", schema, self.ttl_ms)
+        self.last = handle.getValueState("last", schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = _in_order(rows)
@@ -88,25 +92,26 @@ class GapDetector(StatefulProcessor):
 class BookKeeper(StatefulProcessor):
     """Keeps the live levels of a ticker; the best prices follow from them."""
 
-    def __init__(self, ttl_ms: int | None = None) -> None:
-        self.ttl_ms = ttl_ms
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         level = T.StructType([T.StructField("side", T.StringType()), T.StructField("price", T.DoubleType())])
         size = T.StructType([T.StructField("size", T.LongType())])
-        self.levels = handle.getMapState("levels", level, size, self.ttl_ms)
+        self.levels = handle.getMapState("levels", level, size)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows)
-        held = [(side, price, size[0]) for (side, price), size in self.levels.iterator()]
-        opening = pd.DataFrame(held, columns=["book_side", "level", "size"])
+        yield self._changes(key, _in_order(rows))
+
+    def _held(self) -> list[tuple[str, float, int]]:
+        return [(side, price, size[0]) for (side, price), size in self.levels.iterator()]
+
+    def _changes(self, key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        opening = pd.DataFrame(self._held(), columns=["book_side", "level", "size"])
         history = replay_segment(
             (pa.scalar(key[0]),),
             pa.Table.from_pandas(frame, preserve_index=False),
             pa.Table.from_pandas(opening, schema=NO_LEVELS.schema, preserve_index=False),
         )
         self._keep(frame, opening)
-        yield history.filter(history["changed"]).drop_columns(["changed"]).to_pandas(integer_object_nulls=True)
+        return history.filter(history["changed"]).drop_columns(["changed"]).to_pandas(integer_object_nulls=True)
 
     def _keep(self, frame: pd.DataFrame, opening: pd.DataFrame) -> None:
         """Store the closing size of the levels that this batch touched."""
@@ -124,31 +129,95 @@ class BookKeeper(StatefulProcessor):
         pass
 
 
-def _run(rows: DataFrame, processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
-    timed = getattr(processor, "ttl_ms", None) is not None
+class EvictingBookKeeper(BookKeeper):
+    """A book keeper that parks the book of a ticker that has been idle for so long by the clock of the events.
+
+    Besides quotes it tells of every book that is `parked` or `reopened`, with the number of its live levels.
+    """
+
+    def __init__(self, idle_ms: int) -> None:
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.parked = handle.getValueState("parked", T.StructType([T.StructField("book", T.StringType())]))
+
+    def _told(self, key: tuple, event: str, ts_ms: int, levels: int) -> pd.DataFrame:
+        told = pd.DataFrame({name: [None] for name in EVENT_SCHEMA.names}).astype(object)
+        told["ticker"], told["event"], told["ts_ms"], told["levels"] = key[0], event, ts_ms, levels
+        return told
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = _in_order(rows)
+        first, last = int(frame["ts_ms"].iloc[0]), int(frame["ts_ms"].max())
+        if self.parked.exists():
+            book = json.loads(self.parked.get()[0])
+            for side, price, size in book:
+                self.levels.updateValue((side, price), (size,))
+            self.parked.clear()
+            yield self._told(key, "reopened", first, len(book))
+        changes = self._changes(key, frame.drop(columns=["ts"])).astype(object)
+        yield changes.assign(event="quote", levels=None)[EVENT_SCHEMA.names]
+        for expiry in list(self.handle.listTimers()):
+            self.handle.deleteTimer(expiry)
+        self.handle.registerTimer(max(last + self.idle_ms, timerValues.getCurrentWatermarkInMs() + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        book = self._held()
+        self.parked.update((json.dumps(book),))
+        self.levels.clear()
+        yield self._told(key, "parked", expiredTimerInfo.getExpiryTimeInMs(), len(book))
+
+
+EVENT_SCHEMA = T.StructType([*QUOTE_SCHEMA, T.StructField("event", T.StringType()), T.StructField("levels", T.LongType())])
+
+
+def _run(rows: DataFrame, processor: StatefulProcessor, schema: T.StructType, time_mode: str = "None") -> DataFrame:
     return rows.groupBy("ticker").transformWithStateInPandas(
-        statefulProcessor=processor,
-        outputStructType=schema,
-        outputMode="Append",
-        timeMode="ProcessingTime" if timed else "None",
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=time_mode
     )
 
 
-def gap_stream(feed: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Messages with ticker and sequence, each with its gap flag. `ttl_ms` forgets idle tickers.
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """The state store that these operators need, for queries started inside."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
-    A query with `ttl_ms` follows the clock and runs until it is stopped; do not start it with
-    `availableNow`, which would wait for an end that does not come. Needs the RocksDB state store (`spark.sql.streaming.stateStore.providerClass`).
-    """
+
+def gap_stream(feed: DataFrame) -> DataFrame:
+    """Messages with ticker and sequence, each with its gap flag. Needs the RocksDB state store (`rocksdb`)."""
     tracked = feed.filter((F.col("ticker") != "") & F.col("sequence").isNotNull())
-    return _run(tracked.select("ticker", "arrival", "sequence"), GapDetector(ttl_ms), GAP_SCHEMA)
+    return _run(tracked.select("ticker", "arrival", "sequence"), GapDetector(), GAP_SCHEMA)
 
 
-def bbo_change_stream(deltas: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """BBO change events of a stream of deltas."""
+def _clean(deltas: DataFrame) -> DataFrame:
     clean = valid_deltas(deltas).withColumn("side", book_side(F.col("side")))
-    rows = clean.select("ticker", "arrival", "ts_ms", "side", "price", "delta_size")
-    return with_mid_spread(_run(rows, BookKeeper(ttl_ms), QUOTE_SCHEMA))
+    return clean.select("ticker", "arrival", "ts_ms", "side", "price", "delta_size")
+
+
+def bbo_change_stream(deltas: DataFrame) -> DataFrame:
+    """BBO change events of a stream of deltas."""
+    return with_mid_spread(_run(_clean(deltas), BookKeeper(), QUOTE_SCHEMA))
+
+
+def evicting_book_stream(deltas: DataFrame, idle: str = "1 day", late: str = "1 hour") -> DataFrame:
+    """BBO change events (`event` quote) of a stream whose idle books leave the state (parked, reopened).
+
+    The clock is that of the events, `late` behind the newest; a delta that comes later than that is dropped by
+    Spark, so choose `late` beyond what the source can delay.
+    """
+    timed = _clean(deltas).withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", late)
+    return with_mid_spread(_run(timed, EvictingBookKeeper(interval_ms(idle)), EVENT_SCHEMA, "EventTime"))
 
 
 # Executors get the processors with the job, so the package need not be installed on them.
