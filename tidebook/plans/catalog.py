@@ -14,9 +14,9 @@ from tidebook.operators import bbo as quotes
 from tidebook.operators import book, monitoring, quality, rollup, routing, tables, tiers
 from tidebook.operators import trades as trade_ops
 from tidebook.plans import workload
-from tidebook.session import scratch_path, shared_dir
+from tidebook.session import scratch_path, shared_dir, written
 from tidebook.sources import feed as feeds
-from tidebook.sources import cursors, pages, snapshots
+from tidebook.sources import cursors, documents, pages, snapshots
 from tidebook.streaming import history, plant, record, recovery, stateful, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -535,6 +535,37 @@ def feed_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.feed_counts(feeds.messages(read).select("channel").unionByName(quarantined))
 
 
+def _market_document(spark: SparkSession, sf_dir: str) -> str:
+    """All parts as one list of objects in one line, with brackets and quotes inside of their texts."""
+    part = workload.table(spark, sf_dir, "part")
+    note = F.concat(F.lit('a "}" and [{'), "p_name", F.lit("\\"))
+    entry = F.to_json(F.struct(F.col("p_partkey").alias("key"), note.alias("note"), F.struct(F.array("p_size", "p_partkey").alias("sizes")).alias("more")))
+    listed = part.agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", entry.alias("e")))), lambda x: x["e"]), ", "), F.lit("]")).alias("value"))
+    path = scratch_path(spark, "document")
+    listed.write.text(path)
+    return path
+
+
+@query
+def preview_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first seven objects of a document of one line."""
+    first = documents.preview_document(spark, _market_document(spark, sf_dir), 7)
+    return first.select(F.get_json_object("value", "$.key").cast("bigint").alias("key"), F.get_json_object("value", "$.note").alias("note"))
+
+
+@query
+def read_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every object of a document of one line, which is cut into short blocks."""
+    path = _market_document(spark, sf_dir)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 16_384)
+    try:
+        rows = documents.read_document(spark, path)
+        return written(rows, "objects").select(F.get_json_object("value", "$.key").cast("bigint").alias("key"), F.get_json_object("value", "$.note").alias("note"), F.get_json_object("value", "$.more.sizes[0]").cast("int").alias("size"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
 @query
 def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First three entries of each ladder of landed order-book pages."""

@@ -394,6 +394,8 @@ FROM ev""",
         """SELECT 'pull-1' AS pull, substr(md5('3'), 1, 12) AS missing, substr(md5('2'), 1, 12) AS after, 0 AS pages FROM ev HAVING max(arrival // 1000) >= 3
 UNION ALL SELECT 'pull-1', substr(md5('4'), 1, 12), NULL, count(DISTINCT arrival // 1000) FILTER (arrival // 1000 > 3) FROM ev HAVING max(arrival // 1000) > 3""",
     ),
+    "preview_document": r"""SELECT p_partkey AS key, 'a "}" and [{' || p_name || '\' AS note FROM part ORDER BY p_partkey LIMIT 7""",
+    "read_document": r"""SELECT p_partkey AS key, 'a "}" and [{' || p_name || '\' AS note, p_size AS size FROM part""",
     "backfill_missing": with_(
         EVENTS,
         """SELECT ticker, trade_id, price, count, ts_ms, date FROM ev
