@@ -54,7 +54,7 @@ def made(seed, docs=120):
     rows = []
     for _ in range(docs):
         parts = [rng.choice(lines) if rng.random() < 0.5 else " ".join(rng.choice(words) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 8))]
-        rows.append((rng.choice(["en", "de", None, "und", ""]), rng.choice([". ", "\n", " \t ", "\r", "!"]).join(parts)))
+        rows.append((rng.choice(["en", "de", None, "und", "", "x y\n"]), rng.choice([". ", "\n", " \t ", "\r", "!"]).join(parts)))
     return rows + [("en", None), (None, ""), ("fr", " . ,\n"), ("en", "of the " * 3000)]
 
 
@@ -89,10 +89,12 @@ def test_scores_are_exact_for_large_counts(spark):
 
 
 def test_merging_keeps_an_open_prefix_whole():
-    stripe = pa.RecordBatch.from_pylist([{"lang": "en", "first": "a", "second": "b", "total": 6, "words": ["x", "y"], "counts": [4, 1]}] * 2, schema=phrases.STRIPE_ARROW)
-    done, open_row = phrases.merged(stripe, 5, False)
-    assert done.num_rows == 0 and open_row.to_pylist() == [{"lang": "en", "first": "a", "second": "b", "total": 12, "words": ["x", "y"], "counts": [8, 2]}]
-    assert phrases.merged(open_row, 5, True)[0].to_pylist() == [{"lang": "en", "first": "a", "second": "b", "total": 12, "words": ["x"], "counts": [8]}]
+    row = {"prefix": "a b en of a kind", "total": 6, "follow": "x\t4 y"}
+    stripes = pa.RecordBatch.from_pylist([row, row, {**row, "follow": ""}], schema=phrases.PACKED_ARROW)
+    done, open_row = phrases.merged(stripes, 5, False)
+    assert done.num_rows == 0 and open_row.to_pylist() == [{"prefix": "a b en of a kind", "total": 18, "follow": "x\t8 y\t2"}]
+    found = {"lang": "en of a kind", "first": "a", "second": "b", "total": 18, "words": ["x"], "counts": [8]}
+    assert phrases.merged(open_row, 5, True)[0].to_pylist() == [found]
 
 
 def test_query_reads_documents(spark, rows, tables):

@@ -35,6 +35,10 @@ STRIPE = "lang string, first string, second string, total long, words array<stri
 STRIPE_ARROW = pa.schema(
     [("lang", pa.string()), ("first", pa.string()), ("second", pa.string()), ("total", pa.int64()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]
 )
+#: A stripe on its way: `first second lang`, the total, and the words after it by spaces, each with a tab and its
+#: count unless that is 1. Words have neither spaces nor tabs.
+PACKED = "prefix string, total long, follow string"
+PACKED_ARROW = pa.schema([("prefix", pa.string()), ("total", pa.int64()), ("follow", pa.string())])
 
 
 # --- counting ------------------------------------------------------------------------------------
@@ -63,18 +67,16 @@ def stripes_of(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
     codes, known = found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary
     size = len(known)
 
-    def made(first: pa.Array, second: pa.Array, totals: np.ndarray, words: pa.Array, counts: np.ndarray, offsets: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def made(first: pa.Array, second: pa.Array, totals: np.ndarray, entries: pa.Array, offsets: np.ndarray) -> Iterator[pa.RecordBatch]:
         for begin in range(0, len(totals), ROWS):
             end = min(begin + ROWS, len(totals))
             low, high = offsets[begin], offsets[end]
-            cuts = pa.array((offsets[begin : end + 1] - low).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(cuts, part) for part in (words[low:high], pa.array(counts[low:high]))]
-            columns = [pa.repeat(pa.scalar(lang), end - begin), first[begin:end], second[begin:end], pa.array(totals[begin:end]), *lists]
-            yield pa.RecordBatch.from_arrays(columns, schema=STRIPE_ARROW)
+            lists = pa.ListArray.from_arrays(pa.array((offsets[begin : end + 1] - low).astype(np.int32)), entries[low:high])
+            prefix = pc.binary_join_element_wise(first[begin:end], second[begin:end], pa.repeat(pa.scalar(lang), end - begin), " ")
+            yield pa.RecordBatch.from_arrays([prefix, pa.array(totals[begin:end]), pc.binary_join(lists, " ")], schema=PACKED_ARROW)
 
     def bare(first: pa.Array, totals: np.ndarray) -> Iterator[pa.RecordBatch]:
-        no_words, no_counts = pa.array([], pa.string()), np.zeros(0, np.int64)
-        return made(first, pa.repeat(pa.scalar(""), len(first)), totals, no_words, no_counts, np.zeros(len(first) + 1, np.int64))
+        return made(first, pa.repeat(pa.scalar(""), len(first)), totals, pa.array([], pa.string()), np.zeros(len(first) + 1, np.int64))
 
     if not size:
         return
@@ -89,7 +91,10 @@ def stripes_of(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
     triples, counts = np.unique(which[follows] * size + third[follows], return_counts=True)
     offsets = np.searchsorted(triples, np.arange(len(pairs) + 1) * size)
     words = known.take(pa.array(triples % size))
-    yield from made(known.take(pa.array(pairs // size)), known.take(pa.array(pairs % size)), np.bincount(which, minlength=len(pairs)), words, counts, offsets)
+    several = np.flatnonzero(counts > 1)
+    told = pc.binary_join_element_wise(words.take(pa.array(several)), pa.array(counts[several]).cast(pa.string()), "\t")
+    entries = pc.replace_with_mask(words, pa.array(counts > 1), told)
+    yield from made(known.take(pa.array(pairs // size)), known.take(pa.array(pairs % size)), np.bincount(which, minlength=len(pairs)), entries, offsets)
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -109,51 +114,63 @@ def counted(docs: DataFrame) -> DataFrame:
         for of, texts in held.items():
             yield from stripes_of(of, texts)
 
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(count, STRIPE)
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(count, PACKED)
 
 
 # --- merging -------------------------------------------------------------------------------------
 
 
-def _differs(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+def unpacked(follow: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Of packed words after prefixes: how many each has, the words, and their counts."""
+    lists = pc.split_pattern(follow, " ")
+    lengths = np.where(pc.equal(follow, "").to_numpy(zero_copy_only=False), 0, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    flat = lists.flatten()
+    flat = flat.filter(pc.not_equal(flat, ""))
+    tabs = pc.find_substring(flat, "\t").to_numpy(zero_copy_only=False)
+    several = np.flatnonzero(tabs >= 0)
+    counts = np.ones(len(flat), np.int64)
+    if len(several):
+        pairs = pc.split_pattern(flat.take(pa.array(several)), "\t").flatten()
+        counts[several] = pairs.take(pa.array(np.arange(1, len(pairs), 2))).cast(pa.int64()).to_numpy()
+        flat = pc.replace_with_mask(flat, pa.array(tabs >= 0), pairs.take(pa.array(np.arange(0, len(pairs), 2))))
+    return lengths, flat, counts
 
 
 def merged(stripes: pa.RecordBatch, least: int, last: bool) -> tuple[pa.RecordBatch, pa.RecordBatch | None]:
-    """Sorted stripes merged, without totals and entries below `least`; the last prefix whole and apart unless `last`."""
+    """Sorted packed stripes merged, without totals and entries below `least`; the last prefix packed again unless `last`."""
+    prefix = stripes.column("prefix")
     new = np.ones(stripes.num_rows, bool)
-    if stripes.num_rows > 1:
-        new[1:] = _differs(stripes.column("first")) | _differs(stripes.column("second")) | _differs(stripes.column("lang"))
+    new[1:] = pc.not_equal(prefix[1:], prefix[:-1]).to_numpy(zero_copy_only=False)
     begins = np.flatnonzero(new)
     totals = np.add.reduceat(stripes.column("total").to_numpy(), begins)
     of_row = np.cumsum(new) - 1
-    lists = stripes.column("words")
-    of_entry = np.repeat(of_row, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     apart = len(begins) - 1
-    kept = (totals >= least) | (stripes.column("first").take(pa.array(begins)).to_numpy(zero_copy_only=False) == "")
-    kept[apart] = True
-    entries = pa.table({"of": of_entry, "word": lists.flatten(), "n": stripes.column("counts").flatten()})
-    entries = entries.filter(pa.array(kept[of_entry]))
+    # The empty prefix, which says how many words a language has, is kept whatever it counts.
+    kept = (totals >= least) | pc.starts_with(prefix.take(pa.array(begins)), " ").to_numpy(zero_copy_only=False)
+    wanted = kept.copy()
+    wanted[apart] |= not last
+    rows = np.flatnonzero(wanted[of_row])
+    lengths, words, counts = unpacked(stripes.column("follow").take(pa.array(rows)))
+    entries = pa.table({"of": np.repeat(of_row[rows], lengths), "word": words, "n": counts})
     summed = entries.group_by(["of", "word"]).aggregate([("n", "sum")])
-    enough = np.asarray(summed.column("n_sum")) >= least
-    if not last:
-        enough |= np.asarray(summed.column("of")) == apart
-    summed = summed.filter(pa.array(enough)).sort_by("of").combine_chunks()
-    of, chosen = np.asarray(summed.column("of")), np.flatnonzero(kept)
-
-    def rows(which: np.ndarray) -> pa.RecordBatch:
-        low, high = np.searchsorted(of, which, "left"), np.searchsorted(of, which, "right")
-        inside = np.isin(of, which)
-        cuts = pa.array(np.concatenate([[0], np.cumsum(high - low)]).astype(np.int32))
-        words, counts = (summed.column(name).filter(pa.array(inside)).combine_chunks() for name in ("word", "n_sum"))
-        words, counts = (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in (words, counts))
-        keys = [stripes.column(name).take(pa.array(begins[which])) for name in ("lang", "first", "second")]
-        return pa.RecordBatch.from_arrays([*keys, pa.array(totals[which]), pa.ListArray.from_arrays(cuts, words), pa.ListArray.from_arrays(cuts, counts)], schema=STRIPE_ARROW)
-
+    of, n = summed.column("of").to_numpy(), summed.column("n_sum").to_numpy()
+    words = summed.column("word").combine_chunks()
+    words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
+    order = np.argsort(of, kind="stable")
+    enough = order[(n[order] >= least) & (last | (of[order] != apart))]
+    final = np.flatnonzero(kept if last else kept & (np.arange(len(kept)) != apart))
+    chosen = enough[np.isin(of[enough], final)]
+    cuts = pa.array(np.searchsorted(of[chosen], np.append(final, len(kept))).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(cuts, part) for part in (words.take(pa.array(chosen)), pa.array(n[chosen]))]
+    keys = pc.split_pattern(prefix.take(pa.array(begins[final])), " ", max_splits=2)
+    names = [pc.list_element(keys, place) for place in (2, 0, 1)]
+    done = pa.RecordBatch.from_arrays([*names, pa.array(totals[final]), *lists], schema=STRIPE_ARROW)
     if last:
-        final = chosen if totals[apart] >= least or stripes.column("first")[int(begins[apart])].as_py() == "" else chosen[:-1]
-        return rows(final), None
-    return rows(chosen[:-1]), rows(chosen[-1:])
+        return done, None
+    left = order[of[order] == apart]
+    follow = " ".join(word if count == 1 else f"{word}\t{count}" for word, count in zip(words.take(pa.array(left)).to_pylist(), n[left].tolist(), strict=True))
+    row = [[prefix[int(begins[apart])].as_py()], [int(totals[apart])], [follow]]
+    return done, pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, PACKED_ARROW, strict=True)], schema=PACKED_ARROW)
 
 
 def together(stripes: DataFrame, least: int = 10) -> DataFrame:
@@ -162,15 +179,14 @@ def together(stripes: DataFrame, least: int = 10) -> DataFrame:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_row = None
         for batch in batches:
-            rows = pa.RecordBatch.from_arrays([batch.column(name) for name in STRIPE_ARROW.names], schema=STRIPE_ARROW)
+            rows = pa.RecordBatch.from_arrays([batch.column(name) for name in PACKED_ARROW.names], schema=PACKED_ARROW)
             if rows.num_rows:
                 done, open_row = merged(pa.concat_batches([open_row, rows]) if open_row is not None else rows, least, False)
                 yield done
         if open_row is not None:
             yield merged(open_row, least, True)[0]
 
-    placed = stripes.withColumn("place", F.xxhash64("lang", "first", "second")).repartition("lang", "first", "second")
-    return placed.sortWithinPartitions("place", "lang", "first", "second").mapInArrow(merge, STRIPE)
+    return stripes.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(merge, STRIPE)
 
 
 # --- scoring -------------------------------------------------------------------------------------
