@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidebook.llm import decontaminate, packing, quality, queries, spotsigs
+from tidebook.llm import base, decontaminate, packing, quality, queries, spotsigs
 from tidebook.llm.fm_index import FMIndex, suffix_array
 
 
@@ -70,6 +70,35 @@ def test_quality_on_held_out_labels(spark):
     assert judged.posterior.between(0, 1).all() and judged.score.between(0, 1).all()
 
 
+def test_length_alone_does_not_make_a_text_toxic(spark):
+    """Clean held-out documents run together stay, however many; so do toxic ones go."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels.filter("doc_id % 2 = 0"))
+    held = {toxic: [r.text for r in docs.join(labels.filter(f"doc_id % 2 = 1 AND quality = 1 AND toxic = {toxic}"), "doc_id").orderBy("doc_id").collect() if r.text] for toxic in (0, 1)}
+    rng = random.Random(7)
+    long = [(10 * n + i, "\n".join(rng.choices(held[0], k=n))) for n in (10, 100, 400) for i in range(8)]
+    kept = quality.scores(spark.createDataFrame(long, "doc_id long, text string"), model).collect()
+    assert all(r.toxicity < quality.TOXIC for r in kept)
+    toxic = spark.createDataFrame([(i, "\n".join(rng.choices(held[1], k=12))) for i in range(8)], "doc_id long, text string")
+    assert not any(r.keep for r in quality.scores(toxic, model).collect())
+
+
+def test_the_fit_can_be_repeated(spark, frame):
+    """Ids with several texts and several labels: the worse label and the least text count, in every order of rows."""
+    rng = random.Random(8)
+    docs = [(i % 40, prose(rng, 60) + (" foul vile" if i % 40 < 10 else "")) for i in range(80)]
+    labels = [(i, int(i < 10)) for i in range(40)] + [(i, 0) for i in range(5)]
+    fitted = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(docs)
+        random.Random(seed).shuffle(labels)
+        marked = spark.createDataFrame(labels, "doc_id long, toxic int").repartition(3)
+        fitted.append(quality.fit(frame(docs, 4), marked))
+    assert np.array_equal(fitted[0].quality, fitted[1].quality)
+    assert all(np.array_equal(a, b) for a, b in zip(fitted[0].lexicon, fitted[1].lexicon, strict=True)) and len(fitted[0].lexicon[0])
+
+
 def test_quality_of_odd_tables(frame, rows):
     for docs in ([], [(1, None), (2, ""), (2, "")]):
         table = frame(docs).withColumnRenamed("place", "keep")
@@ -177,6 +206,53 @@ def test_pipeline(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality classifier", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "best-fit packing"]
 
 
+def test_pipeline_stages_against_plain_versions(spark):
+    """Every stage on what the one before left; packing by what it has to keep."""
+    folder = "/root/testdata/sf0.001"
+    stages = [stage for _, stage in corpus_pipeline.STAGES]
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+
+    def held(df):
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+
+    docs = base.materialize(stages[0](spark, given, folder), "stage")
+    rows = held(docs)
+    assert set(rows) <= set(held(given))
+    docs = base.materialize(stages[1](spark, docs, folder), "stage")
+    assert docs.columns == given.columns
+    assert [(d, brute.sha((t or "").encode())) for d, t in held(docs)] == sorted(((d, sha) for d, _, _, sha in brute.lines(rows)), key=lambda r: repr((r[0],)))
+    rows = held(docs)
+    docs = base.materialize(stages[2](spark, docs, folder), "stage")
+    least = {d for d, n, component in brute.components(rows, 5, 80) if component == d or not n}
+    assert held(docs) == [r for r in rows if r[0] in least]
+    rows = held(docs)
+    docs = base.materialize(stages[3](spark, docs, folder), "stage")
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    clean = {r[0] for r in brute.contamination(rows, items) if not r[-1]}
+    assert held(docs) == [r for r in rows if r[0] in clean]
+    pieces = stages[4](spark, docs, folder).collect()
+    assert {p.doc_id for p in pieces} == clean
+    filled = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == filled.get(p.sequence_id, 0)
+        filled[p.sequence_id] = p.offset + p.length
+    assert max(filled.values()) <= 1024
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_stages_take_odd_tables(spark, empty):
+    """Null ids and texts, equal rows, a very long text, no rows at all."""
+    folder = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    odd = [(None, "some words " * 9, None, None, None), (1, None, "en", "s", None), (2, "", "en", "s", 0), (3, "the long " * 60_000, "en", "s", 9)]
+    docs = given if empty else given.unionByName(spark.createDataFrame([*odd, odd[0], odd[3]], given.schema))
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        docs = base.materialize(stage(spark, docs, folder), "stage")
+        assert docs.columns == given.columns
+    assert empty == docs.isEmpty()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() >= docs.count()
+
+
 def test_every_query_runs(spark):
     for name, query in queries.QUERIES.items():
         frame = query(spark, "/root/testdata/sf0.001")

@@ -128,3 +128,42 @@ def test_reversed_hosts():
     assert warc.reversed_host("https://blog.example.com/en/1#top") == "com,example,blog)/en/1"
     assert warc.reversed_host("http://example.com") == "com,example)/"
     assert warc.reversed_host(None) == ""
+
+
+BODY = "<p>" + "Some words of the article that go on. " * 20 + "</p>"
+TEXT = " ".join("Some words of the article that go on.".split() * 20)
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        (f'<article class="post social-science">{BODY}</article>', TEXT),
+        (f'<div class="site has-sidebar"><article>{BODY}</article></div>', TEXT),
+        (f"<html><head><title>t</title><meta charset=utf-8>{BODY}", TEXT),
+        (f'<p class="notice">Note<div>{BODY}</div>', TEXT),
+        (f"<main><article>{BODY}</article><article>{BODY}</article></main>", f"{TEXT} {TEXT}"),
+        (f'<article>{BODY}<section id="restaurant-menu">{BODY}</section></article>', f"{TEXT} {TEXT}"),
+        (f"<article>{BODY}<ul>" + "<li><a href=x>A reference</a>" * 3 + "</ul></article>", TEXT + " A reference" * 3),
+        (f'<body class="ad-free"><div class="page-menu-open"><div class="nav-container"><div class="social share">{BODY}</div></div></div>', TEXT),
+    ],
+)
+def test_names_of_wrappers_do_not_condemn_the_article(html, expected):
+    assert html_text.extract(html) == expected
+
+
+@pytest.mark.parametrize(
+    "side",
+    [
+        f'<div class="comments">{BODY}{BODY}{BODY}</div>',
+        f'<section id="comments"><article class="comment">{BODY}</article><article class="comment">{BODY}</article></section>',
+        "<div class='related'>" + "<a href=x>Another story of some length</a> " * 5 + "</div>",
+        "<aside><p>By the way, a box beside the text.</p></aside>",
+        '<div class="newsletter"><p>Subscribe to get this every week.</p></div>',
+        "<p hidden>Not shown at all.</p>",
+        '<div class="cookie-consent"><p>We use cookies.</p><button>Fine</button></div>',
+    ],
+)
+def test_what_stands_beside_the_article_goes(side):
+    assert html_text.extract(f"<body><div>{side}<article>{BODY}</article></div></body>") == TEXT
+    assert html_text.extract(f"<body><div><article>{BODY}</article>{side}</div></body>") == TEXT
+

@@ -39,7 +39,8 @@ EPOCHS = 12
 TOXIC = 0.5
 RARE = 50
 LIFT = 20
-EVIDENCE = 8
+#: Nats of evidence that make a text as likely toxic as not. A word and its stem tell the same, so each counts half.
+EVIDENCE, HALF = 2.5, 0.5
 SKETCH = 8
 CACHE = 1 << 19
 SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"()\-]")
@@ -238,7 +239,7 @@ def fit_scorer(rows: DataFrame, epochs: int = EPOCHS) -> np.ndarray:
         used = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights[used])], names=["at", "weight"])
 
-    found = rows.select("text", "label").repartition(1).mapInArrow(train, "at long, weight double").toArrow()
+    found = rows.select("text", "label").repartition(1).sortWithinPartitions("text", "label").mapInArrow(train, "at long, weight double").toArrow()
     weights = np.zeros((1 << BITS) + 1, dtype=np.float32)
     weights[found["at"].to_numpy()] = found["weight"].to_numpy()
     return weights
@@ -250,8 +251,12 @@ def sketch_of(packed: np.ndarray) -> set[tuple[int, int]]:
     return {(salt, int(mixed(pairs + np.uint64(salt << 40)).min())) for salt in range(SKETCH)}
 
 
-def fit_lexicon(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of words and stems that mark toxic texts, and their log lifts, from a bounded table (text, label).
+Lexicon = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def fit_lexicon(rows: DataFrame) -> Lexicon:
+    """Hashes of words and stems that mark toxic texts, the share of toxic texts that have each, and how often one
+    of the distinct words and stems of another text is each, from a bounded table (text, label).
 
     A mark is found in at least one in `RARE` toxic texts and at least `LIFT` times as often as in others.
     Of near copies, which would turn all words of one text into marks, only one is counted.
@@ -276,16 +281,18 @@ def fit_lexicon(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(others, names)
         elsewhere = np.where(np.append(others, -1)[at] == names, np.append(again, 0)[at], 0)
         lift = (count + 0.1) / max(1, len(toxic)) / ((elsewhere + 0.5) / max(1, len(clean)))
-        yield pa.RecordBatch.from_arrays([pa.array(names[lift >= LIFT]), pa.array(np.log(lift[lift >= LIFT]))], names=["at", "weight"])
+        marks = lift >= LIFT
+        share, other = count[marks] / (len(toxic) + 1), (elsewhere[marks] + 0.5) / max(1, sum(map(len, clean)))
+        yield pa.RecordBatch.from_arrays([pa.array(names[marks]), pa.array(share), pa.array(other)], names=["at", "share", "other"])
 
-    found = rows.select("text", "label").repartition(1).mapInArrow(train, "at long, weight double").toArrow().sort_by("at")
-    return found["at"].to_numpy(), found["weight"].to_numpy()
+    found = rows.select("text", "label").repartition(1).sortWithinPartitions("text", "label").mapInArrow(train, "at long, share double, other double").toArrow().sort_by("at")
+    return found["at"].to_numpy(), found["share"].to_numpy(), found["other"].to_numpy()
 
 
 class Model:
     """Everything fitted: the labellers' accuracies and the weights of the scorers."""
 
-    def __init__(self, prior: float, chance: np.ndarray, quality: np.ndarray, lexicon: tuple[np.ndarray, np.ndarray] | None) -> None:
+    def __init__(self, prior: float, chance: np.ndarray, quality: np.ndarray, lexicon: Lexicon | None) -> None:
         self.prior, self.chance, self.quality, self.lexicon = prior, chance, quality, lexicon
 
     def posterior(self, votes: str) -> float:
@@ -294,13 +301,24 @@ class Model:
         coded = np.array([["b-g".index(c) for c in votes]])
         return float(posteriors(coded, self.prior, self.chance, np.arange(LABELLERS))[0])
 
-    def toxic(self, hashes: np.ndarray) -> float:
-        """How likely the marks of a text make it toxic: evidence beyond `EVIDENCE` nats."""
+    def evidence(self, hashes: np.ndarray) -> float:
+        """How much likelier the marks that a text has and lacks are in a toxic text than in another of its size, in nats.
+
+        A toxic text of any length has each mark with its share, and any text has it by chance, the more so the
+        longer it is: in a very long one a mark says nothing.
+        """
         if self.lexicon is None or not len(self.lexicon[0]):
-            return 0.0
-        at = np.minimum(np.searchsorted(hashes, self.lexicon[0]), len(hashes) - 1)
-        evidence = self.lexicon[1][hashes[at] == self.lexicon[0]].sum()
-        return float(1 / (1 + np.exp(EVIDENCE - evidence)))
+            return -np.inf
+        marks, share, other = self.lexicon
+        at = np.minimum(np.searchsorted(hashes, marks), len(hashes) - 1)
+        has = hashes[at] == marks
+        chance = -np.expm1(-len(hashes) * other[has])
+        present = np.log(share[has] / chance + 1 - share[has])
+        return HALF * float(present.sum() + np.log1p(-share[~has]).sum())
+
+    def toxic(self, hashes: np.ndarray) -> float:
+        """How likely a text is toxic by its marks."""
+        return float(1 / (1 + np.exp(np.clip(EVIDENCE - self.evidence(hashes), -700, 700))))
 
 
 def chosen(rows: DataFrame, limit: int) -> DataFrame:
@@ -322,15 +340,17 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = TRAI
     quality = fit_scorer(with_text(docs, halves))
     toxicity = None
     if labels is not None:
-        marked = labels.filter("toxic is not null").select("doc_id", F.col("toxic").cast("double").alias("label")).dropDuplicates(["doc_id"])
+        # Of several labels of one document the worse one holds.
+        marked = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("double")).alias("label"))
         both = chosen(marked.filter("label > 0.5"), train_rows // 2).unionByName(chosen(marked.filter("label <= 0.5"), train_rows // 2))
         toxicity = fit_lexicon(with_text(docs, both))
     return Model(prior, chance, quality, toxicity)
 
 
 def with_text(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """The texts of a bounded sample of documents with their labels."""
-    return docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id", "label").dropDuplicates(["doc_id"])), "doc_id").limit(TRAIN_ROWS)
+    """The texts of a bounded sample of documents with their labels; of several texts or labels of one id the least."""
+    one = sample.groupBy("doc_id").agg(F.min("label").alias("label"))
+    return docs.select("doc_id", "text").join(F.broadcast(one), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def probability(weights: np.ndarray, at: np.ndarray) -> float:
