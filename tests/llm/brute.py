@@ -40,7 +40,8 @@ def lines(docs, min_chars: int = 40, min_documents: int = 5):
     for d, own in split:
         for k in {key(x) for x in own} - {None}:
             holders.setdefault(k, []).append(d)
-    gone = {k: max((d for d in ds if d is not None), default=None) for k, ds in holders.items() if len(ds) >= min_documents}
+    documents = {k: len({d for d in ds if d is not None}) + ds.count(None) for k, ds in holders.items()}
+    gone = {k: max((d for d in ds if d is not None), default=None) for k, ds in holders.items() if documents[k] >= min_documents}
     out = []
     for d, own in split:
         kept = [x for x in own if key(x) not in gone or gone[key(x)] == d]

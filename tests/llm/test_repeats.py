@@ -218,3 +218,12 @@ def test_texts_of_one_id_are_linked_on_their_own(frame, rows):
     assert got == sorted([(1, 1), (None, 1), (2, 2), (None, 2), (None, 6), (6, 1), (6, 6), (7, 7), (7, 7), (8, 8), (8, 8)], key=repr)
     kept = rows(ngram_join.representatives(frame([*docs, (7, "p q r s t"), (None, two)]), 4, 80), "doc_id", "text")
     assert kept == sorted([(1, one), (2, two), (6, three), (7, "p q r s t"), (7, "u v w x y"), (8, None), (8, "")], key=repr)
+
+
+def test_rows_of_one_id_are_one_document(frame, rows):
+    line = "a line that is long enough to be counted as a key"
+    docs = [(1, line), (1, line + "\nx"), (1, line), (1, line), (2, line), (None, line), (None, "y\n" + line)]
+    for given in (docs, [*docs, (3, line)]):
+        kept = line_dedup.drop_lines(frame(given), line_dedup.LineIndex.build(frame(given), sieve=False))
+        found = [(r.doc_id, r.n_lines, r.n_dropped, brute.sha(r.text.encode())) for r in kept.collect()]
+        assert sorted(found, key=repr) == sorted(brute.lines(given), key=repr)

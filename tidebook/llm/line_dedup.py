@@ -192,8 +192,13 @@ class LineIndex:
         return base.materialize(edited, "line-filters")
 
     def repeated(self, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-        """Keys in at least so many documents, with that number and the largest id, which keeps its lines."""
-        counts = self.refs.groupBy("key").agg(F.count(F.lit(1)).alias("documents"), F.max("doc_id").alias("keeper"))
+        """Keys in at least so many documents, with that number and the largest id, which keeps its lines.
+
+        Rows of one id are one document, rows without an id one each.
+        """
+        of_id = self.refs.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
+        documents = F.sum(F.when(F.col("doc_id").isNull(), F.col("rows")).otherwise(1)).alias("documents")
+        counts = of_id.groupBy("key").agg(documents, F.max("doc_id").alias("keeper"))
         return counts.filter(F.col("documents") >= min_documents)
 
     def losses(self, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
