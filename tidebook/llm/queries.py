@@ -14,9 +14,13 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of 40 characters and more in five or more documents stay only where the id is largest."""
+    """Lines of 40 characters and more in five or more documents stay only where the id is largest.
+
+    The index takes the documents in two goes, the second through the filters of the first.
+    """
     docs = base.table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = line_dedup.drop_lines(docs, line_dedup.LineIndex.build(docs, sieve=False))
+    second = base.spread("doc_id") % 2 == 1
+    kept = line_dedup.drop_lines(docs, line_dedup.LineIndex.build(docs.filter(~second)).insert(docs.filter(second)))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
