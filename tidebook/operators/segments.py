@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.scalars import floor_div
@@ -38,11 +38,17 @@ class Cut:
 
 
 def plan_cut(df: DataFrame, rows: int = SEGMENT_ROWS) -> Cut:
+    """`plan_cut_with` without anything else."""
+    return plan_cut_with(df, rows)[0]
+
+
+def plan_cut_with(df: DataFrame, rows: int = SEGMENT_ROWS, *more: Column) -> tuple[Cut, Row]:
     """Segments of about `rows` rows. Reads one column and brings back one row.
 
     A dense counter gives a width of `rows`, which is then a strict bound. A sparse one is widened by
     the spacing in its densest slice, so that a segment exceeds `rows` by two slices at most, wherever the
-    numbers lie. A feed without arrival numbers has no order and is refused.
+    numbers lie. A feed without arrival numbers has no order and is refused. `more` are aggregates to
+    find in the same pass.
     """
     marks = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
     found = df.agg(
@@ -51,15 +57,16 @@ def plan_cut(df: DataFrame, rows: int = SEGMENT_ROWS) -> Cut:
         F.count("arrival").alias("n"),
         F.count(F.lit(1)).alias("all"),
         F.percentile_approx("arrival", marks, 10 * SLICES).alias("cuts"),
+        *more,
     ).first()
     if found.n < found["all"]:
         raise ValueError(f"{found['all'] - found.n} rows have no arrival number, on which their order depends")
     if not found.n:
-        return Cut(rows, whole=True)
+        return Cut(rows, whole=True), found
     edges = [found.low, *found.cuts, found.high + 1]
     spacing = min(max(1, b - a) * SLICES // found.n for a, b in zip(edges, edges[1:], strict=False))
     width = min(WIDEST, rows * max(1, spacing))
-    return Cut(width, found.low // width == found.high // width, found.low, found.high)
+    return Cut(width, found.low // width == found.high // width, found.low, found.high), found
 
 
 def with_segment(df: DataFrame, width: int) -> DataFrame:

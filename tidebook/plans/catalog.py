@@ -886,7 +886,7 @@ def _landed_feed(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFram
     path = scratch_path(spark, "feed")
     rows = workload.feed(spark, sf_dir, numbered=True)
     if batches == 1:
-        feeds.write_feed(rows, path)
+        feeds.write_feed(rows.repartition(8), path)
         return feeds.stream_feed(spark, path)
     low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
     part = F.expr(f"(arrival - {low}) * {batches} div {high - low + 1}")

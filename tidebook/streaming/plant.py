@@ -15,12 +15,12 @@ from tidebook.operators.bbo import bbo_changes, bbo_history
 from tidebook.operators.book import book
 from tidebook.operators.quality import last_sequences, sequence_gaps
 from tidebook.operators.routing import of_type, pass_through, quarantined_messages, valid_deltas
-from tidebook.operators.segments import SEGMENT_ROWS, plan_cut
+from tidebook.operators.segments import SEGMENT_ROWS, plan_cut_with
 from tidebook.operators.tables import to_bbo
 from tidebook.operators.tiers import Tiers, write_hot
 from tidebook.sources.feed import INTAKE
 from tidebook.streaming.record import publish_batch, start, upsert_batch
-from tidebook.streaming.state import LEVEL, SEQUENCE, State, touched
+from tidebook.streaming.state import LEVEL, SEQUENCE, State, side_by_side, touched
 
 
 def last_of(batch: DataFrame, sequences: DataFrame) -> DataFrame:
@@ -34,9 +34,10 @@ def flag_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: int
     batch = batch.drop(INTAKE)
     batch.persist()
     try:
-        held = State(batch.sparkSession, state, batch_id, touched(batch))
+        cut, found = plan_cut_with(batch, rows, touched())
+        held = State(batch.sparkSession, state, batch_id, found.buckets)
         sequences = held.of("sequence", *SEQUENCE)
-        upsert_batch(sequence_gaps(batch, rows, sequences), out, batch_id)
+        upsert_batch(sequence_gaps(batch, rows, sequences, cut), out, batch_id)
         if held.buckets:
             held.save(sequence=last_of(batch, sequences))
     finally:
@@ -58,9 +59,9 @@ def plant_batch(
     batch = batch.drop(INTAKE)
     batch.persist()
     try:
-        held = State(batch.sparkSession, state, batch_id, touched(batch))
+        cut, found = plan_cut_with(batch, rows, touched())
+        held = State(batch.sparkSession, state, batch_id, found.buckets)
         opening, sequences = held.of("level", *LEVEL), held.of("sequence", *SEQUENCE)
-        cut = plan_cut(batch, rows)
         deltas = valid_deltas(of_type(batch, "orderbook_delta")).withColumn("ts_ms", F.col("timestamp"))
         bad = quarantined_messages(batch).select(F.lit("quarantine").alias("channel"), F.lit(3).alias("ord"), "arrival", "ticker", "reason")
         forwarded = pass_through(batch).unionByName(deltas.drop("ts_ms")).withColumn("channel", F.col("type"))
@@ -80,11 +81,13 @@ def plant_batch(
             )
             .unionByName(bad, allowMissingColumns=True)
         )
-        publish_batch(events, out, batch_id)
+        # What is published and what is kept do not need one another; each replaces itself when the batch is run again.
+        steps = [lambda: publish_batch(events, out, batch_id)]
         if tiers:
-            write_hot(to_bbo(quotes), tiers, "bbo", f"plant-{batch_id}")
+            steps.append(lambda: write_hot(to_bbo(quotes), tiers, "bbo", f"plant-{batch_id}"))
         if held.buckets:
-            held.save(level=book(deltas, rows=rows, opening=opening, cut=cut), sequence=last_of(batch, sequences))
+            steps.append(lambda: held.save(level=book(deltas, rows=rows, opening=opening, cut=cut), sequence=last_of(batch, sequences)))
+        side_by_side(*steps)
     finally:
         batch.unpersist()
 

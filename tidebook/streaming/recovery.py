@@ -22,7 +22,7 @@ from tidebook.schemas import CORRUPT, SNAPSHOT
 from tidebook.sources.feed import INTAKE
 from tidebook.streaming.plant import last_of
 from tidebook.streaming.record import newest, start, upsert_batch
-from tidebook.streaming.state import LEVEL, SEQUENCE, State, touched
+from tidebook.streaming.state import LEVEL, SEQUENCE, State, side_by_side, touched
 
 TYPE = "orderbook_snapshot"
 DELTA = ("ticker", "side", "price", "size", "arrival", "ts_ms")
@@ -63,7 +63,7 @@ def recover_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: i
     batch = batch.drop(INTAKE)
     batch.persist()
     try:
-        held = State(batch.sparkSession, state, batch_id, touched(batch))
+        held = State(batch.sparkSession, state, batch_id, batch.agg(touched()).first().buckets)
         if not held.buckets:
             return
         is_snapshot = F.col("type") == TYPE
@@ -92,13 +92,16 @@ def recover_batch(batch: DataFrame, batch_id: int, out: str, state: str, rows: i
         was, now = before.withColumnRenamed("size", "was"), levels.withColumnRenamed("size", "now")
         both = was.join(now, list(LEVEL_KEY), "full")
         changed = both.filter(~F.col("was").eqNullSafe(F.col("now")))
-        upsert_batch(changed.select(*LEVEL_KEY, F.coalesce("now", F.lit(0).cast("bigint")).alias("size")), f"{out}/levels", batch_id)
+        sized = changed.select(*LEVEL_KEY, F.coalesce("now", F.lit(0).cast("bigint")).alias("size"))
         log = closed.select("ticker", F.col("since").alias("stale_since"), F.col("until").alias("last_gap"), F.col("taken").alias("recovered_at"))
-        upsert_batch(log, f"{out}/recovered", batch_id)
         stale = status.filter("taken IS NULL").select("ticker", "since", "until")
         taken = closed.select("ticker", F.col("taken").alias("until"))
         taken = taken.unionByName(base.join(taken, "ticker", "left_anti").withColumnRenamed("base", "until"))
-        held.save(level=levels, sequence=last_of(feed, sequences), stale=stale, held=kept, taken=taken)
+        side_by_side(
+            lambda: upsert_batch(sized, f"{out}/levels", batch_id),
+            lambda: upsert_batch(log, f"{out}/recovered", batch_id),
+            lambda: held.save(level=levels, sequence=last_of(feed, sequences), stale=stale, held=kept, taken=taken),
+        )
         status.unpersist()
         levels.unpersist()
     finally:

@@ -7,8 +7,10 @@ overwrites only its own result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark import InheritableThread
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +39,28 @@ def bucket_of(ticker: str = "ticker") -> Column:
     return F.pmod(F.xxhash64(ticker), F.lit(BUCKETS)).cast("int")
 
 
-def touched(batch: DataFrame) -> list[int]:
-    """The buckets of a batch's tickers."""
-    found = batch.filter(F.col("ticker").isNotNull()).select(bucket_of().alias("bucket")).distinct()
-    return [row["bucket"] for row in found.collect()]
+def touched() -> Column:
+    """Aggregate: the buckets of a batch's tickers."""
+    return F.collect_set(F.when(F.col("ticker").isNotNull(), bucket_of())).alias("buckets")
+
+
+def side_by_side(*steps: Callable[[], object]) -> None:
+    """Run steps of a batch that do not need one another at the same time; the first error is raised when all are done."""
+    errors: list[BaseException] = []
+
+    def run(step: Callable[[], object]) -> None:
+        try:
+            step()
+        except BaseException as error:  # noqa: BLE001
+            errors.append(error)
+
+    threads = [InheritableThread(target=run, args=(step,)) for step in steps]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if errors:
+        raise errors[0]
 
 
 class State:
