@@ -18,7 +18,7 @@ def test_market_summaries(spark, tmp_path):
     assert (rows["B"].title, rows["B"].event_ticker, rows["B"].yes_price, rows["A"].volume) == ("", "", 12, None)
     shown = {r.ticker: r for r in pages.display_markets(pages.summarize_markets(markets)).collect()}
     assert (shown["A"].yes, shown["A"].volume, shown["B"].yes, shown["B"].volume) == ("-", 0, "12", 7)
-    assert shown["B"].line.startswith("B" + " " * 15) and shown["B"].line.endswith("Yes:   12 Volume:7")
+    assert shown["B"].line.startswith("B" + " " * 15) and shown["B"].line.endswith("Yes:   12¢ Volume:7")
     assert pages.first_market(markets).first().ticker == "A"
     assert pages.read_markets(spark, str(tmp_path), limit=2).count() == 2
     assert [r.line for r in pages.malformed_market_pages(spark, str(tmp_path)).collect()] == ['{"markets": {}}']
