@@ -11,14 +11,18 @@ top of a band post in the next one as well.
 Empty segments are not posted, and keys of more than `FREQUENT` sets are put aside, as long as the rest of
 the set's allowances still exceeds H; each band holds a reserve for that. Only two sets that both run out
 of it can be linked without sharing another key, and those meet in a different way: every frequent key
-has a pivot, the set that holds most frequent keys. Two sets differ by exactly as much as their
-differences from a common pivot differ, and if they are linked, though not both to the pivot, these
-differences share some elements; prefixes of them, rarest kind first, suffice to find the pair.
+has a pivot, the set that holds most frequent keys; a pivot that shares half of a stronger one hands
+its sets to that. Two sets differ by exactly as much as their differences from a common pivot differ, and
+if they are linked, though not both to the pivot, these differences share some elements; prefixes of them,
+those outside the pivot first, suffice to find the pair.
 
 Sets that share a key are not paired with each other: each is compared with one set of the key. Only
-where keys still join several components are the remaining pairs between components compared, and of
-these only pairs that share as many keys as the pigeonhole demands of a link. Every comparison is exact,
-on the sets themselves. Equal sets are merged and keys combined within slices before the shuffle.
+where keys still join several components are the remaining pairs between components looked at. Such a pair
+must share as many keys as the pigeonhole demands of a link, and its sketches must be close enough: a sketch
+holds the parity of the number of elements in each of a fixed number of classes, so two sets differ by at
+least as many elements as their sketches differ in bits. Texts move for the pairs that are left. Every
+comparison is exact, on the sets themselves. Equal sets are merged and keys combined within slices before
+the shuffle.
 
 Null and empty texts have no shingles and no links; texts with fewer words than a shingle are one
 shingle. The join runs on a key of id and text, so other texts of an id, or without one, are linked on
@@ -48,6 +52,9 @@ GROWTH = 1.4
 CHANCE = 0.01
 FREQUENT = 64
 SPARE = 0.1
+SHARP = 16
+SAME_PIVOT = 50
+SHARES = 64
 ROWS = 1 << 19
 POSTED = "key long, sig long, doc long, info int, n int, leader long"
 FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64)) for i in range(64)]
@@ -130,10 +137,13 @@ class Poster:
 
     def post(self, elements: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(keys, info) of a set in its own band and in those above that hold possible partners."""
-        size = len(elements)
+        for number in self.bands_for(len(elements)):
+            yield self.keys(elements, number)
+
+    def bands_for(self, size: int) -> Iterator[int]:
         own = int(np.searchsorted(self.lows, size, side="right")) - 1
-        while own < len(self.bands) and (size >= self.bands[own].low or 100 * size >= self.percent * self.bands[own].low):
-            yield self.keys(elements, own)
+        while size and own < len(self.bands) and (size >= self.bands[own].low or 100 * size >= self.percent * self.bands[own].low):
+            yield own
             own += 1
 
     def keys(self, elements: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,6 +167,24 @@ class Poster:
         return np.concatenate(keys), (((max(slack, -1) + 1) * 128 + number) * 4 + weight).astype(np.int32)
 
 
+def sketch_of(elements: np.ndarray, most: int) -> np.ndarray:
+    """Parities of a set in classes of its elements, `SHARP` bits for each element of the difference allowed."""
+    bits = 64 * max(1, -(-SHARP * most // 64))
+    classes = mixed(elements + np.uint64(0xD6E8FEB86659FD93)) % np.uint64(bits)
+    return np.packbits((np.bincount(classes.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
+
+def lists(values: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(v) for v in values)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *values]), pa.int64()))
+
+
+def may_link(percent: int) -> F.Column:
+    """Whether the sketches of two sets, columns marked x and y, leave room for a link."""
+    apart = F.aggregate(F.zip_with("sketch_x", "sketch_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    return apart * (100 + percent) <= (100 - percent) * (F.col("size_x") + F.col("size_y"))
+
+
 def row_key() -> F.Column:
     """62 bits of id and text, by which rows are told apart."""
     return base.spread(F.col("doc_id").isNull(), "doc_id", F.coalesce("text", F.lit("")))
@@ -273,32 +301,53 @@ def parted(met: DataFrame, frequent: int) -> tuple[DataFrame, DataFrame]:
     return judged.filter("hot is null").drop("hot", "short"), judged.filter("hot is not null and short").select("sig", "doc")
 
 
-def pivots_of(hot: DataFrame) -> DataFrame:
-    """Each set of a frequent key with the key's pivot: a, b."""
+def pivots_of(hot: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Each set of a frequent key with the key's pivot, or the strongest that this one leads to: a, b.
+
+    A pivot that holds keys of stronger pivots and shares half of one of them is replaced by the strongest such.
+    """
     held = hot.groupBy(F.col("doc").alias("holder")).agg(F.count(F.lit(1)).alias("held"))
     ranked = hot.join(held, F.col("doc") == F.col("holder")).select("sig", "doc", "held")
     best = ranked.groupBy(F.col("sig").alias("of")).agg(F.max(F.struct("held", (-F.col("doc")).alias("low"))).alias("best"))
-    met = hot.join(best, F.col("sig") == F.col("of")).select(F.col("doc").alias("a"), (-F.col("best.low")).alias("b"))
-    return base.materialize(met.filter("a <> b").distinct(), "pivots")
-
-
-def texts_of_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    first = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("one")), "a")
-    return first.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("two")), "b").select("a", "b", "one", "two")
-
-
-DIFFERENCES = "a long, b long, linked boolean, key long, early boolean, fresh boolean, size long, n_new long, n_gone long, whole boolean, whole_early boolean"
+    met = hot.join(best, F.col("sig") == F.col("of")).select(F.col("doc").alias("a"), (-F.col("best.low")).alias("b"), "best")
+    met = base.materialize(met.distinct(), "pivots")
+    between = met.filter("a <> b").join(met.select(F.col("b").alias("pivot")).distinct(), F.col("a") == F.col("pivot"), "left_semi")
+    close = linked(between.select("a", "b"), texts, size, SAME_PIVOT)
+    led = between.join(close, ["a", "b"]).groupBy(F.col("a").alias("weak")).agg((-F.max("best")["low"]).alias("strong"))
+    led = base.materialize(led, "led")
+    while True:
+        onward = led.select(F.col("weak").alias("via"), F.col("strong").alias("further"))
+        moved = led.join(onward, F.col("strong") == F.col("via"), "left").select("weak", F.coalesce("further", "strong").alias("strong"), "further")
+        moved = base.materialize(moved, "led")
+        led = moved.select("weak", "strong")
+        if moved.filter("further is not null").isEmpty():
+            break
+    met = met.join(led, F.col("b") == F.col("weak"), "left").select("a", F.coalesce("strong", "b").alias("b"))
+    return met.filter("a <> b").distinct()
+
+
+def texts_of_pairs(pairs: DataFrame, texts: DataFrame, shares: int = 1) -> DataFrame:
+    """Pairs (a, b) with both texts; the pairs of one b are dealt to so many tasks."""
+    salted = pairs.withColumn("share", F.pmod(F.xxhash64("a"), F.lit(shares)))
+    first = salted.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("one")), "a")
+    second = texts.select(F.col("doc").alias("b"), F.col("text").alias("two"))
+    if shares == 1:
+        return first.join(second, "b").select("a", "b", "one", "two")
+    spread = salted.select("b", "share").distinct().join(second, "b")
+    return first.join(spread, ["b", "share"]).select("a", "b", "one", "two")
+
+
+DIFFERENCES = "a long, b long, linked boolean, size long, n_new long, n_gone long, early int, keys array<long>, sketch array<long>"
 
 
 def from_pivots(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Differences of sets from their pivots: a, b, linked, and in `key` the elements by which the set can be found.
+    """Differences of sets from their pivots: a, b, linked, and in `keys` the elements by which the set can be found.
 
     With d the size of the difference and M the most that the set differs from any partner, a partner that
     is not linked to the pivot shares at least (d + H(pivot) - H(set)) / 2 elements of the difference, H being
     what the pigeonhole allows for their sizes, and one that is linked to it shares at least d - M and one.
     The first d - least + 1 elements of one order of all, those outside the pivot first, then share
-    one. `early` elements are those for partners that are not linked. `fresh` are elements outside the
-    pivot, and `whole` says that all of these are among the elements given.
+    one. The first `early` are those for partners that are not linked.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,7 +362,7 @@ def from_pivots(pairs: DataFrame, texts: DataFrame, size: int, percent: int) ->
         known = dict(zip(distinct, shingles(distinct, size, powers), strict=True))
         pivots = batch.column("b").to_numpy()
         facts: list[tuple] = []
-        keys, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        keys, sketches = [], []
         for i, (own, two) in enumerate(zip(shingles(list(base.raw_texts(batch, "one")), size, powers), twos, strict=True)):
             pivot = known[two]
             new, gone = np.setdiff1d(own, pivot, assume_unique=True), np.setdiff1d(pivot, own, assume_unique=True)
@@ -324,49 +373,55 @@ def from_pivots(pairs: DataFrame, texts: DataFrame, size: int, percent: int) ->
             early = apart - (half if link else max(half, apart - most)) + 1 if apart else 0
             given = early if link else apart - max(1, apart - most) + 1
             prefix = np.concatenate([np.sort(new), np.sort(gone)])[:given]
-            keys.append(np.concatenate([np.zeros(1, np.uint64), mixed(prefix ^ mixed(pivots[i : i + 1]))]))
-            places.append(np.arange(-1, len(prefix)))
-            facts.append((link, early, len(own), len(new), len(gone), given >= len(new), early >= len(new)))
-        counts = [len(p) for p in places[1:]]
-        at, place = np.repeat(np.arange(len(counts)), counts), np.concatenate(places)
-        link, early, own_size, n_new, n_gone, whole, whole_early = (np.array(c)[at] if facts else np.empty(0, int) for c in (zip(*facts, strict=True) if facts else [()] * 7))
-        flag, count = pa.bool_(), pa.int64()
-        columns = [batch.column("a").take(pa.array(at, count)), batch.column("b").take(pa.array(at, count)), pa.array(link, flag), pa.array(np.concatenate(keys).view(np.int64))]
-        columns += [pa.array(place < early, flag), pa.array((place >= 0) & (place < n_new), flag), pa.array(own_size, count), pa.array(n_new, count), pa.array(n_gone, count)]
-        columns += [pa.array(whole, flag), pa.array(whole_early, flag)]
+            keys.append(mixed(prefix ^ mixed(pivots[i : i + 1])).view(np.int64))
+            sketches.append(sketch_of(own, most_different(2 * len(pivot), percent)))
+            facts.append((link, len(own), len(new), len(gone), early))
+        kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+        columns = [batch.column("a"), batch.column("b"), *(pa.array([f[i] for f in facts], kind) for i, kind in enumerate(kinds)), lists(keys), lists(sketches)]
         return pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in DIFFERENCES.split(", ")])
 
-    return base.materialize(texts_of_pairs(pairs, texts).mapInArrow(compare, DIFFERENCES), "differences")
+    return base.materialize(texts_of_pairs(pairs, texts, SHARES).mapInArrow(compare, DIFFERENCES), "differences")
 
 
 def across_pivots(apart: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components whose differences from a pivot may be close enough: a, b.
+    """Pairs of different components whose differences from a pivot share an element and whose sketches are close: a, b.
 
-    At least one of the two is not linked to the pivot. Where all fresh elements of both were given, those
-    they do not share separate them, and so do the numbers of elements of the pivot they lack. A pair that
-    meets on an element of the pivot and shares fresh ones too is found by these.
+    At least one of the two is not linked to the pivot. Sets linked to a pivot take part where others are not.
     """
-    found = apart.filter("key <> 0").join(labels, F.col("a") == F.col("node"), "left").withColumn("component", F.coalesce("component", "a"))
+    found = apart.join(labels, F.col("a") == F.col("node"), "left").withColumn("component", F.coalesce("component", "a"))
+    far = found.filter("not linked")
+    near = found.filter("linked").join(far.select(F.col("b").alias("pivot")).distinct(), F.col("b") == F.col("pivot"), "left_semi")
 
-    def side(rows: DataFrame, mark: str, whole: str) -> DataFrame:
-        names = ("a", "component", "size", "n_new", "n_gone")
-        return rows.select("key", *(F.col(n).alias(f"{n}_{mark}") for n in names), F.col(whole).alias(f"whole_{mark}"), F.col("b").alias(f"pivot_{mark}"), F.col("fresh").alias(f"fresh_{mark}"))
+    def side(rows: DataFrame, mark: str) -> DataFrame:
+        names = ("a", "component", "size", "n_new", "n_gone", "early", "linked", "sketch")
+        return rows.select(F.posexplode("keys").alias("place", f"key_{mark}"), *(F.col(n).alias(f"{n}_{mark}") for n in names)).withColumnRenamed("place", f"place_{mark}")
 
-    apart_rows, near_rows = found.filter("not linked"), found.filter("linked")
-    both = side(apart_rows.filter("early"), "x", "whole_early").join(side(apart_rows.filter("early"), "y", "whole_early"), "key").filter("a_x < a_y")
-    mixed_pairs = side(apart_rows, "x", "whole").join(side(near_rows, "y", "whole"), "key")
-    allowed = (100 - percent) * (F.col("size_x") + F.col("size_y"))
+    others = far.withColumn("keys", F.slice("keys", F.lit(1), F.col("early"))).unionByName(near)
+    of_two = F.col("linked_y") | ((F.col("place_x") < F.col("early_x")) & (F.col("a_x") < F.col("a_y")))
     unlike = F.abs(F.col("n_new_x") - F.col("n_new_y")) + F.abs(F.col("n_gone_x") - F.col("n_gone_y"))
-    met = both.unionByName(mixed_pairs).filter("component_x <> component_y and pivot_x = pivot_y")
-    strange = F.col("n_new_x") + F.col("n_new_y") + F.abs(F.col("n_gone_x") - F.col("n_gone_y"))
-    alone = F.col("fresh_x") | ~F.col("whole_x") | ~F.col("whole_y") | (strange * (100 + percent) <= allowed)
-    met = met.filter(unlike * (100 + percent) <= allowed).filter(alone)
-    facts = [F.first(f"{n}_{m}").alias(f"{n}_{m}") for n in ("size", "n_new", "n_gone", "whole") for m in ("x", "y")]
-    pairs = met.groupBy("a_x", "a_y", "pivot_x").agg(F.sum(F.col("fresh_x").cast("int")).alias("shared"), *facts)
-    common = F.when(F.col("whole_x") & F.col("whole_y"), F.col("shared")).otherwise(F.least("n_new_x", "n_new_y"))
-    distance = F.col("n_new_x") + F.col("n_new_y") - 2 * common + F.abs(F.col("n_gone_x") - F.col("n_gone_y"))
-    close = pairs.filter(distance * (100 + percent) <= allowed)
-    return close.select(F.greatest("a_x", "a_y").alias("a"), F.least("a_x", "a_y").alias("b"))
+    sized = unlike * (100 + percent) <= (100 - percent) * (F.col("size_x") + F.col("size_y"))
+    on = (F.col("key_x") == F.col("key_y")) & (F.col("component_x") != F.col("component_y")) & of_two & sized & may_link(percent)
+    met = side(far, "x").join(side(others, "y"), on)
+    return met.select(F.greatest("a_x", "a_y").alias("a"), F.least("a_x", "a_y").alias("b"))
+
+
+def sketched(texts: DataFrame, size: int, bands: list[Band], percent: int) -> DataFrame:
+    """The sketch of every set for each band where it takes part: of, band, size, sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, poster = Powers(), Poster(bands, percent)
+        for batch in batches:
+            at, numbers, sizes, found = [], [], [], []
+            for i, elements in enumerate(shingles(list(base.raw_texts(batch)), size, powers)):
+                for number in poster.bands_for(len(elements)):
+                    at.append(i)
+                    numbers.append(number)
+                    sizes.append(len(elements))
+                    found.append(sketch_of(elements, bands[number].most))
+            columns = [batch.column("doc").take(pa.array(at, pa.int64())), pa.array(numbers, pa.int32()), pa.array(sizes, pa.int64()), lists(found)]
+            yield pa.RecordBatch.from_arrays(columns, names=["of", "band", "size", "sketch"])
+
+    return texts.select("doc", "text").mapInArrow(run, "of long, band int, size long, sketch array<long>")
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -388,23 +443,26 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return base.materialize(texts_of_pairs(pairs, texts).mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
-def across_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of sets of different components that share a key: a, b, instance, and how many keys they share."""
+def across_components(rows: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different components that share as many keys as a link demands and whose sketches are close: a, b."""
     labelled = rows.join(labels, F.col("doc") == F.col("node"), "left").select("sig", "doc", "instance", "demand", F.coalesce("component", "doc").alias("component"))
     several = labelled.groupBy(F.col("sig").alias("of")).agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
-    several = base.materialize(labelled.join(several.select("of"), F.col("sig") == F.col("of"), "left_semi"), "several")
-    one = several.select("sig", F.col("doc").alias("a"), F.col("component").alias("ca"), F.col("demand").alias("da"), "instance")
-    two = several.select("sig", F.col("doc").alias("b"), F.col("component").alias("cb"), F.col("demand").alias("db"), F.col("instance").alias("other"))
-    met = one.join(two, "sig").filter("ca < cb and instance = other")
-    shared = met.groupBy("a", "b", "instance").agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("da", "db")).alias("demand"))
-    return shared.filter("shared >= demand").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    several = labelled.join(several.select("of"), F.col("sig") == F.col("of"), "left_semi")
+    several = several.join(sketches, (F.col("doc") == F.col("of")) & (F.col("instance") == F.col("band")))
+    several = base.materialize(several.select("sig", "doc", "instance", "demand", "component", "size", "sketch"), "several")
+    one, two = (several.select(*(F.col(c).alias(f"{c}_{mark}") for c in several.columns)) for mark in "xy")
+    same = (F.col("sig_x") == F.col("sig_y")) & (F.col("instance_x") == F.col("instance_y"))
+    met = one.join(two, same & (F.col("component_x") < F.col("component_y")) & may_link(percent))
+    shared = met.groupBy("doc_x", "doc_y", "instance_x").agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("demand_x", "demand_y")).alias("demand"))
+    return shared.filter("shared >= demand").select(F.greatest("doc_x", "doc_y").alias("a"), F.least("doc_x", "doc_y").alias("b"))
 
 
 def joined(docs: DataFrame, size: int, percent: int, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """Every row with its key and number of shingles (doc_id, key, n_shingles), and the component of linked keys (node, component)."""
     docs = docs.select("doc_id", row_key().alias("key"), "text")
     sizes = base.materialize(set_sizes(docs, size), "sizes")
-    met = meetings(post_keys(docs, size, bands_of(sizes, percent), percent))
+    bands = bands_of(sizes, percent)
+    met = meetings(post_keys(docs, size, bands, percent))
     twins = met.filter("n < 0").select(F.col("doc").alias("a"), F.col("leader").alias("b"))
     rows, hot = parted(met, frequent)
 
@@ -414,11 +472,11 @@ def joined(docs: DataFrame, size: int, percent: int, frequent: int = FREQUENT) -
 
     stars = rows.filter("doc <> leader").groupBy(F.col("doc").alias("a"), F.col("leader").alias("b"), "instance").agg(F.count(F.lit(1)).alias("shared"), F.max("demand").alias("demand"))
     stars = base.materialize(stars.filter("shared >= demand").select("a", "b").distinct(), "stars")
-    apart = from_pivots(pivots_of(hot), texts, size, percent)
-    links = linked(stars, texts, size, percent).union(twins).union(apart.filter("linked and key = 0").select("a", "b"))
+    apart = from_pivots(pivots_of(hot, texts, size), texts, size, percent)
+    links = linked(stars, texts, size, percent).union(twins).union(apart.filter("linked").select("a", "b"))
     labels = components(links)
 
-    pairs = across_components(rows, labels).union(across_pivots(apart, labels, percent)).distinct()
+    pairs = across_components(rows, labels, sketched(texts, size, bands, percent), percent).union(across_pivots(apart, labels, percent)).distinct()
     pairs = base.materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     more = linked(pairs, texts, size, percent)
     return sizes, labels if more.isEmpty() else components(links.union(more))
