@@ -202,6 +202,17 @@ def test_deletion_neighbourhoods_lose_no_link(frame, rows, monkeypatch):
     assert sorted(rows(ngram_join.groups(frame(docs)), "doc_id", "n_shingles", "component_id")) == brute.components(docs, 4, 85)
 
 
+def test_sketches_never_differ_by_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for most in (0, 3, 32, 300):
+        for _ in range(50):
+            one = np.unique(rng.integers(0, 1 << 63, rng.integers(0, 400), dtype=np.uint64))
+            two = np.unique(np.concatenate([one[rng.random(len(one)) < 0.9], rng.integers(0, 1 << 63, rng.integers(0, 40), dtype=np.uint64)]))
+            x, y = (ngram_join.sketch_of(elements, most) for elements in (one, two))
+            assert len(x) == len(y) == max(1, -(-ngram_join.SHARP * most // 64))
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(one, two))
+
+
 def test_shingles_of_odd_tables(frame, rows):
     assert rows(ngram_join.groups(frame([])), "doc_id") == []
     got = rows(ngram_join.groups(frame([(None, "a b c d e"), (4, "a b c d e"), (5, None), (4, "a b c d e")])), "doc_id", "component_id")
