@@ -210,7 +210,7 @@ def test_sketches_never_differ_by_more_than_the_sets():
             two = np.unique(np.concatenate([one[rng.random(len(one)) < 0.9], rng.integers(0, 1 << 63, rng.integers(0, 40), dtype=np.uint64)]))
             x, y = (ngram_join.sketch_of(elements, most) for elements in (one, two))
             assert len(x) == len(y) == max(1, -(-ngram_join.SHARP * most // 64))
-            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(one, two))
+            assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= len(np.setxor1d(one, two))
 
 
 def test_shingles_of_odd_tables(frame, rows):
