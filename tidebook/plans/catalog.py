@@ -881,6 +881,21 @@ def end_of_day_after_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------------------
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over all cores to be landed, whatever task they come from."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "arrival")
+
+
+def _goes(rows: DataFrame, goes: int = 5) -> list[DataFrame]:
+    """The rows in so many goes of equal width by their arrival numbers.
+
+    A go is a range of the numbers, so that only files and row groups with such numbers are read for it.
+    """
+    low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    edges = [low + -(-(high - low + 1) * number // goes) for number in range(goes + 1)]
+    return [rows.filter((F.col("arrival") >= begin) & (F.col("arrival") < end)) for begin, end in zip(edges, edges[1:], strict=False)]
+
+
 def _landed_feed(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
     """The feed landed as JSON lines, in so many goes, and read back as a stream of as many batches."""
     path = scratch_path(spark, "feed")
@@ -1007,13 +1022,13 @@ def stream_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.table_counts({name: spark.table(here.hot(name)) for name in names})
 
 
-def _to_parquet(spark: SparkSession, rows: DataFrame, mode: str = "append") -> DataFrame:
-    out = scratch_path(spark, "out")
+def _to_parquet(spark: SparkSession, rows: DataFrame, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    out = out or scratch_path(spark, "out")
     running = (
-        rows.writeStream.outputMode(mode)
+        rows.writeStream.outputMode("append")
         .format("parquet")
         .option("path", out)
-        .option("checkpointLocation", scratch_path(spark, "checkpoint"))
+        .option("checkpointLocation", checkpoint or scratch_path(spark, "checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
@@ -1118,12 +1133,10 @@ def stream_evicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     deltas = workload.deltas(spark, sf_dir).drop("ticker").join(
         workload.table(spark, sf_dir, "events").select(F.col("event_id").alias("arrival"), F.concat(F.lit("U"), F.col("user_id") % 40).alias("ticker")), "arrival"
     )
-    low, high = deltas.agg(F.min("arrival"), F.max("arrival")).first()
-    part = F.expr(f"(arrival - {low}) * 5 div {high - low + 1}")
-    path = scratch_path(spark, "deltas")
-    for number in range(5):
-        deltas.filter(part == number).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(deltas.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    path, out, checkpoint = (scratch_path(spark, name) for name in ("deltas", "out", "checkpoint"))
     with stateful.rocksdb(spark):
-        events = _to_parquet(spark, stateful.evicting_book_stream(stream, idle="6 hours", late="1 hour"))
+        for go in _goes(written(deltas, "keyed")):
+            _spread(go).write.mode("append").parquet(path)
+            stream = spark.readStream.schema(deltas.schema).parquet(path)
+            events = _to_parquet(spark, stateful.evicting_book_stream(stream, idle="6 hours", late="1 hour"), out, checkpoint)
     return events.filter("event = 'quote'").select("ticker", "arrival", "ts_ms", *BBO_COLUMNS)
