@@ -2,9 +2,11 @@
 
 import json
 import random
+from pathlib import Path
 
 import pytest
 
+from tidebook.plans import catalog
 from tidebook.sources import documents
 
 
@@ -47,3 +49,32 @@ def test_a_document_cut_short_loses_its_last_object_only(spark, tmp_path):
     (tmp_path / "a.json").write_text(text[: text.rindex('"more"') + 3])
     found = documents.read_document(spark, str(tmp_path / "a.json")).orderBy("number").collect()
     assert [json.loads(r.value) for r in found] == given[:-1]
+
+
+def test_many_short_blocks_are_read_by_few_tasks(spark, tmp_path):
+    given = made(random.Random(3), 400)
+    (tmp_path / "a.json").write_text(json.dumps(given))
+    few = documents.TASKS * spark.sparkContext.defaultParallelism
+    ran = []
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 64)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    spark.sparkContext.setJobGroup("document", "document")
+    try:
+        found = documents.read_document(spark, str(tmp_path / "a.json"))
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(stage) for job in tracker.getJobIdsForGroup("document") for stage in tracker.getJobInfo(job).stageIds]
+        ran = [stage.numTasks for stage in stages if stage]
+        assert [json.loads(r.value) for r in found.orderBy("file", "block", "number").collect()] == given
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert (tmp_path / "a.json").stat().st_size > 64 * few
+    assert ran and max(ran) <= few
+
+
+def test_the_document_is_one_line_of_every_object(spark):
+    (file,) = [p for p in Path(catalog._market_document(spark, "/root/testdata/sf0.001")).iterdir() if p.name.startswith("part-")]
+    text = file.read_text()
+    keys = [entry["key"] for entry in json.loads(text)]
+    assert keys == sorted(r.p_partkey for r in spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()) and "\n" not in text.strip()

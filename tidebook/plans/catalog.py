@@ -540,9 +540,12 @@ def _market_document(spark: SparkSession, sf_dir: str) -> str:
     part = workload.table(spark, sf_dir, "part")
     note = F.concat(F.lit('a "}" and [{'), "p_name", F.lit("\\"))
     entry = F.to_json(F.struct(F.col("p_partkey").alias("key"), note.alias("note"), F.struct(F.array("p_size", "p_partkey").alias("sizes")).alias("more")))
-    listed = part.agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", entry.alias("e")))), lambda x: x["e"]), ", "), F.lit("]")).alias("value"))
+    # One file is written by one task, which sorts and streams the objects and never holds the list as a whole.
+    rows = part.select(F.lit(False).alias("end"), "p_partkey", entry.alias("e")).unionByName(spark.range(1).select(F.lit(True).alias("end"), F.lit("]").alias("e")), allowMissingColumns=True)
+    ordered = rows.repartition(1).sortWithinPartitions("end", "p_partkey").withColumn("row", F.monotonically_increasing_id())
+    before = F.when(F.col("row") == 0, "[").when(F.col("end"), "").otherwise(",")
     path = scratch_path(spark, "document")
-    listed.write.text(path)
+    ordered.select(F.concat(before, "e").alias("value")).write.option("lineSep", " ").text(path)
     return path
 
 

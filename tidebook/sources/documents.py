@@ -16,9 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidebook.session import written
+
 OUTSIDE, INSIDE, ESCAPED = range(3)
 #: Objects handed on at a time.
 ROWS = 512
+#: Tasks a core, where there are more blocks than that.
+TASKS = 8
 #: A string up to its end, if it has one here; or a bracket.
 TOKEN = re.compile(r'"(?:[^"\\]|\\.)*("|\\$|$)|[{}\[\]]', re.S)
 REST = re.compile(r'(?:[^"\\]|\\.)*("|\\$|$)', re.S)
@@ -56,6 +60,12 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
+def _several_a_task(spark: SparkSession, pieces: DataFrame) -> DataFrame:
+    """Where there are many blocks, a task reads several, one after the other, as each task has its costs."""
+    tasks = TASKS * spark.sparkContext.defaultParallelism
+    return pieces.coalesce(tasks) if pieces.rdd.getNumPartitions() > tasks else pieces
+
+
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], str]]:
     for batch in batches:
         keys = zip(batch.column("file").to_pylist(), batch.column("block").to_pylist(), strict=True)
@@ -78,7 +88,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def block_states(pieces: DataFrame) -> dict[tuple[str, int], tuple[int, int]]:
     """The state and depth with which each block begins. Three rows of a few bytes per block come to the driver."""
     summary = "file string, block long, begin int, end int, depth long"
-    rows = pieces.mapInArrow(_summaries, summary).orderBy("file", "block", "begin").collect()
+    rows = sorted(pieces.mapInArrow(_summaries, summary).collect())
     states, state, depth, last = {}, OUTSIDE, 0, None
     for number in range(0, len(rows), 3):
         file, block = rows[number].file, rows[number].block
@@ -97,8 +107,9 @@ def read_document(spark: SparkSession, path: str | list[str], nesting: int = 1)
     block and number they come as in the document. One that the end of the document cuts off is left out,
     unless nothing but its last bracket is missing.
     """
-    pieces = _pieces(spark, path)
-    found = _cut(pieces, block_states(pieces), nesting)
+    pieces = _several_a_task(spark, _pieces(spark, path))
+    # Parts and whole objects are taken from one cut.
+    found = written(_cut(pieces, block_states(pieces), nesting), "cut")
     # Number 0 goes on with what an earlier block began, an object that is not closed goes on in the next one.
     # That is two rows a block at most.
     parts = found.filter("number = 0 OR NOT closed")
@@ -126,10 +137,16 @@ def _cut(pieces: DataFrame, states: dict[tuple[str, int], tuple[int, int]] | Non
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], tuple] = {}
         made: list[tuple] = []
+
+        def left_open() -> list[tuple]:
+            return [(*key, number, "".join(parts), False) for key, (_, _, number, parts) in held.items() if parts is not None]
+
         for key, text in _by_block(batches):
             if states is None and key[1] > 0:
                 continue
             if key not in held:
+                made += left_open()
+                held.clear()
                 state, depth = states[key] if states is not None else (OUTSIDE, 0)
                 held[key] = (state, depth, 0, [] if depth > nesting else None)
             state, depth, number, parts = held[key]
@@ -147,7 +164,7 @@ def _cut(pieces: DataFrame, states: dict[tuple[str, int], tuple[int, int]] | Non
             if len(made) >= ROWS:
                 yield _batch(made)
                 made = []
-        made += [(*key, number, "".join(parts), False) for key, (_, _, number, parts) in held.items() if parts is not None]
+        made += left_open()
         yield _batch(made)
 
     return pieces.mapInArrow(cut, "file string, block long, number long, value string, closed boolean")
