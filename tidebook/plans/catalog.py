@@ -1104,15 +1104,16 @@ def stream_dedup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades of a stream of five batches, each of which repeats those of three batches before."""
     trades = workload.trades(spark, sf_dir)
     named = trades.withColumn("trade_id", F.when(F.col("arrival") % 7 != 0, F.col("trade_id")))
-    low, high = trades.agg(F.min("arrival"), F.max("arrival")).first()
-    part = F.expr(f"(arrival - {low}) * 5 div {high - low + 1}")
     path = scratch_path(spark, "trades")
-    for number in range(5):
-        again = named.filter((part == number - 3) & F.col("trade_id").isNotNull()).withColumn("arrival", F.col("arrival") + 1_000_000_000)
-        named.filter(part == number).unionByName(again).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(named.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out, seen, checkpoint = (scratch_path(spark, name) for name in ("unique", "history", "checkpoint"))
-    _finish(history.dedup_history_stream(stream, out, seen, checkpoint))
+    goes = _goes(named)
+    for number, go in enumerate(goes):
+        if number >= 3:
+            again = goes[number - 3].filter(F.col("trade_id").isNotNull()).withColumn("arrival", F.col("arrival") + 1_000_000_000)
+            go = go.unionByName(again)
+        _spread(go).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(named.schema).parquet(path)
+        _finish(history.dedup_history_stream(stream, out, seen, checkpoint))
     return spark.read.parquet(out).select("trade_id", "arrival")
 
 
