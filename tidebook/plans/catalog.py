@@ -25,6 +25,8 @@ QUERIES: dict[str, Query] = {}
 SOME_DAY = "2024-01-15"
 # Segments short enough to be cut many times in the given tables.
 SHORT_SEGMENT = 1024
+# Files of a micro-batch of a stream that is run whenever a batch has landed: all that are new.
+EVERY_FILE = 1 << 30
 
 BBO_COLUMNS = ("bid_price", "bid_size", "ask_price", "ask_size", "mid_price", "spread")
 
@@ -961,23 +963,21 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _recovered(spark: SparkSession, sf_dir: str) -> str:
     """Five batches of every event as a delta: losses in the first two fifths, a snapshot after three."""
     rows = workload.sequenced(spark, sf_dir).withColumnRenamed("ts_ms", "timestamp").withColumn("type", F.lit("orderbook_delta"))
+    rows = written(rows.withColumn("channel", F.col("type")), "messages")
     low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
-    width = high - low + 1
-    taken = low + 3 * width // 5
-    part = F.expr(f"(arrival - {low}) * 5 div {width}")
-    kept = rows.filter((F.col("arrival") % 50 != 7) | (part >= 2)).withColumn("channel", F.col("type"))
+    taken = low + 3 * (high - low + 1) // 5
     feed_path, log_path = scratch_path(spark, "feed"), scratch_path(spark, "snapshots")
-    for number in range(5):
-        feeds.write_feed(kept.filter(part == number).coalesce(1), feed_path)
     seen = workload.deltas(spark, sf_dir).filter(F.col("arrival") <= taken)
-    logged = snapshots.snapshot_of(book.book(seen), F.lit(0), arrival=F.lit(taken))
-    for number in range(4):  # an old poll without ticker after each of the first batches, then the real one
-        polled = logged if number == 3 else logged.limit(1).withColumn("ticker", F.lit("NONE"))
-        snapshots.write_snapshot_log(polled.coalesce(1), log_path)
-    messages = feeds.stream_feed(spark, feed_path, files_per_batch=1)
+    logged = written(snapshots.snapshot_of(book.book(seen), F.lit(0), arrival=F.lit(taken)), "logged")
     out, state, checkpoint = (scratch_path(spark, name) for name in ("books", "state", "checkpoint"))
-    stream = recovery.with_snapshots(messages, recovery.stream_snapshots(spark, log_path, files_per_batch=1))
-    _finish(recovery.recovery_stream(stream, out, state, checkpoint, rows=SHORT_SEGMENT))
+    for number, go in enumerate(_goes(rows)):
+        feeds.write_feed(_spread(go.filter("arrival % 50 <> 7") if number < 2 else go), feed_path)
+        if number < 4:  # an old poll without ticker with each of the first batches, then the real one
+            polled = logged if number == 3 else logged.limit(1).withColumn("ticker", F.lit("NONE"))
+            snapshots.write_snapshot_log(polled.coalesce(1), log_path)
+        messages = feeds.stream_feed(spark, feed_path, files_per_batch=EVERY_FILE)
+        stream = recovery.with_snapshots(messages, recovery.stream_snapshots(spark, log_path, files_per_batch=EVERY_FILE))
+        _finish(recovery.recovery_stream(stream, out, state, checkpoint, rows=SHORT_SEGMENT))
     return out
 
 
