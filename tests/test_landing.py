@@ -32,7 +32,7 @@ def landed(spark, name, folder):
     return list(path.rglob("part-*")), [file for file in (checkpoint / "sources" / "0").iterdir() if file.name.isdigit()]
 
 
-@pytest.mark.parametrize("name, folder", [("stream_evicted", "deltas"), ("stream_dedup_history", "trades"), ("stream_recovery_log", "feed")])
+@pytest.mark.parametrize("name, folder", [("stream_evicted", "deltas"), ("stream_dedup_history", "trades"), ("stream_recovery_log", "feed"), ("stream_bbo_table", "feed")])
 def test_a_batch_is_landed_by_many_tasks(spark, name, folder):
     files, batches = landed(spark, name, folder)
     assert len(files) > 5 and len(batches) == 5

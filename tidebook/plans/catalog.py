@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidebook.functions import scalars
 from tidebook.operators import bbo as quotes
@@ -901,18 +902,19 @@ def _goes(rows: DataFrame, goes: int = 5) -> list[DataFrame]:
     return [rows.filter((F.col("arrival") >= begin) & (F.col("arrival") < end)) for begin, end in zip(edges, edges[1:], strict=False)]
 
 
-def _landed_feed(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
-    """The feed landed as JSON lines, in so many goes, and read back as a stream of as many batches."""
+def _landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed landed as JSON lines and read back as a stream of one batch."""
     path = scratch_path(spark, "feed")
-    rows = workload.feed(spark, sf_dir, numbered=True)
-    if batches == 1:
-        feeds.write_feed(rows.repartition(8), path)
-        return feeds.stream_feed(spark, path)
-    low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
-    part = F.expr(f"(arrival - {low}) * {batches} div {high - low + 1}")
-    for number in range(batches):
-        feeds.write_feed(rows.filter(part == number).repartition(2), path)
-    return feeds.stream_feed(spark, path, files_per_batch=2)
+    feeds.write_feed(_spread(workload.feed(spark, sf_dir, numbered=True)), path)
+    return feeds.stream_feed(spark, path, files_per_batch=EVERY_FILE)
+
+
+def _run_in_goes(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], StreamingQuery]) -> None:
+    """The feed landed as JSON lines in five goes; after each the stream is run, with the go as its micro-batch."""
+    path = scratch_path(spark, "feed")
+    for go in _goes(written(workload.feed(spark, sf_dir, numbered=True), "messages")):
+        feeds.write_feed(_spread(go), path)
+        _finish(run(feeds.stream_feed(spark, path, files_per_batch=EVERY_FILE)))
 
 
 def _finish(running) -> None:
@@ -930,18 +932,20 @@ def feed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_plant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _planted(spark, _landed_feed(spark, sf_dir))
+    out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
+    _finish(plant.plant_stream(_landed_feed(spark, sf_dir), out, state, checkpoint))
+    return _planted(spark, out)
 
 
 @query
 def stream_plant_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plant over five micro-batches, its state carried from one to the next."""
-    return _planted(spark, _landed_feed(spark, sf_dir, batches=5))
+    out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
+    _run_in_goes(spark, sf_dir, lambda feed: plant.plant_stream(feed, out, state, checkpoint))
+    return _planted(spark, out)
 
 
-def _planted(spark: SparkSession, feed: DataFrame) -> DataFrame:
-    out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
-    _finish(plant.plant_stream(feed, out, state, checkpoint))
+def _planted(spark: SparkSession, out: str) -> DataFrame:
     events = plant.published(spark, out).filter("channel <> 'quarantine'")
     return events.select(
         "channel", "arrival", "ord", "ticker", "bid_price", "ask_price", "price", "last_price", "last_sequence"
@@ -997,7 +1001,8 @@ def stream_recovery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_record_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream recorded in five batches: rows per table, day and side of the hot tier."""
     here = _new_tiers(spark)
-    _finish(record.record_stream(_landed_feed(spark, sf_dir, batches=5), here, scratch_path(spark, "checkpoint")))
+    checkpoint = scratch_path(spark, "checkpoint")
+    _run_in_goes(spark, sf_dir, lambda feed: record.record_stream(feed, here, checkpoint))
     names = ("trades", "orderbook_deltas", "tickers")
     per_day = [
         spark.table(here.hot(name)).groupBy(F.date_format("date", "yyyy-MM-dd").alias("date")).agg(F.count("*").alias("rows"), F.sum(F.col("arrival") % 1009).alias("arrivals"))
@@ -1012,7 +1017,7 @@ def stream_bbo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `bbo` table as the plant writes it over five batches."""
     here = _new_tiers(spark)
     out, state, checkpoint = (scratch_path(spark, name) for name in ("plant", "state", "checkpoint"))
-    _finish(plant.plant_stream(_landed_feed(spark, sf_dir, batches=5), out, state, checkpoint, tiers=here))
+    _run_in_goes(spark, sf_dir, lambda feed: plant.plant_stream(feed, out, state, checkpoint, tiers=here))
     return text_date(spark.table(here.hot("bbo")), "date").select("ticker", *BBO_COLUMNS, "arrival", "ts_ms", "date")
 
 
@@ -1064,7 +1069,7 @@ def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_gap_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gap flags of a stream of five batches, cut into short segments."""
     out, state, checkpoint = (scratch_path(spark, name) for name in ("flags", "state", "checkpoint"))
-    _finish(plant.flag_stream(_landed_feed(spark, sf_dir, batches=5), out, state, checkpoint, rows=SHORT_SEGMENT))
+    _run_in_goes(spark, sf_dir, lambda feed: plant.flag_stream(feed, out, state, checkpoint, rows=SHORT_SEGMENT))
     return plant.published(spark, out).select("ticker", "arrival", "sequence", "last_sequence", "gap")
 
 
