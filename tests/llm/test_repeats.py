@@ -213,6 +213,52 @@ def test_sketches_never_differ_by_more_than_the_sets():
             assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= len(np.setxor1d(one, two))
 
 
+def test_folded_sketches_never_differ_by_more_than_the_sets():
+    rng = np.random.default_rng(6)
+    for most in (0, 3, 32, 77, 300):
+        for _ in range(50):
+            one = np.unique(rng.integers(0, 1 << 63, rng.integers(0, 400), dtype=np.uint64))
+            two = np.unique(np.concatenate([one[rng.random(len(one)) < 0.9], rng.integers(0, 1 << 63, rng.integers(0, 40), dtype=np.uint64)]))
+            whole = ngram_join.sketch_of(one, most)
+            x, y = ngram_join.folded(whole), ngram_join.folded(ngram_join.sketch_of(two, most))
+            assert len(x) == len(y) == -(-len(whole) // ngram_join.FOLD)
+            assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= len(np.setxor1d(one, two))
+
+
+@pytest.fixture
+def broadcast_64k(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    yield
+    spark.conf.set(name, before)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_frequent_keys_move_no_rows(spark, rows, broadcast_64k, monkeypatch):
+    met = spark.range(40_000).selectExpr(
+        "if(id < 100, 7L, xxhash64(id div 2))", "xxhash64(id, 1)", "if(id < 80, 512, 512 * 3) + 1", "1", "xxhash64(id, 1)", "if(id < 100, 100L, 2L)"
+    )
+    met = ngram_join.base.materialize(met.toDF("sig", "doc", "info", "n", "leader", "total"), "met")
+    plans, write = {}, ngram_join.base.materialize
+    monkeypatch.setattr(ngram_join.base, "materialize", lambda df, name: plans.update({name: plan_of(df)}) or write(df, name))
+    held, hot = ngram_join.parted(met, 64)
+    assert "Exchange hashpartitioning" not in plans["parted"]
+    assert held.count() == 39_900 and rows(hot.groupBy("sig").count(), "sig", "count") == [(7, 80)]
+
+
+def test_texts_move_for_their_pairs_only(spark, rows, broadcast_64k):
+    texts = spark.range(5_000).selectExpr("id AS doc", "concat_ws(' ', sha2(string(id), 512), sha2(string(-id), 512)) AS text")
+    texts = ngram_join.base.materialize(texts, "texts")
+    pairs = ngram_join.base.materialize(spark.createDataFrame([(5, 1), (9, 1), (9, 9_000)], "a long, b long"), "pairs")
+    found = ngram_join.texts_of_pairs(pairs, texts)
+    assert plan_of(found).count("BroadcastHashJoin") >= 2 and "LeftSemi" in plan_of(found)
+    assert rows(found, "a", "b") == [(5, 1), (9, 1)]
+
+
 def test_shingles_of_odd_tables(frame, rows):
     assert rows(ngram_join.groups(frame([])), "doc_id") == []
     got = rows(ngram_join.groups(frame([(None, "a b c d e"), (4, "a b c d e"), (5, None), (4, "a b c d e")])), "doc_id", "component_id")

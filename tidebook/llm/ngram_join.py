@@ -20,9 +20,11 @@ Sets that share a key are not paired with each other: each is compared with one
 where keys still join several components are the remaining pairs between components looked at. Such a pair
 must share as many keys as the pigeonhole demands of a link, and its sketches must be close enough: a sketch
 holds the parity of the number of elements in each of a fixed number of classes, so two sets differ by at
-least as many elements as their sketches differ in bits. Texts move for the pairs that are left. Every
-comparison is exact, on the sets themselves. Equal sets are merged and keys combined within slices before
-the shuffle.
+least as many elements as their sketches differ in bits. Keys travel with a sketch folded to a quarter, which
+counts classes together; the whole one is looked at for the pairs that pass. Texts move for the pairs that are
+left. Every comparison is exact, on the sets themselves. Equal sets are merged and keys combined within slices
+before the shuffle. Lists that are mostly short, such as frequent keys and pairs, are written before they are
+joined, so that Spark knows their size and the large side moves only if they are long.
 
 Null and empty texts have no shingles and no links; texts with fewer words than a shingle are one
 shingle. The join runs on a key of id and text, so other texts of an id, or without one, are linked on
@@ -53,6 +55,7 @@ CHANCE = 0.01
 FREQUENT = 64
 SPARE = 0.1
 SHARP = 16
+FOLD = 4
 SAME_PIVOT = 50
 SHARES = 64
 ROWS = 1 << 19
@@ -174,6 +177,13 @@ def sketch_of(elements: np.ndarray, most: int) -> np.ndarray:
     return np.packbits((np.bincount(classes.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
 
+def folded(sketch: np.ndarray) -> np.ndarray:
+    """A sketch in a `FOLD`-th of its words: the parities of several of its classes together."""
+    words = -(-len(sketch) // FOLD)
+    padded = np.concatenate([sketch, np.zeros(-len(sketch) % words, np.int64)])
+    return np.bitwise_xor.reduce(padded.reshape(-1, words), axis=0)
+
+
 def lists(values: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *(len(v) for v in values)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *values]), pa.int64()))
@@ -292,9 +302,10 @@ def parted(met: DataFrame, frequent: int) -> tuple[DataFrame, DataFrame]:
     """
     slack, instance, weight = F.expr("info div 512 - 1"), F.expr("(info div 4) % 128"), F.expr("info % 4")
     rows = met.filter("n >= 0").select("sig", "doc", "leader", slack.alias("slack"), instance.alias("instance"), weight.alias("weight"))
-    hot = met.filter(F.col("total") > frequent).select(F.col("sig").alias("hot")).distinct()
+    hot = base.materialize(met.filter(F.col("total") > frequent).select(F.col("sig").alias("hot")).distinct(), "hot")
     marked = rows.join(hot, F.col("sig") == F.col("hot"), "left")
     lost = marked.filter("hot is not null").groupBy(F.col("doc").alias("d"), F.col("instance").alias("i")).agg(F.sum("weight").alias("lost"))
+    lost = base.materialize(lost, "lost")
     judged = marked.join(lost, (F.col("doc") == F.col("d")) & (F.col("instance") == F.col("i")), "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
     demand = F.greatest(F.col("slack") - F.col("lost") + 1, F.lit(1))
     judged = base.materialize(judged.select("sig", "doc", "leader", "instance", "hot", demand.alias("demand"), (F.col("lost") > F.col("slack")).alias("short")), "parted")
@@ -312,6 +323,7 @@ def pivots_of(hot: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     met = hot.join(best, F.col("sig") == F.col("of")).select(F.col("doc").alias("a"), (-F.col("best.low")).alias("b"), "best")
     met = base.materialize(met.distinct(), "pivots")
     between = met.filter("a <> b").join(met.select(F.col("b").alias("pivot")).distinct(), F.col("a") == F.col("pivot"), "left_semi")
+    between = base.materialize(between.select("a", "b", "best"), "between")
     close = linked(between.select("a", "b"), texts, size, SAME_PIVOT)
     led = between.join(close, ["a", "b"]).groupBy(F.col("a").alias("weak")).agg((-F.max("best")["low"]).alias("strong"))
     led = base.materialize(led, "led")
@@ -323,16 +335,16 @@ def pivots_of(hot: DataFrame, texts: DataFrame, size: int) -> DataFrame:
         if moved.filter("further is not null").isEmpty():
             break
     met = met.join(led, F.col("b") == F.col("weak"), "left").select("a", F.coalesce("strong", "b").alias("b"))
-    return met.filter("a <> b").distinct()
+    return base.materialize(met.filter("a <> b").distinct(), "pivots")
 
 
 def texts_of_pairs(pairs: DataFrame, texts: DataFrame, shares: int = 1) -> DataFrame:
-    """Pairs (a, b) with both texts; the pairs of one b are dealt to so many tasks."""
+    """Pairs (a, b), a table, with both texts; the pairs of one b are dealt to so many tasks."""
     salted = pairs.withColumn("share", F.pmod(F.xxhash64("a"), F.lit(shares)))
     first = salted.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("one")), "a")
     second = texts.select(F.col("doc").alias("b"), F.col("text").alias("two"))
     if shares == 1:
-        return first.join(second, "b").select("a", "b", "one", "two")
+        return first.join(second.join(pairs.select("b"), "b", "left_semi"), "b").select("a", "b", "one", "two")
     spread = salted.select("b", "share").distinct().join(second, "b")
     return first.join(spread, ["b", "share"]).select("a", "b", "one", "two")
 
@@ -406,7 +418,7 @@ def across_pivots(apart: DataFrame, labels: DataFrame, percent: int) -> DataFram
 
 
 def sketched(texts: DataFrame, size: int, bands: list[Band], percent: int) -> DataFrame:
-    """The sketch of every set for each band where it takes part: of, band, size, sketch."""
+    """The sketch of every set for each band where it takes part, whole and folded: of, band, size, sketch, folded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, poster = Powers(), Poster(bands, percent)
@@ -418,10 +430,19 @@ def sketched(texts: DataFrame, size: int, bands: list[Band], percent: int) -> Da
                     numbers.append(number)
                     sizes.append(len(elements))
                     found.append(sketch_of(elements, bands[number].most))
-            columns = [batch.column("doc").take(pa.array(at, pa.int64())), pa.array(numbers, pa.int32()), pa.array(sizes, pa.int64()), lists(found)]
-            yield pa.RecordBatch.from_arrays(columns, names=["of", "band", "size", "sketch"])
+            columns = [batch.column("doc").take(pa.array(at, pa.int64())), pa.array(numbers, pa.int32()), pa.array(sizes, pa.int64()), lists(found), lists([folded(x) for x in found])]
+            yield pa.RecordBatch.from_arrays(columns, names=["of", "band", "size", "sketch", "folded"])
+
+    schema = "of long, band int, size long, sketch array<long>, folded array<long>"
+    return base.materialize(texts.select("doc", "text").mapInArrow(run, schema), "sketches")
+
 
-    return texts.select("doc", "text").mapInArrow(run, "of long, band int, size long, sketch array<long>")
+def still_close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of a band, `instance`, whose whole sketches leave room for a link: a, b."""
+    for end, mark in (("b", "y"), ("a", "x")):
+        whole = sketches.select(F.col("of").alias(end), F.col("band").alias("instance"), F.col("size").alias(f"size_{mark}"), F.col("sketch").alias(f"sketch_{mark}"))
+        pairs = pairs.join(whole, [end, "instance"])
+    return pairs.filter(may_link(percent)).select("a", "b").distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -445,16 +466,19 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
 
 def across_components(rows: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of different components that share as many keys as a link demands and whose sketches are close: a, b."""
+    of_key = Window.partitionBy("sig")
     labelled = rows.join(labels, F.col("doc") == F.col("node"), "left").select("sig", "doc", "instance", "demand", F.coalesce("component", "doc").alias("component"))
-    several = labelled.groupBy(F.col("sig").alias("of")).agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
-    several = labelled.join(several.select("of"), F.col("sig") == F.col("of"), "left_semi")
+    several = labelled.withColumn("least", F.min("component").over(of_key)).withColumn("most", F.max("component").over(of_key)).filter("least <> most")
     several = several.join(sketches, (F.col("doc") == F.col("of")) & (F.col("instance") == F.col("band")))
-    several = base.materialize(several.select("sig", "doc", "instance", "demand", "component", "size", "sketch"), "several")
+    several = several.select("sig", "doc", "instance", "demand", "component", "size", F.col("folded").alias("sketch"))
+    several = base.materialize(several, "several")
     one, two = (several.select(*(F.col(c).alias(f"{c}_{mark}") for c in several.columns)) for mark in "xy")
     same = (F.col("sig_x") == F.col("sig_y")) & (F.col("instance_x") == F.col("instance_y"))
     met = one.join(two, same & (F.col("component_x") < F.col("component_y")) & may_link(percent))
     shared = met.groupBy("doc_x", "doc_y", "instance_x").agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("demand_x", "demand_y")).alias("demand"))
-    return shared.filter("shared >= demand").select(F.greatest("doc_x", "doc_y").alias("a"), F.least("doc_x", "doc_y").alias("b"))
+    ends = (F.greatest("doc_x", "doc_y").alias("a"), F.least("doc_x", "doc_y").alias("b"))
+    near = base.materialize(shared.filter("shared >= demand").select(*ends, F.col("instance_x").alias("instance")), "near")
+    return still_close(near, sketches, percent)
 
 
 def joined(docs: DataFrame, size: int, percent: int, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
@@ -471,12 +495,14 @@ def joined(docs: DataFrame, size: int, percent: int, frequent: int = FREQUENT) -
     texts = base.materialize(own.groupBy("doc").agg(F.first("text").alias("text")), "texts")
 
     stars = rows.filter("doc <> leader").groupBy(F.col("doc").alias("a"), F.col("leader").alias("b"), "instance").agg(F.count(F.lit(1)).alias("shared"), F.max("demand").alias("demand"))
-    stars = base.materialize(stars.filter("shared >= demand").select("a", "b").distinct(), "stars")
+    stars = base.materialize(stars.filter("shared >= demand").select("a", "b", "instance"), "stars")
+    sketches = sketched(texts, size, bands, percent)
+    stars = base.materialize(still_close(stars, sketches, percent), "close-stars")
     apart = from_pivots(pivots_of(hot, texts, size), texts, size, percent)
     links = linked(stars, texts, size, percent).union(twins).union(apart.filter("linked").select("a", "b"))
     labels = components(links)
 
-    pairs = across_components(rows, labels, sketched(texts, size, bands, percent), percent).union(across_pivots(apart, labels, percent)).distinct()
+    pairs = across_components(rows, labels, sketches, percent).union(across_pivots(apart, labels, percent)).distinct()
     pairs = base.materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     more = linked(pairs, texts, size, percent)
     return sizes, labels if more.isEmpty() else components(links.union(more))
@@ -504,7 +530,7 @@ def representatives(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """
     rows, firsts = labelled(*joined(docs, size, percent))
     later = rows.join(firsts, F.col("component") == F.col("group")).filter(F.col("key") != F.col("first.key"))
-    copies = later.select(F.col("key").alias("__copy")).distinct()
+    copies = base.materialize(later.select(F.col("key").alias("__copy")).distinct(), "copies")
     again = rows.filter("n_shingles > 0").groupBy(F.col("key").alias("__of")).count().filter("count > 1").select("__of")
     again = base.materialize(again, "equal-rows")
     left = docs.withColumn("__key", row_key()).join(copies, F.col("__key") == F.col("__copy"), "left_anti")
