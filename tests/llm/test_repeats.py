@@ -259,6 +259,59 @@ def test_texts_move_for_their_pairs_only(spark, rows, broadcast_64k):
     assert rows(found, "a", "b") == [(5, 1), (9, 1)]
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("shares", [1, 64])
+def test_texts_move_once_for_both_ends_of_pairs(spark, rows, no_broadcast, shares):
+    texts = ngram_join.base.materialize(spark.range(50).selectExpr("id AS doc", "sha2(string(id), 256) AS text"), "texts")
+    pairs = ngram_join.base.materialize(spark.createDataFrame([(5, 1), (9, 1), (9, 90)], "a long, b long"), "pairs")
+    found = ngram_join.texts_of_pairs(pairs, texts, shares)
+    assert rows(found, "a", "b") == [(5, 1), (9, 1)]
+    found.collect()
+    assert "ReusedExchange" in plan_of(found)
+
+
+def test_keys_of_two_sets_are_settled_with_their_leader(frame, rows, monkeypatch):
+    given, across = [], ngram_join.across_components
+    monkeypatch.setattr(ngram_join, "across_components", lambda met, *more: given.append(met) or across(met, *more))
+    docs = []
+    for i in range(30):
+        words = [f"w{i}x{j}" for j in range(80)]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:40], f"other{i}", *words[40 + 8 * (i % 3) :]]))]
+    got = rows(ngram_join.groups(frame(docs)), "doc_id", "n_shingles", "component_id")
+    assert sorted(got) == brute.components(docs, 4, 85) and len({row[2] for row in got}) > 30
+    assert given[0].groupBy("sig").count().filter("count > 1").isEmpty()
+
+
+def test_sets_with_too_few_keys_are_left_out(spark, rows):
+    met = [(key, 1, 1, 0, 3, False) for key in (1, 2, 3)] + [(key, 2, 1, 0, 3, key == 1) for key in (1, 2)] + [(key, 3, 1, 0, 2, False) for key in (2, 3)]
+    met = spark.createDataFrame(met, "sig long, doc long, leader long, instance int, demand int, direct boolean")
+    assert rows(ngram_join.bonds_of(met), "doc", "leader", "shared", "demand") == [(1, 1, 3, 3), (3, 1, 2, 2)]
+
+
+def test_rows_without_links_do_not_meet_by_their_component(frame, rows):
+    docs = [(i, " ".join(f"{i}word{j}" for j in range(20))) for i in range(50)] + [(50, "a b c d e f"), (51, "a b c d e f")]
+    named = ngram_join.groups(frame(docs))
+    assert rows(named, "doc_id", "component_id") == sorted([(i, min(i, 50)) for i in range(52)], key=repr)
+    assert "LeftOuter" not in plan_of(named)
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_components_after_more_links(spark, rows, seed):
+    rng = random.Random(seed)
+    first, more = ([(rng.randrange(120), rng.randrange(120)) for _ in range(n)] for n in (50, 30))
+    first, more = (spark.createDataFrame(links, "a long, b long") for links in (first, more))
+    whole = ngram_join.components(first.union(more))
+    assert rows(ngram_join.merged(ngram_join.components(first), more).filter("node <> component"), "node", "component") == rows(whole.filter("node <> component"), "node", "component")
+
+
 def test_shingles_of_odd_tables(frame, rows):
     assert rows(ngram_join.groups(frame([])), "doc_id") == []
     got = rows(ngram_join.groups(frame([(None, "a b c d e"), (4, "a b c d e"), (5, None), (4, "a b c d e")])), "doc_id", "component_id")

@@ -16,15 +16,17 @@ its sets to that. Two sets differ by exactly as much as their differences from a
 if they are linked, though not both to the pivot, these differences share some elements; prefixes of them,
 those outside the pivot first, suffice to find the pair.
 
-Sets that share a key are not paired with each other: each is compared with one set of the key. Only
-where keys still join several components are the remaining pairs between components looked at. Such a pair
-must share as many keys as the pigeonhole demands of a link, and its sketches must be close enough: a sketch
+Sets that share a key are not paired with each other: each is compared with one set of the key, which settles
+keys of two sets. Only where other keys still join several components are the remaining pairs between components
+looked at. Such a pair must share as many keys as the pigeonhole demands of a link, a set with fewer keys in all is
+out beforehand, and its sketches must be close enough: a sketch
 holds the parity of the number of elements in each of a fixed number of classes, so two sets differ by at
 least as many elements as their sketches differ in bits. Keys travel with a sketch folded to a quarter, which
 counts classes together; the whole one is looked at for the pairs that pass. Texts move for the pairs that are
 left. Every comparison is exact, on the sets themselves. Equal sets are merged and keys combined within slices
 before the shuffle. Lists that are mostly short, such as frequent keys and pairs, are written before they are
-joined, so that Spark knows their size and the large side moves only if they are long.
+joined, so that Spark knows their size and the large side moves only if they are long. Where it does, both ends of
+the pairs read one shuffle of it: it is joined under its own column names, and renamed after.
 
 Null and empty texts have no shingles and no links; texts with fewer words than a shingle are one
 shingle. The join runs on a key of id and text, so other texts of an id, or without one, are linked on
@@ -44,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.llm import base
-from tidebook.llm.components import components
+from tidebook.llm.components import components, merged
 from tidebook.llm.cuckoo import mixed
 from tidebook.llm.words import Powers, word_hashes
 
@@ -298,20 +300,34 @@ def meetings(posted: DataFrame) -> DataFrame:
 def parted(met: DataFrame, frequent: int) -> tuple[DataFrame, DataFrame]:
     """Meetings on other than frequent keys, and those on frequent keys of sets that cannot do without.
 
-    `demand` is the number of keys of the first kind that a link of the set needs.
+    `demand` is the number of keys of the first kind that a link of the set needs. `settled`: a key of two sets, whose
+    pair is compared as a set with its leader. `direct`: the key may be one of these, so that the pair is compared
+    however few keys it shares.
     """
     slack, instance, weight = F.expr("info div 512 - 1"), F.expr("(info div 4) % 128"), F.expr("info % 4")
-    rows = met.filter("n >= 0").select("sig", "doc", "leader", slack.alias("slack"), instance.alias("instance"), weight.alias("weight"))
+    two = F.expr("n > 0 and total = 2")
+    rows = met.filter("n >= 0").select("sig", "doc", "leader", slack.alias("slack"), instance.alias("instance"), weight.alias("weight"), two.alias("settled"), F.expr("n = 0").alias("inner"))
     hot = base.materialize(met.filter(F.col("total") > frequent).select(F.col("sig").alias("hot")).distinct(), "hot")
     marked = rows.join(hot, F.col("sig") == F.col("hot"), "left")
     lost = marked.filter("hot is not null").groupBy(F.col("doc").alias("d"), F.col("instance").alias("i")).agg(F.sum("weight").alias("lost"))
     lost = base.materialize(lost, "lost")
     judged = marked.join(lost, (F.col("doc") == F.col("d")) & (F.col("instance") == F.col("i")), "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
     demand = F.greatest(F.col("slack") - F.col("lost") + 1, F.lit(1))
-    judged = base.materialize(judged.select("sig", "doc", "leader", "instance", "hot", demand.alias("demand"), (F.col("lost") > F.col("slack")).alias("short")), "parted")
+    kinds = ("settled", F.expr("settled or inner").alias("direct"))
+    judged = base.materialize(judged.select("sig", "doc", "leader", "instance", *kinds, "hot", demand.alias("demand"), (F.col("lost") > F.col("slack")).alias("short")), "parted")
     return judged.filter("hot is null").drop("hot", "short"), judged.filter("hot is not null and short").select("sig", "doc")
 
 
+def bonds_of(rows: DataFrame) -> DataFrame:
+    """Sets and leaders with the keys they share: doc, leader, instance, shared, demand, direct.
+
+    Sets that have fewer keys than a link of theirs demands are left out; a set that leads a key is there with itself.
+    """
+    met = rows.groupBy("doc", "leader", "instance").agg(F.count(F.lit(1)).alias("shared"), F.max("demand").alias("demand"), F.max("direct").alias("direct"))
+    held = met.withColumn("held", F.sum("shared").over(Window.partitionBy("doc", "instance")))
+    return base.materialize(held.filter("held >= demand").drop("held"), "bonds")
+
+
 def pivots_of(hot: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Each set of a frequent key with the key's pivot, or the strongest that this one leads to: a, b.
 
@@ -341,12 +357,13 @@ def pivots_of(hot: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 def texts_of_pairs(pairs: DataFrame, texts: DataFrame, shares: int = 1) -> DataFrame:
     """Pairs (a, b), a table, with both texts; the pairs of one b are dealt to so many tasks."""
     salted = pairs.withColumn("share", F.pmod(F.xxhash64("a"), F.lit(shares)))
-    first = salted.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("one")), "a")
-    second = texts.select(F.col("doc").alias("b"), F.col("text").alias("two"))
+    first = salted.join(texts, F.col("a") == F.col("doc")).select("a", "b", "share", F.col("text").alias("one"))
+    second = (F.col("doc").alias("b"), F.col("text").alias("two"))
     if shares == 1:
-        return first.join(second.join(pairs.select("b"), "b", "left_semi"), "b").select("a", "b", "one", "two")
-    spread = salted.select("b", "share").distinct().join(second, "b")
-    return first.join(spread, ["b", "share"]).select("a", "b", "one", "two")
+        ends = pairs.select(F.col("b").alias("end"))
+        return first.join(texts.join(ends, F.col("doc") == F.col("end"), "left_semi").select(*second), "b").select("a", "b", "one", "two")
+    spread = salted.select(F.col("b").alias("end"), "share").distinct().join(texts, F.col("end") == F.col("doc"))
+    return first.join(spread.select("share", *second), ["b", "share"]).select("a", "b", "one", "two")
 
 
 DIFFERENCES = "a long, b long, linked boolean, size long, n_new long, n_gone long, early int, keys array<long>, sketch array<long>"
@@ -439,14 +456,15 @@ def sketched(texts: DataFrame, size: int, bands: list[Band], percent: int) -> Da
 
 def still_close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of a band, `instance`, whose whole sketches leave room for a link: a, b."""
+    whole = sketches.select("of", "band", "size", "sketch")
     for end, mark in (("b", "y"), ("a", "x")):
-        whole = sketches.select(F.col("of").alias(end), F.col("band").alias("instance"), F.col("size").alias(f"size_{mark}"), F.col("sketch").alias(f"sketch_{mark}"))
-        pairs = pairs.join(whole, [end, "instance"])
+        pairs = pairs.join(whole, (F.col(end) == F.col("of")) & (F.col("instance") == F.col("band"))).drop("of", "band")
+        pairs = pairs.withColumnsRenamed({"size": f"size_{mark}", "sketch": f"sketch_{mark}"})
     return pairs.filter(may_link(percent)).select("a", "b").distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, by comparing the sets."""
+    """Of different pairs (a, b) those whose sets are similar enough, by comparing the sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -461,7 +479,7 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
                 keep.append(both > 0 and 100 * both >= percent * (len(other) + len(elements) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return base.materialize(texts_of_pairs(pairs, texts).mapInArrow(compare, "a long, b long").distinct(), "links")
+    return base.materialize(texts_of_pairs(pairs, texts).mapInArrow(compare, "a long, b long"), "links")
 
 
 def across_components(rows: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -490,36 +508,37 @@ def joined(docs: DataFrame, size: int, percent: int, frequent: int = FREQUENT) -
     twins = met.filter("n < 0").select(F.col("doc").alias("a"), F.col("leader").alias("b"))
     rows, hot = parted(met, frequent)
 
-    members = rows.select("doc").union(rows.select("leader")).union(hot.select("doc")).distinct()
+    bonds = bonds_of(rows)
+    members = bonds.select("doc").union(hot.select("doc")).distinct()
     own = docs.select(F.col("key").alias("doc"), "text").join(members, "doc", "left_semi")
     texts = base.materialize(own.groupBy("doc").agg(F.first("text").alias("text")), "texts")
 
-    stars = rows.filter("doc <> leader").groupBy(F.col("doc").alias("a"), F.col("leader").alias("b"), "instance").agg(F.count(F.lit(1)).alias("shared"), F.max("demand").alias("demand"))
-    stars = base.materialize(stars.filter("shared >= demand").select("a", "b", "instance"), "stars")
+    stars = bonds.filter("doc <> leader and (direct or shared >= demand)").select(F.col("doc").alias("a"), F.col("leader").alias("b"), "instance")
     sketches = sketched(texts, size, bands, percent)
     stars = base.materialize(still_close(stars, sketches, percent), "close-stars")
     apart = from_pivots(pivots_of(hot, texts, size), texts, size, percent)
     links = linked(stars, texts, size, percent).union(twins).union(apart.filter("linked").select("a", "b"))
     labels = components(links)
 
-    pairs = across_components(rows, labels, sketches, percent).union(across_pivots(apart, labels, percent)).distinct()
+    pairs = across_components(rows.filter("not settled"), labels, sketches, percent).union(across_pivots(apart, labels, percent)).distinct()
     pairs = base.materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     more = linked(pairs, texts, size, percent)
-    return sizes, labels if more.isEmpty() else components(links.union(more))
+    return sizes, labels if more.isEmpty() else merged(labels, more)
 
 
 def labelled(sizes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows with the component of their key, null for none, and per component its first row: group, first (none, doc_id, key)."""
     rows = base.materialize(sizes.join(labels, F.col("key") == F.col("node"), "left").select("doc_id", "key", "n_shingles", "component"), "labelled")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
-    return rows, rows.filter("component is not null").groupBy(F.col("component").alias("group")).agg(first)
+    return rows, base.materialize(rows.filter("component is not null").groupBy(F.col("component").alias("group")).agg(first), "firsts")
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
     """Every row with its number of shingles and its component: doc_id, n_shingles, component_id."""
     rows, firsts = labelled(*joined(docs, size, percent, frequent))
-    named = rows.join(firsts, F.col("component") == F.col("group"), "left")
-    return named.select("doc_id", "n_shingles", F.when(F.col("group").isNotNull(), F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    alone = rows.filter("component is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    named = rows.join(firsts, F.col("component") == F.col("group"))
+    return alone.union(named.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id")))
 
 
 def representatives(docs: DataFrame, size: int, percent: int) -> DataFrame:
